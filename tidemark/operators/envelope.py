@@ -45,11 +45,21 @@ def envelope_schema(fields: StructType, seq_field: str | None = None) -> StructT
     return StructType([StructField("payload", StructType(inner))] + inner)
 
 
-def _unwrap(value: Column, fields: StructType, seq_field: str | None = None) -> Column:
-    e = F.from_json(value, envelope_schema(fields, seq_field))
-    bare = F.struct(e["before"].alias("before"), e["after"].alias("after"),
-                    e["op"].alias("op"), e["source"].alias("source"))
-    return F.when(e["payload"].isNotNull(), e["payload"]).otherwise(bare)
+def parse_envelopes(df: DataFrame, value_col: str, fields: StructType, seq_field: str | None = None) -> DataFrame:
+    """``__raw`` plus the unified ``__before, __after, __op, __source`` of each message.
+
+    The JSON is parsed exactly once per message: ``from_json`` runs inside a generator
+    (``inline_outer``), and Catalyst neither pushes later filters below a generator nor inlines its
+    output, so the quarantine split and the field projections cannot multiply the parse.
+    """
+    raw = F.col(value_col).cast("string")
+    parsed = df.select(raw.alias("__raw"),
+                       F.inline_outer(F.array(F.from_json(raw, envelope_schema(fields, seq_field)))))
+    wrapped = F.col("payload").isNotNull()
+    return parsed.select(
+        "__raw",
+        *[F.when(wrapped, F.col("payload")[n]).otherwise(F.col(n)).alias(f"__{n}")
+          for n in ("before", "after", "op", "source")])
 
 
 def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructType = DEFAULT_FIELDS,
@@ -63,11 +73,10 @@ def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructTy
     late change lands in its own (old) partition.  With ``seq_field`` (e.g. the log position ``lsn``)
     that ``source`` field is emitted as ``seq``, the tie-break for changes in the same millisecond.
     """
-    env = (df.select(F.col(value_col).cast("string").alias("__raw"))
-           .withColumn("__e", _unwrap(F.col("__raw"), fields, seq_field)))
-    op = F.col("__e.op")
-    image = F.when(op == "d", F.col("__e.before")).otherwise(F.col("__e.after"))
-    ms = F.col("__e.source.ts_ms")
+    env = parse_envelopes(df, value_col, fields, seq_field)
+    op = F.col("__op")
+    image = F.when(op == "d", F.col("__before")).otherwise(F.col("__after"))
+    ms = F.col("__source.ts_ms")
     ts = millis_to_ntz(ms) if ntz else F.timestamp_millis(ms)
     flat = env.select(
         F.col("__raw"),
@@ -75,7 +84,7 @@ def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructTy
         action_from_op(op).alias("action"),
         *[image[f.name].alias(f.name) for f in fields.fields],
         ts.alias("updated_timestamp"),
-        *([F.col(f"__e.source.{seq_field}").alias("seq")] if seq_field else []),
+        *([F.col(f"__source.{seq_field}").alias("seq")] if seq_field else []),
     ).withColumn("partition_date", F.to_date(F.col("updated_timestamp")))
 
     reason = (F.when(F.col("__raw").isNull(), F.lit("null message"))
@@ -99,11 +108,11 @@ def normalize_after_image(df: DataFrame, value_col: str = "value",
     The legacy change time travels as text; it is cast to TIMESTAMP_NTZ (``try_cast``: a bad value
     becomes null instead of failing the job under ANSI mode).
     """
-    e = _unwrap(F.col(value_col).cast("string"), fields)
+    env = parse_envelopes(df, value_col, fields)
     cols = []
     for f in fields.fields:
-        c = e["after"][f.name]
+        c = F.col("__after")[f.name]
         if f.name == timestamp_field:
             c = c.try_cast("timestamp_ntz")
         cols.append(c.alias(f.name))
-    return df.select(*cols, e["op"].alias("op"))
+    return env.select(*cols, F.col("__op").alias("op"))

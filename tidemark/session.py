@@ -16,7 +16,8 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str = "tidemark",
+                  extra: dict | None = None) -> SparkSession:
     """A local-mode session with the settings the tests and the bench use (UI off, UTC, AQE on)."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -31,6 +32,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "8g")
         .config("spark.sql.sources.partitionOverwriteMode", "static")
     )
+    for k, v in (extra or {}).items():
+        builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)

@@ -3,8 +3,9 @@
 ``write_files``  partitioned file write; ``mode="overwrite"`` replaces only the partitions present
                  in the data (dynamic partition overwrite), which makes a rerun of a day idempotent.
 ``write_table``  catalog or path table: ``append`` | ``overwrite_partitions`` | ``replace``.
-                 ``replace`` of a table the plan itself reads goes through a staging copy under the
-                 shared checkpoint folder (Spark refuses to overwrite a table it is reading).
+                 An overwrite of a table or path the plan itself reads goes through a staging copy
+                 under the shared checkpoint folder (Spark refuses it for tables, and for paths it
+                 would delete the input before reading it).
 
 Partitioned writes are preceded by a REBALANCE hint on the partition columns: AQE then coalesces
 small output partitions (no tiny files) and splits a skewed one (a hot day is not one task).
@@ -37,10 +38,34 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by: list[str], dynamic
     return w
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def reads_from(spark: SparkSession, df: DataFrame, path: str) -> bool:
+    """Whether the plan of ``df`` reads any file below ``path`` (checked before overwriting it:
+    Spark would delete the files first and then fail, or silently lose them, when reading them)."""
+    target = _qualified(spark, path) + "/"
+    return any(_qualified(spark, f).startswith(target) for f in df.inputFiles())
+
+
+def _stage(spark: SparkSession, df: DataFrame, fmt: str) -> DataFrame:
+    """Materialise ``df`` under the shared checkpoint folder and return a reader of that copy."""
+    staging = scratch_path(spark, "staging")
+    df.write.format(fmt).mode("overwrite").save(staging)
+    return spark.read.format(fmt).load(staging)
+
+
 def write_files(spark: SparkSession, df: DataFrame, path: str, format: str = "parquet", mode: str = "overwrite",
                 partition_by: str | Sequence[str] | None = None, dynamic: bool = True,
                 rebalance: bool = True, **_: object) -> str:
-    """``df.write.format().mode().partitionBy().save(path)``; dynamic partition overwrite by default."""
+    """``df.write.format().mode().partitionBy().save(path)``; dynamic partition overwrite by default.
+    A plan that reads ``path`` itself is staged first when the write would delete files."""
+    if mode == "overwrite" and path_exists(spark, path) and reads_from(spark, df, path):
+        df = _stage(spark, df, format)
     _writer(df, format, mode, _as_list(partition_by), dynamic, rebalance).save(path)
     return path
 
@@ -50,12 +75,6 @@ def _namespace_of(table_name: str) -> str | None:
     return ".".join(parts[:-1]) if len(parts) > 1 else None
 
 
-def _stage(spark: SparkSession, df: DataFrame, fmt: str) -> DataFrame:
-    staging = scratch_path(spark, "staging")
-    df.write.format(fmt).mode("overwrite").save(staging)
-    return spark.read.format(fmt).load(staging)
-
-
 def write_table(spark: SparkSession, df: DataFrame, table_name: str | None = None, path: str | None = None,
                 mode: str = "append", partition_by: str | Sequence[str] | None = None,
                 format: str = "parquet", rebalance: bool = True, **_: object) -> str:
@@ -68,12 +87,9 @@ def write_table(spark: SparkSession, df: DataFrame, table_name: str | None = Non
     dynamic = mode == "overwrite_partitions"
 
     if path is not None:
-        try:
-            _writer(df, format, spark_mode, parts, dynamic, rebalance).save(path)
-        except AnalysisException:
-            if mode == "append" or not path_exists(spark, path):
-                raise
-            _writer(_stage(spark, df, format), format, spark_mode, parts, dynamic, rebalance).save(path)
+        if spark_mode == "overwrite" and path_exists(spark, path) and reads_from(spark, df, path):
+            df = _stage(spark, df, format)
+        _writer(df, format, spark_mode, parts, dynamic, rebalance).save(path)
         return path
 
     if table_name is None:
@@ -95,18 +111,23 @@ def write_table(spark: SparkSession, df: DataFrame, table_name: str | None = Non
     if parts and rebalance:
         aligned = aligned.hint("rebalance", *parts)
     if dynamic:
-        (aligned.write.option("partitionOverwriteMode", "dynamic")
-         .insertInto(table_name, overwrite=True))
+        try:
+            aligned.write.option("partitionOverwriteMode", "dynamic").insertInto(table_name, overwrite=True)
+        except AnalysisException:  # raised at analysis, before anything is deleted: the plan reads the table
+            staged = _stage(spark, aligned, format)
+            staged.write.option("partitionOverwriteMode", "dynamic").insertInto(table_name, overwrite=True)
     else:
         aligned.write.insertInto(table_name)
     return table_name
 
 
-# spec "load" types -> (writer, table write mode, table-name suffix)
+# spec "load" types -> (default table write mode, table-name suffix).  History kinds overwrite the
+# partitions they write instead of appending blindly, so rerunning a day does not duplicate it;
+# ``"mode": "append"`` in the load entry restores a blind append.
 TABLE_KINDS = {
-    "scd2": ("append", "_scd2"),
-    "scd4_hist": ("append", "_scd4_hist"),
-    "scd4a_hist": ("append", "_scd4a_hist"),
+    "scd2": ("overwrite_partitions", "_scd2"),
+    "scd4_hist": ("overwrite_partitions", "_scd4_hist"),
+    "scd4a_hist": ("overwrite_partitions", "_scd4a_hist"),
     "scd4_current": ("replace", "_scd4_current"),
     "scd4a_current": ("replace", "_scd4a_current"),
 }
