@@ -137,7 +137,7 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
                    .drop("__first"))
         parts += [closed_rows, touched]
     if not close_only:
-        chained = next_in_key(fresh, keys, ts, tie, "__next", split_rows)
+        chained = next_in_key(fresh, keys, ts, tie, "__next", split_rows, probe=changes)
         opened = (chained.filter(~_is_delete(action))
                   .select(*keys, *payload, F.col(ts).alias("valid_from"),
                           F.coalesce(F.col("__next"), sentinel).alias("valid_to")))

@@ -52,14 +52,15 @@ def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, split_rows: int) -> Da
 
 
 def next_in_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], out: str,
-                split_rows: int = DEFAULT_SPLIT_ROWS) -> DataFrame:
+                split_rows: int = DEFAULT_SPLIT_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """Add column ``out`` = ``ts`` of the next row of the same key ordered by (ts, *tie); null for the last.
 
-    Exact for any key skew.  Costs one extra aggregate over (keys, ts) to find hot keys; when there
-    are none the plan is a single ``lead`` window.
+    Exact for any key skew.  Costs one extra aggregate over (keys, ts) to find hot keys (on ``probe``
+    when given: any superset of ``df``'s rows with cheaper lineage -- the slicing only has to be
+    order-preserving, not tight); when there are none the plan is a single ``lead`` window.
     """
     order = [F.col(ts)] + _cols(tie)
-    hot = hot_keys(df, keys, ts, split_rows)
+    hot = hot_keys(probe if probe is not None else df, keys, ts, split_rows)
     n_hot = hot.count()
     if n_hot == 0:
         w = Window.partitionBy(*_cols(keys)).orderBy(*order)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -132,11 +133,16 @@ def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         base_path = latest_version_path(spark, target_root, before=batch_id)
         base = batch.sparkSession.read.parquet(base_path) if base_path else None
-        result, late = scd2_apply(base, batch, keys=keys, ts="updated_timestamp", tie=tie,
-                                  drop=("partition_date",))
-        result.write.mode("overwrite").parquet(f"{target_root.rstrip('/')}/version={batch_id}")
-        if late_path:
-            late.write.mode("append").parquet(late_path)
+        # the batch feeds several branches of the apply plan: parse the messages once
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            result, late = scd2_apply(base, batch, keys=keys, ts="updated_timestamp", tie=tie,
+                                      drop=("partition_date",))
+            result.write.mode("overwrite").parquet(f"{target_root.rstrip('/')}/version={batch_id}")
+            if late_path:
+                late.write.mode("append").parquet(late_path)
+        finally:
+            batch.unpersist()
 
     w = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
     return _trigger(w, trigger).start()
