@@ -142,3 +142,23 @@ def test_latest_current_equals_open_scd2_rows(spark):
     cur = latest_current(log).select("id", "name")
     open_rows = scd2_from_log(log).filter("is_current").select("id", "name")
     assert cur.exceptAll(open_rows).count() == 0 and open_rows.exceptAll(cur).count() == 0
+
+
+def _burst_log(spark):
+    t = dt.datetime(2024, 1, 1, 12)
+    data = [(seq, 0, f"n{seq}", "e", "UPDATE", t, t.date()) for seq in range(2000)]  # one key, one instant
+    data += [(2000 + i, 1 + i % 30, f"c{i}", "e", "UPDATE", t + dt.timedelta(seconds=i), t.date()) for i in range(300)]
+    return spark.createDataFrame(data, LOG_SCHEMA)
+
+
+def test_hot_key_burst_is_cut_into_balanced_slices(spark):
+    from tidemark.operators.sequence import hot_keys, hot_slices
+    log = _burst_log(spark)
+    hot = hot_keys(log, ["id"], 100)
+    sliced = hot_slices(log, ["id"], "updated_timestamp", ["seq"], hot, 1, 2000, 100)
+    sizes = [r["count"] for r in sliced.groupBy("id", "__slice").count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 300  # ~100 rows each, not one task for the burst
+    split = next_in_key(log, ["id"], "updated_timestamp", ["seq"], "nxt", split_rows=100)
+    w = Window.partitionBy("id").orderBy("updated_timestamp", "seq")
+    plain = log.withColumn("nxt", F.lead("updated_timestamp").over(w))
+    assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0

@@ -6,24 +6,32 @@
 
 ``next_in_key``     the value of the next row of the same key (``lead``), used to close validity
                     intervals.  A plain ``lead() OVER (PARTITION BY key)`` would put every row of a hot
-                    key into one task.  Instead hot keys (more than ``split_rows`` rows, found with a
-                    partial aggregate) are cut into order-preserving slices of their own time range; the
-                    window runs per (key, slice) and the last row of a slice takes the first value of the
-                    key's next non-empty slice, found on a table with one row per slice.
+                    key into one task.  Keys with more than ``split_rows`` rows (found with a partial
+                    aggregate) take a separate path: their rows are range-partitioned on
+                    (key, ts, tie...), so Spark's sampler cuts them into slices of about equal row count
+                    whatever the time distribution (bursts and identical timestamps included).  The range
+                    partition index is an order-preserving slice id; the window runs per (key, slice) and
+                    the last row of a slice takes the first value of the key's next slice, read from a
+                    table with one row per slice.  All other keys use the plain window.
+
+                    The sliced hot rows are written once to the shared checkpoint folder and both
+                    consumers (the window and the slice-head table) read that copy: two independent
+                    range exchanges would sample different bounds, so slice ids must not be recomputed.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.temporal import epoch_micros
+from tidemark.session import scratch_path
 
 # A (key, slice) group is kept below roughly this many rows.
 DEFAULT_SPLIT_ROWS = 2_000_000
-# The hot-key table is broadcast only while it has at most this many rows (about 50 bytes each).
+# The hot-key table (key columns only) is broadcast only while it has at most this many rows.
 MAX_BROADCAST_HOT_KEYS = 200_000
 
 
@@ -37,50 +45,60 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], ts: str, split_rows: int) -> DataFrame:
-    """Keys with more than ``split_rows`` rows, with the width (in microseconds) of one slice."""
-    micros = epoch_micros(F.col(ts), df.schema[ts].dataType)
-    stats = df.groupBy(*_cols(keys)).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min(micros).alias("__lo"),
-        F.max(micros).alias("__hi"),
-    )
-    slices = F.ceil(F.col("__n") / F.lit(split_rows))
-    return (stats.filter(F.col("__n") > split_rows)
-            .select(*_cols(keys), F.col("__lo"),
-                    F.greatest(F.lit(1), F.ceil((F.col("__hi") - F.col("__lo") + 1) / slices)).alias("__width")))
+def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame:
+    """Keys with more than ``split_rows`` rows and their row counts (a partial aggregate)."""
+    return (df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("__n"))
+            .filter(F.col("__n") > split_rows))
+
+
+def hot_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], hot: DataFrame,
+               n_hot: int, hot_rows: int, split_rows: int) -> DataFrame:
+    """Rows of the hot keys with ``__slice``: the index of their range partition on (keys, ts, tie).
+
+    Range partitions are contiguous and ordered, so for one key a higher slice only holds later rows;
+    each slice holds about ``split_rows`` rows.
+    """
+    hot_side = hot.select(*keys)
+    if n_hot <= MAX_BROADCAST_HOT_KEYS:
+        hot_side = F.broadcast(hot_side)
+    n_slices = max(2, math.ceil(hot_rows / split_rows))
+    return (df.join(hot_side, on=list(keys), how="left_semi")
+            .repartitionByRange(n_slices, *_cols(keys), F.col(ts), *_cols(tie))
+            .withColumn("__slice", F.spark_partition_id()))
 
 
 def next_in_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], out: str,
                 split_rows: int = DEFAULT_SPLIT_ROWS, probe: DataFrame | None = None) -> DataFrame:
     """Add column ``out`` = ``ts`` of the next row of the same key ordered by (ts, *tie); null for the last.
 
-    Exact for any key skew.  Costs one extra aggregate over (keys, ts) to find hot keys (on ``probe``
-    when given: any superset of ``df``'s rows with cheaper lineage -- the slicing only has to be
-    order-preserving, not tight); when there are none the plan is a single ``lead`` window.
+    Exact for any key skew.  Costs one extra aggregate over the keys to find hot keys (on ``probe``
+    when given: any superset of ``df``'s rows with cheaper lineage).  Without hot keys the plan is a
+    single ``lead`` window; with them, cold rows take that window and hot rows the sliced path (which
+    runs one job writing the sliced hot rows before returning).
     """
     order = [F.col(ts)] + _cols(tie)
-    hot = hot_keys(probe if probe is not None else df, keys, ts, split_rows)
-    n_hot = hot.count()
+    w = Window.partitionBy(*_cols(keys)).orderBy(*order)
+    hot = hot_keys(probe if probe is not None else df, keys, split_rows)
+    summary = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
+    n_hot, hot_rows = int(summary["k"] or 0), int(summary["rows"] or 0)
     if n_hot == 0:
-        w = Window.partitionBy(*_cols(keys)).orderBy(*order)
         return df.withColumn(out, F.lead(F.col(ts)).over(w))
 
-    hot_side = F.broadcast(hot) if n_hot <= MAX_BROADCAST_HOT_KEYS else hot
-    micros = epoch_micros(F.col(ts), df.schema[ts].dataType)
-    tagged = (df.join(hot_side, on=list(keys), how="left")
-              .withColumn("__slice", F.when(F.col("__lo").isNull(), F.lit(0))
-                          .otherwise(F.coalesce(F.floor((micros - F.col("__lo")) / F.col("__width")) + 1,
-                                                F.lit(1))))
-              .drop("__lo", "__width"))
-    w_slice = Window.partitionBy(*_cols(keys), F.col("__slice")).orderBy(*order)
-    within = tagged.withColumn("__next", F.lead(F.col(ts)).over(w_slice))
+    hot_side = hot.select(*keys)
+    if n_hot <= MAX_BROADCAST_HOT_KEYS:
+        hot_side = F.broadcast(hot_side)
+    cold = (df.join(hot_side, on=list(keys), how="left_anti")
+            .select(*_cols(df.columns), F.lead(F.col(ts)).over(w).alias(out)))
 
-    # one row per (hot key, slice): its first ts, and the first ts of the following slice
-    heads = (tagged.filter(F.col("__slice") > 0)
-             .groupBy(*_cols(keys), F.col("__slice")).agg(F.min(F.col(ts)).alias("__head")))
+    staged = scratch_path(df.sparkSession, "hot-slices")
+    hot_slices(df, keys, ts, tie, hot, n_hot, hot_rows, split_rows).write.mode("overwrite").parquet(staged)
+    sliced = df.sparkSession.read.parquet(staged)
+    w_slice = Window.partitionBy(*_cols(keys), F.col("__slice")).orderBy(*order)
+    within = sliced.withColumn("__next", F.lead(F.col(ts)).over(w_slice))
+    # one row per (hot key, slice): the first ts of the key's following slice
+    heads = within.groupBy(*_cols(keys), F.col("__slice")).agg(F.min(F.col(ts)).alias("__head"))
     w_heads = Window.partitionBy(*_cols(keys)).orderBy(F.col("__slice"))
     heads = heads.select(*_cols(keys), F.col("__slice"), F.lead(F.col("__head")).over(w_heads).alias("__after"))
-
-    joined = within.join(heads, on=list(keys) + ["__slice"], how="left")
-    return joined.select(*_cols(df.columns), F.coalesce(F.col("__next"), F.col("__after")).alias(out))
+    warm = (within.join(heads, on=list(keys) + ["__slice"], how="left")
+            .select(*_cols(df.columns), F.coalesce(F.col("__next"), F.col("__after")).alias(out)))
+    return cold.unionByName(warm)
