@@ -207,3 +207,9 @@ def test_stream_scd2_batches(spark, scratch):
     stream_scd2(spark, {"path": inbox}, target, ckpt, seq_field="lsn").awaitTermination()
     got = sorted((r.id, r.name, r.is_current) for r in read_scd2_versioned(spark, target).collect())
     assert got == [("1", "a", False), ("1", "b", False), ("2", "x", False), ("2", "y", True)]
+
+
+def test_spec_latency_is_relative_to_the_run_date(spark, literal_log, scratch):
+    path = write_files(spark, literal_log, f"{scratch}/bronze", partition_by="partition_date")
+    spec = {"extract_dfs": {"day": {"type": "read_bronze", "file_path": path, "latency": -1}}}
+    assert run_spec(spark, spec, as_of="2024-01-03")["day"].count() == 6   # the 2024-01-02 partition

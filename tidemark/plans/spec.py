@@ -183,14 +183,15 @@ def transform(spark: SparkSession, frames: Frames, spec_transform, as_of: dt.dat
 # --- extract / load -----------------------------------------------------------------------------
 
 def extract(spark: SparkSession, spec_extract: Mapping, as_of: dt.date) -> Frames:
+    """Build each named frame with its reader.  The run date ``as_of`` stands in for "today": an
+    entry's ``latency`` (signed day offset) is applied to it, an explicit ``as_of`` in the entry wins."""
     frames: Frames = {}
     for name, source in spec_extract.items():
         args = dict(source)
         reader = READERS[args.pop("type")]
-        if "as_of" not in args and "latency" not in args:
-            args["as_of"] = as_of
-        elif "latency" in args and "as_of" not in args:
-            args["as_of"] = None
+        latency = args.pop("latency", None)
+        if "as_of" not in args:
+            args["as_of"] = as_of + dt.timedelta(days=int(latency or 0))
         frames[name] = reader(spark, **args)
     return frames
 
