@@ -14,7 +14,7 @@ from tidemark.scenarios import LOG_EXPRS
 from tidemark.sinks import write_files, write_table
 from tidemark.sources import read_as_of, read_file, read_partition
 from tidemark.sources.jdbc import jdbc_options, one_day
-from tidemark.streaming import read_scd2_versioned, stream_scd2, stream_to_bronze
+from tidemark.streaming import read_scd2_table, stream_scd2, stream_to_bronze
 
 
 def _plan(df) -> str:
@@ -205,7 +205,7 @@ def test_stream_scd2_batches(spark, scratch):
     stream_scd2(spark, {"path": inbox}, target, ckpt, seq_field="lsn").awaitTermination()
     _write_msgs(inbox, "b.json", [_env("d", 1, t + 5000, 4, "b"), _env("u", 2, t + 6000, 5, "y")])
     stream_scd2(spark, {"path": inbox}, target, ckpt, seq_field="lsn").awaitTermination()
-    got = sorted((r.id, r.name, r.is_current) for r in read_scd2_versioned(spark, target).collect())
+    got = sorted((r.id, r.name, r.is_current) for r in read_scd2_table(spark, target).collect())
     assert got == [("1", "a", False), ("1", "b", False), ("2", "x", False), ("2", "y", True)]
 
 

@@ -96,7 +96,7 @@ def scd2_init(df: DataFrame, ts: str = "updated_timestamp", keys: Keys = ("id",)
 def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
                ts: str = "updated_timestamp", tie: Keys = ("seq",), action: str = "action",
                drop: Keys = ("partition_date",), split_rows: int = DEFAULT_SPLIT_ROWS,
-               close_only: bool = False) -> tuple[DataFrame, DataFrame]:
+               close_only: bool = False, origin_col: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply one batch of changes to an SCD2 table; returns ``(new_table, late)``.
 
     * closed target rows pass through untouched;
@@ -107,6 +107,9 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
     Changes not newer than the key's last applied change (``valid_from`` of any row or ``valid_to``
     of a closed one) are already applied or late: they are left out and returned in ``late``.  This
     makes replaying a batch a no-op.
+
+    With ``origin_col`` each output row says where it comes from: ``kept`` (a closed target row passed
+    through), ``target`` (an open target row, closed now or still open) or ``batch`` (a new interval).
     """
     payload = _payload(batch, keys, ts, tie, drop)
     sentinel = _open(batch, ts)
@@ -135,19 +138,24 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
         touched = (open_rows.join(first_change, on=list(keys), how="left")
                    .withColumn("valid_to", F.coalesce(F.col("__first"), F.col("valid_to")))
                    .drop("__first"))
+        if origin_col:
+            closed_rows = closed_rows.withColumn(origin_col, F.lit("kept"))
+            touched = touched.withColumn(origin_col, F.lit("target"))
         parts += [closed_rows, touched]
     if not close_only:
         chained = next_in_key(fresh, keys, ts, tie, "__next", split_rows, probe=changes)
         opened = (chained.filter(~_is_delete(action))
                   .select(*keys, *payload, F.col(ts).alias("valid_from"),
                           F.coalesce(F.col("__next"), sentinel).alias("valid_to")))
+        if origin_col:
+            opened = opened.withColumn(origin_col, F.lit("batch"))
         parts.append(opened)
 
     result = parts[0]
     for p in parts[1:]:
         result = result.unionByName(p)
     result = result.withColumn("is_current", F.col("valid_to") == sentinel)
-    return result.select(*out_cols), late
+    return result.select(*out_cols, *([origin_col] if origin_col else [])), late
 
 
 def as_of_view(scd2: DataFrame, at: dt.datetime | str | Column) -> DataFrame:

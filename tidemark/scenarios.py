@@ -35,7 +35,7 @@ from tidemark.plans import run_spec, run_stages
 from tidemark.session import scratch_path
 from tidemark.sinks import write_files, write_table
 from tidemark.sources import read_as_of, read_file, read_partition
-from tidemark.streaming import read_scd2_versioned, stream_scd2, stream_to_bronze
+from tidemark.streaming import read_scd2_table, stream_scd2, stream_to_bronze
 
 AS_OF = dt.date(2024, 1, 15)
 PREV_DAY = dt.date(2024, 1, 14)
@@ -219,7 +219,7 @@ def q_stream_scd2(spark, sf_dir):
     ckpt = scratch_path(spark, "ckpt")
     for _ in _write_envelope_ranges(spark, sf_dir, inbox):
         stream_scd2(spark, {"path": inbox}, target, ckpt, fields=ENVELOPE_FIELDS, seq_field="lsn").awaitTermination()
-    return read_scd2_versioned(spark, target)
+    return read_scd2_table(spark, target)
 
 
 # --- declarative specs ------------------------------------------------------------------------------

@@ -138,4 +138,7 @@ WRITERS = {
     "write_file": write_files,
 }
 
-__all__ = ["TABLE_KINDS", "WRITERS", "write_files", "write_table"]
+from tidemark.sinks.scd2_layout import commit_scd2_batch, read_scd2_state, read_scd2_table  # noqa: E402
+
+__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "read_scd2_state", "read_scd2_table",
+           "write_files", "write_table"]

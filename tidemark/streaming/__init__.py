@@ -5,13 +5,13 @@
 ``write_change_stream`` append-mode file sink partitioned by event date, with a checkpoint folder
                         (exactly-once through the sink's commit log); trigger is configurable.
 ``stream_to_bronze``    envelopes -> normalised rows -> partitioned bronze files (+ quarantine sink).
-``stream_scd2``         envelopes -> per micro-batch ``scd2_apply`` into a versioned SCD2 table.
+``stream_scd2``         envelopes -> per micro-batch ``commit_scd2_batch`` (append-only history +
+                        latest row per key, committed versions).
 """
 
 from tidemark.streaming.jobs import (  # noqa: F401
-    latest_version_path,
     read_change_stream,
-    read_scd2_versioned,
+    read_scd2_table,
     stream_scd2,
     stream_to_bronze,
     write_change_stream,

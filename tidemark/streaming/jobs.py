@@ -10,8 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope
-from tidemark.operators.scd import scd2_apply
-from tidemark.session import path_exists
+from tidemark.sinks.scd2_layout import commit_scd2_batch, read_scd2_table  # noqa: F401
 
 
 def read_change_stream(spark: SparkSession, kafka_bootstrap: str | None = None, topic: str | None = None,
@@ -89,41 +88,15 @@ def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkp
 
 # --- SCD2 kept up to date by micro-batches -------------------------------------------------------
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
-    jvm = spark.sparkContext._jvm
-    hroot = jvm.org.apache.hadoop.fs.Path(root)
-    fs = hroot.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hroot):
-        return []
-    out = []
-    for st in fs.listStatus(hroot):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("version="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def latest_version_path(spark: SparkSession, root: str, before: int | None = None) -> str | None:
-    """Newest fully written version (has ``_SUCCESS``), optionally older than ``before``."""
-    vs = [v for v in _versions(spark, root) if before is None or v < before]
-    return f"{root.rstrip('/')}/version={vs[-1]}" if vs else None
-
-
-def read_scd2_versioned(spark: SparkSession, root: str) -> DataFrame | None:
-    p = latest_version_path(spark, root)
-    return spark.read.parquet(p) if p else None
-
-
 def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_location: str,
                 fields: StructType = DEFAULT_FIELDS, keys: Sequence[str] = ("id",),
                 trigger: str | None = "availableNow", late_path: str | None = None,
                 seq_field: str | None = None) -> StreamingQuery:
-    """Each micro-batch: normalise, then ``scd2_apply`` on the newest table version and write the
-    result as ``version=<batch_id>``.
+    """Each micro-batch: normalise, then ``commit_scd2_batch`` as version ``batch_id`` of the SCD2
+    table at ``target_root`` (append-only history + latest row per key; see ``sinks.scd2_layout``).
 
-    A replayed batch id rewrites the same version from the same base, and ``scd2_apply`` ignores
-    changes already applied, so replays are idempotent.  Readers use ``read_scd2_versioned``.
+    A replayed batch id recomputes from the same base version and overwrites only its own folders,
+    so replays are idempotent.  Read the table with ``read_scd2_table``.
     """
     raw = read_change_stream(spark, **source)
     good, _bad = normalize_envelope(raw, "value", fields, seq_field=seq_field)
@@ -131,14 +104,11 @@ def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_
     tie = ("seq",) if seq_field else ()
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        base_path = latest_version_path(spark, target_root, before=batch_id)
-        base = batch.sparkSession.read.parquet(base_path) if base_path else None
         # the batch feeds several branches of the apply plan: parse the messages once
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            result, late = scd2_apply(base, batch, keys=keys, ts="updated_timestamp", tie=tie,
-                                      drop=("partition_date",))
-            result.write.mode("overwrite").parquet(f"{target_root.rstrip('/')}/version={batch_id}")
+            late = commit_scd2_batch(batch.sparkSession, target_root, batch, batch_id, keys=keys,
+                                     ts="updated_timestamp", tie=tie, drop=("partition_date",))
             if late_path:
                 late.write.mode("append").parquet(late_path)
         finally:
@@ -148,5 +118,4 @@ def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_
     return _trigger(w, trigger).start()
 
 
-__all__ = ["latest_version_path", "path_exists", "read_change_stream", "read_scd2_versioned",
-           "stream_scd2", "stream_to_bronze", "write_change_stream"]
+__all__ = ["read_change_stream", "read_scd2_table", "stream_scd2", "stream_to_bronze", "write_change_stream"]
