@@ -40,15 +40,23 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect client."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's shared checkpoint folder, creating a local one only if none is set."""
-    sc = spark.sparkContext
-    current = sc.getConf().get(CHECKPOINT_CONF, None) or spark.conf.get(CHECKPOINT_CONF, None)
-    if not current:
+    sc = _context(spark)
+    current = (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None) or spark.conf.get(CHECKPOINT_CONF, None)
+    if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
     return current
 
@@ -59,19 +67,52 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/tidemark-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+# --- file-system helpers: Hadoop's FileSystem (any scheme, default FS for bare paths) -------------
+
+def _hadoop(spark: SparkSession, path: str):
+    sc = _context(spark)
+    if sc is None:
+        return None, None
+    jvm = sc._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
 
 
-def local_fs_path(path: str) -> str:
+def _local(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through Hadoop's FileSystem, so it works for any scheme Spark can read."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    fs, hpath = _hadoop(spark, path)
+    return bool(fs.exists(hpath)) if fs is not None else os.path.exists(_local(path))
+
+
+def qualify(spark: SparkSession, path: str) -> str:
+    """Fully qualified form of ``path`` (scheme and authority), for comparing paths."""
+    fs, hpath = _hadoop(spark, path)
+    if fs is None:
+        return "file:" + os.path.abspath(_local(path.replace("file://", "file:")))
+    return fs.makeQualified(hpath).toString().rstrip("/")
+
+
+def list_names(spark: SparkSession, path: str, dirs_only: bool = False) -> list[str]:
+    """Names of the entries directly under ``path`` (empty if it does not exist)."""
+    fs, hpath = _hadoop(spark, path)
+    if fs is None:
+        p = _local(path)
+        if not os.path.isdir(p):
+            return []
+        return [n for n in os.listdir(p) if not dirs_only or os.path.isdir(os.path.join(p, n))]
+    if not fs.exists(hpath):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(hpath) if not dirs_only or st.isDirectory()]
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create (or replace) an empty marker file."""
+    fs, hpath = _hadoop(spark, path)
+    if fs is None:
+        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+        open(_local(path), "w").close()
+        return
+    fs.create(hpath, True).close()

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import path_exists, scratch_path
+from tidemark.session import path_exists, qualify, scratch_path
 
 
 def _as_list(cols: str | Sequence[str] | None) -> list[str]:
@@ -38,18 +38,11 @@ def _writer(df: DataFrame, fmt: str, mode: str, partition_by: list[str], dynamic
     return w
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(p).toString().rstrip("/")
-
-
 def reads_from(spark: SparkSession, df: DataFrame, path: str) -> bool:
     """Whether the plan of ``df`` reads any file below ``path`` (checked before overwriting it:
     Spark would delete the files first and then fail, or silently lose them, when reading them)."""
-    target = _qualified(spark, path) + "/"
-    return any(_qualified(spark, f).startswith(target) for f in df.inputFiles())
+    target = qualify(spark, path) + "/"
+    return any(qualify(spark, f).startswith(target) for f in df.inputFiles())
 
 
 def _stage(spark: SparkSession, df: DataFrame, fmt: str) -> DataFrame:

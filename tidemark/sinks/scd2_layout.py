@@ -26,19 +26,11 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators.scd import scd2_apply
 from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key
-
-
-def _fs_and_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+from tidemark.session import list_names, touch
 
 
 def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    fs, p = _fs_and_path(spark, f"{root.rstrip('/')}/_versions")
-    if not fs.exists(p):
-        return []
-    return sorted(int(st.getPath().getName()) for st in fs.listStatus(p) if st.getPath().getName().isdigit())
+    return sorted(int(n) for n in list_names(spark, f"{root.rstrip('/')}/_versions") if n.isdigit())
 
 
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
@@ -81,8 +73,7 @@ def commit_scd2_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id
                                [F.col("valid_to").desc(), F.col("valid_from").desc()])
         closed_now.write.mode("overwrite").parquet(f"{root}/history/batch_id={batch_id}")
         state.write.mode("overwrite").parquet(f"{root}/current/version={batch_id}")
-        fs, marker = _fs_and_path(spark, f"{root}/_versions/{batch_id}")
-        fs.create(marker, True).close()
+        touch(spark, f"{root}/_versions/{batch_id}")
     finally:
         result.unpersist()
     return late
