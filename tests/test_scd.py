@@ -184,3 +184,18 @@ def test_scd2_layout_daily_commits_replay_and_time_travel(spark, literal_log, sc
     assert same(read_scd2_table(spark, root), scd2_from_log(literal_log))
     state = read_scd2_state(spark, root)
     assert state.count() == state.select("id").distinct().count() == 4  # one row per key that ever had an interval
+
+
+def test_fold_latest_equals_full_recompute_and_keeps_tombstones(spark, literal_log):
+    from tidemark.operators import fold_latest
+    days = sorted({r[0] for r in literal_log.select("partition_date").distinct().collect()})
+    state = None
+    for d in days:
+        state, current = fold_latest(state, literal_log.filter(F.col("partition_date") == F.lit(d)))
+        state = spark.createDataFrame(state.collect(), state.schema)
+    full = latest_current(literal_log)
+    assert current.exceptAll(full).count() == 0 and full.exceptAll(current).count() == 0
+    # key 3's delete is kept as a tombstone: an older update arriving late does not bring it back
+    late = spark.createDataFrame(literal_rows([(12, 3, "UPDATE", "2024-01-01 00:00:00")]), LOG_SCHEMA)
+    _, current = fold_latest(state, late)
+    assert current.filter("id = 3").count() == 0

@@ -10,6 +10,7 @@ from tidemark.operators.merge import (  # noqa: F401
 )
 from tidemark.operators.scd import (  # noqa: F401
     as_of_view,
+    fold_latest,
     latest_current,
     scd2_apply,
     scd2_from_log,

@@ -5,6 +5,7 @@ A change log has one row per change: business key column(s), payload columns, an
 (``seq``) that order changes sharing a timestamp.  Every builder here is a lazy DataFrame plan.
 
 * ``latest_current``   SCD4 current: last change per key as of a day, deleted keys dropped.
+* ``fold_latest``      the same state maintained incrementally: previous state + one batch.
 * ``scd2_from_log``    SCD2 intervals: each non-delete change opens ``[ts, next change ts)``.
 * ``scd2_apply``       incremental SCD2: close open rows touched by a batch and add the batch's
                        intervals, chaining several changes of one key inside the batch.
@@ -58,6 +59,22 @@ def latest_current(hist: DataFrame, keys: Keys = ("id",), ts: str = "updated_tim
     return out if keep_tie else out.drop(*tie)
 
 
+def fold_latest(state: DataFrame | None, changes: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp",
+                tie: Keys = ("seq",), action: str = "action") -> tuple[DataFrame, DataFrame]:
+    """Incremental SCD4 current: returns ``(new_state, current)``.
+
+    ``state`` holds the last change of every key seen so far, deletes included (a tombstone keeps
+    a late, older change from resurrecting a deleted key).  Taking the latest change per key is
+    associative, so ``latest(state + batch)`` equals ``latest(whole history)``: a daily run costs
+    O(keys + batch) instead of a scan of the whole history.  ``current`` is the state's live rows
+    (what ``latest_current`` returns).  ``state`` and ``changes`` have the same columns.
+    """
+    rows = changes if state is None else state.unionByName(changes.select(*state.columns))
+    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie]
+    new_state = latest_per_key(rows, keys, order)
+    return new_state, new_state.filter(_is_live(action)).drop(*tie)
+
+
 def _payload(df: DataFrame, keys: Keys, ts: str, tie: Keys, drop: Keys) -> list[str]:
     skip = set(keys) | {ts} | set(tie) | set(drop)
     return [c for c in df.columns if c not in skip]

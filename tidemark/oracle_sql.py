@@ -37,8 +37,10 @@ ENVELOPE_TS = "make_timestamp((epoch_us(updated_timestamp) // 1000) * 1000)"
 
 ORACLES = {
     "latest_current": f"WITH {LOG} {LATEST}",
+    "latest_current_incremental": f"WITH {LOG} {LATEST}",
     "scd2_from_log": f"WITH {LOG} {SCD2}",
     "scd2_apply": f"WITH {LOG} {SCD2}",
+    "scd2_incremental_commits": f"WITH {LOG} {SCD2}",
     "scd2_as_of_view": f"""WITH {LOG}, scd2 AS ({SCD2})
 SELECT * FROM scd2 WHERE valid_from <= TIMESTAMP '2024-01-15 12:00:00' AND TIMESTAMP '2024-01-15 12:00:00' < valid_to""",
     "merge_current": f"""WITH {LOG}, {MERGE_INPUTS}
@@ -77,6 +79,7 @@ SELECT id, name, email, action, updated_timestamp, DATE '2024-01-15' AS partitio
 SELECT CASE action WHEN 'INSERT' THEN 'c' WHEN 'DELETE' THEN 'd' ELSE 'u' END AS operation, action, id, name, email,
   {ENVELOPE_TS} AS updated_timestamp, CAST({ENVELOPE_TS} AS DATE) AS partition_date
 FROM log""",
+    "normalize_envelope_quarantine": "SELECT props AS raw, 'malformed envelope' AS reason FROM events",
     "normalize_after_image": f"""WITH {LOG}
 SELECT CASE WHEN action = 'DELETE' THEN NULL ELSE id END AS id,
   CASE WHEN action = 'DELETE' THEN NULL ELSE name END AS name,

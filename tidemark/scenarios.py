@@ -20,6 +20,7 @@ from tidemark.functions.temporal import open_end
 from tidemark.functions.vocab import op_from_action
 from tidemark.operators import (
     as_of_view,
+    fold_latest,
     latest_current,
     merge_close_and_insert,
     merge_current,
@@ -33,9 +34,9 @@ from tidemark.operators import (
 )
 from tidemark.plans import run_spec, run_stages
 from tidemark.session import scratch_path
-from tidemark.sinks import write_files, write_table
+from tidemark.sinks import commit_scd2_batch, read_scd2_table, write_files, write_table
 from tidemark.sources import read_as_of, read_file, read_partition
-from tidemark.streaming import read_scd2_table, stream_scd2, stream_to_bronze
+from tidemark.streaming import stream_scd2, stream_to_bronze
 
 AS_OF = dt.date(2024, 1, 15)
 PREV_DAY = dt.date(2024, 1, 14)
@@ -90,6 +91,16 @@ def q_latest_current(spark, sf_dir):
     return latest_current(change_log(spark, sf_dir), as_of=AS_OF)
 
 
+def q_latest_current_incremental(spark, sf_dir):
+    """State after day 14 (written, as the previous run left it), folded with day 15's changes."""
+    log = change_log(spark, sf_dir)
+    state_path = scratch_path(spark, "scd4_state")
+    state, _ = fold_latest(None, _day(log, PREV_DAY, "le"))
+    state.write.mode("overwrite").parquet(state_path)
+    _new_state, current = fold_latest(spark.read.parquet(state_path), _day(log, AS_OF))
+    return current
+
+
 def q_scd2_from_log(spark, sf_dir):
     return scd2_from_log(change_log(spark, sf_dir))
 
@@ -101,6 +112,17 @@ def q_scd2_apply(spark, sf_dir):
     return result
 
 
+def q_scd2_incremental_commits(spark, sf_dir):
+    """Three batch commits (days 1-10, 11-20, 21-30) into the history/current layout, read back whole."""
+    log = change_log(spark, sf_dir)
+    root = scratch_path(spark, "scd2_layout")
+    bounds = [dt.date(2024, 1, 1), dt.date(2024, 1, 11), dt.date(2024, 1, 21), dt.date(2100, 1, 1)]
+    for batch_id, (lo, hi) in enumerate(zip(bounds, bounds[1:]), start=1):
+        batch = log.filter((F.col("partition_date") >= F.lit(lo)) & (F.col("partition_date") < F.lit(hi)))
+        commit_scd2_batch(spark, root, batch, batch_id)
+    return read_scd2_table(spark, root)
+
+
 def q_scd2_as_of_view(spark, sf_dir):
     return as_of_view(scd2_from_log(change_log(spark, sf_dir)), VIEW_AT)
 
@@ -190,6 +212,14 @@ def q_normalize_envelope(spark, sf_dir):
     return good
 
 
+def q_normalize_envelope_quarantine(spark, sf_dir):
+    """Envelopes mixed with messages that are JSON but not envelopes (the events' ``props``)."""
+    mixed = envelopes(change_log(spark, sf_dir)).unionByName(
+        table(spark, sf_dir, "events").select(F.col("props").alias("value")))
+    _good, quarantine = normalize_envelope(mixed, fields=ENVELOPE_FIELDS)
+    return quarantine
+
+
 def q_normalize_after_image(spark, sf_dir):
     return normalize_after_image(envelopes(change_log(spark, sf_dir), legacy=True), fields=LEGACY_FIELDS)
 
@@ -343,8 +373,10 @@ def q_top_users(spark, sf_dir):
 
 QUERIES = {
     "latest_current": q_latest_current,
+    "latest_current_incremental": q_latest_current_incremental,
     "scd2_from_log": q_scd2_from_log,
     "scd2_apply": q_scd2_apply,
+    "scd2_incremental_commits": q_scd2_incremental_commits,
     "scd2_as_of_view": q_scd2_as_of_view,
     "merge_current": q_merge_current,
     "merge_close_and_insert": q_merge_close_and_insert,
@@ -357,6 +389,7 @@ QUERIES = {
     "snapshot_append": q_snapshot_append,
     "two_stage_snapshot": q_two_stage_snapshot,
     "normalize_envelope": q_normalize_envelope,
+    "normalize_envelope_quarantine": q_normalize_envelope_quarantine,
     "normalize_after_image": q_normalize_after_image,
     "stream_to_bronze": q_stream_to_bronze,
     "stream_scd2": q_stream_scd2,
