@@ -213,3 +213,27 @@ def test_spec_latency_is_relative_to_the_run_date(spark, literal_log, scratch):
     path = write_files(spark, literal_log, f"{scratch}/bronze", partition_by="partition_date")
     spec = {"extract_dfs": {"day": {"type": "read_bronze", "file_path": path, "latency": -1}}}
     assert run_spec(spark, spec, as_of="2024-01-03")["day"].count() == 6   # the 2024-01-02 partition
+
+
+def test_scd4_load_with_state_folds_current_forward(spark, scratch):
+    from tidemark.operators import latest_current
+    events = f"{SF}/events.parquet"
+    hist, cur, state = (f"{scratch}/{n}" for n in ("hist", "cur", "state"))
+
+    def day_spec():
+        return {
+            "extract_dfs": {"c": {"type": "read_file", "file_path": events}},
+            "transform_dfs": {"c": [{"op": "selectExpr", "args": {"exprs": LOG_EXPRS}},
+                                    {"op": "filter", "args": {"condition": "partition_date = :as_of"}}]},
+            "load": {"c": {"type": "scd4", "path_hist": hist, "path_current": cur, "path_state": state,
+                           "partition_by": "partition_date", "keys": ["id"], "tie": ["seq"]}},
+        }
+
+    for day in ("2024-01-10", "2024-01-11", "2024-01-12", "2024-01-12"):  # last run is a rerun
+        run_spec(spark, day_spec(), as_of=day)
+    log = spark.read.parquet(events).selectExpr(*LOG_EXPRS).filter(
+        "partition_date BETWEEN DATE'2024-01-10' AND DATE'2024-01-12'")
+    expected = latest_current(log)
+    got = spark.read.parquet(cur).select(*expected.columns)
+    assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
+    assert spark.read.parquet(hist).count() == log.count()

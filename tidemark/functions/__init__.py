@@ -3,7 +3,6 @@
 from tidemark.functions.temporal import (  # noqa: F401
     OPEN_END_TEXT,
     day_window_filter,
-    epoch_micros,
     millis_to_ntz,
     open_end,
     resolve_as_of,

@@ -38,17 +38,6 @@ def open_end(like: DataType | None = None) -> Column:
     return F.expr(f"TIMESTAMP '{OPEN_END_TEXT}'")
 
 
-def epoch_micros(ts: Column, dtype: DataType | None = None) -> Column:
-    """Microseconds since the epoch, monotonic in ``ts`` whatever the session time zone.
-
-    TIMESTAMP_NTZ (the default) is measured against the NTZ epoch; TIMESTAMP (an instant) uses
-    ``unix_micros`` so that no wall-clock conversion is involved.
-    """
-    if dtype is None or isinstance(dtype, TimestampNTZType):
-        return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), ts)
-    return F.unix_micros(ts)
-
-
 def millis_to_ntz(ms: Column) -> Column:
     """Epoch milliseconds -> TIMESTAMP_NTZ in UTC wall-clock time (exact, no double arithmetic)."""
     return F.timestamp_add("MILLISECOND", ms, F.expr(_EPOCH_NTZ))

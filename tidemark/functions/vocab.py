@@ -36,8 +36,3 @@ def op_from_action(action: Column) -> Column:
     return (F.when(u == INSERT, F.lit("c"))
             .when(u == UPDATE, F.lit("u"))
             .when(u == DELETE, F.lit("d")))
-
-
-def normalize_action(action: Column) -> Column:
-    """Accept both the gen-1 lower-case and the gen-2 upper-case vocabularies."""
-    return F.upper(action)

@@ -28,7 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import resolve_as_of
-from tidemark.operators.scd import latest_current
+from tidemark.operators.scd import fold_latest, latest_current
+from tidemark.session import path_exists
 from tidemark.sinks import TABLE_KINDS, write_files, write_table
 from tidemark.sources import READERS
 
@@ -210,16 +211,35 @@ def _write_one(spark: SparkSession, df: DataFrame, entry: Mapping, as_of: dt.dat
             args["table_name"] = args["table_name"] + suffix
         write_table(spark, df, **args)
     elif kind == "scd4":
-        # one change batch -> history (idempotent per day) then the current table recomputed from it
-        hist_args = {k: v for k, v in args.items() if k not in ("tbl_current", "tbl_hist", "path_current", "path_hist")}
-        hist_target = {"table_name": args["tbl_hist"]} if "tbl_hist" in args else {"path": args["path_hist"]}
-        cur_target = {"table_name": args["tbl_current"]} if "tbl_current" in args else {"path": args["path_current"]}
-        write_table(spark, df, mode=hist_args.pop("mode", "overwrite_partitions"), **hist_args, **hist_target)
-        hist = (spark.table(hist_target["table_name"]) if "table_name" in hist_target
-                else spark.read.format(hist_args.get("format", "parquet")).load(hist_target["path"]))
-        current = latest_current(hist, keys=_cols(args.get("keys", ["id"])),
-                                 tie=_cols(args.get("tie", [])), as_of=as_of)
-        write_table(spark, current, mode="replace", **hist_args, **cur_target)
+        # one change batch -> history (idempotent per day), then the current table.  With a state
+        # table (``path_state``/``tbl_state``: last change per key, tombstones included) current is
+        # folded forward from it, O(keys + batch); otherwise it is recomputed from the whole history.
+        targets = ("tbl_current", "tbl_hist", "tbl_state", "path_current", "path_hist", "path_state")
+        common = {k: v for k, v in args.items() if k not in targets + ("keys", "tie")}
+        mode = common.pop("mode", "overwrite_partitions")
+        keys, tie = _cols(args.get("keys", ["id"])), _cols(args.get("tie", []))
+
+        def target(prefix):
+            if f"tbl_{prefix}" in args:
+                return {"table_name": args[f"tbl_{prefix}"]}
+            return {"path": args[f"path_{prefix}"]} if f"path_{prefix}" in args else None
+
+        def read(t):
+            if "table_name" in t:
+                return spark.table(t["table_name"]) if spark.catalog.tableExists(t["table_name"]) else None
+            fmt = common.get("format", "parquet")
+            return spark.read.format(fmt).load(t["path"]) if path_exists(spark, t["path"]) else None
+
+        write_table(spark, df, mode=mode, **common, **target("hist"))
+        state_t = target("state")
+        if state_t is None:
+            current = latest_current(read(target("hist")), keys=keys, tie=tie, as_of=as_of)
+        else:
+            new_state, current = fold_latest(read(state_t), df, keys=keys, tie=tie)
+            no_parts = {k: v for k, v in common.items() if k != "partition_by"}
+            write_table(spark, new_state, mode="replace", **no_parts, **state_t)
+            current = latest_current(read(state_t), keys=keys, tie=tie)  # the state just written
+        write_table(spark, current, mode="replace", **common, **target("current"))
     else:
         raise ValueError(f"unknown load type {kind!r}")
 
