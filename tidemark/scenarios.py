@@ -248,7 +248,8 @@ def q_stream_scd2(spark, sf_dir):
     inbox, target = scratch_path(spark, "inbox"), scratch_path(spark, "stream_scd2")
     ckpt = scratch_path(spark, "ckpt")
     for _ in _write_envelope_ranges(spark, sf_dir, inbox):
-        stream_scd2(spark, {"path": inbox}, target, ckpt, fields=ENVELOPE_FIELDS, seq_field="lsn").awaitTermination()
+        stream_scd2(spark, {"path": inbox}, target, ckpt, fields=ENVELOPE_FIELDS, seq_field="lsn",
+                    compact_every=2).awaitTermination()
     return read_scd2_table(spark, target)
 
 

@@ -131,7 +131,12 @@ WRITERS = {
     "write_file": write_files,
 }
 
-from tidemark.sinks.scd2_layout import commit_scd2_batch, read_scd2_state, read_scd2_table  # noqa: E402
-
-__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "read_scd2_state", "read_scd2_table",
+from tidemark.sinks.scd2_layout import (  # noqa: E402
+    commit_scd2_batch,
+    compact_scd2_history,
+    read_scd2_state,
+    read_scd2_table,
+)
+
+__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "compact_scd2_history", "read_scd2_state", "read_scd2_table",
            "write_files", "write_table"]

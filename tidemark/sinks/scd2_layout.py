@@ -6,8 +6,11 @@ Layout under ``root``::
     current/version=<n>/      the latest row of every key after batch n: its open interval, or the
                               interval closed by its last delete (kept as the key's last applied change)
     _versions/<n>             commit marker of version n, written last
+    compacted/upto=<c>/       optional: history of batches <= c merged into few files
+    _compactions/<c>          commit marker of that compaction
 
-The full table at version n is ``history[batch_id <= n]`` plus the open rows of ``current/version=n``.
+The full table at version n is the history of batches <= n plus the open rows of ``current/version=n``;
+the history is read from the newest compaction c <= n and the batch folders in (c, n].
 A batch costs O(keys + batch) -- the history, the part that grows without bound, is only appended.
 Applying batch n reads the newest committed version below n and overwrites only its own two
 folders before writing the marker, so a replayed batch (after a failure, or a replayed micro-batch)
@@ -29,8 +32,26 @@ from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key
 from tidemark.session import list_names, touch
 
 
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    return sorted(int(n) for n in list_names(spark, f"{root.rstrip('/')}/_versions") if n.isdigit())
+def committed_versions(spark: SparkSession, root: str, kind: str = "_versions") -> list[int]:
+    return sorted(int(n) for n in list_names(spark, f"{root.rstrip('/')}/{kind}") if n.isdigit())
+
+
+def _latest_compaction(spark: SparkSession, root: str, upto: int) -> int | None:
+    cs = [c for c in committed_versions(spark, root, "_compactions") if c <= upto]
+    return cs[-1] if cs else None
+
+
+def _history(spark: SparkSession, root: str, schema: StructType, upto: int) -> DataFrame:
+    """Closed intervals of batches <= upto: newest compaction plus the batch folders after it."""
+    root = root.rstrip("/")
+    with_batch = StructType(schema.fields + [StructField("batch_id", IntegerType())])
+    c = _latest_compaction(spark, root, upto)
+    lo = -1 if c is None else c
+    batches = (spark.read.schema(with_batch).parquet(f"{root}/history")
+               .filter((F.col("batch_id") > lo) & (F.col("batch_id") <= upto)).drop("batch_id"))
+    if c is None:
+        return batches
+    return spark.read.schema(schema).parquet(f"{root}/compacted/upto={c}").unionByName(batches)
 
 
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
@@ -50,10 +71,25 @@ def read_scd2_table(spark: SparkSession, root: str, version: int | None = None)
     if state is None:
         return None
     v = latest_version(spark, root) if version is None else version
-    schema = StructType(state.schema.fields + [StructField("batch_id", IntegerType())])
-    history = (spark.read.schema(schema).parquet(f"{root.rstrip('/')}/history")
-               .filter(F.col("batch_id") <= v).drop("batch_id"))
-    return history.unionByName(state.filter(F.col("is_current")))
+    return _history(spark, root, state.schema, v).unionByName(state.filter(F.col("is_current")))
+
+
+def compact_scd2_history(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
+    """Merge the history of batches <= ``upto`` (default: newest version) into ``compacted/upto=<upto>``.
+
+    Spark packs the many small batch files into few read partitions, so the output has few files.
+    The marker is written last: readers keep using the previous compaction and batch folders until
+    then, and every version stays readable.  Old batch folders are left in place (delete them only
+    when no reader needs versions before the compaction).
+    """
+    root = root.rstrip("/")
+    v = latest_version(spark, root) if upto is None else upto
+    if v is None or _latest_compaction(spark, root, v) == v:
+        return v
+    state = read_scd2_state(spark, root, v)
+    _history(spark, root, state.schema, v).write.mode("overwrite").parquet(f"{root}/compacted/upto={v}")
+    touch(spark, f"{root}/_compactions/{v}")
+    return v
 
 
 def commit_scd2_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id: int,

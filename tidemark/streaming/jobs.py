@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope
-from tidemark.sinks.scd2_layout import commit_scd2_batch, read_scd2_table  # noqa: F401
+from tidemark.sinks.scd2_layout import commit_scd2_batch, compact_scd2_history, read_scd2_table  # noqa: F401
 
 
 def read_change_stream(spark: SparkSession, kafka_bootstrap: str | None = None, topic: str | None = None,
@@ -91,9 +91,11 @@ def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkp
 def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_location: str,
                 fields: StructType = DEFAULT_FIELDS, keys: Sequence[str] = ("id",),
                 trigger: str | None = "availableNow", late_path: str | None = None,
-                seq_field: str | None = None) -> StreamingQuery:
+                seq_field: str | None = None, compact_every: int | None = None) -> StreamingQuery:
     """Each micro-batch: normalise, then ``commit_scd2_batch`` as version ``batch_id`` of the SCD2
     table at ``target_root`` (append-only history + latest row per key; see ``sinks.scd2_layout``).
+    With ``compact_every=k`` the history is compacted after every k-th batch (few files, not one
+    folder per micro-batch).
 
     A replayed batch id recomputes from the same base version and overwrites only its own folders,
     so replays are idempotent.  Read the table with ``read_scd2_table``.
@@ -111,6 +113,8 @@ def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_
                                      ts="updated_timestamp", tie=tie, drop=("partition_date",))
             if late_path:
                 late.write.mode("append").parquet(late_path)
+            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+                compact_scd2_history(batch.sparkSession, target_root, batch_id)
         finally:
             batch.unpersist()
 
