@@ -5,6 +5,12 @@ Both operators assume at most one change per key per batch, like a SQL MERGE doe
 first reduced to the last change per key (top-1 with a partial limit before the shuffle).  After
 that reduction both join inputs have at most one row per key, so the join cannot be skewed.
 
+The current table is the large side and is never shuffled when the batch's key set is small enough
+to broadcast (checked by a count, ``touched.MAX_BROADCAST_KEYS``): ``merge_current`` splits off the
+rows of untouched keys with a map-side anti join and runs its full outer join only on the touched
+rows; ``merge_close_and_insert`` joins the current table with the broadcast batch.  Above the bound
+both fall back to one shuffle join of the whole table.
+
 * ``merge_current``          SCD4 current table upkeep (update in place, close on delete).
 * ``merge_close_and_insert`` SCD4a upkeep (close the open version, insert the new one, stamp all
                              rows with the run date).  ``archive_current`` is the frame appended to
@@ -21,7 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import open_end, resolve_as_of
 from tidemark.functions.vocab import DELETE, INSERT, UPDATE
-from tidemark.operators.sequence import latest_per_key
+from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key
+from tidemark.operators.touched import fits_broadcast, profile_keys, split_touched, touched_keys
 
 Keys = Sequence[str]
 
@@ -56,6 +63,10 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
                      *[F.col(c).alias(f"__s_{c}") for c in payload],
                      F.upper(F.col(action)).alias("__s_action"), F.col(action).alias("__s_action_raw"),
                      F.col(ts).alias("__s_ts"), F.lit(True).alias("__s"))
+    profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS)
+    open_rows, untouched = split_touched(open_rows, keys, touched_keys(src, keys, profile, distinct=False))
+    if untouched is not None:
+        closed_rows = closed_rows.unionByName(untouched)
     tgt = open_rows.withColumn("__t", F.lit(True))
     j = tgt.join(src, on=list(keys), how="full_outer")
 
@@ -102,6 +113,8 @@ def merge_close_and_insert(current: DataFrame, changes: DataFrame, keys: Keys =
     src = last_change_per_key(changes, keys, ts, tie)
     s_action = F.upper(F.col("__s_action"))
     probe = src.select(*[F.col(k) for k in keys], F.col(action).alias("__s_action"), F.col(ts).alias("__s_ts"))
+    if fits_broadcast(profile_keys(changes, keys, DEFAULT_SPLIT_ROWS)):
+        probe = F.broadcast(probe)
     closed_now = (open_rows.join(probe, on=list(keys), how="left")
                   .select(*[F.col(k) for k in keys], *payload,
                           F.when(s_action == DELETE, F.col("__s_action")).otherwise(F.col(action)).alias(action),

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.temporal import day_window_filter, open_end, resolve_as_of
 from tidemark.functions.vocab import DELETE, LIVE_ACTIONS
 from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key, next_in_key
+from tidemark.operators.touched import profile_keys, split_touched, touched_keys
 
 Keys = Sequence[str]
 
@@ -68,10 +69,20 @@ def fold_latest(state: DataFrame | None, changes: DataFrame, keys: Keys = ("id",
     associative, so ``latest(state + batch)`` equals ``latest(whole history)``: a daily run costs
     O(keys + batch) instead of a scan of the whole history.  ``current`` is the state's live rows
     (what ``latest_current`` returns).  ``state`` and ``changes`` have the same columns.
+
+    Only the state rows of keys in ``changes`` are shuffled: when the batch's key set is small enough
+    to broadcast, the other rows are split off by a map-side anti join and kept as they are.
     """
-    rows = changes if state is None else state.unionByName(changes.select(*state.columns))
     order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie]
-    new_state = latest_per_key(rows, keys, order)
+    if state is None:
+        new_state = latest_per_key(changes, keys, order)
+    else:
+        changes = changes.select(*state.columns)
+        touched = touched_keys(changes, keys, profile_keys(changes, keys, DEFAULT_SPLIT_ROWS))
+        hit, rest = split_touched(state, keys, touched)
+        new_state = latest_per_key(hit.unionByName(changes), keys, order)
+        if rest is not None:
+            new_state = rest.unionByName(new_state)
     return new_state, new_state.filter(_is_live(action)).drop(*tie)
 
 
@@ -125,19 +136,28 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
     of a closed one) are already applied or late: they are left out and returned in ``late``.  This
     makes replaying a batch a no-op.
 
-    With ``origin_col`` each output row says where it comes from: ``kept`` (a closed target row passed
-    through), ``target`` (an open target row, closed now or still open) or ``batch`` (a new interval).
+    Target rows of keys without a change in the batch are split off by a map-side anti join when
+    the batch's key set is small enough to broadcast (``touched.MAX_BROADCAST_KEYS``); only the rest
+    of the target is joined and shuffled.  One small job profiles the batch's keys for that check
+    and for the hot-key check of the interval chaining.
+
+    With ``origin_col`` each output row says where it comes from: ``untouched`` (a target row of a key
+    the batch does not change, when split off), ``kept`` (another closed target row passed through),
+    ``target`` (an open target row, closed now or still open) or ``batch`` (a new interval).
     """
     payload = _payload(batch, keys, ts, tie, drop)
     sentinel = _open(batch, ts)
     out_cols = [*keys, *payload, "valid_from", "valid_to", "is_current"]
     changes = batch.select(*keys, *payload, ts, *tie)
+    profile = profile_keys(changes, keys, split_rows) if target is not None or not close_only else None
 
+    untouched = None
     if target is None:
         fresh, late = changes, changes.limit(0)
         open_rows = closed_rows = None
     else:
         tgt = target.select(*keys, *payload, "valid_from", "valid_to")
+        tgt, untouched = split_touched(tgt, keys, touched_keys(changes, keys, profile))
         is_open = F.col("valid_to") == sentinel
         # last applied change time per key; one row per key, built with a partial aggregate
         applied = tgt.groupBy(*keys).agg(
@@ -150,6 +170,8 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
         closed_rows = tgt.filter(~is_open)
 
     parts: list[DataFrame] = []
+    if untouched is not None:
+        parts.append(untouched.withColumn(origin_col, F.lit("untouched")) if origin_col else untouched)
     if open_rows is not None:
         first_change = fresh.groupBy(*keys).agg(F.min(F.col(ts)).alias("__first"))
         touched = (open_rows.join(first_change, on=list(keys), how="left")
@@ -160,7 +182,7 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
             touched = touched.withColumn(origin_col, F.lit("target"))
         parts += [closed_rows, touched]
     if not close_only:
-        chained = next_in_key(fresh, keys, ts, tie, "__next", split_rows, probe=changes)
+        chained = next_in_key(fresh, keys, ts, tie, "__next", split_rows, probe=changes, profile=profile)
         opened = (chained.filter(~_is_delete(action))
                   .select(*keys, *payload, F.col(ts).alias("valid_from"),
                           F.coalesce(F.col("__next"), sentinel).alias("valid_to")))

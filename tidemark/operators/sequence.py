@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.touched import KeyProfile, profile_keys
 from tidemark.session import scratch_path
 
 # A (key, slice) group is kept below roughly this many rows.
@@ -68,22 +69,26 @@ def hot_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str],
 
 
 def next_in_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str], out: str,
-                split_rows: int = DEFAULT_SPLIT_ROWS, probe: DataFrame | None = None) -> DataFrame:
+                split_rows: int = DEFAULT_SPLIT_ROWS, probe: DataFrame | None = None,
+                profile: KeyProfile | None = None) -> DataFrame:
     """Add column ``out`` = ``ts`` of the next row of the same key ordered by (ts, *tie); null for the last.
 
     Exact for any key skew.  Costs one extra aggregate over the keys to find hot keys (on ``probe``
-    when given: any superset of ``df``'s rows with cheaper lineage).  Without hot keys the plan is a
-    single ``lead`` window; with them, cold rows take that window and hot rows the sliced path (which
-    runs one job writing the sliced hot rows before returning).
+    when given: any superset of ``df``'s rows with cheaper lineage), unless the caller already has
+    that ``profile`` (computed on ``probe`` or ``df`` with the same ``split_rows``).  Without hot keys
+    the plan is a single ``lead`` window; with them, cold rows take that window and hot rows the
+    sliced path (which runs one job writing the sliced hot rows before returning).
     """
     order = [F.col(ts)] + _cols(tie)
     w = Window.partitionBy(*_cols(keys)).orderBy(*order)
-    hot = hot_keys(probe if probe is not None else df, keys, split_rows)
-    summary = hot.agg(F.count(F.lit(1)).alias("k"), F.sum("__n").alias("rows")).first()
-    n_hot, hot_rows = int(summary["k"] or 0), int(summary["rows"] or 0)
+    source = probe if probe is not None else df
+    if profile is None:
+        profile = profile_keys(source, keys, split_rows)
+    n_hot, hot_rows = profile.hot, profile.hot_rows
     if n_hot == 0:
         return df.withColumn(out, F.lead(F.col(ts)).over(w))
 
+    hot = hot_keys(source, keys, split_rows)
     hot_side = hot.select(*keys)
     if n_hot <= MAX_BROADCAST_HOT_KEYS:
         hot_side = F.broadcast(hot_side)

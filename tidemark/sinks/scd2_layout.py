@@ -101,15 +101,19 @@ def commit_scd2_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id
     base = read_scd2_state(spark, root, latest_version(spark, root, before=batch_id))
     result, late = scd2_apply(base, batch, keys=keys, ts=ts, tie=tie, action=action, drop=drop,
                               split_rows=split_rows, origin_col="__origin")
-    # two writes consume the result: compute it once
-    result = result.persist(StorageLevel.MEMORY_AND_DISK)
+    origin = F.col("__origin")
+    # The base has one row per key, so a key the batch does not touch keeps its row as it is: those rows
+    # go from the base scan straight into the new version (no shuffle, not cached).  The touched part,
+    # O(batch), feeds two writes: compute it once.
+    unchanged = result.filter(origin == "untouched").drop("__origin")
+    changed = result.filter(origin != "untouched").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        closed_now = result.filter(~F.col("is_current") & (F.col("__origin") != "kept")).drop("__origin")
-        state = latest_per_key(result.drop("__origin"), keys,
-                               [F.col("valid_to").desc(), F.col("valid_from").desc()])
+        closed_now = changed.filter(~F.col("is_current") & origin.isin("target", "batch")).drop("__origin")
+        state = unchanged.unionByName(latest_per_key(changed.drop("__origin"), keys,
+                                                     [F.col("valid_to").desc(), F.col("valid_from").desc()]))
         closed_now.write.mode("overwrite").parquet(f"{root}/history/batch_id={batch_id}")
         state.write.mode("overwrite").parquet(f"{root}/current/version={batch_id}")
         touch(spark, f"{root}/_versions/{batch_id}")
     finally:
-        result.unpersist()
+        changed.unpersist()
     return late
