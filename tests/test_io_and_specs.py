@@ -237,3 +237,36 @@ def test_scd4_load_with_state_folds_current_forward(spark, scratch):
     got = spark.read.parquet(cur).select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
     assert spark.read.parquet(hist).count() == log.count()
+
+
+class _StubConf:
+    def get(self, key, default=None):
+        return default
+
+
+class _StubContext:
+    def __init__(self, master):
+        self.master = master
+
+    def getConf(self):
+        return _StubConf()
+
+    def getCheckpointDir(self):
+        return None
+
+    def setCheckpointDir(self, path):
+        self.dir = path
+
+
+class _StubSession:
+    def __init__(self, master):
+        self.sparkContext = _StubContext(master)
+        self.conf = _StubConf()
+
+
+def test_cluster_session_without_checkpoint_dir_is_refused():
+    from tidemark.session import ensure_checkpoint_dir
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(_StubSession("yarn"))
+    local = _StubSession("local[2]")
+    assert ensure_checkpoint_dir(local) == local.sparkContext.dir  # tests get a local folder

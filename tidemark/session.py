@@ -49,12 +49,20 @@ def _context(spark: SparkSession):
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's shared checkpoint folder, creating a local one only if none is set."""
+    """Return the session's shared checkpoint folder.
+
+    A local folder is created only for a ``local[...]`` session without the setting (tests); on a
+    cluster a machine-local folder would be invisible to the other executors and lost with its
+    machine, so an unset ``spark.checkpoint.dir`` is an error there.
+    """
     sc = _context(spark)
     current = (sc.getConf().get(CHECKPOINT_CONF, None) if sc else None) or spark.conf.get(CHECKPOINT_CONF, None)
     if not current and sc is not None:
         current = sc.getCheckpointDir()
     if not current:
+        if sc is None or not sc.master.startswith("local"):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: point it at a shared folder (HDFS, S3, ...) that "
+                               "every executor can reach; scratch and staging data are written there")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(current)
