@@ -38,6 +38,12 @@ def _frozen(df, path):
     return df.sparkSession.read.parquet(path)
 
 
+@pytest.fixture(autouse=True)
+def force_split(monkeypatch):
+    """The fixtures' batches touch most keys, which would not be split: split them anyway."""
+    monkeypatch.setattr(touched_mod, "MAX_TOUCHED_SHARE", float("inf"))
+
+
 @pytest.fixture()
 def no_broadcast(monkeypatch):
     """Force the fallback: no batch key set fits the broadcast bound."""
@@ -126,3 +132,13 @@ def test_scd2_commits_equal_full_log(spark, scratch, monkeypatch, broadcast):
     for batch_id, (lo, hi) in enumerate([(1, 3), (4, 4), (5, 8), (9, 10)], start=1):
         commit_scd2_batch(spark, root, _frozen(_day(log, lo, hi), f"{scratch}/batch{batch_id}"), batch_id)
     _same(read_scd2_table(spark, root), scd2_from_log(_day(log, 1, 10)))
+
+
+def test_split_is_skipped_when_the_batch_touches_most_keys(spark, scratch, monkeypatch):
+    monkeypatch.setattr(touched_mod, "MAX_TOUCHED_SHARE", 0.2)
+    _log, new_state, current = _fold(spark, scratch)
+    new_state.write.format("noop").mode("overwrite").save()
+    assert "LeftAnti" not in new_state._jdf.queryExecution().executedPlan().toString()
+    prof = touched_mod.profile_keys(_day(_random_log(spark), 7, 8), ["id"], 10, state=spark.read.parquet(
+        f"{scratch}/state"))
+    assert prof.state_rows == spark.read.parquet(f"{scratch}/state").count() and not touched_mod.worth_splitting(prof)

@@ -5,11 +5,12 @@ Both operators assume at most one change per key per batch, like a SQL MERGE doe
 first reduced to the last change per key (top-1 with a partial limit before the shuffle).  After
 that reduction both join inputs have at most one row per key, so the join cannot be skewed.
 
-The current table is the large side and is never shuffled when the batch's key set is small enough
-to broadcast (checked by a count, ``touched.MAX_BROADCAST_KEYS``): ``merge_current`` splits off the
-rows of untouched keys with a map-side anti join and runs its full outer join only on the touched
-rows; ``merge_close_and_insert`` joins the current table with the broadcast batch.  Above the bound
-both fall back to one shuffle join of the whole table.
+The current table is the large side.  ``merge_close_and_insert`` joins it with the batch broadcast
+when the batch's key count is within ``touched.MAX_BROADCAST_KEYS`` (checked by a count), so the
+table is not shuffled.  ``merge_current`` needs a full outer join, which cannot broadcast; when the
+batch touches a small share of the table's keys it splits off the untouched rows with a map-side
+anti join and runs the full outer join only on the touched rows (see ``touched``).  Otherwise both
+join the whole table with the batch as one shuffle join.
 
 * ``merge_current``          SCD4 current table upkeep (update in place, close on delete).
 * ``merge_close_and_insert`` SCD4a upkeep (close the open version, insert the new one, stamp all
@@ -63,7 +64,7 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
                      *[F.col(c).alias(f"__s_{c}") for c in payload],
                      F.upper(F.col(action)).alias("__s_action"), F.col(action).alias("__s_action_raw"),
                      F.col(ts).alias("__s_ts"), F.lit(True).alias("__s"))
-    profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS)
+    profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=open_rows)
     open_rows, untouched = split_touched(open_rows, keys, touched_keys(src, keys, profile, distinct=False))
     if untouched is not None:
         closed_rows = closed_rows.unionByName(untouched)

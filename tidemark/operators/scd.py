@@ -70,15 +70,15 @@ def fold_latest(state: DataFrame | None, changes: DataFrame, keys: Keys = ("id",
     O(keys + batch) instead of a scan of the whole history.  ``current`` is the state's live rows
     (what ``latest_current`` returns).  ``state`` and ``changes`` have the same columns.
 
-    Only the state rows of keys in ``changes`` are shuffled: when the batch's key set is small enough
-    to broadcast, the other rows are split off by a map-side anti join and kept as they are.
+    When the batch touches a small share of the state's keys (see ``touched``), only the state rows of
+    those keys are shuffled: the other rows are split off by a map-side anti join and kept as they are.
     """
     order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie]
     if state is None:
         new_state = latest_per_key(changes, keys, order)
     else:
         changes = changes.select(*state.columns)
-        touched = touched_keys(changes, keys, profile_keys(changes, keys, DEFAULT_SPLIT_ROWS))
+        touched = touched_keys(changes, keys, profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=state))
         hit, rest = split_touched(state, keys, touched)
         new_state = latest_per_key(hit.unionByName(changes), keys, order)
         if rest is not None:
@@ -136,10 +136,10 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
     of a closed one) are already applied or late: they are left out and returned in ``late``.  This
     makes replaying a batch a no-op.
 
-    Target rows of keys without a change in the batch are split off by a map-side anti join when
-    the batch's key set is small enough to broadcast (``touched.MAX_BROADCAST_KEYS``); only the rest
-    of the target is joined and shuffled.  One small job profiles the batch's keys for that check
-    and for the hot-key check of the interval chaining.
+    Target rows of keys without a change in the batch are split off by a map-side anti join when the
+    batch's key set is broadcastable and touches a small share of the target (``touched``); only the
+    rest of the target is then joined and shuffled.  One small job profiles the batch's keys and the
+    target's size for that choice and for the hot-key check of the interval chaining.
 
     With ``origin_col`` each output row says where it comes from: ``untouched`` (a target row of a key
     the batch does not change, when split off), ``kept`` (another closed target row passed through),
@@ -149,7 +149,7 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
     sentinel = _open(batch, ts)
     out_cols = [*keys, *payload, "valid_from", "valid_to", "is_current"]
     changes = batch.select(*keys, *payload, ts, *tie)
-    profile = profile_keys(changes, keys, split_rows) if target is not None or not close_only else None
+    profile = profile_keys(changes, keys, split_rows, state=target) if target is not None or not close_only else None
 
     untouched = None
     if target is None:

@@ -1,18 +1,20 @@
 """Split a keyed table into the rows a change batch touches and the rows it leaves alone.
 
-A daily batch is small next to the state it is applied to (current table, SCD2 state, last change
-per key).  Joining the whole state with the batch shuffles the whole state every run.  Instead:
+A daily batch is usually small next to the state it is applied to (current table, SCD2 state, last
+change per key).  Joining the whole state with the batch shuffles the whole state every run.  Instead:
 
-    profile_keys      one small job over the batch: its distinct key count and its hot keys
-                      (keys with more rows than a slice should hold, see ``sequence.next_in_key``);
-    touched_keys      the batch's distinct keys, marked for broadcast when their count is at most
-                      ``MAX_BROADCAST_KEYS`` (the size check), else ``None``;
+    profile_keys      one small job: the batch's distinct key count and hot keys (keys with more rows
+                      than a slice should hold, see ``sequence.next_in_key``), and the state's row count;
+    touched_keys      the batch's distinct keys, marked for broadcast, when the split pays off (below),
+                      else ``None``;
     split_touched     state LEFT SEMI keys / state LEFT ANTI keys.  With broadcast keys both are
-                      map-side hash joins: the state is scanned, never shuffled, and only the touched
-                      rows (O(batch)) reach the per-key logic.  Untouched rows pass through as they are.
+                      map-side hash joins: the state is scanned twice but never shuffled, and only the
+                      touched rows (O(batch)) reach the per-key logic.  Untouched rows pass through.
 
-Above the bound there is no split (``None``): the operators then join the whole state with the
-batch as one shuffle join, which is the right plan when the batch is about as large as the state.
+The split is used when the key set has a proven size bound (at most ``MAX_BROADCAST_KEYS`` keys, the
+broadcast check) and touches at most ``MAX_TOUCHED_SHARE`` of the state's rows.  When a batch touches
+most keys, the extra scan and joins cost more than they save, and the operators join the whole state
+with the batch as one shuffle join, which is also the plan above the broadcast bound.
 """
 
 from __future__ import annotations
@@ -25,22 +27,33 @@ from pyspark.sql import functions as F
 
 # The batch's key set is broadcast only while it has at most this many distinct keys.
 MAX_BROADCAST_KEYS = 1_000_000
+# Split only when the batch's keys are at most this share of the state's rows.
+MAX_TOUCHED_SHARE = 0.2
 
 
 @dataclass(frozen=True)
 class KeyProfile:
-    keys: int        # distinct keys in the batch
-    hot: int         # keys with more than split_rows rows
-    hot_rows: int    # rows of those hot keys
+    keys: int                      # distinct keys in the batch
+    hot: int                       # keys with more than split_rows rows
+    hot_rows: int                  # rows of those hot keys
+    state_rows: int | None = None  # rows of the state the batch is applied to, when counted
 
 
-def profile_keys(df: DataFrame, keys: Sequence[str], split_rows: int) -> KeyProfile:
-    """Distinct keys and hot-key totals of ``df`` in one job (a partial aggregate per key, then one row)."""
+def profile_keys(df: DataFrame, keys: Sequence[str], split_rows: int,
+                 state: DataFrame | None = None) -> KeyProfile:
+    """Distinct keys and hot-key totals of ``df`` (a partial aggregate per key, then one row), and the
+    row count of ``state`` when given, in one job returning at most two rows."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     is_hot = F.col("__n") > split_rows
-    row = per_key.agg(F.count(F.lit(1)).alias("k"), F.count(F.when(is_hot, True)).alias("h"),
-                      F.sum(F.when(is_hot, F.col("__n"))).alias("r")).first()
-    return KeyProfile(int(row["k"] or 0), int(row["h"] or 0), int(row["r"] or 0))
+    parts = per_key.agg(F.lit("batch").alias("part"), F.count(F.lit(1)).alias("k"),
+                        F.count(F.when(is_hot, True)).alias("h"), F.sum(F.when(is_hot, F.col("__n"))).alias("r"))
+    if state is not None:
+        parts = parts.unionByName(state.agg(F.lit("state").alias("part"), F.count(F.lit(1)).alias("k"),
+                                            F.lit(0).cast("long").alias("h"), F.lit(None).cast("long").alias("r")))
+    got = {row["part"]: row for row in parts.collect()}
+    b = got["batch"]
+    state_rows = int(got["state"]["k"]) if "state" in got else None
+    return KeyProfile(int(b["k"] or 0), int(b["h"] or 0), int(b["r"] or 0), state_rows)
 
 
 def fits_broadcast(profile: KeyProfile) -> bool:
@@ -48,11 +61,17 @@ def fits_broadcast(profile: KeyProfile) -> bool:
     return profile.keys <= MAX_BROADCAST_KEYS
 
 
+def worth_splitting(profile: KeyProfile) -> bool:
+    """Broadcastable key set that touches a small share of the state."""
+    return fits_broadcast(profile) and (profile.state_rows is None
+                                        or profile.keys <= MAX_TOUCHED_SHARE * profile.state_rows)
+
+
 def touched_keys(changes: DataFrame, keys: Sequence[str], profile: KeyProfile,
                  distinct: bool = True) -> DataFrame | None:
-    """The batch's keys for a broadcast split, or ``None`` when there are too many to broadcast.
+    """The batch's keys for a broadcast split, or ``None`` when the split does not pay off.
     ``distinct=False`` when ``changes`` already has one row per key."""
-    if not fits_broadcast(profile):
+    if not worth_splitting(profile):
         return None
     ks = changes.select(*keys)
     return F.broadcast(ks.distinct() if distinct else ks)
