@@ -142,3 +142,25 @@ def test_split_is_skipped_when_the_batch_touches_most_keys(spark, scratch, monke
     prof = touched_mod.profile_keys(_day(_random_log(spark), 7, 8), ["id"], 10, state=spark.read.parquet(
         f"{scratch}/state"))
     assert prof.state_rows == spark.read.parquet(f"{scratch}/state").count() and not touched_mod.worth_splitting(prof)
+
+
+def _hot_log(spark, seed=13, n=1500, n_keys=60):
+    """Key 0 holds about 40% of the changes: the batch's hot key takes the sliced chaining path."""
+    rnd = random.Random(seed)
+    rows = []
+    for seq in range(1, n + 1):
+        key = 0 if rnd.random() < 0.4 else rnd.randint(1, n_keys)
+        t = dt.datetime(2024, 1, rnd.randint(1, 10), rnd.randint(0, 23), rnd.choice([0, 0, 30]))
+        rows.append((seq, key, f"n{seq}", f"m{seq}@x", rnd.choice(ACTIONS), t, t.date()))
+    return spark.createDataFrame(rows, LOG_SCHEMA)
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_scd2_apply_with_hot_batch_key_equals_full_log(spark, scratch, monkeypatch, split):
+    if not split:
+        monkeypatch.setattr(touched_mod, "MAX_BROADCAST_KEYS", -1)
+    log = _hot_log(spark)
+    target = _frozen(scd2_from_log(_day(log, 1, 4)), f"{scratch}/scd2")
+    result, late = scd2_apply(target, _day(log, 5, 10), split_rows=40)
+    assert late.count() == 0
+    _same(result, scd2_from_log(_day(log, 1, 10)))
