@@ -1,4 +1,4 @@
-"""DataFrame-in / DataFrame-out operators (lazy plans; no actions except the hot-key probe)."""
+"""DataFrame-in / DataFrame-out operators (lazy plans; the only action is the batch key profile, one small job)."""
 
 from tidemark.operators.envelope import normalize_after_image, normalize_envelope  # noqa: F401
 from tidemark.operators.marts import top_users  # noqa: F401
@@ -10,6 +10,7 @@ from tidemark.operators.merge import (  # noqa: F401
 )
 from tidemark.operators.scd import (  # noqa: F401
     as_of_view,
+    current_of_state,
     fold_latest,
     latest_current,
     scd2_apply,

@@ -5,7 +5,8 @@ A change log has one row per change: business key column(s), payload columns, an
 (``seq``) that order changes sharing a timestamp.  Every builder here is a lazy DataFrame plan.
 
 * ``latest_current``   SCD4 current: last change per key as of a day, deleted keys dropped.
-* ``fold_latest``      the same state maintained incrementally: previous state + one batch.
+* ``fold_latest``      the same state maintained incrementally: previous state + one batch
+                       (``current_of_state`` reads the current table off a written state).
 * ``scd2_from_log``    SCD2 intervals: each non-delete change opens ``[ts, next change ts)``.
 * ``scd2_apply``       incremental SCD2: close open rows touched by a batch and add the batch's
                        intervals, chaining several changes of one key inside the batch.
@@ -83,7 +84,12 @@ def fold_latest(state: DataFrame | None, changes: DataFrame, keys: Keys = ("id",
         new_state = latest_per_key(hit.unionByName(changes), keys, order)
         if rest is not None:
             new_state = rest.unionByName(new_state)
-    return new_state, new_state.filter(_is_live(action)).drop(*tie)
+    return new_state, current_of_state(new_state, tie=tie, action=action)
+
+
+def current_of_state(state: DataFrame, tie: Keys = ("seq",), action: str = "action") -> DataFrame:
+    """The current table of a ``fold_latest`` state (one row per key): its live rows, no shuffle."""
+    return state.filter(_is_live(action)).drop(*tie)
 
 
 def _payload(df: DataFrame, keys: Keys, ts: str, tie: Keys, drop: Keys) -> list[str]:

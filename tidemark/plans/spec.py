@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import resolve_as_of
-from tidemark.operators.scd import fold_latest, latest_current
+from tidemark.operators.scd import current_of_state, fold_latest, latest_current
 from tidemark.session import path_exists
 from tidemark.sinks import TABLE_KINDS, write_files, write_table
 from tidemark.sources import READERS
@@ -238,7 +238,7 @@ def _write_one(spark: SparkSession, df: DataFrame, entry: Mapping, as_of: dt.dat
             new_state, current = fold_latest(read(state_t), df, keys=keys, tie=tie)
             no_parts = {k: v for k, v in common.items() if k != "partition_by"}
             write_table(spark, new_state, mode="replace", **no_parts, **state_t)
-            current = latest_current(read(state_t), keys=keys, tie=tie)  # the state just written
+            current = current_of_state(read(state_t), tie=tie)  # the state just written: one row per key
         write_table(spark, current, mode="replace", **common, **target("current"))
     else:
         raise ValueError(f"unknown load type {kind!r}")
