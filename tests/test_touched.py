@@ -164,3 +164,12 @@ def test_scd2_apply_with_hot_batch_key_equals_full_log(spark, scratch, monkeypat
     result, late = scd2_apply(target, _day(log, 5, 10), split_rows=40)
     assert late.count() == 0
     _same(result, scd2_from_log(_day(log, 1, 10)))
+
+
+def test_merge_current_split_keeps_the_full_outer_join_off_untouched_rows(spark, scratch):
+    log = _random_log(spark, seed=11)
+    cur = _open_current(spark, log, scratch)
+    out = merge_current(cur, _day(log, 7, 7))
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "FullOuter" in plan and "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastHashJoin" in plan
