@@ -237,6 +237,15 @@ def test_scd4_load_with_state_folds_current_forward(spark, scratch):
     got = spark.read.parquet(cur).select(*expected.columns)
     assert got.exceptAll(expected).count() == 0 and expected.exceptAll(got).count() == 0
     assert spark.read.parquet(hist).count() == log.count()
+    # the state is kept as one committed version per run date; earlier dates stay readable
+    from tidemark.sinks.state_layout import read_state_version
+    from tidemark.operators import current_of_state
+    from tidemark.sinks.scd2_layout import committed_versions
+    assert committed_versions(spark, state) == [20240110, 20240111, 20240112]
+    at_11 = current_of_state(read_state_version(spark, state, at=dt.date(2024, 1, 11)))
+    expected_11 = latest_current(log.filter("partition_date <= DATE'2024-01-11'"))
+    assert at_11.select(*expected_11.columns).exceptAll(expected_11).count() == 0
+    assert expected_11.exceptAll(at_11.select(*expected_11.columns)).count() == 0
 
 
 class _StubConf:

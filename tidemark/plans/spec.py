@@ -31,6 +31,7 @@ from tidemark.functions.temporal import resolve_as_of
 from tidemark.operators.scd import current_of_state, fold_latest, latest_current
 from tidemark.session import path_exists
 from tidemark.sinks import TABLE_KINDS, write_files, write_table
+from tidemark.sinks.state_layout import commit_state_version, read_state_version
 from tidemark.sources import READERS
 
 Frames = dict[str, DataFrame]
@@ -212,8 +213,10 @@ def _write_one(spark: SparkSession, df: DataFrame, entry: Mapping, as_of: dt.dat
         write_table(spark, df, **args)
     elif kind == "scd4":
         # one change batch -> history (idempotent per day), then the current table.  With a state
-        # table (``path_state``/``tbl_state``: last change per key, tombstones included) current is
-        # folded forward from it, O(keys + batch); otherwise it is recomputed from the whole history.
+        # (``path_state``/``tbl_state``: last change per key, tombstones included) current is folded
+        # forward from it, O(keys + batch); otherwise it is recomputed from the whole history.  A path
+        # state is kept as dated versions (``sinks.state_layout``): the run reads the newest version
+        # before its date and writes its own, so the state is written once and never over its input.
         targets = ("tbl_current", "tbl_hist", "tbl_state", "path_current", "path_hist", "path_state")
         common = {k: v for k, v in args.items() if k not in targets + ("keys", "tie")}
         mode = common.pop("mode", "overwrite_partitions")
@@ -234,6 +237,12 @@ def _write_one(spark: SparkSession, df: DataFrame, entry: Mapping, as_of: dt.dat
         state_t = target("state")
         if state_t is None:
             current = latest_current(read(target("hist")), keys=keys, tie=tie, as_of=as_of)
+        elif "path" in state_t:
+            fmt = common.get("format", "parquet")
+            prev = read_state_version(spark, state_t["path"], before=as_of, format=fmt)
+            new_state, _ = fold_latest(prev, df, keys=keys, tie=tie)
+            written = commit_state_version(spark, state_t["path"], new_state, as_of, format=fmt)
+            current = current_of_state(written, tie=tie)
         else:
             new_state, current = fold_latest(read(state_t), df, keys=keys, tie=tie)
             no_parts = {k: v for k, v in common.items() if k != "partition_by"}

@@ -35,6 +35,7 @@ from tidemark.operators import (
 from tidemark.plans import run_spec, run_stages
 from tidemark.session import scratch_path
 from tidemark.sinks import commit_scd2_batch, read_scd2_table, write_files, write_table
+from tidemark.sinks.state_layout import commit_state_version, read_state_version
 from tidemark.sources import read_as_of, read_file, read_partition
 from tidemark.streaming import stream_scd2, stream_to_bronze
 
@@ -92,12 +93,12 @@ def q_latest_current(spark, sf_dir):
 
 
 def q_latest_current_incremental(spark, sf_dir):
-    """State after day 14 (written, as the previous run left it), folded with day 15's changes."""
+    """State after day 14 (committed as the previous run left it), folded with day 15's changes."""
     log = change_log(spark, sf_dir)
     state_path = scratch_path(spark, "scd4_state")
     state, _ = fold_latest(None, _day(log, PREV_DAY, "le"))
-    state.write.mode("overwrite").parquet(state_path)
-    _new_state, current = fold_latest(spark.read.parquet(state_path), _day(log, AS_OF))
+    commit_state_version(spark, state_path, state, PREV_DAY)
+    _new_state, current = fold_latest(read_state_version(spark, state_path, before=AS_OF), _day(log, AS_OF))
     return current
 
 

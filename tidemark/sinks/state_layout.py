@@ -1,0 +1,48 @@
+"""A per-key state (``fold_latest``'s last change per key) kept as dated versions on a path.
+
+Layout under ``root``::
+
+    version=<yyyymmdd>/     the state after the run for that date
+    _versions/<yyyymmdd>    commit marker of that version, written last
+
+The run for date d reads the newest committed version before d and writes version d.  It never
+overwrites what it reads, so the state is written once per run (an in-place replace would first
+copy it to a staging folder), a rerun of d recomputes the same version, and readers only see
+committed versions; earlier states stay readable (time travel by date).  A rerun of an older date
+does not refresh the versions after it: rerun those dates too.  Old versions are not deleted here;
+expiring them is left to the operator, like the SCD2 layout's batch folders.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+
+from tidemark.session import touch
+from tidemark.sinks.scd2_layout import latest_version
+
+
+def version_of(day: dt.date) -> int:
+    return int(day.strftime("%Y%m%d"))
+
+
+def read_state_version(spark: SparkSession, root: str, before: dt.date | None = None,
+                       at: dt.date | None = None, format: str = "parquet") -> DataFrame | None:
+    """The state at date ``at``, or the newest committed one before ``before`` (default: newest)."""
+    root = root.rstrip("/")
+    if at is not None:
+        v = version_of(at)
+    else:
+        v = latest_version(spark, root, before=None if before is None else version_of(before))
+    return None if v is None else spark.read.format(format).load(f"{root}/version={v}")
+
+
+def commit_state_version(spark: SparkSession, root: str, state: DataFrame, day: dt.date,
+                         format: str = "parquet") -> DataFrame:
+    """Write ``state`` as the version of ``day`` and commit it; returns a reader of the written version."""
+    root = root.rstrip("/")
+    v = version_of(day)
+    state.write.format(format).mode("overwrite").save(f"{root}/version={v}")
+    touch(spark, f"{root}/_versions/{v}")
+    return spark.read.format(format).load(f"{root}/version={v}")
