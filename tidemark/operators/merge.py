@@ -64,7 +64,8 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
                      *[F.col(c).alias(f"__s_{c}") for c in payload],
                      F.upper(F.col(action)).alias("__s_action"), F.col(action).alias("__s_action_raw"),
                      F.col(ts).alias("__s_ts"), F.lit(True).alias("__s"))
-    profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=open_rows)
+    # the table's row count (an unfiltered count, cheap on columnar files) sizes the state for the split choice
+    profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=current)
     open_rows, untouched = split_touched(open_rows, keys, touched_keys(src, keys, profile, distinct=False))
     if untouched is not None:
         closed_rows = closed_rows.unionByName(untouched)
