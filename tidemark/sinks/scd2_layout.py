@@ -6,11 +6,12 @@ Layout under ``root``::
     current/version=<n>/      the latest row of every key after batch n: its open interval, or the
                               interval closed by its last delete (kept as the key's last applied change)
     _versions/<n>             commit marker of version n, written last
-    compacted/upto=<c>/       optional: history of batches <= c merged into few files
+    compacted/upto=<c>/       optional: history of the batches after the previous compaction, up to c,
+                              merged into few files (each compaction writes only its own chunk)
     _compactions/<c>          commit marker of that compaction
 
 The full table at version n is the history of batches <= n plus the open rows of ``current/version=n``;
-the history is read from the newest compaction c <= n and the batch folders in (c, n].
+the history is read from every compaction chunk c <= n and the batch folders after the newest of them.
 A batch costs O(keys + batch) -- the history, the part that grows without bound, is only appended.
 Applying batch n reads the newest committed version below n and overwrites only its own two
 folders before writing the marker, so a replayed batch (after a failure, or a replayed micro-batch)
@@ -36,22 +37,26 @@ def committed_versions(spark: SparkSession, root: str, kind: str = "_versions")
     return sorted(int(n) for n in list_names(spark, f"{root.rstrip('/')}/{kind}") if n.isdigit())
 
 
-def _latest_compaction(spark: SparkSession, root: str, upto: int) -> int | None:
-    cs = [c for c in committed_versions(spark, root, "_compactions") if c <= upto]
-    return cs[-1] if cs else None
+def _compactions(spark: SparkSession, root: str, upto: int) -> list[int]:
+    return [c for c in committed_versions(spark, root, "_compactions") if c <= upto]
+
+
+def _batches(spark: SparkSession, root: str, schema: StructType, after: int, upto: int) -> DataFrame:
+    """Closed intervals of the batch folders in (after, upto] (partition-pruned by ``batch_id``)."""
+    with_batch = StructType(schema.fields + [StructField("batch_id", IntegerType())])
+    return (spark.read.schema(with_batch).parquet(f"{root}/history")
+            .filter((F.col("batch_id") > after) & (F.col("batch_id") <= upto)).drop("batch_id"))
 
 
 def _history(spark: SparkSession, root: str, schema: StructType, upto: int) -> DataFrame:
-    """Closed intervals of batches <= upto: newest compaction plus the batch folders after it."""
+    """Closed intervals of batches <= upto: every compaction chunk <= upto plus the batch folders after them."""
     root = root.rstrip("/")
-    with_batch = StructType(schema.fields + [StructField("batch_id", IntegerType())])
-    c = _latest_compaction(spark, root, upto)
-    lo = -1 if c is None else c
-    batches = (spark.read.schema(with_batch).parquet(f"{root}/history")
-               .filter((F.col("batch_id") > lo) & (F.col("batch_id") <= upto)).drop("batch_id"))
-    if c is None:
+    cs = _compactions(spark, root, upto)
+    batches = _batches(spark, root, schema, cs[-1] if cs else -1, upto)
+    if not cs:
         return batches
-    return spark.read.schema(schema).parquet(f"{root}/compacted/upto={c}").unionByName(batches)
+    chunks = spark.read.schema(schema).parquet(*[f"{root}/compacted/upto={c}" for c in cs])
+    return chunks.unionByName(batches)
 
 
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
@@ -75,19 +80,25 @@ def read_scd2_table(spark: SparkSession, root: str, version: int | None = None)
 
 
 def compact_scd2_history(spark: SparkSession, root: str, upto: int | None = None) -> int | None:
-    """Merge the history of batches <= ``upto`` (default: newest version) into ``compacted/upto=<upto>``.
-
-    Spark packs the many small batch files into few read partitions, so the output has few files.
-    The marker is written last: readers keep using the previous compaction and batch folders until
-    then, and every version stays readable.  Old batch folders are left in place (delete them only
-    when no reader needs versions before the compaction).
+    """Merge the batch folders after the previous compaction, up to ``upto`` (default: newest version),
+    into the chunk ``compacted/upto=<upto>``.
+
+    Each compaction reads and writes only the batches since the previous one, so its cost does not
+    grow with the history.  Spark packs the many small batch files into few read partitions, so the
+    chunk has few files.  The marker is written last: readers keep using the previous chunks and
+    batch folders until then, and every version stays readable.  Old batch folders are left in
+    place (delete them only when no reader needs versions before the compaction).
     """
     root = root.rstrip("/")
     v = latest_version(spark, root) if upto is None else upto
-    if v is None or _latest_compaction(spark, root, v) == v:
+    if v is None:
+        return v
+    cs = _compactions(spark, root, v)
+    if cs and cs[-1] == v:
         return v
     state = read_scd2_state(spark, root, v)
-    _history(spark, root, state.schema, v).write.mode("overwrite").parquet(f"{root}/compacted/upto={v}")
+    chunk = _batches(spark, root, state.schema, cs[-1] if cs else -1, v)
+    chunk.write.mode("overwrite").parquet(f"{root}/compacted/upto={v}")
     touch(spark, f"{root}/_compactions/{v}")
     return v
 
