@@ -30,7 +30,7 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from tidemark.operators.scd import scd2_apply
 from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key
-from tidemark.session import list_names, touch
+from tidemark.session import list_names, path_exists, touch
 
 
 def committed_versions(spark: SparkSession, root: str, kind: str = "_versions") -> list[int]:
@@ -60,6 +60,12 @@ def _history(spark: SparkSession, root: str, schema: StructType, upto: int) -> D
 
 
 def latest_version(spark: SparkSession, root: str, before: int | None = None) -> int | None:
+    """Newest committed version (below ``before``).  Batch ids of a stream are consecutive, so the
+    version just below is checked first with one existence test; the marker folder, which grows by
+    one entry per batch, is listed only when that version is missing."""
+    root = root.rstrip("/")
+    if before is not None and before > 0 and path_exists(spark, f"{root}/_versions/{before - 1}"):
+        return before - 1
     vs = [v for v in committed_versions(spark, root) if before is None or v < before]
     return vs[-1] if vs else None
 
