@@ -19,7 +19,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.session import touch
+from tidemark.session import path_exists, touch
 from tidemark.sinks.scd2_layout import latest_version
 
 
@@ -33,6 +33,8 @@ def read_state_version(spark: SparkSession, root: str, before: dt.date | None =
     root = root.rstrip("/")
     if at is not None:
         v = version_of(at)
+    elif before is not None and path_exists(spark, f"{root}/_versions/{version_of(before - dt.timedelta(days=1))}"):
+        v = version_of(before - dt.timedelta(days=1))  # daily runs: the day before, no listing
     else:
         v = latest_version(spark, root, before=None if before is None else version_of(before))
     return None if v is None else spark.read.format(format).load(f"{root}/version={v}")
