@@ -21,6 +21,7 @@ from __future__ import annotations
 import copy
 import datetime as dt
 import importlib
+import json
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark import StorageLevel
@@ -287,3 +288,14 @@ def run_stages(spark: SparkSession, specs: Sequence[Mapping], as_of: dt.date | s
     for spec in specs:
         frames = run_spec(spark, spec, as_of)
     return frames
+
+
+def read_spec_file(spark: SparkSession, path: str) -> dict | list:
+    """A JSON spec from any file system Spark reads (one small job; the spec is configuration, not data)."""
+    return json.loads(spark.read.text(path, wholetext=True).first()[0])
+
+
+def run_spec_file(spark: SparkSession, path: str, as_of: dt.date | str | None = None) -> Frames:
+    """The job entry point: run the JSON spec at ``path`` (a list of specs runs as dependent stages)."""
+    spec = read_spec_file(spark, path)
+    return run_stages(spark, spec, as_of) if isinstance(spec, list) else run_spec(spark, spec, as_of)

@@ -7,11 +7,14 @@
 ``stream_to_bronze``    envelopes -> normalised rows -> partitioned bronze files (+ quarantine sink).
 ``stream_scd2``         envelopes -> per micro-batch ``commit_scd2_batch`` (append-only history +
                         latest row per key, committed versions).
+``run_stream_spec``     the streaming job entry point for an {"extract", "load"} spec (stable
+                        per-topic checkpoint under ``spark.checkpoint.dir``).
 """
 
 from tidemark.streaming.jobs import (  # noqa: F401
     read_change_stream,
     read_scd2_table,
+    run_stream_spec,
     stream_scd2,
     stream_to_bronze,
     write_change_stream,

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope
+from tidemark.session import ensure_checkpoint_dir
 from tidemark.sinks.scd2_layout import commit_scd2_batch, compact_scd2_history, read_scd2_table  # noqa: F401
 
 
@@ -71,7 +72,7 @@ def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
 def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkpoint_location: str,
                      fields: StructType = DEFAULT_FIELDS, quarantine_path: str | None = None,
                      trigger: str | None = "availableNow",
-                     partition_by: str | Sequence[str] = "partition_date") -> list[StreamingQuery]:
+                     partition_by: str | Sequence[str] = "partition_date", format: str = "parquet") -> list[StreamingQuery]:
     """Envelopes -> normalised change rows -> bronze files partitioned by event date.
 
     Late changes land in their own (old) ``partition_date``; nothing is dropped.  With a
@@ -79,13 +80,39 @@ def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkp
     """
     raw = read_change_stream(spark, **source)
     good, bad = normalize_envelope(raw, "value", fields)
-    queries = [write_change_stream(good, bronze_path, checkpoint_location, partition_by, trigger=trigger)]
+    queries = [write_change_stream(good, bronze_path, checkpoint_location, partition_by, format=format,
+                                   trigger=trigger)]
     if quarantine_path:
         queries.append(write_change_stream(bad, quarantine_path, checkpoint_location.rstrip("/") + "-quarantine",
                                            None, trigger=trigger))
     return queries
 
 
+def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAULT_FIELDS,
+                    trigger: str | None = None, await_termination: bool = False) -> list[StreamingQuery]:
+    """The streaming job entry point for a spec shaped like
+
+        {"extract": {"topic": ..., "kafka_bootstrap": ..., "mode": "earliest"}   (or {"path": ...})
+         "load":    {"topic": ..., "format": "parquet", "path": ..., "partition_by": "partition_date"}}
+
+    The checkpoint is ``load.checkpoint_location`` or, by default, a stable folder per topic under the
+    session's shared ``spark.checkpoint.dir``, so a restart resumes where the last run stopped.  The
+    default trigger runs micro-batches continuously; ``"availableNow"`` drains what is there and stops.
+    """
+    extract_args, load_args = dict(spec["extract"]), dict(spec["load"])
+    name = load_args.get("topic") or extract_args.get("topic") or "stream"
+    checkpoint = load_args.get("checkpoint_location") or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/cdc_{name}"
+    queries = stream_to_bronze(spark, extract_args, load_args["path"], checkpoint, fields=fields,
+                               quarantine_path=load_args.get("quarantine_path"),
+                               trigger=trigger or load_args.get("trigger"),
+                               partition_by=load_args.get("partition_by", "partition_date"),
+                               format=load_args.get("format", "parquet"))
+    if await_termination:
+        for q in queries:
+            q.awaitTermination()
+    return queries
+
+
 # --- SCD2 kept up to date by micro-batches -------------------------------------------------------
 
 def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_location: str,
@@ -122,4 +149,5 @@ def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_
     return _trigger(w, trigger).start()
 
 
-__all__ = ["read_change_stream", "read_scd2_table", "stream_scd2", "stream_to_bronze", "write_change_stream"]
+__all__ = ["read_change_stream", "read_scd2_table", "run_stream_spec", "stream_scd2", "stream_to_bronze",
+           "write_change_stream"]
