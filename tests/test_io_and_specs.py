@@ -314,3 +314,25 @@ def test_stream_spec_resumes_from_its_topic_checkpoint(spark, scratch):
     envelopes(second).write.mode("append").text(inbox)
     run_stream_spec(spark, spec, fields=ENVELOPE_FIELDS, trigger="availableNow", await_termination=True)
     assert spark.read.parquet(bronze).count() == log.count()  # each envelope once: the restart resumed
+
+
+def test_stream_spec_scd2_type_keeps_the_scd2_table(spark, scratch):
+    from tidemark.operators import scd2_from_log
+    from tidemark.scenarios import ENVELOPE_FIELDS, change_log, envelopes
+    from tidemark.session import scratch_path
+    from tidemark.streaming import read_scd2_table, run_stream_spec
+    inbox, target = f"{scratch}/inbox", f"{scratch}/scd2"
+    topic = scratch_path(spark, "topic").rsplit("/", 1)[-1]
+    spec = {"extract": {"path": inbox},
+            "load": {"type": "scd2", "topic": topic, "path": target, "seq_field": "lsn", "compact_every": 1}}
+    log = change_log(spark, SF)
+    for part in (log.filter("partition_date <= DATE'2024-01-10'"), log.filter("partition_date > DATE'2024-01-10'")):
+        envelopes(part).write.mode("append").text(inbox)
+        run_stream_spec(spark, spec, fields=ENVELOPE_FIELDS, trigger="availableNow", await_termination=True)
+    from tidemark.functions.temporal import millis_to_ntz
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    in_ms = log.withColumn("updated_timestamp",  # envelopes carry epoch milliseconds
+                           millis_to_ntz(F.timestamp_diff("MILLISECOND", epoch, F.col("updated_timestamp"))))
+    got, want = read_scd2_table(spark, target), scd2_from_log(in_ms)
+    got = got.select(*want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0

@@ -98,15 +98,23 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
     The checkpoint is ``load.checkpoint_location`` or, by default, a stable folder per topic under the
     session's shared ``spark.checkpoint.dir``, so a restart resumes where the last run stopped.  The
     default trigger runs micro-batches continuously; ``"availableNow"`` drains what is there and stops.
+    With ``"type": "scd2"`` in ``load`` the stream keeps the SCD2 table at ``path`` instead
+    (``stream_scd2``; optional ``keys``, ``seq_field``, ``compact_every``, ``late_path``).
     """
     extract_args, load_args = dict(spec["extract"]), dict(spec["load"])
     name = load_args.get("topic") or extract_args.get("topic") or "stream"
     checkpoint = load_args.get("checkpoint_location") or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/cdc_{name}"
-    queries = stream_to_bronze(spark, extract_args, load_args["path"], checkpoint, fields=fields,
-                               quarantine_path=load_args.get("quarantine_path"),
-                               trigger=trigger or load_args.get("trigger"),
-                               partition_by=load_args.get("partition_by", "partition_date"),
-                               format=load_args.get("format", "parquet"))
+    if load_args.get("type") == "scd2":
+        queries = [stream_scd2(spark, extract_args, load_args["path"], checkpoint, fields=fields,
+                               keys=tuple(load_args.get("keys", ("id",))), trigger=trigger or load_args.get("trigger"),
+                               late_path=load_args.get("late_path"), seq_field=load_args.get("seq_field"),
+                               compact_every=load_args.get("compact_every"))]
+    else:
+        queries = stream_to_bronze(spark, extract_args, load_args["path"], checkpoint, fields=fields,
+                                   quarantine_path=load_args.get("quarantine_path"),
+                                   trigger=trigger or load_args.get("trigger"),
+                                   partition_by=load_args.get("partition_by", "partition_date"),
+                                   format=load_args.get("format", "parquet"))
     if await_termination:
         for q in queries:
             q.awaitTermination()
