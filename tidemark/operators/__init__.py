@@ -1,4 +1,5 @@
-"""DataFrame-in / DataFrame-out operators: lazy plans, except for the batch key profile (one small job) and, with hot keys, one write of the sliced hot rows."""
+"""DataFrame-in / DataFrame-out operators: lazy plans, except for the batch key profile (one small job)
+and, with hot keys, one write of the sliced hot rows."""
 
 from tidemark.operators.envelope import normalize_after_image, normalize_envelope  # noqa: F401
 from tidemark.operators.marts import top_users  # noqa: F401

@@ -72,7 +72,8 @@ def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
 def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkpoint_location: str,
                      fields: StructType = DEFAULT_FIELDS, quarantine_path: str | None = None,
                      trigger: str | None = "availableNow",
-                     partition_by: str | Sequence[str] = "partition_date", format: str = "parquet") -> list[StreamingQuery]:
+                     partition_by: str | Sequence[str] = "partition_date",
+                     format: str = "parquet") -> list[StreamingQuery]:
     """Envelopes -> normalised change rows -> bronze files partitioned by event date.
 
     Late changes land in their own (old) ``partition_date``; nothing is dropped.  With a
@@ -103,7 +104,8 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
     """
     extract_args, load_args = dict(spec["extract"]), dict(spec["load"])
     name = load_args.get("topic") or extract_args.get("topic") or "stream"
-    checkpoint = load_args.get("checkpoint_location") or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/cdc_{name}"
+    checkpoint = (load_args.get("checkpoint_location")
+                  or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/cdc_{name}")
     if load_args.get("type") == "scd2":
         queries = [stream_scd2(spark, extract_args, load_args["path"], checkpoint, fields=fields,
                                keys=tuple(load_args.get("keys", ("id",))), trigger=trigger or load_args.get("trigger"),
