@@ -40,3 +40,8 @@ def test_top_users_combines_map_side(spark):
 def test_scans_read_only_needed_columns(spark):
     plan = _plan(S.q_top_users(spark, SF))
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in plan
+
+
+def test_hourly_batch_splits_off_the_untouched_state(spark):
+    plan = _plan(S.q_latest_current_hourly(spark, SF))
+    assert "LeftAnti" in plan and "BroadcastHashJoin" in plan

@@ -38,6 +38,11 @@ ENVELOPE_TS = "make_timestamp((epoch_us(updated_timestamp) // 1000) * 1000)"
 ORACLES = {
     "latest_current": f"WITH {LOG} {LATEST}",
     "latest_current_incremental": f"WITH {LOG} {LATEST}",
+    "latest_current_hourly": f"""WITH {LOG}
+SELECT id, name, email, action, updated_timestamp, partition_date FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY updated_timestamp DESC, seq DESC) AS rn
+  FROM log WHERE updated_timestamp < TIMESTAMP '2024-01-15 01:00:00') t
+WHERE rn = 1 AND action IN ('INSERT', 'UPDATE')""",
     "scd2_from_log": f"WITH {LOG} {SCD2}",
     "scd2_apply": f"WITH {LOG} {SCD2}",
     "scd2_incremental_commits": f"WITH {LOG} {SCD2}",

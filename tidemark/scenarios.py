@@ -42,6 +42,7 @@ from tidemark.streaming import stream_scd2, stream_to_bronze
 AS_OF = dt.date(2024, 1, 15)
 PREV_DAY = dt.date(2024, 1, 14)
 VIEW_AT = "2024-01-15 12:00:00"
+HOUR_END = "2024-01-15 01:00:00"
 
 LOG_EXPRS = [
     "user_id AS id",
@@ -102,6 +103,18 @@ def q_latest_current_incremental(spark, sf_dir):
     return current
 
 
+def q_latest_current_hourly(spark, sf_dir):
+    """An hourly micro-batch: the state committed after day 14 folded with the changes of 00:00-01:00 on
+    day 15.  Such a batch touches a small share of the keys, so the fold splits the untouched state off."""
+    log = change_log(spark, sf_dir)
+    state_path = scratch_path(spark, "scd4_state")
+    state, _ = fold_latest(None, _day(log, PREV_DAY, "le"))
+    commit_state_version(spark, state_path, state, PREV_DAY)
+    hour = _day(log, AS_OF).filter(F.col("updated_timestamp") < F.expr(f"TIMESTAMP_NTZ '{HOUR_END}'"))
+    _new_state, current = fold_latest(read_state_version(spark, state_path, before=AS_OF), hour)
+    return current
+
+
 def q_scd2_from_log(spark, sf_dir):
     return scd2_from_log(change_log(spark, sf_dir))
 
@@ -376,6 +389,7 @@ def q_top_users(spark, sf_dir):
 QUERIES = {
     "latest_current": q_latest_current,
     "latest_current_incremental": q_latest_current_incremental,
+    "latest_current_hourly": q_latest_current_hourly,
     "scd2_from_log": q_scd2_from_log,
     "scd2_apply": q_scd2_apply,
     "scd2_incremental_commits": q_scd2_incremental_commits,
