@@ -45,3 +45,8 @@ def test_scans_read_only_needed_columns(spark):
 def test_hourly_batch_splits_off_the_untouched_state(spark):
     plan = _plan(S.q_latest_current_hourly(spark, SF))
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
+
+
+def test_hourly_merge_runs_its_full_outer_join_on_touched_keys_only(spark):
+    plan = _plan(S.q_merge_current_hourly(spark, SF))
+    assert "FullOuter" in plan and "LeftAnti" in plan and "BroadcastHashJoin" in plan

@@ -33,6 +33,12 @@ src AS (
     FROM log WHERE partition_date = DATE '2024-01-15') b
   WHERE rn = 1)"""
 
+# the source of the MERGE limited to the first hour of day 15 (an hourly batch)
+MERGE_INPUTS_HOURLY = MERGE_INPUTS.replace(
+    "FROM log WHERE partition_date = DATE '2024-01-15') b",
+    "FROM log WHERE partition_date = DATE '2024-01-15' AND updated_timestamp < TIMESTAMP '2024-01-15 01:00:00') b")
+HOURLY_LOG = "hlog AS (SELECT * FROM log WHERE updated_timestamp < TIMESTAMP '2024-01-15 01:00:00')"
+
 ENVELOPE_TS = "make_timestamp((epoch_us(updated_timestamp) // 1000) * 1000)"
 
 ORACLES = {
@@ -46,6 +52,7 @@ WHERE rn = 1 AND action IN ('INSERT', 'UPDATE')""",
     "scd2_from_log": f"WITH {LOG} {SCD2}",
     "scd2_apply": f"WITH {LOG} {SCD2}",
     "scd2_incremental_commits": f"WITH {LOG} {SCD2}",
+    "scd2_hourly_commit": f"WITH {LOG}, {HOURLY_LOG} " + SCD2.replace("FROM log", "FROM hlog"),
     "scd2_as_of_view": f"""WITH {LOG}, scd2 AS ({SCD2})
 SELECT * FROM scd2 WHERE valid_from <= TIMESTAMP '2024-01-15 12:00:00' AND TIMESTAMP '2024-01-15 12:00:00' < valid_to""",
     "merge_current": f"""WITH {LOG}, {MERGE_INPUTS}
@@ -55,6 +62,14 @@ SELECT coalesce(tgt.id, src.id) AS id,
   CASE WHEN t IS NULL OR (s AND src.action IN ('UPDATE', 'DELETE')) THEN src.action ELSE tgt.action END AS action,
   CASE WHEN t IS NULL OR (s AND src.action = 'UPDATE') THEN src.valid_from ELSE tgt.valid_from END AS valid_from,
   CASE WHEN t AND s AND src.action = 'DELETE' THEN src.valid_from ELSE {OPEN} END AS valid_to
+FROM tgt FULL JOIN src ON tgt.id = src.id""",
+    "merge_current_hourly": f"""WITH {LOG}, {MERGE_INPUTS_HOURLY}
+SELECT coalesce(tgt.id, src.id) AS id,
+  CASE WHEN t IS NULL OR (s AND src.action = 'UPDATE') THEN src.name ELSE tgt.name END AS name,
+  CASE WHEN t IS NULL OR (s AND src.action = 'UPDATE') THEN src.email ELSE tgt.email END AS email,
+  CASE WHEN t IS NULL OR (s AND src.action IN ('UPDATE', 'DELETE')) THEN src.action ELSE tgt.action END AS action,
+  CASE WHEN t IS NULL OR (s AND src.action = 'UPDATE') THEN src.valid_from ELSE tgt.valid_from END AS valid_from,
+  CASE WHEN t AND s AND src.action = 'DELETE' THEN src.valid_from ELSE {OPEN} END AS valid_to
 FROM tgt FULL JOIN src ON tgt.id = src.id""",
     "merge_close_and_insert": f"""WITH {LOG}, {MERGE_INPUTS}
 SELECT tgt.id, tgt.name, tgt.email,

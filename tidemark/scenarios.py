@@ -110,11 +110,15 @@ def q_latest_current_hourly(spark, sf_dir):
     state_path = scratch_path(spark, "scd4_state")
     state, _ = fold_latest(None, _day(log, PREV_DAY, "le"))
     commit_state_version(spark, state_path, state, PREV_DAY)
-    hour = _day(log, AS_OF).filter(F.col("updated_timestamp") < F.expr(f"TIMESTAMP_NTZ '{HOUR_END}'"))
-    _new_state, current = fold_latest(read_state_version(spark, state_path, before=AS_OF), hour)
+    _new_state, current = fold_latest(read_state_version(spark, state_path, before=AS_OF), _first_hour(log))
     return current
 
 
+def _first_hour(log: DataFrame) -> DataFrame:
+    """The changes of 00:00-01:00 on day 15: an hourly batch, which touches a small share of the keys."""
+    return _day(log, AS_OF).filter(F.col("updated_timestamp") < F.expr(f"TIMESTAMP_NTZ '{HOUR_END}'"))
+
+
 def q_scd2_from_log(spark, sf_dir):
     return scd2_from_log(change_log(spark, sf_dir))
 
@@ -137,6 +141,16 @@ def q_scd2_incremental_commits(spark, sf_dir):
     return read_scd2_table(spark, root)
 
 
+def q_scd2_hourly_commit(spark, sf_dir):
+    """Days 1-14 committed as one batch, then the first hour of day 15 as the next.  The hourly commit
+    touches a small share of the keys and carries the other state rows forward without shuffling them."""
+    log = change_log(spark, sf_dir)
+    root = scratch_path(spark, "scd2_layout")
+    commit_scd2_batch(spark, root, _day(log, PREV_DAY, "le"), 1)
+    commit_scd2_batch(spark, root, _first_hour(log), 2)
+    return read_scd2_table(spark, root)
+
+
 def q_scd2_as_of_view(spark, sf_dir):
     return as_of_view(scd2_from_log(change_log(spark, sf_dir)), VIEW_AT)
 
@@ -146,6 +160,12 @@ def q_merge_current(spark, sf_dir):
     return merge_current(_open_current(log, PREV_DAY), _day(log, AS_OF))
 
 
+def q_merge_current_hourly(spark, sf_dir):
+    """The SCD4 MERGE with an hourly batch: its full outer join runs on the touched keys only."""
+    log = change_log(spark, sf_dir)
+    return merge_current(_open_current(log, PREV_DAY), _first_hour(log))
+
+
 def q_merge_close_and_insert(spark, sf_dir):
     log = change_log(spark, sf_dir)
     return merge_close_and_insert(_open_current(log, PREV_DAY), _day(log, AS_OF), as_of=AS_OF)
@@ -393,8 +413,10 @@ QUERIES = {
     "scd2_from_log": q_scd2_from_log,
     "scd2_apply": q_scd2_apply,
     "scd2_incremental_commits": q_scd2_incremental_commits,
+    "scd2_hourly_commit": q_scd2_hourly_commit,
     "scd2_as_of_view": q_scd2_as_of_view,
     "merge_current": q_merge_current,
+    "merge_current_hourly": q_merge_current_hourly,
     "merge_close_and_insert": q_merge_close_and_insert,
     "snapshot_current": q_snapshot_current,
     "read_partition_day": q_read_partition_day,
