@@ -40,8 +40,10 @@ def _frozen(df, path):
 
 @pytest.fixture(autouse=True)
 def force_split(monkeypatch):
-    """The fixtures' batches touch most keys, which would not be split: split them anyway."""
+    """The fixtures' states are small and their batches touch most keys, which would not be split:
+    split them anyway (the results must not depend on the choice)."""
     monkeypatch.setattr(touched_mod, "MAX_TOUCHED_SHARE", float("inf"))
+    monkeypatch.setattr(touched_mod, "MIN_SPLIT_STATE_ROWS", 0)
 
 
 @pytest.fixture()
@@ -173,3 +175,11 @@ def test_merge_current_split_keeps_the_full_outer_join_off_untouched_rows(spark,
     out.write.format("noop").mode("overwrite").save()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "FullOuter" in plan and "LeftAnti" in plan and "LeftSemi" in plan and "BroadcastHashJoin" in plan
+
+
+def test_split_is_skipped_for_a_small_state(spark, scratch, monkeypatch):
+    monkeypatch.setattr(touched_mod, "MIN_SPLIT_STATE_ROWS", 1_000_000)
+    prof = touched_mod.KeyProfile(keys=10, hot=0, hot_rows=0, state_rows=5_000)
+    assert not touched_mod.worth_splitting(prof)
+    big = touched_mod.KeyProfile(keys=10, hot=0, hot_rows=0, state_rows=5_000_000)
+    assert touched_mod.worth_splitting(big)

@@ -12,9 +12,10 @@ change per key).  Joining the whole state with the batch shuffles the whole stat
                       touched rows (O(batch)) reach the per-key logic.  Untouched rows pass through.
 
 The split is used when the key set has a proven size bound (at most ``MAX_BROADCAST_KEYS`` keys, the
-broadcast check) and touches at most ``MAX_TOUCHED_SHARE`` of the state's rows.  When a batch touches
-most keys, the extra scan and joins cost more than they save, and the operators join the whole state
-with the batch as one shuffle join, which is also the plan above the broadcast bound.
+broadcast check), touches at most ``MAX_TOUCHED_SHARE`` of the state's rows, and the state has at least
+``MIN_SPLIT_STATE_ROWS`` rows.  When a batch touches most keys, or the state is small enough that
+shuffling it costs less than the split's extra scan, joins and stages, the operators join the whole
+state with the batch as one shuffle join, which is also the plan above the broadcast bound.
 """
 
 from __future__ import annotations
@@ -27,8 +28,10 @@ from pyspark.sql import functions as F
 
 # The batch's key set is broadcast only while it has at most this many distinct keys.
 MAX_BROADCAST_KEYS = 1_000_000
-# Split only when the batch's keys are at most this share of the state's rows.
+# Split only when the batch's keys are at most this share of the state's rows ...
 MAX_TOUCHED_SHARE = 0.2
+# ... and the state has at least this many rows (below it a shuffle of the whole state is cheap).
+MIN_SPLIT_STATE_ROWS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -62,9 +65,10 @@ def fits_broadcast(profile: KeyProfile) -> bool:
 
 
 def worth_splitting(profile: KeyProfile) -> bool:
-    """Broadcastable key set that touches a small share of the state."""
+    """Broadcastable key set that touches a small share of a large state."""
     return fits_broadcast(profile) and (profile.state_rows is None
-                                        or profile.keys <= MAX_TOUCHED_SHARE * profile.state_rows)
+                                        or (profile.state_rows >= MIN_SPLIT_STATE_ROWS
+                                            and profile.keys <= MAX_TOUCHED_SHARE * profile.state_rows))
 
 
 def touched_keys(changes: DataFrame, keys: Sequence[str], profile: KeyProfile,
