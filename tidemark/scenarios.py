@@ -105,7 +105,8 @@ def q_latest_current_incremental(spark, sf_dir):
 
 def q_latest_current_hourly(spark, sf_dir):
     """An hourly micro-batch: the state committed after day 14 folded with the changes of 00:00-01:00 on
-    day 15.  Such a batch touches a small share of the keys, so the fold splits the untouched state off."""
+    day 15.  Such a batch touches a small share of the keys; on a large state the fold splits the
+    untouched state off (``operators.touched``), on the small test states it keeps one shuffle join."""
     log = change_log(spark, sf_dir)
     state_path = scratch_path(spark, "scd4_state")
     state, _ = fold_latest(None, _day(log, PREV_DAY, "le"))
@@ -143,7 +144,8 @@ def q_scd2_incremental_commits(spark, sf_dir):
 
 def q_scd2_hourly_commit(spark, sf_dir):
     """Days 1-14 committed as one batch, then the first hour of day 15 as the next.  The hourly commit
-    touches a small share of the keys and carries the other state rows forward without shuffling them."""
+    touches a small share of the keys; on a large state it carries the other state rows forward without
+    shuffling them."""
     log = change_log(spark, sf_dir)
     root = scratch_path(spark, "scd2_layout")
     commit_scd2_batch(spark, root, _day(log, PREV_DAY, "le"), 1)
@@ -161,7 +163,8 @@ def q_merge_current(spark, sf_dir):
 
 
 def q_merge_current_hourly(spark, sf_dir):
-    """The SCD4 MERGE with an hourly batch: its full outer join runs on the touched keys only."""
+    """The SCD4 MERGE with an hourly batch: on a large current table its full outer join runs on the
+    touched keys only."""
     log = change_log(spark, sf_dir)
     return merge_current(_open_current(log, PREV_DAY), _first_hour(log))
 
