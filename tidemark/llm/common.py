@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def slices(batches: Iterator[pa.RecordBatch], text_of: Callable[[pa.RecordBatch]
            ) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
     """Cut Arrow batches into slices of at most SLICE_ROWS rows and about SLICE_BYTES of text."""
     for batch in batches:
-        sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(text_of(batch)), 0), dtype=np.int64)
+        sizes = np.asarray(pc.fill_null(pc.binary_length(text_of(batch)), 0), dtype=np.int64)
         start, n = 0, batch.num_rows
         while start < n:
             ends = np.cumsum(sizes[start:start + SLICE_ROWS])
@@ -81,9 +82,7 @@ def per_document(docs: DataFrame, fn: Callable[[list[bytes | None]], dict[str, p
     names = [f.name for f in outputs.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, lambda b: b.column(0).field(at)
-                                  if b.column(0).offset == 0 and len(b.column(0)) == len(b.column(0).field(at))
-                                  else pa.compute.struct_field(b.column(0), [at])):
+        for part, texts in slices(batches, lambda b: pc.struct_field(b.column(0), [at])):
             out = fn(texts)
             yield pa.RecordBatch.from_arrays([part.column(0), *[out[n] for n in names]], ["row", *names])
 
