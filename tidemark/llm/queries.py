@@ -1,10 +1,24 @@
-"""One registered query per operator."""
+"""One registered query per operator, and the DuckDB SQL of those that SQL can express."""
 
 from __future__ import annotations
 
 from .byte_bpe import q_byte_bpe
+from .decontaminate import DECONTAMINATE_SQL, q_decontaminate
+from .line_dedup import LINE_DEDUP_SQL, q_line_dedup
+from .phrase_dedup import PHRASE_DEDUP_SQL, q_phrase_dedup
+from .simhash import q_simhash
+from .toxicity import q_toxicity
 
 QUERIES = {
+    "op3_line_dedup": q_line_dedup,
+    "op4_phrase_dedup": q_phrase_dedup,
+    "op5_decontaminate": q_decontaminate,
+    "op8_toxicity": q_toxicity,
+    "op9_simhash": q_simhash,
     "op10_byte_bpe": q_byte_bpe,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op3_line_dedup": LINE_DEDUP_SQL,
+    "op4_phrase_dedup": PHRASE_DEDUP_SQL,
+    "op5_decontaminate": DECONTAMINATE_SQL,
+}
