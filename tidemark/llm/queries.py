@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .byte_bpe import q_byte_bpe
 from .decontaminate import DECONTAMINATE_SQL, q_decontaminate
+from .huffman import q_huffman
 from .line_dedup import LINE_DEDUP_SQL, q_line_dedup
 from .phrase_dedup import PHRASE_DEDUP_SQL, q_phrase_dedup
 from .simhash import q_simhash
@@ -13,6 +14,7 @@ QUERIES = {
     "op3_line_dedup": q_line_dedup,
     "op4_phrase_dedup": q_phrase_dedup,
     "op5_decontaminate": q_decontaminate,
+    "op7_huffman": q_huffman,
     "op8_toxicity": q_toxicity,
     "op9_simhash": q_simhash,
     "op10_byte_bpe": q_byte_bpe,
