@@ -7,6 +7,7 @@ from .decontaminate import DECONTAMINATE_SQL, q_decontaminate
 from .huffman import q_huffman
 from .line_dedup import LINE_DEDUP_SQL, q_line_dedup
 from .phrase_dedup import PHRASE_DEDUP_SQL, q_phrase_dedup
+from .ppm import q_ppm
 from .simhash import q_simhash
 from .toxicity import q_toxicity
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_line_dedup": q_line_dedup,
     "op4_phrase_dedup": q_phrase_dedup,
     "op5_decontaminate": q_decontaminate,
+    "op6_ppm": q_ppm,
     "op7_huffman": q_huffman,
     "op8_toxicity": q_toxicity,
     "op9_simhash": q_simhash,
