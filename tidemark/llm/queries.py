@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import q_ann
 from .byte_bpe import q_byte_bpe
 from .decontaminate import DECONTAMINATE_SQL, q_decontaminate
 from .huffman import q_huffman
@@ -9,9 +10,12 @@ from .line_dedup import LINE_DEDUP_SQL, q_line_dedup
 from .phrase_dedup import PHRASE_DEDUP_SQL, q_phrase_dedup
 from .ppm import q_ppm
 from .simhash import q_simhash
+from .token_counts import q_token_counts
 from .toxicity import q_toxicity
 
 QUERIES = {
+    "op1_ann": q_ann,
+    "op2_token_counts": q_token_counts,
     "op3_line_dedup": q_line_dedup,
     "op4_phrase_dedup": q_phrase_dedup,
     "op5_decontaminate": q_decontaminate,
