@@ -1,20 +1,22 @@
 """Toxicity scores from a learnt lexicon, with misspellings and a look at the context.
 
-*Lexicon.*  Words, and stems (the first 4 to 6 letters of longer words), that occur in many toxic and nearly no
-clean labelled documents.  *Misspellings.*  Every distinct word of a text is run as a Levenshtein automaton
-(its states are the rows of edit distances, capped) against the trie of lexicon words: distance 1 is allowed
-from 5 letters on, 2 from 9.  Stems match exactly.  *Context.*  Around each hit ``CONTEXT`` words are looked
-at: a hit between quotation marks, or after a word of reporting, is quoted.
-
-A document's features are the (term, kind) pairs it has, kind being exact, misspelt or quoted, or "none".
-Their weights are log ratios of smoothed document rates in toxic and clean training documents; a kind of a
-term never seen is smoothed towards the term's exact rate (misspelt) or towards no evidence (quoted), and
-these two kinds never speak for a clean document.  The score is the logistic function of prior plus weights.
+*Lexicon.*  Words, and stems (the first 4 to 8 letters of longer words), that occur in enough toxic documents and at
+least ``RATE_RATIO`` times as often per word of toxic as of clean labelled documents.  *Misspellings.*  Every distinct
+word of a text is run as a Levenshtein automaton (its states are the rows of edit distances, capped) against the trie
+of lexicon words: distance 1 is allowed from 5 letters on, 2 from 9.  Stems match exactly.  *Context.*  Around each hit
+``CONTEXT`` words are looked at: a hit between quotation marks, or after a word of reporting, is quoted.
+
+Hits of each (term, kind), kind being exact, misspelt or quoted, are taken as Poisson with a rate per word in toxic and
+one in clean documents, both learnt with smoothing.  A hit adds the log ratio of the two rates, every word of the text
+subtracts the difference of the summed rates, so a stray hit in a long clean text weighs little.  A kind of a term is
+smoothed towards the kind's rate over all terms; misspelt hits are expected in toxic texts at ``MISSPELT_SHARE`` of the
+exact rate unless the labels say otherwise; misspelt and quoted hits never speak for a clean document.  The score is the
+logistic function of prior plus weights.
 
 Labels are learnt from rows with crc32(doc_id as text) mod 5 not 0 only, from at most ``fit_rows`` of them (those
-with the smallest hash of the id; a documented bound of the fit).  Every text is scored whole; null and empty
-texts have the feature "none".  A document with several label rows is toxic if any says so; null labels are
-no label; labels without a document have no effect.  Without toxic or clean training rows the lexicon is empty
+with the smallest hash of the id; a documented bound of the fit).  Every text is scored whole; null and empty texts have
+no hits and no words, so they score the prior.  A document with several label rows is toxic if any says so; null labels
+are no label; labels without a document have no effect.  Without toxic or clean training rows the lexicon is empty
 and every score is the smoothed share of toxic rows.
 """
 
@@ -31,9 +33,10 @@ from pyspark.sql import functions as F
 from .common import per_document, slices, table, written
 
 FIT_ROWS = 20_000
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 CONTEXT = 4
-PRECISION = 0.9
+RATE_RATIO, MIN_SHARE = 20, 0.03   # toxic against clean rate, share of toxic documents
+MISSPELT_SHARE, MISSPELT_WORDS = 0.05, 50_000   # expected misspelt hits, and how many words that belief is worth
 MAX_LEXICON = 500
 EXACT, MISSPELT, QUOTED = "exact", "misspelt", "quoted"
 EDGE = " .,;:!?()[]{}<>|/\\*_~`'\"“”«»‘’„-"
@@ -47,10 +50,15 @@ def bare(word: str) -> str:
     return word.strip(EDGE)
 
 
-def terms_of(text: bytes | None) -> set[str]:
-    """The words of a text and, with a star, the stems of its longer words."""
-    words = {bare(w) for w in text.decode().lower().split()} if text else set()
-    return words | {w[:k] + "*" for w in words for k in STEMS if len(w) > k}
+def terms_of(text: bytes | None) -> Counter:
+    """How often the words of a text and, with a star, the stems of its longer words occur."""
+    words = Counter(map(bare, text.decode().lower().split())) if text else Counter()
+    out = Counter(words)
+    for w, n in words.items():
+        for k in STEMS:
+            if len(w) > k:
+                out[w[:k] + "*"] += n
+    return out
 
 
 class Lexicon:
@@ -110,7 +118,7 @@ class Lexicon:
         word = bare(word)
         if word in self.words:
             return word, EXACT
-        for k in STEMS:
+        for k in reversed(STEMS):
             if len(word) > k and word[:k] in self.stems:
                 return word[:k] + "*", EXACT
         if 3 <= len(word) <= self.longest + 2 and self.may_match(word):
@@ -148,17 +156,16 @@ class Scanner(dict):
         closed = words[i].rstrip(".,;:!?")[-1:] in CLOSE or any(w.rstrip(".,;:!?")[-1:] in CLOSE for w in after)
         return opened and closed or any(bare(w) in REPORTING for w in before)
 
-    def features(self, text: bytes | None) -> set[str]:
-        return {f"{term} {kind}" for _, term, kind in self.hits(text)} or {"none"}
+    def features(self, text: bytes | None) -> Counter:
+        return Counter(f"{term} {kind}" for _, term, kind in self.hits(text))
 
 
-def choose_lexicon(counts: list[tuple[str, int, int]], precision: float, limit: int) -> list[str]:
-    """Entries from (term, toxic documents, clean documents): of nested stems the longest that keeps nine tenths
-    of the toxic documents, and no word that a chosen stem covers or stem that one chosen word explains."""
-    found = {t: p for t, p, n in counts if p >= precision * (p + n)}
+def choose_lexicon(found: dict[str, int], limit: int) -> list[str]:
+    """Entries from term -> toxic documents: of nested stems the longest that keeps nine tenths of the toxic documents,
+    no word that a chosen stem covers and no stem that one word explains."""
     words = {t: p for t, p in found.items() if not t.endswith("*")}
     stems: dict[str, int] = {}
-    for t in sorted((t for t in found if t.endswith("*")), key=len, reverse=True):
+    for t in sorted((t for t in found if t.endswith("*")), key=lambda t: (-len(t), t)):
         s, p = t[:-1], found[t]
         longer = [x for x in stems if x.startswith(s)]
         by_word = max([words[w] for w in words if w.startswith(s)], default=0)
@@ -167,80 +174,92 @@ def choose_lexicon(counts: list[tuple[str, int, int]], precision: float, limit:
         for x in longer:
             del stems[x]
         stems[s] = p
-    chosen = {w: p for w, p in words.items() if not any(w.startswith(s) for s in stems)}
+    chosen = {w: p for w, p in words.items() if not any(w.startswith(s) and len(w) > len(s) for s in stems)}
     chosen |= {s + "*": p for s, p in stems.items()}
     return sorted(sorted(chosen), key=lambda t: -chosen[t])[:limit]
 
 
-def weigh(counts: dict[str, tuple[int, int]], lexicon: list[str], n_toxic: int, n_clean: int) -> dict[str, float]:
-    """Feature -> weight."""
-    def ratio(p: float, n: float, rate_p: float, rate_n: float, strength: float) -> float:
-        return math.log((p + strength * rate_p) / (n_toxic + strength)) - math.log((n + strength * rate_n) / (n_clean + strength))
-
-    out = {"none": ratio(*counts.get("none", (0, 0)), 0.5, 0.5, 1)}
-    for t in lexicon:
-        p, n = counts.get(f"{t} {EXACT}", (0, 0))
-        out[f"{t} {EXACT}"] = ratio(p, n, 0.5, 0.5, 1)
-        rates = (p + 0.5) / (n_toxic + 1), (n + 0.5) / (n_clean + 1)
-        out[f"{t} {MISSPELT}"] = max(0.0, ratio(*counts.get(f"{t} {MISSPELT}", (0, 0)), *rates, 2))
-        out[f"{t} {QUOTED}"] = max(0.0, ratio(*counts.get(f"{t} {QUOTED}", (0, 0)), 0.5, 0.5, 1))
-    return out
+def weigh(counts: dict[str, tuple[int, int]], lexicon: list[str], toxic_words: int, clean_words: int) -> tuple[dict[str, float], float]:
+    """(feature -> weight of a hit, weight of every word) from hits in toxic and clean documents."""
+    t, weights, per_word = max(1, len(lexicon)), {}, 0.0
+    sums = {k: [sum(counts.get(f"{x} {k}", (0, 0))[i] for x in lexicon) for i in (0, 1)] for k in (EXACT, MISSPELT, QUOTED)}
+    exact_rate = (sums[EXACT][0] + 0.5) / (t * toxic_words + 1)
+    rates = {EXACT: (0.5 / (toxic_words + 1), 0.5 / (clean_words + 1)),
+             MISSPELT: ((sums[MISSPELT][0] + MISSPELT_WORDS * MISSPELT_SHARE * exact_rate) / (t * toxic_words + MISSPELT_WORDS),
+                        (sums[MISSPELT][1] + 0.5) / (t * clean_words + 1)),
+             QUOTED: ((sum(sums[QUOTED]) + 0.5) / (t * (toxic_words + clean_words) + 1),) * 2}
+    for x in lexicon:
+        for kind, (rate_p, rate_n) in rates.items():
+            p, n = counts.get(f"{x} {kind}", (0, 0))
+            k = 0.5 if kind == EXACT else 1.0    # hits that the smoothing is worth
+            in_toxic = (p + k) / (toxic_words + k / rate_p)
+            in_clean = (n + k) / (clean_words + k / rate_n)
+            weight = math.log(in_toxic / in_clean)
+            weights[f"{x} {kind}"] = weight if kind == EXACT else max(0.0, weight)
+            if kind == EXACT:
+                per_word -= in_toxic - in_clean
+    return weights, per_word
 
 
 def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[list[str], dict[str, float], float]:
-    """(lexicon, weights, prior): a few hundred numbers from at most ``fit_rows`` labelled documents."""
+Model = tuple[list[str], dict[str, float], float, float]   # lexicon, weights, weight of a word, prior
+
+
+def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
+    """A few hundred numbers from at most ``fit_rows`` labelled documents."""
     usable = (labels.select("doc_id", "toxic").where("doc_id IS NOT NULL AND toxic IS NOT NULL")
               .where(fold(F.col("doc_id"), 5) != 0).groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
     sample = usable.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")   # the sample has at most fit_rows rows
     rows = written(spark, rows.select("text", "toxic"), "toxicity-fit")
-    totals = {r["toxic"] > 0: r["n"] for r in rows.groupBy((F.col("toxic") > 0).cast("int").alias("toxic"))
-              .agg(F.count(F.lit(1)).alias("n")).collect()}
-    n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
+    totals = {r["bad"]: r for r in rows.groupBy((F.col("toxic") > 0).alias("bad")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.size(F.split("text", r"\s+"))).alias("words")).collect()}
+    n_toxic, n_clean = (totals[k]["n"] if k in totals else 0 for k in (True, False))
     prior = math.log((n_toxic + 0.5) / (n_clean + 0.5))
+    if not n_toxic or not n_clean:
+        return [], {}, 0.0, prior
+    toxic_words, clean_words = (max(1, totals[k]["words"] or 0) for k in (True, False))
 
     def counted(features_of) -> DataFrame:  # noqa: ANN001
+        """Per feature: toxic documents, hits in toxic and in clean documents."""
         def run(batches):  # noqa: ANN001, ANN202
             for part, texts in slices(batches, lambda b: b.column(0)):
-                pos, neg = Counter(), Counter()
+                docs_with, pos, neg = Counter(), Counter(), Counter()
                 for t, toxic in zip(texts, part.column(1).to_pylist()):
-                    (pos if toxic else neg).update(features_of(t))
+                    found = features_of(t)
+                    (pos if toxic else neg).update(found)
+                    if toxic:
+                        docs_with.update(found.keys())
                 keys = list(pos.keys() | neg.keys())
-                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([pos[k] for k in keys], pa.int64()),
-                                                  pa.array([neg[k] for k in keys], pa.int64())], ["f", "p", "n"])
-        return rows.mapInArrow(run, "f string, p long, n long").groupBy("f").agg(F.sum("p").alias("p"), F.sum("n").alias("n"))
+                yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), *[pa.array([c[k] for k in keys], pa.int64())
+                                                                                 for c in (docs_with, pos, neg)]], ["f", "d", "p", "n"])
+        return (rows.mapInArrow(run, "f string, d long, p long, n long").groupBy("f")
+                .agg(F.sum("d").alias("d"), F.sum("p").alias("p"), F.sum("n").alias("n")))
 
-    if not n_toxic or not n_clean:
-        return [], {"none": 0.0}, prior
-    terms = counted(terms_of)
-    # how many toxic documents make chance unlikely among this many different terms
+    # so many toxic documents that chance is unlikely among this many different terms
     share = n_toxic / (n_toxic + n_clean)
-    different = rows.agg(F.sum(F.length("text"))).first()[0] or 1
-    least = max(math.ceil(math.log(100 * different) / -math.log(share)), math.ceil(0.01 * n_toxic))
-    good = terms.where((F.col("p") >= least) & (F.col("p") >= PRECISION * (F.col("p") + F.col("n"))))
-    best = good.orderBy(F.desc("p"), "f").limit(8 * MAX_LEXICON).collect()
-    lexicon = choose_lexicon([(r["f"], r["p"], r["n"]) for r in best], PRECISION, MAX_LEXICON)
+    least = max(math.ceil(math.log(100 * (toxic_words + clean_words)) / -math.log(share)), math.ceil(MIN_SHARE * n_toxic))
+    rate = (F.col("p") * clean_words) >= RATE_RATIO * toxic_words * (F.col("n") + 0.5)
+    best = counted(terms_of).where((F.col("d") >= least) & rate).orderBy(F.desc("d"), "f").limit(8 * MAX_LEXICON).collect()
+    lexicon = choose_lexicon({r["f"]: r["d"] for r in best}, MAX_LEXICON)
     scanner = Scanner(Lexicon(lexicon))
-    # at most three features a term
-    counts = {r["f"]: (r["p"], r["n"]) for r in counted(scanner.features).collect()}
-    return lexicon, weigh(counts, lexicon, n_toxic, n_clean), prior
+    counts = {r["f"]: (r["p"], r["n"]) for r in counted(scanner.features).collect()}   # at most three features a term
+    return lexicon, *weigh(counts, lexicon, toxic_words, clean_words), prior
 
 
-def scores(docs: DataFrame, model: tuple[list[str], dict[str, float], float]) -> DataFrame:
+def scores(docs: DataFrame, model: Model) -> DataFrame:
     """``row`` (all columns of ``docs``), score, and the hits: array of (position, term, kind)."""
-    lexicon, weights, prior = model
+    lexicon, weights, per_word, prior = model
     shared = Scanner(Lexicon(lexicon))   # pickled with the function, a few hundred entries
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
         out, hits = [], []
         for t in texts:
-            found = shared.hits(t)
-            features = {f"{term} {kind}" for _, term, kind in found} or {"none"}
-            z = prior + math.fsum(weights.get(f, 0.0) for f in features)
+            found, n_words = shared.hits(t), len(t.split()) if t else 0
+            z = prior + per_word * n_words + math.fsum(weights.get(f"{term} {kind}", 0.0) for _, term, kind in found)
             out.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
             hits.append([{"position": i, "term": term, "kind": kind} for i, term, kind in found])
         kind = pa.list_(pa.struct([("position", pa.int32()), ("term", pa.string()), ("kind", pa.string())]))
