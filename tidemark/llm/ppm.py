@@ -246,7 +246,7 @@ COUNTS = "r int, block int, hashes binary, n binary"
 
 def _counted_words(texts: list[bytes | None]) -> tuple[WordIds, np.ndarray, np.ndarray]:
     ids = WordIds()
-    flat, ends = word_arrays(texts, ids)
+    flat, ends = word_arrays([t.lower() if t else t for t in texts], ids)   # bytes.lower() changes A-Z only
     return ids, flat, ends
 
 

@@ -100,10 +100,12 @@ def links(spark: SparkSession, classes: DataFrame, max_bits: int = MAX_BITS, hot
     crowd = shared.where(F.col("n") > hot).select("fp", F.explode(F.element_at(flips, F.col("slot") + 1)).alias("x"))
     crowd = crowd.select(F.col("fp").alias("u"), F.col("fp").bitwiseXOR(F.col("x")).alias("hub")).distinct()
     crowd = written(spark, crowd, "simhash-hubs")
-    least = crowd.groupBy("hub").agg(F.min("u").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    stars = crowd.join(least.select("hub", "v"), "hub").where("u > v").select("u", "v")
-    if max_bits == 1:
-        stars = stars.where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 1)
+    if max_bits == 1:   # a hub links only if it is a class itself
+        stars = crowd.join(classes.select(F.col("fp").alias("hub")), "hub").where("u <> hub").select(
+            F.greatest("u", "hub").alias("u"), F.least("u", "hub").alias("v"))
+    else:
+        least = crowd.groupBy("hub").agg(F.min("u").alias("v"), F.count(F.lit(1)).alias("n")).where("n > 1")
+        stars = crowd.join(least.select("hub", "v"), "hub").where("u > v").select("u", "v")
     return pairs.unionByName(stars).distinct()
 
 
