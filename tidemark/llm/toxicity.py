@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +42,8 @@ MAX_LEXICON = 500
 EXACT, MISSPELT, QUOTED = "exact", "misspelt", "quoted"
 EDGE = " .,;:!?()[]{}<>|/\\*_~`'\"“”«»‘’„-"
 OPEN, CLOSE = "\"“«„‘", "\"”»“’"
-REPORTING = frozenset("said says wrote writes quoted quote called saying dit aécrit citait sagte schrieb zitierte "
+QUOTES = frozenset(OPEN)
+REPORTING = frozenset("said says wrote writes quoted quote called saying dit citait sagte schrieb zitierte "
                       "dijo escribió citó".split())
 CACHE_SIZE = 400_000
 
@@ -51,8 +53,11 @@ def bare(word: str) -> str:
 
 
 def terms_of(text: bytes | None) -> Counter:
-    """How often the words of a text and, with a star, the stems of its longer words occur."""
-    words = Counter(map(bare, text.decode().lower().split())) if text else Counter()
+    """How often the words of a text and, with a star, the stems of its longer words occur outside quotations."""
+    words = text.decode().lower().split() if text else []
+    if any(c in QUOTES for c in set(map(itemgetter(0), words))) or not REPORTING.isdisjoint(map(bare, words)):
+        words = [w for i, w in enumerate(words) if not Scanner.quoted(words, i)]
+    words = Counter(map(bare, words))
     out = Counter(words)
     for w, n in words.items():
         for k in STEMS:
