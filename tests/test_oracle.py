@@ -11,7 +11,7 @@ from tools.check_oracle import digest, duck
 ORACLES = oracle_sql()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(set(queries()) & set(ORACLES)))
 def test_query_matches_oracle(spark, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

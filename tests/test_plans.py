@@ -42,21 +42,13 @@ def test_scans_read_only_needed_columns(spark):
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_discount:double>" in plan
 
 
-def _large_state_costs(monkeypatch):
-    """The test tables' states are far below the split's size floor; plan as for a large state."""
-    from tidemark.operators import touched
-    monkeypatch.setattr(touched, "MIN_SPLIT_STATE_ROWS", 0)
-
-
-def test_hourly_batch_splits_off_the_untouched_state(spark, monkeypatch):
-    _large_state_costs(monkeypatch)
-    plan = _plan(S.q_latest_current_hourly(spark, SF))
+def test_hourly_batch_splits_off_the_untouched_state(spark):
+    plan = _plan(S.q_latest_current_hourly_split(spark, SF))
     assert "LeftAnti" in plan and "BroadcastHashJoin" in plan
 
 
-def test_hourly_merge_runs_its_full_outer_join_on_touched_keys_only(spark, monkeypatch):
-    _large_state_costs(monkeypatch)
-    plan = _plan(S.q_merge_current_hourly(spark, SF))
+def test_hourly_merge_runs_its_full_outer_join_on_touched_keys_only(spark):
+    plan = _plan(S.q_merge_current_hourly_split(spark, SF))
     assert "FullOuter" in plan and "LeftAnti" in plan and "BroadcastHashJoin" in plan
 
 

@@ -164,28 +164,6 @@ def test_hot_key_burst_is_cut_into_balanced_slices(spark):
     assert split.exceptAll(plain).count() == 0 and plain.exceptAll(split).count() == 0
 
 
-def test_scd2_layout_daily_commits_replay_and_time_travel(spark, literal_log, scratch):
-    from tidemark.sinks import commit_scd2_batch, read_scd2_state, read_scd2_table
-    root = f"{scratch}/scd2"
-    days = sorted({r[0] for r in literal_log.select("partition_date").distinct().collect()})
-    for i, d in enumerate(days, start=1):
-        late = commit_scd2_batch(spark, root, literal_log.filter(F.col("partition_date") == F.lit(d)), i)
-        assert late.count() == 0
-
-    def same(a, b):
-        return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-    assert same(read_scd2_table(spark, root), scd2_from_log(literal_log))
-    # time travel: version 3 is the table after the first three days
-    upto3 = literal_log.filter(F.col("partition_date") <= F.lit(days[2]))
-    assert same(read_scd2_table(spark, root, version=3), scd2_from_log(upto3))
-    # replaying batch 3 recomputes it from version 2 and changes nothing
-    commit_scd2_batch(spark, root, literal_log.filter(F.col("partition_date") == F.lit(days[2])), 3)
-    assert same(read_scd2_table(spark, root), scd2_from_log(literal_log))
-    state = read_scd2_state(spark, root)
-    assert state.count() == state.select("id").distinct().count() == 4  # one row per key that ever had an interval
-
-
 def test_fold_latest_equals_full_recompute_and_keeps_tombstones(spark, literal_log):
     from tidemark.operators import fold_latest
     days = sorted({r[0] for r in literal_log.select("partition_date").distinct().collect()})
@@ -199,24 +177,3 @@ def test_fold_latest_equals_full_recompute_and_keeps_tombstones(spark, literal_l
     late = spark.createDataFrame(literal_rows([(12, 3, "UPDATE", "2024-01-01 00:00:00")]), LOG_SCHEMA)
     _, current = fold_latest(state, late)
     assert current.filter("id = 3").count() == 0
-
-
-def test_scd2_layout_compaction_keeps_every_version(spark, literal_log, scratch):
-    from tidemark.sinks import commit_scd2_batch, compact_scd2_history, read_scd2_table
-    root = f"{scratch}/scd2"
-    days = sorted({r[0] for r in literal_log.select("partition_date").distinct().collect()})
-    before = {}
-    for i, d in enumerate(days, start=1):
-        commit_scd2_batch(spark, root, literal_log.filter(F.col("partition_date") == F.lit(d)), i)
-        before[i] = sorted(map(tuple, read_scd2_table(spark, root).collect()))
-        if i == 3:
-            assert compact_scd2_history(spark, root) == 3
-    for i in before:  # every version reads the same before and after the compaction
-        assert sorted(map(tuple, read_scd2_table(spark, root, version=i).collect())) == before[i]
-    assert compact_scd2_history(spark, root) == len(days)
-    full = scd2_from_log(literal_log)
-    got = read_scd2_table(spark, root)
-    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
-    # each compaction wrote only the batches since the previous one: the chunks partition the history
-    chunk_rows = sum(spark.read.parquet(f"{root}/compacted/upto={c}").count() for c in (3, len(days)))
-    assert chunk_rows == got.filter(~F.col("is_current")).count()

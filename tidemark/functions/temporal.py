@@ -19,16 +19,18 @@ _EPOCH_NTZ = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 def resolve_as_of(as_of: dt.date | str | None = None, latency: int | None = None) -> dt.date:
     """The logical run date.
 
-    ``as_of`` wins when given (string ``YYYY-MM-DD`` or date); otherwise today shifted by the signed
-    day offset ``latency`` (-4 = four days ago), which is how the specs express "the day to load".
+    ``as_of`` (string ``YYYY-MM-DD`` or date; default: today) shifted by the signed day offset ``latency``
+    (-4 = four days before), which is how the specs express "the day to load".
     """
-    if as_of is not None:
-        if isinstance(as_of, dt.datetime):
-            return as_of.date()
-        if isinstance(as_of, dt.date):
-            return as_of
-        return dt.date.fromisoformat(str(as_of))
-    return dt.date.today() + dt.timedelta(days=latency or 0)
+    if as_of is None:
+        day = dt.date.today()
+    elif isinstance(as_of, dt.datetime):
+        day = as_of.date()
+    elif isinstance(as_of, dt.date):
+        day = as_of
+    else:
+        day = dt.date.fromisoformat(str(as_of))
+    return day + dt.timedelta(days=int(latency or 0))
 
 
 def open_end(like: DataType | None = None) -> Column:

@@ -10,6 +10,8 @@ other op in ``after``; the change time is ``source.ts_ms`` in epoch milliseconds
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -63,17 +65,18 @@ def parse_envelopes(df: DataFrame, value_col: str, fields: StructType, seq_field
 
 
 def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructType = DEFAULT_FIELDS,
-                       ntz: bool = True, keep_raw: bool = False,
-                       seq_field: str | None = None) -> tuple[DataFrame, DataFrame]:
+                       ntz: bool = True, keep_raw: bool = False, seq_field: str | None = None,
+                       keys: Sequence[str] | None = None, parsed: bool = False) -> tuple[DataFrame, DataFrame]:
     """Flatten envelopes into ``(operation, action, <fields>, updated_timestamp, partition_date)``.
 
     Returns ``(good, quarantine)``.  Quarantine holds the raw text and a ``reason`` for malformed
-    JSON, null messages, unknown op codes (e.g. 't' truncate) and missing change times -- rows the
+    JSON, null messages, unknown op codes (e.g. 't' truncate), missing change times, missing row images and rows
+    without a key (one of ``keys``, by default the first field, is null or not of its type) -- rows the
     plain parse would have turned into all-null records.  ``partition_date`` is the event date, so a
     late change lands in its own (old) partition.  With ``seq_field`` (e.g. the log position ``lsn``)
     that ``source`` field is emitted as ``seq``, the tie-break for changes in the same millisecond.
     """
-    env = parse_envelopes(df, value_col, fields, seq_field)
+    env = df if parsed else parse_envelopes(df, value_col, fields, seq_field)   # parsed: df comes from parse_envelopes
     op = F.col("__op")
     image = F.when(op == "d", F.col("__before")).otherwise(F.col("__after"))
     ms = F.col("__source.ts_ms")
@@ -84,13 +87,17 @@ def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructTy
         action_from_op(op).alias("action"),
         *[image[f.name].alias(f.name) for f in fields.fields],
         ts.alias("updated_timestamp"),
+        image.alias("__image"),
         *([F.col(f"__source.{seq_field}").alias("seq")] if seq_field else []),
     ).withColumn("partition_date", F.to_date(F.col("updated_timestamp")))
 
     reason = (F.when(F.col("__raw").isNull(), F.lit("null message"))
               .when(F.col("operation").isNull(), F.lit("malformed envelope"))
               .when(F.col("action").isNull(), F.lit("unsupported op"))
-              .when(F.col("updated_timestamp").isNull(), F.lit("missing change time")))
+              .when(F.col("updated_timestamp").isNull(), F.lit("missing change time"))
+              .when(F.col("__image").isNull(), F.lit("missing row image")))
+    for key in keys or fields.names[:1]:
+        reason = reason.when(F.col(key).isNull(), F.lit("missing key"))
     flat = flat.withColumn("__reason", reason)
     good_cols = ["operation", "action", *[f.name for f in fields.fields], "updated_timestamp", "partition_date",
                  *(["seq"] if seq_field else [])]

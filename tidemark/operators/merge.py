@@ -14,8 +14,10 @@ join the whole table with the batch as one shuffle join.
 
 * ``merge_current``          SCD4 current table upkeep (update in place, close on delete).
 * ``merge_close_and_insert`` SCD4a upkeep (close the open version, insert the new one, stamp all
-                             rows with the run date).  ``archive_current`` is the frame appended to
-                             history before the rewrite.
+                             rows with the run date).
+
+Each has a form that also returns the rows its job appends to history: ``merge_current_with_history`` (the batch's
+deletes) and ``merge_close_and_insert_with_archive`` (the current table before the rewrite).
 """
 
 from __future__ import annotations
@@ -29,13 +31,14 @@ from pyspark.sql import functions as F
 from tidemark.functions.temporal import open_end, resolve_as_of
 from tidemark.functions.vocab import DELETE, INSERT, UPDATE
 from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key
-from tidemark.operators.touched import fits_broadcast, profile_keys, split_touched, touched_keys
+from tidemark.operators.scd import tie_columns
+from tidemark.operators.touched import fits_broadcast, profile_keys, same_keys, split_touched, touched_keys
 
 Keys = Sequence[str]
 
 
 def last_change_per_key(changes: DataFrame, keys: Keys, ts: str, tie: Keys) -> DataFrame:
-    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie]
+    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie_columns(changes, keys, ts, tie)]
     return latest_per_key(changes, keys, order)
 
 
@@ -45,7 +48,8 @@ def _split_open(current: DataFrame, sentinel: Column) -> tuple[DataFrame, DataFr
 
 
 def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
-                  ts: str = "updated_timestamp", tie: Keys = ("seq",), action: str = "action") -> DataFrame:
+                  ts: str = "updated_timestamp", tie: Keys = ("seq",), action: str = "action",
+                  min_state_rows: int | None = None) -> DataFrame:
     """SCD4 current upkeep, matched on key AND open target row.
 
     matched DELETE -> close (``valid_to`` = change time, ``action`` = DELETE), payload kept;
@@ -66,11 +70,12 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
                      F.col(ts).alias("__s_ts"), F.lit(True).alias("__s"))
     # the table's row count (an unfiltered count, cheap on columnar files) sizes the state for the split choice
     profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=current)
-    open_rows, untouched = split_touched(open_rows, keys, touched_keys(src, keys, profile, distinct=False))
+    open_rows, untouched = split_touched(open_rows, keys, touched_keys(src, keys, profile, distinct=False, min_state_rows=min_state_rows))
     if untouched is not None:
         closed_rows = closed_rows.unionByName(untouched)
     tgt = open_rows.withColumn("__t", F.lit(True))
-    j = tgt.join(src, on=list(keys), how="full_outer")
+    src = src.select(*[F.col(k).alias(f"__s_{k}") for k in keys], *[c for c in src.columns if c not in keys])
+    j = tgt.join(src, same_keys(keys, "__s_"), "full_outer")
 
     t_missing = F.col("__t").isNull()
     matched = F.col("__t") & F.col("__s")
@@ -79,7 +84,7 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
     take_src = t_missing | is_update
 
     merged = j.select(
-        *[F.col(k) for k in keys],
+        *[F.when(t_missing, F.col(f"__s_{k}")).otherwise(F.col(k)).alias(k) for k in keys],
         *[F.when(take_src, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) for c in payload],
         F.when(take_src | is_delete, F.col("__s_action_raw")).otherwise(F.col(action)).alias(action),
         F.when(take_src, F.col("__s_ts")).otherwise(F.col("valid_from")).alias("valid_from"),
@@ -88,9 +93,32 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
     return closed_rows.unionByName(merged)
 
 
-def archive_current(current: DataFrame) -> DataFrame:
-    """The SCD4a archive step: the whole current table as it is before the rewrite."""
-    return current
+def delete_history(changes: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp", tie: Keys = ("seq",),
+                   action: str = "action", as_of: dt.date | str | None = None,
+                   date_column: str = "partition_date") -> DataFrame:
+    """The history half of the SCD4 upkeep: every DELETE of the batch as an open-ended history row stamped with the
+    run date.  Output: keys, payload, action, valid_from, valid_to, date_column."""
+    payload = [c for c in changes.columns if c not in {*keys, *tie, ts, action, date_column}]
+    return (changes.filter(F.upper(F.col(action)) == DELETE)
+            .select(*keys, *payload, action, F.col(ts).alias("valid_from"), open_end(changes.schema[ts].dataType).alias("valid_to"),
+                    F.lit(resolve_as_of(as_of)).alias(date_column)))
+
+
+def merge_current_with_history(current: DataFrame, changes: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp",
+                               tie: Keys = ("seq",), action: str = "action", as_of: dt.date | str | None = None,
+                               date_column: str = "partition_date") -> tuple[DataFrame, DataFrame]:
+    """``(new current, rows to append to history)``: both halves of the SCD4 upkeep."""
+    return (merge_current(current, changes, keys, ts, tie, action),
+            delete_history(changes, keys, ts, tie, action, as_of, date_column))
+
+
+def merge_close_and_insert_with_archive(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
+                                        ts: str = "updated_timestamp", tie: Keys = ("seq",), action: str = "action",
+                                        as_of: dt.date | str | None = None,
+                                        date_column: str = "partition_date") -> tuple[DataFrame, DataFrame]:
+    """``(new current, rows to append to history)``: the SCD4a upkeep.  The archive is the whole current table as it
+    was before; append it before the current table is replaced."""
+    return merge_close_and_insert(current, changes, keys, ts, tie, action, as_of, date_column), current
 
 
 def merge_close_and_insert(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
@@ -114,10 +142,10 @@ def merge_close_and_insert(current: DataFrame, changes: DataFrame, keys: Keys =
 
     src = last_change_per_key(changes, keys, ts, tie)
     s_action = F.upper(F.col("__s_action"))
-    probe = src.select(*[F.col(k) for k in keys], F.col(action).alias("__s_action"), F.col(ts).alias("__s_ts"))
+    probe = src.select(*[F.col(k).alias(f"__s_{k}") for k in keys], F.col(action).alias("__s_action"), F.col(ts).alias("__s_ts"))
     if fits_broadcast(profile_keys(changes, keys, DEFAULT_SPLIT_ROWS)):
         probe = F.broadcast(probe)
-    closed_now = (open_rows.join(probe, on=list(keys), how="left")
+    closed_now = (open_rows.join(probe, same_keys(keys, "__s_"), "left")
                   .select(*[F.col(k) for k in keys], *payload,
                           F.when(s_action == DELETE, F.col("__s_action")).otherwise(F.col(action)).alias(action),
                           F.col("valid_from"),

@@ -8,12 +8,17 @@ A change log has one row per change: business key column(s), payload columns, an
 * ``fold_latest``      the same state maintained incrementally: previous state + one batch
                        (``current_of_state`` reads the current table off a written state).
 * ``scd2_from_log``    SCD2 intervals: each non-delete change opens ``[ts, next change ts)``.
-* ``scd2_apply``       incremental SCD2: close open rows touched by a batch and add the batch's
+* ``scd2_step``        incremental SCD2 from a state (last change per key): the intervals a batch closes, the
+                       new state and the late rows; equal to ``scd2_from_log`` for any batching.
+* ``scd2_apply``       incremental SCD2 on a table: close open rows touched by a batch and add the batch's
                        intervals, chaining several changes of one key inside the batch.
 * ``scd2_init``        bootstrap an SCD2 table from a plain table (every row open).
 * ``as_of_view``       point-in-time rows of an SCD2 table.
 * ``snapshot_current`` SCD4a current: live rows of one snapshot day stamped with the run date.
 * ``stamp_partition``  bronze -> history: re-derive ``partition_date`` from the change time.
+
+A null key is a key like any other: all grouping is null-safe, and so are the joins.  Where no ``tie`` columns
+are given, changes of one instant are ordered by all their other columns, so results stay the same on reruns.
 """
 
 from __future__ import annotations
@@ -21,13 +26,13 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import day_window_filter, open_end, resolve_as_of
 from tidemark.functions.vocab import DELETE, LIVE_ACTIONS
-from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, latest_per_key, next_in_key
-from tidemark.operators.touched import profile_keys, split_touched, touched_keys
+from tidemark.operators.sequence import DEFAULT_SPLIT_ROWS, MAX_BROADCAST_HOT_KEYS, hot_keys, latest_per_key, next_in_key
+from tidemark.operators.touched import KeyProfile, profile_keys, same_keys, split_touched, touched_keys
 
 Keys = Sequence[str]
 
@@ -56,13 +61,14 @@ def latest_current(hist: DataFrame, keys: Keys = ("id",), ts: str = "updated_tim
     df = hist
     if as_of is not None:
         df = df.filter(day_window_filter(F.col(date_column), resolve_as_of(as_of), "le"))
-    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie]
+    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie_columns(df, keys, ts, tie)]
     out = latest_per_key(df, keys, order).filter(_is_live(action))
     return out if keep_tie else out.drop(*tie)
 
 
 def fold_latest(state: DataFrame | None, changes: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp",
-                tie: Keys = ("seq",), action: str = "action") -> tuple[DataFrame, DataFrame]:
+                tie: Keys = ("seq",), action: str = "action",
+                min_state_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Incremental SCD4 current: returns ``(new_state, current)``.
 
     ``state`` holds the last change of every key seen so far, deletes included (a tombstone keeps
@@ -74,12 +80,15 @@ def fold_latest(state: DataFrame | None, changes: DataFrame, keys: Keys = ("id",
     When the batch touches a small share of the state's keys (see ``touched``), only the state rows of
     those keys are shuffled: the other rows are split off by a map-side anti join and kept as they are.
     """
-    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie]
+    order = [F.col(ts).desc()] + [F.col(c).desc() for c in tie_columns(changes, keys, ts, tie)]
+    if state is not None and set(state.columns) != set(changes.columns):
+        raise ValueError(f"state and changes differ in columns: {sorted(set(state.columns) ^ set(changes.columns))}")
     if state is None:
         new_state = latest_per_key(changes, keys, order)
     else:
         changes = changes.select(*state.columns)
-        touched = touched_keys(changes, keys, profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=state))
+        touched = touched_keys(changes, keys, profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=state),
+                               min_state_rows=min_state_rows)
         hit, rest = split_touched(state, keys, touched)
         new_state = latest_per_key(hit.unionByName(changes), keys, order)
         if rest is not None:
@@ -92,6 +101,14 @@ def current_of_state(state: DataFrame, tie: Keys = ("seq",), action: str = "acti
     return state.filter(_is_live(action)).drop(*tie)
 
 
+def tie_columns(df: DataFrame, keys: Keys, ts: str, tie: Keys) -> list[str]:
+    """``tie``, or every other orderable column of ``df`` in the order of names."""
+    if tie:
+        return list(tie)
+    return sorted(f.name for f in df.schema.fields if f.name not in {*keys, ts}
+                  and f.dataType.typeName() not in ("map", "variant"))
+
+
 def _payload(df: DataFrame, keys: Keys, ts: str, tie: Keys, drop: Keys) -> list[str]:
     skip = set(keys) | {ts} | set(tie) | set(drop)
     return [c for c in df.columns if c not in skip]
@@ -127,10 +144,77 @@ def scd2_init(df: DataFrame, ts: str = "updated_timestamp", keys: Keys = ("id",)
     return out
 
 
+def scd2_step(state: DataFrame | None, batch: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp",
+              tie: Keys = ("seq",), split_rows: int = DEFAULT_SPLIT_ROWS,
+              profile: KeyProfile | None = None) -> DataFrame:
+    """One batch of changes against the last applied change of every key.
+
+    ``state`` and ``batch`` have the same columns (keys, payload, action, ``ts``, ``tie``); ``state`` has one row per
+    key, deletes included, so a delete of an unknown key is remembered too.  Returns their rows with ``__next``, the
+    time of the key's next change, and ``__late``: a batch row that is not after the key's last applied change in
+    (``ts``, ``tie``) is late (or a replay) and takes no part.  From the others,
+
+    * a live row with a next change is an interval this batch closes;
+    * a row without a next change is the key's new state (live: an open interval).
+
+    The union is shuffled once by key.  Keys with more than ``split_rows`` batch rows are cut into slices
+    (``sequence.next_in_key``), and their state row is joined to them instead.
+    """
+    order = tie_columns(batch, keys, ts, tie)
+    position = F.struct(F.col(ts), *[F.col(c) for c in order])
+    if profile is None:
+        profile = profile_keys(batch, keys, split_rows)
+    if state is None:
+        return (next_in_key(batch, keys, ts, order, "__next", split_rows, profile=profile)
+                .withColumn("__late", F.lit(False)))
+    state = state.select(*batch.columns)
+    cold_state, cold_batch, parts = state, batch, []
+    if profile.hot:
+        hot = hot_keys(batch, keys, split_rows).select(*keys)
+        hot = F.broadcast(hot) if profile.hot <= MAX_BROADCAST_HOT_KEYS else hot
+        hot_state, cold_state = split_touched(state, keys, hot)
+        hot_batch, cold_batch = split_touched(batch, keys, hot)
+        last = hot_state.select(*[F.col(k).alias(f"__s_{k}") for k in keys], position.alias("__applied"))
+        last = F.broadcast(last) if profile.hot <= MAX_BROADCAST_HOT_KEYS else last
+        marked = hot_batch.join(last, same_keys(keys, "__s_"), "left")
+        is_late = F.coalesce(position <= F.col("__applied"), F.lit(False))
+        marked = marked.withColumn("__late", is_late).select(*batch.columns, "__late")
+        live = hot_state.unionByName(marked.filter(~F.col("__late")).drop("__late"))
+        parts += [next_in_key(live, keys, ts, order, "__next", split_rows).withColumn("__late", F.lit(False)),
+                  marked.filter("__late").withColumn("__next", F.lit(None).cast(batch.schema[ts].dataType))]
+    by_key = Window.partitionBy(*keys)
+    both = (cold_state.withColumn("__old", F.lit(True)).unionByName(cold_batch.withColumn("__old", F.lit(False)))
+            .withColumn("__applied", F.max(F.when(F.col("__old"), position)).over(by_key))
+            .withColumn("__late", ~F.col("__old") & F.coalesce(position <= F.col("__applied"), F.lit(False))))
+    in_order = by_key.orderBy(F.col("__late").desc(), F.col(ts), *[F.col(c) for c in order])
+    both = (both.withColumn("__next", F.when(~F.col("__late"), F.lead(ts).over(in_order)))
+            .select(*batch.columns, "__next", "__late"))
+    for p in parts:
+        both = both.unionByName(p)
+    return both
+
+
+def closed_intervals(stepped: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp", tie: Keys = ("seq",),
+                     action: str = "action", drop: Keys = ("partition_date",)) -> DataFrame:
+    """The intervals that a ``scd2_step`` closed."""
+    payload = _payload(stepped, keys, ts, tie, [*drop, "__next", "__late"])
+    return (stepped.filter(~F.col("__late") & F.col("__next").isNotNull() & ~_is_delete(action))
+            .select(*keys, *payload, F.col(ts).alias("valid_from"), F.col("__next").alias("valid_to"), F.lit(False).alias("is_current")))
+
+
+def open_intervals(state: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp", tie: Keys = ("seq",),
+                   action: str = "action", drop: Keys = ("partition_date",)) -> DataFrame:
+    """The open intervals of a state (last change per key): its live rows."""
+    payload = _payload(state, keys, ts, tie, drop)
+    return (state.filter(~_is_delete(action))
+            .select(*keys, *payload, F.col(ts).alias("valid_from"), _open(state, ts).alias("valid_to"), F.lit(True).alias("is_current")))
+
+
 def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
                ts: str = "updated_timestamp", tie: Keys = ("seq",), action: str = "action",
                drop: Keys = ("partition_date",), split_rows: int = DEFAULT_SPLIT_ROWS,
-               close_only: bool = False, origin_col: str | None = None) -> tuple[DataFrame, DataFrame]:
+               close_only: bool = False, state: DataFrame | None = None,
+               date_column: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Apply one batch of changes to an SCD2 table; returns ``(new_table, late)``.
 
     * closed target rows pass through untouched;
@@ -138,69 +222,101 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
     * every non-delete batch change opens an interval closed by the key's next batch change
       (so several changes per key per batch chain instead of duplicating), unless ``close_only``;
     * a re-insert of a live key is treated as an update (close + open).
-    Changes not newer than the key's last applied change (``valid_from`` of any row or ``valid_to``
-    of a closed one) are already applied or late: they are left out and returned in ``late``.  This
-    makes replaying a batch a no-op.
-
-    Target rows of keys without a change in the batch are split off by a map-side anti join when the
-    batch's key set is broadcastable and touches a small share of the target (``touched``); only the
-    rest of the target is then joined and shuffled.  One small job profiles the batch's keys and the
-    target's size for that choice and for the hot-key check of the interval chaining.
-
-    With ``origin_col`` each output row says where it comes from: ``untouched`` (a target row of a key
-    the batch does not change, when split off), ``kept`` (another closed target row passed through),
-    ``target`` (an open target row, closed now or still open) or ``batch`` (a new interval).
+
+    Changes that are not after the key's last applied change are already applied or late: they are left out and
+    returned in ``late``, so replaying a batch is a no-op.  With ``state`` (``fold_latest``'s last change per key, deletes
+    and ``tie`` included) "after" means (``ts``, ``tie``), and the result equals ``scd2_from_log`` for any batching.  A table
+    alone knows neither the tie of its last change nor deletes that closed nothing: then "after" means a later ``ts``.
+
+    ``date_column`` adds the date of ``valid_from`` (the run's partition column).  Target rows of keys without a change in
+    the batch are split off by a map-side anti join when that pays off (``touched``).  The others and the batch
+    are shuffled once, together; keys with more than ``split_rows`` batch rows take joins and sliced windows instead.
     """
     payload = _payload(batch, keys, ts, tie, drop)
+    if date_column:
+        payload = [c for c in payload if c != date_column]
     sentinel = _open(batch, ts)
-    out_cols = [*keys, *payload, "valid_from", "valid_to", "is_current"]
+    order = tie_columns(batch.select(*keys, *payload, ts, *tie), keys, ts, tie)
     changes = batch.select(*keys, *payload, ts, *tie)
-    profile = profile_keys(changes, keys, split_rows, state=target) if target is not None or not close_only else None
 
-    untouched = None
+    def finish(table: DataFrame) -> DataFrame:
+        table = table.select(*keys, *payload, "valid_from", "valid_to").withColumn("is_current", F.col("valid_to") == sentinel)
+        return table.withColumn(date_column, F.to_date("valid_from")) if date_column else table
+
+    def opened(rows: DataFrame) -> DataFrame:
+        return rows.filter(~_is_delete(action)).select(*keys, *payload, F.col(ts).alias("valid_from"),
+                                                       F.coalesce(F.col("__next"), sentinel).alias("valid_to"))
+
     if target is None:
-        fresh, late = changes, changes.limit(0)
-        open_rows = closed_rows = None
-    else:
-        tgt = target.select(*keys, *payload, "valid_from", "valid_to")
-        tgt, untouched = split_touched(tgt, keys, touched_keys(changes, keys, profile))
+        new = next_in_key(changes, keys, ts, order, "__next", split_rows)
+        return finish(opened(new) if not close_only else opened(new).limit(0)), changes.limit(0)
+
+    profile = profile_keys(changes, keys, split_rows, state=target)
+    tgt = target.select(*keys, *payload, "valid_from", "valid_to")
+    touched = touched_keys(changes, keys, profile)
+    tgt, untouched = split_touched(tgt, keys, touched)
+    position = F.struct(F.col(ts), *[F.col(c) for c in order])
+    known = None
+    if state is not None:
+        known = split_touched(state.select(*keys, position.alias("__position")), keys, touched)[0]
+    # the last applied position that a row tells of; the table's rows leave the tie open
+    nothing = [F.lit(None).cast(changes.schema[c].dataType).alias(c) for c in order]
+    seen_ts = F.greatest(F.col("valid_from"), F.when(F.col("valid_to") != sentinel, F.col("valid_to")))
+    tgt_seen = tgt.withColumn("__position", F.struct(seen_ts.alias(ts), *nothing))
+
+    def late_than(applied: Column) -> Column:
+        after = position > applied if state is not None else F.col(ts) > applied[ts]
+        return ~F.coalesce(after, F.lit(True))
+
+    parts, lates = [] if untouched is None else [untouched], []
+    if profile.hot:   # rows of keys that are too many for one task
+        hot = hot_keys(changes, keys, split_rows).select(*keys)
+        hot = F.broadcast(hot) if profile.hot <= MAX_BROADCAST_HOT_KEYS else hot
+        hot_tgt, tgt_seen = split_touched(tgt_seen, keys, hot)
+        hot_changes, changes = split_touched(changes, keys, hot)
+        seen = hot_tgt.select(*keys, "__position")
+        if known is not None:
+            seen, known = split_touched(known, keys, hot)
+        seen = seen.groupBy(*keys).agg(F.max("__position").alias("__applied"))
+        seen = seen.select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__applied")
+        marked = hot_changes.join(seen, same_keys(keys, "__s_"), "left").withColumn("__late", late_than(F.col("__applied")))
+        marked = marked.select(*hot_changes.columns, "__late")
+        fresh = marked.filter(~F.col("__late")).drop("__late")
+        first = fresh.groupBy(*keys).agg(F.min(ts).alias("__first")).select(*[F.col(k).alias(f"__s_{k}") for k in keys], "__first")
         is_open = F.col("valid_to") == sentinel
-        # last applied change time per key; one row per key, built with a partial aggregate
-        applied = tgt.groupBy(*keys).agg(
-            F.max(F.greatest(F.col("valid_from"), F.when(~is_open, F.col("valid_to")))).alias("__applied"))
-        marked = changes.join(applied, on=list(keys), how="left")
-        is_new = F.col("__applied").isNull() | (F.col(ts) > F.col("__applied"))
-        fresh = marked.filter(is_new).drop("__applied")
-        late = marked.filter(~is_new).drop("__applied")
-        open_rows = tgt.filter(is_open)
-        closed_rows = tgt.filter(~is_open)
-
-    parts: list[DataFrame] = []
-    if untouched is not None:
-        parts.append(untouched.withColumn(origin_col, F.lit("untouched")) if origin_col else untouched)
-    if open_rows is not None:
-        first_change = fresh.groupBy(*keys).agg(F.min(F.col(ts)).alias("__first"))
-        touched = (open_rows.join(first_change, on=list(keys), how="left")
-                   .withColumn("valid_to", F.coalesce(F.col("__first"), F.col("valid_to")))
-                   .drop("__first"))
-        if origin_col:
-            closed_rows = closed_rows.withColumn(origin_col, F.lit("kept"))
-            touched = touched.withColumn(origin_col, F.lit("target"))
-        parts += [closed_rows, touched]
-    if not close_only:
-        chained = next_in_key(fresh, keys, ts, tie, "__next", split_rows, probe=changes, profile=profile)
-        opened = (chained.filter(~_is_delete(action))
-                  .select(*keys, *payload, F.col(ts).alias("valid_from"),
-                          F.coalesce(F.col("__next"), sentinel).alias("valid_to")))
-        if origin_col:
-            opened = opened.withColumn(origin_col, F.lit("batch"))
-        parts.append(opened)
-
-    result = parts[0]
+        parts.append(hot_tgt.join(first, same_keys(keys, "__s_"), "left").withColumn(
+            "valid_to", F.when(is_open, F.coalesce("__first", "valid_to")).otherwise(F.col("valid_to"))).select(*keys, *payload, "valid_from", "valid_to"))
+        if not close_only:
+            parts.append(opened(next_in_key(fresh, keys, ts, order, "__next", split_rows)))
+        lates.append(marked.filter("__late").drop("__late"))
+
+    # table rows, batch rows and (with a state) the keys' last positions, each with what it lacks as null
+    both = tgt_seen.withColumn("__kind", F.lit("table")).unionByName(changes.withColumn("__kind", F.lit("batch")), allowMissingColumns=True)
+    if known is not None:
+        both = both.withColumn("__position", F.lit(None).cast(tgt_seen.schema["__position"].dataType)).unionByName(
+            known.withColumn("__kind", F.lit("state")), allowMissingColumns=True)
+    by_key = Window.partitionBy(*keys)
+    both = (both.withColumn("__applied", F.max("__position").over(by_key))
+            .withColumn("__late", (F.col("__kind") == "batch") & late_than(F.col("__applied")))
+            .withColumn("__fresh", (F.col("__kind") == "batch") & ~F.col("__late"))
+            .withColumn("__first", F.min(F.when(F.col("__fresh"), F.col(ts))).over(by_key))
+            .withColumn("__next", F.lead(ts).over(by_key.orderBy("__fresh", F.col(ts), *[F.col(c) for c in order]))))
+    rows = both.filter("__kind = 'table' OR __fresh")
+    is_new = F.col("__fresh")
+    if close_only:
+        rows = rows.filter(~is_new)
+    closes = (F.col("valid_to") == sentinel) & F.col("__first").isNotNull()
+    parts.append(rows.filter(~is_new | ~_is_delete(action)).select(
+        *keys, *payload, F.when(is_new, F.col(ts)).otherwise(F.col("valid_from")).alias("valid_from"),
+        F.when(is_new, F.coalesce("__next", sentinel)).when(closes, F.col("__first")).otherwise(F.col("valid_to")).alias("valid_to")))
+    lates.append(both.filter("__late").select(*changes.columns))
+
+    result, late = parts[0], lates[0]
     for p in parts[1:]:
         result = result.unionByName(p)
-    result = result.withColumn("is_current", F.col("valid_to") == sentinel)
-    return result.select(*out_cols, *([origin_col] if origin_col else [])), late
+    for p in lates[1:]:
+        late = late.unionByName(p)
+    return finish(result), late
 
 
 def as_of_view(scd2: DataFrame, at: dt.datetime | str | Column) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.touched import KeyProfile, profile_keys
+from tidemark.operators.touched import KeyProfile, profile_keys, same_keys, split_touched
 from tidemark.session import scratch_path
 
 # A (key, slice) group is kept below roughly this many rows.
@@ -63,7 +63,7 @@ def hot_slices(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str],
     if n_hot <= MAX_BROADCAST_HOT_KEYS:
         hot_side = F.broadcast(hot_side)
     n_slices = max(2, math.ceil(hot_rows / split_rows))
-    return (df.join(hot_side, on=list(keys), how="left_semi")
+    return (split_touched(df, keys, hot_side)[0]
             .repartitionByRange(n_slices, *_cols(keys), F.col(ts), *_cols(tie))
             .withColumn("__slice", F.spark_partition_id()))
 
@@ -92,7 +92,7 @@ def next_in_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str],
     hot_side = hot.select(*keys)
     if n_hot <= MAX_BROADCAST_HOT_KEYS:
         hot_side = F.broadcast(hot_side)
-    cold = (df.join(hot_side, on=list(keys), how="left_anti")
+    cold = (split_touched(df, keys, hot_side)[1]
             .select(*_cols(df.columns), F.lead(F.col(ts)).over(w).alias(out)))
 
     staged = scratch_path(df.sparkSession, "hot-slices")
@@ -104,6 +104,7 @@ def next_in_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str],
     heads = within.groupBy(*_cols(keys), F.col("__slice")).agg(F.min(F.col(ts)).alias("__head"))
     w_heads = Window.partitionBy(*_cols(keys)).orderBy(F.col("__slice"))
     heads = heads.select(*_cols(keys), F.col("__slice"), F.lead(F.col("__head")).over(w_heads).alias("__after"))
-    warm = (within.join(heads, on=list(keys) + ["__slice"], how="left")
+    heads = heads.select(*[F.col(k).alias(f"__h_{k}") for k in [*keys, "__slice"]], "__after")
+    warm = (within.join(heads, same_keys([*keys, "__slice"], "__h_"), "left")
             .select(*_cols(df.columns), F.coalesce(F.col("__next"), F.col("__after")).alias(out)))
     return cold.unionByName(warm)

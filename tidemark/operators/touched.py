@@ -23,7 +23,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The batch's key set is broadcast only while it has at most this many distinct keys.
@@ -64,27 +64,39 @@ def fits_broadcast(profile: KeyProfile) -> bool:
     return profile.keys <= MAX_BROADCAST_KEYS
 
 
-def worth_splitting(profile: KeyProfile) -> bool:
+def worth_splitting(profile: KeyProfile, min_state_rows: int | None = None) -> bool:
     """Broadcastable key set that touches a small share of a large state."""
+    floor = MIN_SPLIT_STATE_ROWS if min_state_rows is None else min_state_rows
     return fits_broadcast(profile) and (profile.state_rows is None
-                                        or (profile.state_rows >= MIN_SPLIT_STATE_ROWS
+                                        or (profile.state_rows >= floor
                                             and profile.keys <= MAX_TOUCHED_SHARE * profile.state_rows))
 
 
 def touched_keys(changes: DataFrame, keys: Sequence[str], profile: KeyProfile,
-                 distinct: bool = True) -> DataFrame | None:
+                 distinct: bool = True, min_state_rows: int | None = None) -> DataFrame | None:
     """The batch's keys for a broadcast split, or ``None`` when the split does not pay off.
-    ``distinct=False`` when ``changes`` already has one row per key."""
-    if not worth_splitting(profile):
+    ``distinct=False`` when ``changes`` already has one row per key; ``min_state_rows`` replaces the floor."""
+    if not worth_splitting(profile, min_state_rows):
         return None
     ks = changes.select(*keys)
     return F.broadcast(ks.distinct() if distinct else ks)
 
 
+def same_keys(keys: Sequence[str], prefix: str) -> Column:
+    """Join condition: each key equals the other side's column of the same name with ``prefix``, null equal to null."""
+    cond = None
+    for k in keys:
+        one = F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+        cond = one if cond is None else cond & one
+    return cond
+
+
 def split_touched(table: DataFrame, keys: Sequence[str],
                   touched: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-    """``(rows of touched keys, rows of other keys)``; without a key set every row counts as touched."""
+    """``(rows of touched keys, rows of other keys)``; without a key set every row counts as touched.  A null key
+    is a key like any other."""
     if touched is None:
         return table, None
-    return (table.join(touched, on=list(keys), how="left_semi"),
-            table.join(touched, on=list(keys), how="left_anti"))
+    other = touched.select(*[F.col(k).alias(f"__touched_{k}") for k in keys])
+    cond = same_keys(keys, "__touched_")
+    return table.join(other, cond, "left_semi"), table.join(other, cond, "left_anti")

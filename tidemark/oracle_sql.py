@@ -140,3 +140,63 @@ SELECT id, name, email, action, updated_timestamp, partition_date, 'copy' AS sin
 FROM customer c JOIN orders o ON o.o_custkey = c.c_custkey JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 GROUP BY c.c_custkey, c.c_name ORDER BY revenue DESC, c.c_custkey LIMIT 10""",
 }
+
+COARSE_LOG = """clog AS (
+  SELECT CASE WHEN id % 17 = 0 THEN NULL ELSE id END AS id, name, email, action, seq, partition_date,
+         date_trunc('day', updated_timestamp) + to_hours(CAST(floor(hour(updated_timestamp) / 6) * 6 AS INT)) AS updated_timestamp
+  FROM log)"""
+MERGED = ORACLES["merge_current"].split("tgt", 1)[1].split("WHERE rn = 1)\nSELECT", 1)[1]
+CLOSED = ORACLES["merge_close_and_insert"].split("WHERE rn = 1)\n", 1)[1]
+SIDE_COLUMNS = "id, name, email, action, valid_from, valid_to"
+TILL_15 = "SELECT id, name, email, action, updated_timestamp, partition_date"
+
+ORACLES |= {
+    "latest_current_hourly_split": ORACLES["latest_current_hourly"],
+    "scd2_hourly_commit_split": ORACLES["scd2_hourly_commit"],
+    "merge_current_hourly_split": ORACLES["merge_current_hourly"],
+    "scd2_any_batching": f"WITH {LOG}, {COARSE_LOG} " + SCD2.replace("FROM log", "FROM clog"),
+    "scd2_late_rows": f"""WITH {LOG}, last AS (
+  SELECT id, max({{'t': updated_timestamp, 's': seq}}) AS p FROM log WHERE day(partition_date) % 2 = 0 GROUP BY id)
+SELECT log.id, name, email, action, updated_timestamp, seq FROM log JOIN last ON last.id = log.id
+WHERE day(partition_date) % 2 = 1 AND {{'t': updated_timestamp, 's': seq}} <= p""",
+    "scd2_apply_state": f"""WITH {LOG}, {COARSE_LOG}, part AS (
+  SELECT * FROM clog WHERE partition_date >= DATE '2024-01-15' OR seq % 2 = 0)
+SELECT *, CAST(valid_from AS DATE) AS partition_date FROM ({SCD2.replace("FROM log", "FROM part")}) x""",
+    "scd2_close_only": f"""WITH {LOG}, old AS ({SCD2.replace("FROM log", "FROM log WHERE partition_date <= DATE '2024-01-14'")}),
+first AS (SELECT id, min(updated_timestamp) AS t FROM log WHERE partition_date = DATE '2024-01-15' GROUP BY id)
+SELECT old.id, name, email, action, valid_from, CASE WHEN is_current THEN coalesce(t, valid_to) ELSE valid_to END AS valid_to,
+       is_current AND t IS NULL AS is_current
+FROM old LEFT JOIN first ON first.id = old.id""",
+    "scd2_init": f"""WITH {LOG} SELECT id, name, email, action, updated_timestamp AS valid_from, {OPEN} AS valid_to, true AS is_current,
+  DATE '2024-01-15' AS partition_date FROM log""",
+    "merge_current_with_history": f"""WITH {LOG}, {MERGE_INPUTS}, cur AS (SELECT {MERGED})
+SELECT {SIDE_COLUMNS}, 'current' AS side FROM cur
+UNION ALL
+SELECT id, name, email, action, updated_timestamp, {OPEN}, 'history' FROM log
+WHERE partition_date = DATE '2024-01-15' AND action = 'DELETE'""",
+    "merge_close_and_insert_with_archive": f"""WITH {LOG}, {MERGE_INPUTS}, cur AS ({CLOSED})
+SELECT {SIDE_COLUMNS}, 'current' AS side FROM cur
+UNION ALL
+SELECT {SIDE_COLUMNS}, 'history' FROM tgt""",
+    "scd4_multi_batch_day": f"""WITH {LOG} {TILL_15}, 'hist' AS sink FROM log WHERE partition_date <= DATE '2024-01-15'
+UNION ALL {TILL_15}, 'current' FROM ({LATEST}) c""",
+    "catalog_kinds": f"""WITH {LOG}, kinds AS (SELECT unnest(['scd2', 'scd4_hist', 'scd4a_hist']) AS kind)
+SELECT log.*, kind FROM log, kinds WHERE partition_date IN (DATE '2024-01-14', DATE '2024-01-15')
+UNION ALL
+SELECT log.*, kind FROM log, (SELECT unnest(['scd4_current', 'scd4a_current']) AS kind) k WHERE partition_date = DATE '2024-01-15'""",
+    "csv_to_table": """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
+    "sql_partition_scan": f"""WITH {LOG}
+SELECT c_mktsegment, action, count(*) AS n_changes, count(DISTINCT id) AS n_customers
+FROM log JOIN customer ON c_custkey = id WHERE partition_date = DATE '2024-01-15' GROUP BY 1, 2""",
+    "run_spec_more_steps": """WITH top AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS seg
+  FROM customer ORDER BY c_custkey LIMIT 100),
+segs AS (SELECT DISTINCT k, coalesce(seg, 'none') AS seg FROM (
+  SELECT c_custkey AS k, c_mktsegment AS seg FROM customer WHERE c_custkey % 5 <> 0 AND c_mktsegment IS NOT NULL UNION ALL SELECT * FROM top) u)
+SELECT seg, status, count(*) AS n FROM (SELECT DISTINCT o_custkey AS k, o_orderstatus AS status FROM orders) o JOIN segs USING (k) GROUP BY 1, 2""",
+    "spec_file": "SELECT o_orderstatus AS grp, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1",
+    "run_stream_spec": ORACLES["stream_to_bronze"],
+    "stream_to_bronze_quarantine": """SELECT props AS raw, 'malformed envelope' AS reason FROM events
+UNION ALL SELECT concat('{"op":"d","source":{"ts_ms":1},"seq":', event_id, '}'), 'missing row image' FROM events""",
+    "append_history": f"WITH {LOG} SELECT * FROM log",
+}
+ORACLES["scd4_multi_batch_day_state"] = ORACLES["scd4_multi_batch_day"]

@@ -12,7 +12,8 @@
   under ``view_name``) and replaces the current frame with the query result.
 * A transform may instead be a callable ``f(frames, ctx) -> frames`` or the dotted path of one
   (a class taking ``frames`` with a ``transform()`` method is accepted too).
-* Load entries pick a writer by ``type``; a frame read by several sinks is persisted once.
+* Load entries pick a writer by ``type``; a frame read by several sinks is computed once.  Arguments that a reader, step or
+  writer does not know are errors.
 * The spec is never mutated, so one spec can be run any number of times.
 """
 
@@ -21,25 +22,29 @@ from __future__ import annotations
 import copy
 import datetime as dt
 import importlib
+import inspect
 import json
+import re
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import resolve_as_of
-from tidemark.operators.scd import current_of_state, fold_latest, latest_current
-from tidemark.session import path_exists
-from tidemark.sinks import TABLE_KINDS, write_files, write_table
-from tidemark.sinks.state_layout import commit_state_version, read_state_version
+from tidemark.operators.scd import current_of_state, latest_current
+from tidemark.session import path_exists, scratch_path
+from tidemark.sinks import TABLE_KINDS, fold_state, write_files, write_table
 from tidemark.sources import READERS
 
 Frames = dict[str, DataFrame]
 
 
+_PARAMETER = re.compile(r"""'(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*"|`[^`]*`|(?<![\w:]):as_of\b""")
+
+
 def _bind(text: str, as_of: dt.date) -> str:
-    return text.replace(":as_of", f"DATE '{as_of.isoformat()}'")
+    """The run date for the parameter ``:as_of``; literals, quoted names and longer names stay as they are."""
+    return _PARAMETER.sub(lambda m: f"DATE '{as_of.isoformat()}'" if m[0] == ":as_of" else m[0], text)
 
 
 def _expr(text: str | Column, as_of: dt.date) -> Column:
@@ -73,13 +78,20 @@ def _select_expr(ctx, df, exprs):
 
 
 def _sql(ctx, df, query, view_name):
+    """Frames and the current frame are views while the query is analysed; views they shadow come back afterwards."""
     spark: SparkSession = ctx["spark"]
-    for name, frame in ctx["frames"].items():
+    views = {**ctx["frames"], view_name: df}
+    before = {v: spark.table(v) for v in views if any(t.name == v and t.isTemporary for t in spark.catalog.listTables())}
+    for name, frame in views.items():
         frame.createOrReplaceTempView(name)
-    df.createOrReplaceTempView(view_name)
-    if ":as_of" in query:
-        return spark.sql(query, args={"as_of": ctx["as_of"]})
-    return spark.sql(query)
+    try:
+        return spark.sql(_bind(query, ctx["as_of"]))
+    finally:
+        for name in views:
+            if name in before:
+                before[name].createOrReplaceTempView(name)
+            else:
+                spark.catalog.dropTempView(name)
 
 
 def _limit(ctx, df, num):
@@ -193,8 +205,8 @@ def extract(spark: SparkSession, spec_extract: Mapping, as_of: dt.date) -> Frame
         args = dict(source)
         reader = READERS[args.pop("type")]
         latency = args.pop("latency", None)
-        if "as_of" not in args:
-            args["as_of"] = as_of + dt.timedelta(days=int(latency or 0))
+        if "as_of" in inspect.signature(reader).parameters:
+            args.setdefault("as_of", as_of + dt.timedelta(days=int(latency or 0)))
         frames[name] = reader(spark, **args)
     return frames
 
@@ -213,62 +225,50 @@ def _write_one(spark: SparkSession, df: DataFrame, entry: Mapping, as_of: dt.dat
             args["table_name"] = args["table_name"] + suffix
         write_table(spark, df, **args)
     elif kind == "scd4":
-        # one change batch -> history (idempotent per day), then the current table.  With a state
-        # (``path_state``/``tbl_state``: last change per key, tombstones included) current is folded
-        # forward from it, O(keys + batch); otherwise it is recomputed from the whole history.  A path
-        # state is kept as dated versions (``sinks.state_layout``): the run reads the newest version
-        # before its date and writes its own, so the state is written once and never over its input.
-        targets = ("tbl_current", "tbl_hist", "tbl_state", "path_current", "path_hist", "path_state")
-        common = {k: v for k, v in args.items() if k not in targets + ("keys", "tie")}
-        mode = common.pop("mode", "overwrite_partitions")
-        keys, tie = _cols(args.get("keys", ["id"])), _cols(args.get("tie", []))
-
-        def target(prefix):
-            if f"tbl_{prefix}" in args:
-                return {"table_name": args[f"tbl_{prefix}"]}
-            return {"path": args[f"path_{prefix}"]} if f"path_{prefix}" in args else None
-
-        def read(t):
-            if "table_name" in t:
-                return spark.table(t["table_name"]) if spark.catalog.tableExists(t["table_name"]) else None
-            fmt = common.get("format", "parquet")
-            return spark.read.format(fmt).load(t["path"]) if path_exists(spark, t["path"]) else None
-
-        write_table(spark, df, mode=mode, **common, **target("hist"))
-        state_t = target("state")
-        if state_t is None:
-            current = latest_current(read(target("hist")), keys=keys, tie=tie, as_of=as_of)
-        elif "path" in state_t:
-            fmt = common.get("format", "parquet")
-            prev = read_state_version(spark, state_t["path"], before=as_of, format=fmt)
-            new_state, _ = fold_latest(prev, df, keys=keys, tie=tie)
-            written = commit_state_version(spark, state_t["path"], new_state, as_of, format=fmt)
-            current = current_of_state(written, tie=tie)
-        else:
-            new_state, current = fold_latest(read(state_t), df, keys=keys, tie=tie)
-            no_parts = {k: v for k, v in common.items() if k != "partition_by"}
-            write_table(spark, new_state, mode="replace", **no_parts, **state_t)
-            current = current_of_state(read(state_t), tie=tie)  # the state just written: one row per key
-        write_table(spark, current, mode="replace", **common, **target("current"))
+        _write_scd4(spark, df, as_of, **args)
     else:
         raise ValueError(f"unknown load type {kind!r}")
 
 
+def _write_scd4(spark: SparkSession, df: DataFrame, as_of: dt.date, tbl_hist: str | None = None, path_hist: str | None = None,
+                tbl_current: str | None = None, path_current: str | None = None, path_state: str | None = None,
+                keys: str | Sequence[str] = ("id",), tie: str | Sequence[str] = (), mode: str = "append",
+                load_id: int | str | None = None, partition_by: str | Sequence[str] | None = None,
+                format: str = "parquet") -> None:
+    """One change batch -> history, then the current table.
+
+    History is appended to; with ``load_id`` a load that is written again replaces its own rows (the load type
+    never replaces a day, which may hold rows of other loads).  Current is recomputed from the history up to
+    ``as_of`` or, with ``path_state`` (the last change per key, deletes included, in key buckets), folded forward from
+    it: O(touched buckets + batch).  Folding a load twice changes nothing; a state that was never written is built
+    from the whole history.
+    """
+    keys, tie = _cols(keys), _cols(tie)
+    common = {"partition_by": partition_by, "format": format}
+    write_table(spark, df, tbl_hist, path_hist, mode=mode, load_id=load_id, **common)
+    hist = spark.table(tbl_hist) if path_hist is None else spark.read.format(format).load(path_hist)
+    hist = hist.select(*df.columns)
+    if path_state is None:
+        current = latest_current(hist, keys=keys, tie=tie, as_of=as_of)
+    else:
+        state = fold_state(spark, path_state, df if path_exists(spark, path_state) else hist, keys, tie=tie, format=format)
+        current = current_of_state(state, tie=tie)
+    write_table(spark, current, tbl_current, path_current, mode="replace", **common)
+
+
 def load(spark: SparkSession, frames: Frames, spec_load: Mapping, as_of: dt.date) -> None:
     consumers: dict[str, int] = {}
     for name, entry in spec_load.items():
         src = entry.get("frame", name)
         consumers[src] = consumers.get(src, 0) + 1
-    shared = {name for name, n in consumers.items() if n > 1}
-    for name in shared:
-        frames[name] = frames[name].persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for name, entry in spec_load.items():
-            entry = {k: v for k, v in entry.items() if k != "frame"}
-            _write_one(spark, frames[spec_load[name].get("frame", name)], entry, as_of)
-    finally:
-        for name in shared:
-            frames[name].unpersist()
+    # a frame with several sinks is written once to the shared scratch folder: a sink may replace what it was read from
+    for name in [n for n, k in consumers.items() if k > 1]:
+        path = scratch_path(spark, "shared-frame")
+        frames[name].write.parquet(path)
+        frames[name] = spark.read.schema(frames[name].schema).parquet(path)
+    for name, entry in spec_load.items():
+        entry = {k: v for k, v in entry.items() if k != "frame"}
+        _write_one(spark, frames[spec_load[name].get("frame", name)], entry, as_of)
 
 
 def run_spec(spark: SparkSession, spec: Mapping, as_of: dt.date | str | None = None) -> Frames:

@@ -124,3 +124,12 @@ def touch(spark: SparkSession, path: str) -> None:
         open(_local(path), "w").close()
         return
     fs.create(hpath, True).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete one file."""
+    fs, hpath = _hadoop(spark, path)
+    if fs is None:
+        os.unlink(_local(path))
+        return
+    fs.delete(hpath, False)

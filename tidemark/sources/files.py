@@ -23,7 +23,7 @@ def _load(spark: SparkSession, file_path: str, file_format: str | None, options:
 
 def read_partition(spark: SparkSession, file_path: str, file_format: str = "parquet",
                    as_of: dt.date | str | None = None, latency: int | None = None,
-                   partition_column: str = "partition_date", **_: object) -> DataFrame:
+                   partition_column: str = "partition_date") -> DataFrame:
     """One day partition of a date-partitioned layer (``partition_column = as_of``).
 
     Reads the layer root and filters, so the partition column stays in the result and Spark prunes
@@ -34,14 +34,14 @@ def read_partition(spark: SparkSession, file_path: str, file_format: str = "parq
 
 
 def read_as_of(spark: SparkSession, file_path: str, date_column: str, file_format: str = "parquet",
-               as_of: dt.date | str | None = None, latency: int | None = None, **_: object) -> DataFrame:
+               as_of: dt.date | str | None = None, latency: int | None = None) -> DataFrame:
     """All rows with ``to_date(date_column) <= as_of`` (path or catalog table)."""
     day = resolve_as_of(as_of, latency)
     return _load(spark, file_path, file_format).filter(day_window_filter(F.col(date_column), day, "le"))
 
 
 def read_file(spark: SparkSession, file_path: str, file_format: str = "parquet",
-              header: bool = True, options: dict | None = None, **_: object) -> DataFrame:
+              header: bool = True, options: dict | None = None) -> DataFrame:
     """Whole file/directory read.  CSV keeps the header's column names and all-string columns
     (no schema inference pass over the data)."""
     opts = dict(options or {})
@@ -51,6 +51,6 @@ def read_file(spark: SparkSession, file_path: str, file_format: str = "parquet",
     return _load(spark, file_path, file_format, opts)
 
 
-def read_table(spark: SparkSession, table: str, **_: object) -> DataFrame:
+def read_table(spark: SparkSession, table: str) -> DataFrame:
     """Unfiltered catalog table read."""
     return spark.table(table)

@@ -34,7 +34,7 @@ def jdbc_options(url: str, table: str, properties: dict | None = None, partition
 
 def read_jdbc_snapshot(spark: SparkSession, url: str, table: str, properties: dict | None = None,
                        partition_column: str | None = None, lower_bound: object = None,
-                       upper_bound: object = None, num_partitions: int | None = None, **_: object) -> DataFrame:
+                       upper_bound: object = None, num_partitions: int | None = None) -> DataFrame:
     """Full-table snapshot."""
     opts = jdbc_options(url, table, properties, partition_column, lower_bound, upper_bound, num_partitions)
     return spark.read.format("jdbc").options(**opts).load()
@@ -49,7 +49,7 @@ def read_jdbc_incremental(spark: SparkSession, url: str, table: str, date_column
                           properties: dict | None = None, as_of: dt.date | str | None = None,
                           latency: int | None = None, partition_column: str | None = None,
                           lower_bound: object = None, upper_bound: object = None,
-                          num_partitions: int | None = None, **_: object) -> DataFrame:
+                          num_partitions: int | None = None) -> DataFrame:
     """Rows changed on the run day: ``to_date(date_column) = as_of`` (one day, not a high-water mark)."""
     day = resolve_as_of(as_of, latency)
     return one_day(read_jdbc_snapshot(spark, url, table, properties, partition_column, lower_bound,

@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope
-from tidemark.session import ensure_checkpoint_dir
-from tidemark.sinks.scd2_layout import commit_scd2_batch, compact_scd2_history, read_scd2_table  # noqa: F401
+from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope, parse_envelopes
+from tidemark.session import ensure_checkpoint_dir, scratch_path
+from tidemark.sinks import commit_scd2_batch, read_scd2_table, write_table
 
 
 def read_change_stream(spark: SparkSession, kafka_bootstrap: str | None = None, topic: str | None = None,
                        mode: str = "earliest", path: str | None = None, file_format: str = "text",
-                       max_files_per_trigger: int | None = None, max_offsets_per_trigger: int | None = None,
-                       **_: object) -> DataFrame:
+                       max_files_per_trigger: int | None = None,
+                       max_offsets_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame with one string column ``value`` holding one envelope per row.
 
     ``kafka_bootstrap`` + ``topic`` -> Kafka source (needs the Kafka connector on the classpath);
@@ -54,8 +53,7 @@ def _trigger(writer, trigger: str | None):
 
 def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
                         partition_by: str | Sequence[str] | None = "partition_date", format: str = "parquet",
-                        trigger: str | None = "availableNow", query_name: str | None = None,
-                        **_: object) -> StreamingQuery:
+                        trigger: str | None = "availableNow", query_name: str | None = None) -> StreamingQuery:
     """Append-mode streaming file sink.  ``format="console"``/``"memory"`` for inspection."""
     w = df.writeStream.format(format).outputMode("append").option("checkpointLocation", checkpoint_location)
     if format not in ("console", "memory"):
@@ -69,24 +67,38 @@ def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
     return _trigger(w, trigger).start()
 
 
+def _one_parse(batch: DataFrame, write) -> None:  # noqa: ANN001
+    """Give ``write`` a copy of the parsed batch on the shared scratch folder: it is read more than once."""
+    path = scratch_path(batch.sparkSession, "micro-batch")
+    batch.write.parquet(path)
+    write(batch.sparkSession.read.schema(batch.schema).parquet(path))
+
+
 def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkpoint_location: str,
                      fields: StructType = DEFAULT_FIELDS, quarantine_path: str | None = None,
                      trigger: str | None = "availableNow",
                      partition_by: str | Sequence[str] = "partition_date",
                      format: str = "parquet") -> list[StreamingQuery]:
-    """Envelopes -> normalised change rows -> bronze files partitioned by event date.
+    """Envelopes -> normalised change rows -> bronze files partitioned by micro-batch and event date.
 
-    Late changes land in their own (old) ``partition_date``; nothing is dropped.  With a
-    ``quarantine_path`` the rejected messages go to a second sink (own checkpoint).
+    Late changes land in their own (old) ``partition_date``; nothing is dropped.  Rejected messages go to
+    ``quarantine_path`` (default: ``bronze_path`` with ``_quarantine``).  Each message is parsed once for both.  A
+    micro-batch writes its own ``batch_id`` folders, so a replayed one replaces them (exactly once), and its files are
+    rebalanced by date.  The layers have the extra column ``batch_id``.
     """
     raw = read_change_stream(spark, **source)
-    good, bad = normalize_envelope(raw, "value", fields)
-    queries = [write_change_stream(good, bronze_path, checkpoint_location, partition_by, format=format,
-                                   trigger=trigger)]
-    if quarantine_path:
-        queries.append(write_change_stream(bad, quarantine_path, checkpoint_location.rstrip("/") + "-quarantine",
-                                           None, trigger=trigger))
-    return queries
+    rejected = quarantine_path or bronze_path.rstrip("/") + "_quarantine"
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        def both(messages: DataFrame) -> None:
+            good, bad = normalize_envelope(messages, "value", fields, parsed=True)
+            write_table(batch.sparkSession, good, path=bronze_path, partition_by=partition_by, format=format, load_id=batch_id,
+                        load_column="batch_id")
+            write_table(batch.sparkSession, bad, path=rejected, load_id=batch_id, load_column="batch_id")
+        _one_parse(parse_envelopes(batch, "value", fields), both)
+
+    w = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
+    return [_trigger(w, trigger).start()]
 
 
 def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAULT_FIELDS,
@@ -100,17 +112,20 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
     session's shared ``spark.checkpoint.dir``, so a restart resumes where the last run stopped.  The
     default trigger runs micro-batches continuously; ``"availableNow"`` drains what is there and stops.
     With ``"type": "scd2"`` in ``load`` the stream keeps the SCD2 table at ``path`` instead
-    (``stream_scd2``; optional ``keys``, ``seq_field``, ``compact_every``, ``late_path``).
+    (``stream_scd2``; optional ``keys``, ``seq_field``, ``quarantine_path``).  Unknown arguments are errors.
     """
     extract_args, load_args = dict(spec["extract"]), dict(spec["load"])
+    unknown = set(load_args) - {"topic", "type", "path", "checkpoint_location", "trigger", "quarantine_path",
+                                *(("keys", "seq_field") if load_args.get("type") == "scd2" else ("partition_by", "format"))}
+    if unknown:
+        raise ValueError(f"unknown load arguments {sorted(unknown)}")
     name = load_args.get("topic") or extract_args.get("topic") or "stream"
     checkpoint = (load_args.get("checkpoint_location")
                   or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/cdc_{name}")
     if load_args.get("type") == "scd2":
         queries = [stream_scd2(spark, extract_args, load_args["path"], checkpoint, fields=fields,
                                keys=tuple(load_args.get("keys", ("id",))), trigger=trigger or load_args.get("trigger"),
-                               late_path=load_args.get("late_path"), seq_field=load_args.get("seq_field"),
-                               compact_every=load_args.get("compact_every"))]
+                               quarantine_path=load_args.get("quarantine_path"), seq_field=load_args.get("seq_field"))]
     else:
         queries = stream_to_bronze(spark, extract_args, load_args["path"], checkpoint, fields=fields,
                                    quarantine_path=load_args.get("quarantine_path"),
@@ -127,35 +142,26 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
 
 def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_location: str,
                 fields: StructType = DEFAULT_FIELDS, keys: Sequence[str] = ("id",),
-                trigger: str | None = "availableNow", late_path: str | None = None,
-                seq_field: str | None = None, compact_every: int | None = None) -> StreamingQuery:
-    """Each micro-batch: normalise, then ``commit_scd2_batch`` as version ``batch_id`` of the SCD2
-    table at ``target_root`` (append-only history + latest row per key; see ``sinks.scd2_layout``).
-    With ``compact_every=k`` the history is compacted after every k-th batch (few files, not one
-    folder per micro-batch).
-
-    A replayed batch id recomputes from the same base version and overwrites only its own folders,
-    so replays are idempotent.  Read the table with ``read_scd2_table``.
+                trigger: str | None = "availableNow", seq_field: str | None = None,
+                quarantine_path: str | None = None) -> StreamingQuery:
+    """Each micro-batch: normalise, then ``commit_scd2_batch`` as batch ``batch_id`` of the SCD2 table at
+    ``target_root`` (see ``sinks.state``).  Late rows stay in ``target_root``/late, rejected messages go to
+    ``quarantine_path`` (default: ``target_root``/quarantine), both by batch, so a replay replaces them.
+    Read the table with ``read_scd2_table``.
     """
     raw = read_change_stream(spark, **source)
-    good, _bad = normalize_envelope(raw, "value", fields, seq_field=seq_field)
-    changes = good.drop("operation")
     tie = ("seq",) if seq_field else ()
+    rejected = quarantine_path or f"{target_root.rstrip('/')}/quarantine"
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        # the batch feeds several branches of the apply plan: parse the messages once
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            late = commit_scd2_batch(batch.sparkSession, target_root, batch, batch_id, keys=keys,
-                                     ts="updated_timestamp", tie=tie, drop=("partition_date",))
-            if late_path:
-                late.write.mode("append").parquet(late_path)
-            if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-                compact_scd2_history(batch.sparkSession, target_root, batch_id)
-        finally:
-            batch.unpersist()
-
-    w = changes.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
+        def both(messages: DataFrame) -> None:
+            good, bad = normalize_envelope(messages, "value", fields, seq_field=seq_field, keys=keys, parsed=True)
+            write_table(batch.sparkSession, bad, path=rejected, load_id=batch_id, load_column="batch_id")
+            commit_scd2_batch(batch.sparkSession, target_root, good.drop("operation"), batch_id, keys=keys,
+                              ts="updated_timestamp", tie=tie, drop=("partition_date",))
+        _one_parse(parse_envelopes(batch, "value", fields, seq_field), both)
+
+    w = raw.writeStream.foreachBatch(apply_batch).option("checkpointLocation", checkpoint_location)
     return _trigger(w, trigger).start()
 
 
