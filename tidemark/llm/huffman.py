@@ -76,7 +76,7 @@ class TextEncoder:
         pieces = [space_pieces(t.decode(), self.split) if t else [] for t in texts]
         if len(self.known) > CACHE_SIZE:
             self.known.clear()
-        missing = list(set().union(*pieces) - self.known.keys())
+        missing = [p for p in set().union(*pieces) if p not in self.known]
         self.learn(missing)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for p in missing:
