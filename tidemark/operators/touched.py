@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 
 # The batch's key set is broadcast only while it has at most this many distinct keys.
 MAX_BROADCAST_KEYS = 1_000_000
+# ... and its keys' text, with ROW_BYTES for what stands beside a key, takes at most this many bytes.
+MAX_BROADCAST_BYTES = 256 << 20
+ROW_BYTES = 64
 # Split only when the batch's keys are at most this share of the state's rows ...
 MAX_TOUCHED_SHARE = 0.2
 # ... and the state has at least this many rows (below it a shuffle of the whole state is cheap).
@@ -40,6 +43,7 @@ class KeyProfile:
     hot: int                       # keys with more than split_rows rows
     hot_rows: int                  # rows of those hot keys
     state_rows: int | None = None  # rows of the state the batch is applied to, when counted
+    key_bytes: int = 0             # text bytes of the distinct keys
 
 
 def profile_keys(df: DataFrame, keys: Sequence[str], split_rows: int,
@@ -48,20 +52,21 @@ def profile_keys(df: DataFrame, keys: Sequence[str], split_rows: int,
     row count of ``state`` when given, in one job returning at most two rows."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     is_hot = F.col("__n") > split_rows
-    parts = per_key.agg(F.lit("batch").alias("part"), F.count(F.lit(1)).alias("k"),
+    width = F.octet_length(F.concat_ws("", *[F.col(k).cast("string") for k in keys])).cast("long")
+    parts = per_key.agg(F.lit("batch").alias("part"), F.count(F.lit(1)).alias("k"), F.sum(width).alias("w"),
                         F.count(F.when(is_hot, True)).alias("h"), F.sum(F.when(is_hot, F.col("__n"))).alias("r"))
     if state is not None:
         parts = parts.unionByName(state.agg(F.lit("state").alias("part"), F.count(F.lit(1)).alias("k"),
-                                            F.lit(0).cast("long").alias("h"), F.lit(None).cast("long").alias("r")))
+                                            F.lit(0).cast("long").alias("w"), F.lit(0).cast("long").alias("h"), F.lit(None).cast("long").alias("r")))
     got = {row["part"]: row for row in parts.collect()}
     b = got["batch"]
     state_rows = int(got["state"]["k"]) if "state" in got else None
-    return KeyProfile(int(b["k"] or 0), int(b["h"] or 0), int(b["r"] or 0), state_rows)
+    return KeyProfile(int(b["k"] or 0), int(b["h"] or 0), int(b["r"] or 0), state_rows, int(b["w"] or 0))
 
 
 def fits_broadcast(profile: KeyProfile) -> bool:
     """The size check: may the batch's key set (or a frame with one row per batch key) be broadcast?"""
-    return profile.keys <= MAX_BROADCAST_KEYS
+    return profile.keys <= MAX_BROADCAST_KEYS and profile.key_bytes + ROW_BYTES * profile.keys <= MAX_BROADCAST_BYTES
 
 
 def worth_splitting(profile: KeyProfile, min_state_rows: int | None = None) -> bool:
