@@ -226,3 +226,16 @@ def test_apply_without_hot_keys_shuffles_once(spark, scratch):
     result, _ = scd2_apply(spark.read.parquet(table), spark.read.parquet(batch))
     plan = result._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_sql_steps_see_earlier_views_and_leave_none_behind(spark, literal_log, scratch):
+    path = write_files(spark, literal_log, f"{scratch}/p")
+    spark.range(3).createOrReplaceTempView("kept")
+    spec = {"extract_dfs": {"a": {"type": "read_file", "file_path": path}, "kept": {"type": "read_file", "file_path": path}},
+            "transform_dfs": {"a": [
+                {"op": "sql", "args": {"view_name": "v1", "query": "SELECT id, count(*) AS n FROM v1 GROUP BY id"}},
+                {"op": "sql", "args": {"view_name": "v2", "query": "SELECT v2.id, n, v1.seq FROM v2 JOIN v1 ON v1.id = v2.id JOIN kept ON kept.seq = v1.seq"}}]}}
+    assert run_spec(spark, spec)["a"].count() == literal_log.count()
+    assert spark.table("kept").count() == 3
+    assert not {"a", "v1", "v2"} & {t.name for t in spark.catalog.listTables()}
+    spark.catalog.dropTempView("kept")

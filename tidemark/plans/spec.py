@@ -78,10 +78,12 @@ def _select_expr(ctx, df, exprs):
 
 
 def _sql(ctx, df, query, view_name):
-    """Frames and the current frame are views while the query is analysed; views they shadow come back afterwards."""
+    """The frames, the views of earlier ``sql`` steps and the current frame are views while the query is analysed; session
+    views they shadow come back afterwards."""
     spark: SparkSession = ctx["spark"]
-    views = {**ctx["frames"], view_name: df}
-    before = {v: spark.table(v) for v in views if any(t.name == v and t.isTemporary for t in spark.catalog.listTables())}
+    ctx["views"] = {**ctx.get("views", {}), view_name: df}
+    views = {**ctx["frames"], **ctx["views"]}
+    before = {v: spark.table(v) for v in views if any(t.isTemporary for t in spark.catalog.listTables(pattern=v))}
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
     try:
