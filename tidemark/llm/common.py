@@ -36,10 +36,10 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
-def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,40 +44,48 @@ TOKEN = "<u4"
 
 class TextEncoder:
     """The library's ids of whole texts.  A text is cut before spaces where every match of the split pattern ends, so
-    the pieces' ids joined are the text's; pieces are encoded once per worker and remembered."""
+    the pieces' ids joined are the text's; pieces are encoded once per worker and remembered.  Ids are little-endian
+    integers, of 16 bits where the vocabulary allows, else of 32."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size()
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else TOKEN)
         self.bytes_of = np.fromiter((len(self.tokenizer.id_to_token(i)) for i in range(size)), np.int64, size)
         self.split = regex.compile(public_tokenizers.PATTERN)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def ids(self, texts: list[str]) -> np.ndarray:
-        return [np.asarray(e.ids, TOKEN) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.asarray(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def learn(self, pieces: list[str]) -> None:
         """Pieces that start with one space and hold no other white space at their ends go as one text."""
-        joined = [p for p in pieces if len(p) > 1 and p[0] == " " and not p[1].isspace() and not p[-1].isspace()]
+        joined = [p for p in pieces if " " + p.strip() == p and len(p) > 1]
         if joined:
             ids = self.ids(["".join(joined)])[0]
-            ends = np.cumsum(self.bytes_of[ids])
-            cuts = np.searchsorted(ends, np.cumsum([len(p.encode()) for p in joined])) + 1
-            for p, part in zip(joined, np.split(ids, cuts[:-1])):
-                self.known[p] = part.tobytes()
-        taken = set(joined)
-        rest = [p for p in pieces if p not in taken]
-        for p, part in zip(rest, self.ids(rest) if rest else []):
-            self.known[p] = part.tobytes()
+            lens = np.fromiter(map(len, map(str.encode, joined)), np.int64, len(joined))
+            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lens)) + 1
+            ends, raw = (cuts * self.kind.itemsize).tolist(), ids.tobytes()
+            self.known.update(zip(joined, [raw[a:b] for a, b in zip([0, *ends], ends)]))
+        if len(joined) < len(pieces):
+            rest = list(set(pieces).difference(joined))
+            self.known.update(zip(rest, [x.tobytes() for x in self.ids(rest)]))
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """Each text's ids as little-endian 32-bit integers."""
+        """The ids of each text."""
         pieces = [space_pieces(t.decode(), self.split) if t else [] for t in texts]
-        if len(self.known) > CACHE_SIZE:
-            self.known.clear()
-        missing = [p for p in set().union(*pieces) if p not in self.known]
+        if len(self.known) > CACHE_SIZE:   # a piece that is met again moves over from the older half
+            self.known, self.older = {}, self.known
+        missing, older = [], self.older
+        for p in set().union(*pieces):
+            if p not in self.known:
+                if p in older:
+                    self.known[p] = older[p]
+                else:
+                    missing.append(p)
         self.learn(missing)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for p in missing:
@@ -92,19 +101,18 @@ def _text_encoder(path: str) -> TextEncoder:
 
 
 def encode_texts(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, ids): ids with the end id, as little-endian 16-bit integers where the vocabulary allows, else 32."""
-    narrow = Tokenizer.from_file(path).get_vocab_size() <= 1 << 16
-    end = np.asarray([end_id], TOKEN).tobytes()
+    """(doc_id, ids, narrow): ids with the end id, as little-endian integers, of 16 bits where ``narrow``, else 32."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = _text_encoder(path)
+        end, narrow = np.asarray([end_id], encoder.kind).tobytes(), encoder.kind.itemsize == 2
         for part, texts in slices(batches, lambda b: b.column(1)):
-            ids = [x + end for x in _text_encoder(path).encode(texts)]
-            if narrow:
-                ids = [np.frombuffer(x, TOKEN).astype("<u2").tobytes() for x in ids]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+            ids = [x + end for x in encoder.encode(texts)]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([narrow] * len(ids))],
+                                             ["doc_id", "ids", "narrow"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary").withColumn("narrow", F.lit(narrow))
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary, narrow boolean")
 
 
 # --- the code ---------------------------------------------------------------------------------------
@@ -164,11 +172,21 @@ class Code:
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
         """The packed bits, and the bit offset of every STEP-th id."""
-        lens, codes = self.lengths[ids], self.codes[ids]
+        if not len(ids):
+            return b"", np.zeros(0, np.int64)
+        lens, codes = self.lengths[ids], self.codes[ids].astype(np.uint64)
         ends = np.cumsum(lens)
-        shift = np.repeat(ends, lens) - np.arange(1, int(ends[-1]) + 1 if len(ends) else 1)
-        bits = (np.repeat(codes, lens) >> shift & 1).astype(np.uint8)
-        return np.packbits(bits).tobytes(), (ends - lens)[::STEP]
+        starts = ends - lens
+        # into big-endian 64-bit words: what fits the word where a code starts, and the rest into the next one
+        word, room = starts >> 6, 64 - (starts & 63) - lens
+        over = np.flatnonzero(room < 0)
+        part = codes << np.maximum(room, 0).astype(np.uint64)
+        part[over] = codes[over] >> (-room[over]).astype(np.uint64)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        out = np.zeros(int(word[-1]) + 2, np.uint64)
+        out[word[first]] = np.bitwise_or.reduceat(part, first)
+        out[word[over] + 1] |= codes[over] << (64 + room[over]).astype(np.uint64)   # one code at most crosses an edge
+        return out.astype(">u8").tobytes()[:(int(ends[-1]) + 7) // 8], starts[::STEP]
 
     def decode(self, blocks: list[tuple[bytes, np.ndarray, int]]) -> list[np.ndarray]:
         """The ids of blocks of (bits, checkpoints, number of ids)."""
@@ -199,11 +217,14 @@ class Code:
 def id_counts(encoded: DataFrame) -> dict[int, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
-        for b in batches:
-            for ids, narrow in zip(b.column(0), b.column(1)):
-                n = np.bincount(np.frombuffer(ids.as_buffer(), "<u2" if narrow.as_py() else TOKEN), minlength=len(total))
-                n[:len(total)] += total
-                total = n
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                b = whole.slice(at, 512)
+                for kind, rows in (("<u2", b.filter(b.column(1))), (TOKEN, b.filter(pc.invert(b.column(1))))):
+                    ids = np.frombuffer(b"".join(rows.column(0).to_pylist()), kind)
+                    n = np.bincount(ids, minlength=len(total))
+                    n[:len(total)] += total
+                    total = n
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen])], ["id", "n"])
 
@@ -295,7 +316,7 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 def q_huffman(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32, all from the files read back."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    encoded = written(spark, encode_texts(docs, public_tokenizers.path(VOCABULARY)), "token-ids")
+    encoded = written(spark, encode_texts(docs, public_tokenizers.path(VOCABULARY)), "token-ids", compression="zstd")
     path = scratch_path(spark, "huffman")
     write_files(spark, encoded, path)
     done = read_files(spark, path)
