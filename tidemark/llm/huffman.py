@@ -32,12 +32,13 @@ from tokenizers import Tokenizer
 
 from tidemark.session import scratch_path
 
-from .byte_bpe import CACHE_PIECE, CACHE_SIZE, space_pieces
+from .byte_bpe import CACHE_PIECE, space_pieces
 from .common import slices, table, written
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 MAX_BITS, BLOCK_IDS, STEP = 18, 1 << 15, 256
 TOKEN = "<u4"
+KNOWN_PIECES = 700_000   # pieces a worker remembers, twice
 
 
 # --- encoding texts with the library ----------------------------------------------------------------
@@ -77,15 +78,12 @@ class TextEncoder:
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
         pieces = [space_pieces(t.decode(), self.split) if t else [] for t in texts]
-        if len(self.known) > CACHE_SIZE:   # a piece that is met again moves over from the older half
+        if len(self.known) > KNOWN_PIECES:   # a piece that is met again moves over from the older half
             self.known, self.older = {}, self.known
-        missing, older = [], self.older
-        for p in set().union(*pieces):
-            if p not in self.known:
-                if p in older:
-                    self.known[p] = older[p]
-                else:
-                    missing.append(p)
+        unknown = set().union(*pieces).difference(self.known)
+        missing = unknown.difference(self.older)
+        self.known.update((p, self.older[p]) for p in unknown.difference(missing))
+        missing = list(missing)
         self.learn(missing)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
         for p in missing:
