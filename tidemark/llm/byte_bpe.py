@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import functools
 import re
+from array import array
 from collections.abc import Callable
 
 import numpy as np
@@ -27,12 +28,13 @@ from pyspark.sql import functions as F
 from .common import list_array, per_document, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-# Pieces up to this length are remembered per worker, at most this many.
-CACHE_PIECE, CACHE_SIZE = 48, 400_000
+# Pieces up to this length are remembered per worker, at most twice this many.
+CACHE_PIECE, CACHE_SIZE = 48, 500_000
 KEPT_PREFIX = 16
 
 
 NONE = 1 << 60   # rank of a pair that does not merge
+TAIL = 4
 
 
 class PrefixBpe:
@@ -44,9 +46,14 @@ class PrefixBpe:
         self.longest = max(map(len, ranks))
         self.length = {i: len(b) for b, i in ranks.items()}
         self._follows: dict[int, bool] = {}
-        self._prefixes: dict[bytes, int] = {}
+        self._prefixes: dict[bytes, list[int]] = {}
         # only tokens that encode to themselves can occur
         self.whole = {b: i for b, i in ranks.items() if self.merge(b) == [i]}
+        # the longest token that ends with these TAIL bytes; no token longer than the tail ends with others
+        self.longest_with: dict[bytes, int] = {}
+        for b in self.whole:
+            if len(b) >= TAIL:
+                self.longest_with[b[-TAIL:]] = max(len(b), self.longest_with.get(b[-TAIL:], 0))
 
     def merge(self, data: bytes) -> list[int]:
         """Plain merging of the lowest-ranked pair; used on single tokens and pairs only."""
@@ -77,9 +84,10 @@ class PrefixBpe:
     def extend(self, data: bytes, last: list[int], stop: int) -> None:
         """Append to ``last``, which holds the last token of each prefix so far, those of the prefixes up to
         ``data[:stop]``."""
-        whole, longest, known = self.whole, self.longest, self._follows
+        whole, longest_with, known = self.whole, self.longest_with, self._follows
         for end in range(len(last), stop + 1):
-            for start in range(end - longest if end > longest else 0, end):
+            first = end - longest_with.get(data[end - TAIL:end], TAIL - 1) if end >= TAIL else 0
+            for start in range(first if first > 0 else 0, end):
                 token = whole.get(data[start:end])
                 if token is None:
                     continue
@@ -99,18 +107,19 @@ class PrefixBpe:
         Words share prefixes, so the last tokens of short prefixes are kept across pieces."""
         if data in self.ranks:
             return [self.ranks[data]]
-        known, last, stop = self._prefixes, [-1], len(data)
-        for end in range(1, min(stop, KEPT_PREFIX) + 1):
-            token = known.get(data[:end])
-            if token is None:
-                break
-            last.append(token)
+        known, stop = self._prefixes, len(data)
+        begin = min(stop - 1, KEPT_PREFIX)
+        while begin > 1 and data[:begin] not in known:
+            begin -= 1
+        last = list(known.get(data[:begin], (-1,)))
         begin = len(last)
         self.extend(data, last, stop)
         if len(known) > CACHE_SIZE:
             known.clear()
-        for end in range(begin, min(stop - 1, KEPT_PREFIX) + 1):
-            known[data[:end]] = last[end]
+        if begin < stop <= KEPT_PREFIX + 1:
+            known[data[:-1]] = last[:-1]
+            if stop > 5:
+                known[data[:5]] = last[:6]
         return self.ids_of(last)
 
     def ids_of(self, last: list[int]) -> list[int]:
@@ -174,16 +183,20 @@ def space_pieces(text: str, split: regex.Pattern) -> list[str]:
 
 
 class PieceCache(dict):
-    """piece -> what ``encode`` gives for it, for short pieces; emptied when full."""
+    """piece -> what ``encode`` gives for it, for short pieces.  When full it becomes the older half, from which pieces
+    that are met again move over."""
 
     def __init__(self, encode: Callable[[str], bytes]):
         super().__init__()
-        self.encode = encode
+        self.encode, self.older = encode, {}
 
     def __missing__(self, piece: str) -> bytes:
-        out = self.encode(piece)
+        out = self.older.get(piece)
+        if out is None:
+            out = self.encode(piece)
         if len(piece) <= CACHE_PIECE:
             if len(self) >= CACHE_SIZE:
+                self.older = dict(self)
                 self.clear()
             self[piece] = out
         return out
@@ -195,8 +208,9 @@ def _encoder(path: str, pattern: str) -> tuple[PrefixBpe, regex.Pattern, PieceCa
     bpe, split = PrefixBpe(load_ranks(path)), regex.compile(pattern)
 
     def encode(piece: str) -> bytes:
-        ids = [i for m in split.findall(piece) for i in bpe.encode_piece(m.encode())]
-        return np.asarray(ids, np.int32).tobytes()
+        if piece[1:].isalpha() and (piece[0] == " " or piece[0].isalpha()):   # letters: one match of any such pattern
+            return array("i", bpe.encode_piece(piece.encode())).tobytes()
+        return array("i", [i for m in split.findall(piece) for i in bpe.encode_piece(m.encode())]).tobytes()
 
     return bpe, split, PieceCache(encode)
 
