@@ -341,6 +341,12 @@ def test_ppm_beats_the_base_on_held_out_texts(spark, sample):
     assert rows and sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
 
 
+def test_ppm_learns_from_more_text_than_short_contexts_can(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("octet_length(text) < 8000")
+    rows = ppm.score_documents(spark, docs).where("held_out").select("base_score", "score").collect()
+    assert sum(r["score"] for r in rows) > sum(r["base_score"] for r in rows)
+
+
 # --- Huffman ----------------------------------------------------------------------------------------
 
 def test_huffman(spark, docs, as_tables):

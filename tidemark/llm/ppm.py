@@ -7,11 +7,13 @@ otherwise an escape of ``distinct / (total + distinct)`` (method C) is paid and
 the symbols of ``c`` excluded, down to a uniform choice among the symbols never seen.  The score is the sum of
 log10 probabilities of all symbols, the end included.
 
-All orders follow from the counts of the longest grams, which Spark aggregates over all training documents.
-The symbols seen in a context are also seen in every suffix of it, so what remains after an exclusion depends on
-the context alone: each known context becomes one row of log probabilities for all symbols, and scoring a
-byte is two array look-ups.  Rows are built and broadcast in parts of at most ``part_cells`` cells, by a hash of the
-context; with more than one part, every part scores the places of its own contexts and the parts are added up.
+A *gram* is a context of ``ORDER`` symbols and the symbol after it, as one exact 64-bit number.  All orders follow from
+the training counts of the distinct grams.  The symbols seen in a context are also seen in every suffix of it, so what
+remains after an exclusion depends on the context alone, and every distinct gram of the corpus has one price.  Grams
+are priced in parts of about ``part_grams``, dealt by the last ``HEAD`` symbols of the context: a part holds all longer
+contexts whole, and the orders below ``HEAD`` (at most 257^HEAD grams) are broadcast.  The prices stay dealt by
+gram hash; each block of documents asks for its distinct grams and gets their prices back, so the trie, which grows
+with the corpus, is never in one place.
 
 *Base.*  Words (and one end per document) are counted per block of documents, added up by ranges of their 64-bit hash,
 and each block gets the counts of its own words back; no vocabulary is ever in one place.
@@ -22,20 +24,26 @@ empty text.  Null and empty texts have the end only.  Without training documents
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import BLOCK_BYTES, WordIds, in_blocks, null_safe, per_document, slices, table, text_key, word_arrays, written
+from .common import MULT, WordIds, in_blocks, slices, table, text_key, word_arrays, written
 from .toxicity import fold
 
-ORDER, SYMBOLS = 3, 257
-PART_CELLS = 8_000_000
-BLOCKS_PER_RANGE = 8
+ORDER, SYMBOLS = 5, 257   # SYMBOLS^(ORDER + 1) fits 63 bits up to an order of 6
+HEAD = 3
+PART_GRAMS = 200_000
+BLOCK_BYTES = 8 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
+BLOCKS_PER_RANGE = 4
 GRAM_BYTES = 2 << 20   # text of which grams are counted or scored at a time
+HELD_GRAMS = 4_000_000   # distinct grams a counting task holds before it hands them on
 END_WORD = xxhash.xxh3_64_intdigest(b" ")   # no word holds a space
 
 
@@ -64,184 +72,223 @@ def gram_places(lens: np.ndarray) -> np.ndarray:
     return ok
 
 
-def gram_codes(flat: np.ndarray, base: int) -> np.ndarray:
+def gram_codes(flat: np.ndarray) -> np.ndarray:
     n = len(flat) - ORDER
     code = flat[:n].copy()
     for j in range(1, ORDER + 1):
-        code *= base
+        code *= SYMBOLS
         code += flat[j:j + n]
     return code
 
 
+def grams_of(texts: list[bytes | None]) -> np.ndarray:
+    """The grams of all texts, in order."""
+    if not texts:
+        return np.zeros(0, np.int64)
+    flat, lens = symbols_of(texts)
+    return gram_codes(flat)[gram_places(lens)[:len(flat) - ORDER]]
+
+
+def portions(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about GRAM_BYTES."""
+    a, held = 0, 0
+    for i, t in enumerate(texts):
+        if i > a and held + len(t or b"") > GRAM_BYTES:
+            yield a, i
+            a, held = i, 0
+        held += len(t or b"")
+    if a < len(texts):
+        yield a, len(texts)
+
+
+def block_grams(texts: list[bytes | None], ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams of a block by range and value, with the ranges that occur and where each begins."""
+    u = [np.unique(grams_of(texts[a:b])) for a, b in portions(texts)]
+    return by_range(np.unique(np.concatenate(u or [np.zeros(0, np.int64)])), ranges)
+
+
+def by_range(codes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.argsort(dealt(codes, ranges), kind="stable")
+    r = dealt(codes, ranges)[order]
+    which, begin = np.unique(r, return_index=True)
+    return codes[order], which, begin
+
+
+def dealt(codes: np.ndarray, parts: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        h = codes.astype(np.uint64) * MULT
+    return ((h >> np.uint64(32)) % np.uint64(parts)).astype(np.int32)
+
+
+def packed(codes: np.ndarray) -> bytes:
+    """Ascending numbers as differences, which compress well."""
+    return np.diff(codes, prepend=0).astype(np.int64).tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.int64))
+
+
 def add_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Ascending distinct keys and their summed counts."""
     if not keys:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     k, c = np.concatenate(keys), np.concatenate(counts)
-    u, first = np.unique(k, return_inverse=True)
-    return u, np.bincount(first, weights=c, minlength=len(u)).astype(np.int64)
+    if not len(k):
+        return k, c
+    order = np.argsort(k, kind="stable")
+    k = k[order]
+    first = np.concatenate([[0], np.nonzero(np.diff(k))[0] + 1])
+    return k[first], np.add.reduceat(c[order], first)
+
+
+GRAMS = "r int, codes binary, n binary"
+
 
+def gram_counts(docs: DataFrame, ranges: int) -> DataFrame:
+    """Distinct grams of all texts with their counts in training documents (0: in held-out texts only), one row per
+    range of the gram's hash; summed per task before they are shuffled."""
 
-def gram_counts(training: DataFrame) -> DataFrame:
-    """(gram, n) over all training texts, summed per task before they are shuffled."""
+    def rows(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        where = dealt(k, ranges)
+        for r in np.unique(where).tolist():
+            here = where == r
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([packed(k[here])], pa.binary()),
+                                              pa.array([n[here].tobytes()], pa.binary())], ["r", "codes", "n"])
 
     def run(batches):  # noqa: ANN001, ANN202
-        keys, counts, held = [], [], 0
-        for _, texts in slices(batches, lambda b: b.column(0), GRAM_BYTES):
-            flat, lens = symbols_of(texts)
-            k, n = np.unique(gram_codes(flat, SYMBOLS)[gram_places(lens)[:len(flat) - ORDER]], return_counts=True)
-            keys.append(k)
-            counts.append(n)
-            held += len(k)
-            if held > 1_000_000:
+        keys, counts, held, most = [], [], 0, 1_000_000
+        for part, texts in slices(batches, lambda b: b.column(0), GRAM_BYTES):
+            train = part.column(1).to_pylist()
+            k, n = np.unique(grams_of([t for t, x in zip(texts, train) if x]), return_counts=True)
+            zero = np.unique(grams_of([t for t, x in zip(texts, train) if not x]))
+            keys += [k, zero]
+            counts += [n.astype(np.int64), np.zeros(len(zero), np.int64)]
+            held += len(k) + len(zero)
+            if held > most:
                 one = add_counts(keys, counts)
-                keys, counts, held = [one[0]], [one[1]], 0
-        k, n = add_counts(keys, counts)
-        for a in range(0, len(k), 100_000):
-            yield pa.RecordBatch.from_arrays([pa.array(k[a:a + 100_000]), pa.array(n[a:a + 100_000])], ["gram", "n"])
+                if len(one[0]) > HELD_GRAMS:
+                    yield from rows(*one)
+                    one = add_counts([], [])
+                keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 2 * len(one[0])
+        yield from rows(*add_counts(keys, counts))
 
-    return training.select("text").mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    def total(t: pa.Table) -> pa.Table:
+        k, n = add_counts([unpacked(x) for x in t.column("codes").to_pylist()],
+                          [np.frombuffer(x, np.int64) for x in t.column("n").to_pylist()])
+        return pa.table({"r": pa.array([t.column("r")[0].as_py()], pa.int32()), "codes": pa.array([packed(k)], pa.binary()),
+                         "n": pa.array([n.tobytes()], pa.binary())})
+
+    return docs.select("text", "train").mapInArrow(run, GRAMS).groupBy("r").applyInArrow(total, GRAMS)
 
 
-# --- the trie as rows of log probabilities ----------------------------------------------------------
+# --- prices of grams --------------------------------------------------------------------------------
 
 class Level:
-    """Contexts of one order: their codes, and dense counts (contexts x symbols)."""
-
-    def __init__(self, contexts: np.ndarray, symbols: np.ndarray, n: np.ndarray, width: int):
-        self.codes, row = np.unique(contexts, return_inverse=True)
-        self.n = np.zeros((len(self.codes), width), np.float32)
-        np.add.at(self.n, (row, symbols), n.astype(np.float32))
-        self.seen = self.n > 0
-        self.total, self.distinct = self.n.sum(axis=1, dtype=np.float64), self.seen.sum(axis=1)
-
-
-def trie_rows(levels: list[Level], width: int, base: int) -> list[np.ndarray]:
-    """Per order: log10 probabilities (contexts x symbols, contexts coded in ``base``); the last symbol stands for
-    all that were never seen."""
-    out, below = [], None   # below: what an unseen symbol costs after the escape, per context of the order before
-    for k, level in enumerate(levels):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            if k == 0:
-                rest = np.full((1, width), -np.log10(max(SYMBOLS - int(level.distinct[0]), 1)), np.float32)
-            else:
-                up = levels[k - 1]
-                parent = np.searchsorted(up.codes, level.codes % base ** (k - 1))
-                new = up.distinct[parent] - level.distinct
-                left = up.total[parent] - (up.n[parent] * level.seen).sum(axis=1, dtype=np.float64) + new
-                escape = np.where(left > 0, np.log10(new / left), 0.0).astype(np.float32)
-                rest = np.where(up.seen[parent], np.log10(up.n[parent]) - np.log10(left)[:, None].astype(np.float32),
-                                escape[:, None] + below[parent])
-            every = (level.total + level.distinct)[:, None]
-            out.append(np.where(level.seen, np.log10(level.n) - np.log10(every).astype(np.float32),
-                                np.log10(level.distinct[:, None] / every).astype(np.float32) + rest).astype(np.float32))
-        below = rest
+    """Contexts of one order: grams seen in training (ascending) with counts, and per context their total and number."""
+
+    def __init__(self, codes: np.ndarray, n: np.ndarray, up: Level | None):
+        self.codes, self.n = codes, n
+        context = codes // SYMBOLS
+        first = np.concatenate([[0], np.nonzero(np.diff(context))[0] + 1]) if len(codes) else np.zeros(0, np.int64)
+        self.contexts = context[first]
+        self.total = np.add.reduceat(n, first) if len(codes) else n
+        self.distinct = np.diff(first, append=len(codes))
+        if up is not None and len(codes):
+            # counts and symbols of the next shorter context that remain once this context's are excluded
+            parent = np.searchsorted(up.contexts, self.contexts % up.modulus)
+            excluded = np.add.reduceat(up.n[np.searchsorted(up.codes, codes % (up.modulus * SYMBOLS))], first)
+            self.new = up.distinct[parent] - self.distinct
+            self.left = up.total[parent] - excluded + self.new
+        else:
+            self.new = self.left = np.zeros(len(self.contexts), np.int64)
+        self.modulus = 1 if up is None else up.modulus * SYMBOLS
+
+
+def levels_of(codes: np.ndarray, n: np.ndarray, below: list[Level], order: int) -> list[Level]:
+    """``below`` and the levels after it up to ``order``, whose grams are given."""
+    levels = list(below)
+    for k in range(len(below), order + 1):
+        levels.append(Level(*add_counts([codes % SYMBOLS ** (k + 1)], [n]), levels[-1] if levels else None))
+    return levels
+
+
+def found_in(values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Position of each asked number among ascending values, and whether it is there."""
+    if not len(values):
+        return np.zeros(len(asked), np.int64), np.zeros(len(asked), bool)
+    at = np.minimum(np.searchsorted(values, asked), len(values) - 1)
+    return at, values[at] == asked
+
+
+def prices(levels: list[Level], grams: np.ndarray) -> np.ndarray:
+    """log10 probability of each gram's last symbol after its context."""
+    out = np.zeros(len(grams))
+    todo, longer = np.arange(len(grams)), np.full(len(grams), -1)   # longer: the known context one symbol longer
+    for k in range(ORDER, -1, -1):
+        level, q = levels[k], grams[todo]
+        at, known = found_in(level.contexts, q // SYMBOLS % level.modulus)
+        g, seen = found_in(level.codes, q % (level.modulus * SYMBOLS))
+        here = np.nonzero(known)[0]
+        if len(here):
+            a, up, first = at[here], longer[here], longer[here] < 0
+            size, new = level.total[a] + level.distinct[a], level.distinct[a]
+            if not first.all():   # a longer context is known, so its symbols are excluded
+                size = np.where(first, size, levels[k + 1].left[up])
+                new = np.where(first, new, levels[k + 1].new[up])
+            share = np.where(seen[here], level.n[np.where(seen[here], g[here], 0)], new)
+            ok = size > 0         # otherwise nothing is left here and the next context is asked at no cost
+            out[todo[here[ok]]] += np.log10(share[ok]) - np.log10(size[ok])
+        todo, longer = todo[~seen], np.where(known, at, -1)[~seen]
+    never = SYMBOLS - (int(levels[0].distinct[0]) if len(levels[0].distinct) else 0)
+    out[todo] -= np.log10(max(never, 1))
     return out
 
 
-class Model:
-    """One part of the trie, ready to score."""
-
-    def __init__(self, grams: np.ndarray, n: np.ndarray, shorter: list[tuple[np.ndarray, np.ndarray]], part: int, parts: int):
-        """``grams``/``n``: this part's longest grams; ``shorter``: all grams of the orders below, from order 0 on."""
-        used = np.unique(shorter[0][0])
-        self.width = len(used) + 1                      # the last symbol: never seen in training
-        self.base = self.width
-        self.symbol = np.full(SYMBOLS, len(used), np.int64)
-        self.symbol[used] = np.arange(len(used))
-        self.part, self.parts = part, parts
-        levels, rows_of = [], []
-        for k, (codes, m) in enumerate([*shorter, (grams, n)]):
-            syms, ctx = self.symbol[codes % SYMBOLS], np.zeros(len(codes), np.int64)
-            rest = codes // SYMBOLS
-            for j in range(k):
-                ctx += self.symbol[rest % SYMBOLS] * self.base ** j
-                rest = rest // SYMBOLS
-            levels.append(Level(ctx, syms, m, self.width))
-        if not len(used):
-            self.rows, self.index = np.full((1, 1), -np.log10(SYMBOLS), np.float32), np.zeros(1, np.int32)
-            return
-        self._link(levels)
-
-    def _link(self, levels: list[Level]) -> None:
-        width, base = self.width, self.base
-        rows = trie_rows(levels, width, base)
-        # context -> row of its longest known suffix; places of other parts point at a row of zeros
-        index, first = np.zeros(1, np.int64), 0
-        offsets = np.cumsum([0, *[len(lv.codes) for lv in levels]])
-        for k in range(1, len(levels)):
-            index = np.tile(index, base)                # a longer context ends like the shorter one
-            index[levels[k].codes] = offsets[k] + np.arange(len(levels[k].codes))
-        if self.parts > 1:
-            index[self.part_of(np.arange(len(index)), self.parts) != self.part] = offsets[-1]
-        self.index = index.astype(np.int32)
-        self.rows = np.concatenate([*rows, np.zeros((1, width), np.float32)])
-
-    @staticmethod
-    def part_of(contexts: np.ndarray, parts: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            h = contexts.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-        return (h >> np.uint64(32)).astype(np.int64) % parts
-
-    def score(self, texts: list[bytes | None]) -> np.ndarray:
-        """log10 probability of each text."""
-        if not texts:
-            return np.zeros(0)
-        flat, lens = symbols_of(texts)
-        s = self.symbol[flat]
-        n = len(s) - ORDER
-        ctx = s[:n].copy()
-        for j in range(1, ORDER):
-            ctx *= self.base
-            ctx += s[j:j + n]
-        if self.rows.shape == (1, 1):
-            p = np.full(n, self.rows[0, 0])
-        else:
-            p = self.rows[self.index[ctx], s[ORDER:]]
-        p = np.where(gram_places(lens)[:n], p, np.float32(0))
-        starts = np.cumsum(lens + ORDER + 1) - (lens + ORDER + 1)
-        return np.add.reduceat(p, starts, dtype=np.float64)
-
-
-def train(spark: SparkSession, training: DataFrame, part_cells: int = PART_CELLS):  # noqa: ANN201
-    """Yield the parts of the model learnt from ``training`` (column text)."""
-    grams = written(spark, gram_counts(training), "ppm-grams")
-
-    def fetch(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        t = df.select("gram", "n").toArrow()
-        return t.column(0).to_numpy(), t.column(1).to_numpy()
-
-    # the orders below the longest have at most 257^ORDER grams
-    shorter = []
-    for k in range(ORDER):
-        cut = F.col("gram") % F.lit(SYMBOLS ** (k + 1))
-        shorter.append(fetch(grams.groupBy(cut.alias("gram")).agg(F.sum("n").alias("n"))))
-    contexts = grams.select(F.expr(f"gram div {SYMBOLS}").alias("c")).distinct().count()
-    parts = max(1, -(-contexts * (len(shorter[0][0]) + 1) // part_cells))
-    if parts == 1:
-        yield Model(*fetch(grams), shorter, 0, 1)
-        return
-    # parts by the model's own coding of the context
-    symbol = {int(s): i for i, s in enumerate(np.unique(shorter[0][0]))}
-    base = len(symbol) + 1
-
-    def part_column(batches):  # noqa: ANN001, ANN202
-        lookup = np.full(SYMBOLS, len(symbol), np.int64)
-        lookup[list(symbol)] = list(symbol.values())
+def train(spark: SparkSession, docs: DataFrame, ranges: int, part_grams: int = PART_GRAMS) -> DataFrame:
+    """(r, codes, logs): the price of every distinct gram of ``docs`` (text, train), by ranges of the gram's hash."""
+    grams = written(spark, gram_counts(docs, ranges), "ppm-grams")
+    n_grams = int(grams.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // 8
+    parts = max(1, -(-n_grams // part_grams))
+
+    def head(batches):  # noqa: ANN001, ANN202
         for b in batches:
-            code, ctx = b.column(0).to_numpy() // SYMBOLS, 0
-            for j in range(ORDER):
-                ctx = ctx + lookup[code % SYMBOLS] * base ** j
-                code = code // SYMBOLS
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(Model.part_of(ctx, parts))], ["gram", "n", "part"])
+            for codes, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                n = np.frombuffer(n, np.int64)
+                k, n = add_counts([unpacked(codes)[n > 0] % SYMBOLS ** HEAD], [n[n > 0]])
+                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["gram", "n"])
+
+    # at most SYMBOLS^HEAD rows
+    low = grams.mapInArrow(head, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
+    below = spark.sparkContext.broadcast(levels_of(low.column(0).to_numpy(), low.column(1).to_numpy(), [], HEAD - 1))
 
-    dealt = written(spark, grams.mapInArrow(part_column, "gram long, n long, part long"), "ppm-parts")
-    for i in range(parts):
-        yield Model(*fetch(dealt.where(F.col("part") == i)), shorter, i, parts)
+    def deal(batches):  # noqa: ANN001, ANN202
+        for b in batches:
+            for codes, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+                codes, n = unpacked(codes), np.frombuffer(n, np.int64)
+                part = dealt(codes // SYMBOLS % SYMBOLS ** HEAD, parts)
+                for i in np.unique(part).tolist():
+                    here = part == i
+                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(codes[here])], pa.binary()),
+                                                      pa.array([n[here].tobytes()], pa.binary())], ["part", "codes", "n"])
+
+    def price(t: pa.Table) -> pa.Table:
+        codes, n = add_counts([unpacked(x) for x in t.column("codes").to_pylist()],
+                              [np.frombuffer(x, np.int64) for x in t.column("n").to_pylist()])
+        logs = prices(levels_of(codes[n > 0], n[n > 0], below.value, ORDER), codes).astype(np.float32)
+        where = dealt(codes, ranges)
+        which = np.unique(where)
+        return pa.table({"r": pa.array(which, pa.int32()), "codes": pa.array([packed(codes[where == r]) for r in which], pa.binary()),
+                         "logs": pa.array([logs[where == r].tobytes() for r in which], pa.binary())})
+
+    out = grams.mapInArrow(deal, "part int, codes binary, n binary").groupBy("part").applyInArrow(price, "r int, codes binary, logs binary")
+    return written(spark, out, "ppm-prices")
 
 
 # --- scores -----------------------------------------------------------------------------------------
 
-COUNTS = "r int, block int, hashes binary, n binary"
+COUNTS = "r int, block int, hashes binary, n binary, grams binary"
+ANSWERS = "block int, r int, hashes binary, n binary, logs binary"
 
 
 def _counted_words(texts: list[bytes | None]) -> tuple[WordIds, np.ndarray, np.ndarray]:
@@ -250,18 +297,20 @@ def _counted_words(texts: list[bytes | None]) -> tuple[WordIds, np.ndarray, np.n
     return ids, flat, ends
 
 
-def score_documents(spark: SparkSession, docs: DataFrame, order_parts: int = PART_CELLS,
+def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART_GRAMS,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     docs = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"), (fold(F.col("doc_id"), 10) != 0).alias("train"))
-    models = train(spark, docs.where("train"), order_parts)
     blocks, n_blocks = in_blocks(docs, block_bytes)
     ranges = -(-n_blocks // BLOCKS_PER_RANGE)
+    model = train(spark, docs, ranges, part_grams)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def count(t: pa.Table) -> pa.Table:
-        """Each word of a block once, with its count in training documents, packed by hash range."""
-        ids, flat, ends = _counted_words(t.column("text").cast(pa.binary()).to_pylist())
+        """Each word of a block once, with its count in training documents, and each gram of it once, packed by
+        hash range."""
+        texts = t.column("text").cast(pa.binary()).to_pylist()
+        ids, flat, ends = _counted_words(texts)
         train_doc = t.column("train").to_numpy().astype(bool)
         n = np.bincount(flat[np.repeat(train_doc, np.diff(ends))], minlength=len(ids.words))
         h = np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)])
@@ -271,79 +320,81 @@ def score_documents(spark: SparkSession, docs: DataFrame, order_parts: int = PAR
         h, n, r = h[order], n[order], r[order]
         which, begin = np.unique(r, return_index=True)
         end = [*begin[1:].tolist(), len(h)]
-        return pa.table({"r": pa.array(which, pa.int32()), "block": pa.array([t.column("block")[0].as_py()] * len(which), pa.int32()),
-                         "hashes": pa.array([h[a:b].tobytes() for a, b in zip(begin, end)], pa.binary()),
-                         "n": pa.array([n[a:b].astype(np.int64).tobytes() for a, b in zip(begin, end)], pa.binary())})
-
-    def total(t: pa.Table) -> pa.Table:
-        """Every block's words of a range with their counts over all blocks; one row more with the range's sum and
-        number of training words, under a block number of its own below zero."""
-        rows = t.column("hashes").to_pylist()
+        codes, gram_ranges, gram_begin = block_grams(texts, ranges)
+        grams = dict(zip(gram_ranges.tolist(), np.split(codes, gram_begin[1:])))
+        words = {r: (h[a:b], n[a:b]) for r, a, b in zip(which.tolist(), begin.tolist(), end)}
+        every = sorted({*words, *grams})
+        none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return pa.table({"r": pa.array(every, pa.int32()), "block": pa.array([t.column("block")[0].as_py()] * len(every), pa.int32()),
+                         "hashes": pa.array([words.get(r, none)[0].tobytes() for r in every], pa.binary()),
+                         "n": pa.array([words.get(r, none)[1].astype(np.int64).tobytes() for r in every], pa.binary()),
+                         "grams": pa.array([packed(grams.get(r, none[1])) for r in every], pa.binary())})
+
+    def total(t: pa.Table, priced: pa.Table) -> pa.Table:
+        """Every block's words of a range with their counts over all blocks, and the prices of its grams; one row more
+        with the range's sum and number of training words, under a block number of its own below zero."""
+        if not t.num_rows:
+            return pa.table({"block": pa.array([], pa.int32()), "r": pa.array([], pa.int32()), "hashes": pa.array([], pa.binary()),
+                             "n": pa.array([], pa.binary()), "logs": pa.array([], pa.binary())})
+        rows, r = t.column("hashes").to_pylist(), t.column("r")[0].as_py()
         h = np.frombuffer(b"".join(rows), np.uint64)
         n = np.frombuffer(b"".join(t.column("n").to_pylist()), np.int64)
         u, inverse = np.unique(h, return_inverse=True)
         c = np.bincount(inverse, weights=n, minlength=len(u)).astype(np.int64)
         cut = np.cumsum([len(x) // 8 for x in rows])[:-1]
         sums = np.asarray([c.sum(), (c > 0).sum()], np.int64).tobytes()
-        return pa.table({"block": pa.array([*t.column("block").to_pylist(), -1 - t.column("r")[0].as_py()], pa.int32()),
-                         "hashes": pa.array([*rows, b""], pa.binary()),
-                         "n": pa.array([*[x.tobytes() for x in np.split(c[inverse], cut)], sums], pa.binary())})
+        codes = np.concatenate([unpacked(x) for x in priced.column("codes").to_pylist()] or [np.zeros(0, np.int64)])
+        logs = np.frombuffer(b"".join(priced.column("logs").to_pylist()), np.float32)
+        order = np.argsort(codes)
+        codes, logs = codes[order], logs[order]
+        answers = [logs[np.searchsorted(codes, unpacked(x))].tobytes() for x in t.column("grams").to_pylist()]
+        return pa.table({"block": pa.array([*t.column("block").to_pylist(), -1 - r], pa.int32()),
+                         "r": pa.array([r] * (t.num_rows + 1), pa.int32()), "hashes": pa.array([*rows, b""], pa.binary()),
+                         "n": pa.array([*[x.tobytes() for x in np.split(c[inverse], cut)], sums], pa.binary()),
+                         "logs": pa.array([*answers, b""], pa.binary())})
 
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
-    def scorer(shared):  # noqa: ANN001, ANN202
-        def run(t: pa.Table, words: pa.Table) -> pa.Table:
-            if not t.num_rows:
-                sums = np.frombuffer(words.column("n")[0].as_py(), np.int64)
-                return pa.table({"doc_id": pa.nulls(1, id_type), "text_key": pa.nulls(1, pa.int64()), "total": pa.array([True]),
-                                 "train": pa.array([False]), "n_tokens": pa.array([int(sums[0])]), "n_known": pa.array([int(sums[1])]),
-                                 "logs": pa.array([0.0]), "score": pa.array([0.0])})
-            texts = t.column("text").cast(pa.binary()).to_pylist()
-            ids, flat, ends = _counted_words(texts)
-            h = np.frombuffer(b"".join(words.column("hashes").to_pylist()), np.uint64)
-            n = np.frombuffer(b"".join(words.column("n").to_pylist()), np.int64)
-            order = np.argsort(h)
-            c = n[order][np.searchsorted(h[order], np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)]))]
-            at_end = np.arange(len(texts)) + ends[1:]     # every document's words, then its end
-            tokens = np.full(len(flat) + len(texts), len(c) - 1, np.int64)
-            is_word = np.ones(len(tokens), bool)
-            is_word[at_end] = False
-            tokens[is_word] = flat
-            starts = ends[:-1] + np.arange(len(texts))
-            here = c[tokens]
-            score = np.zeros(len(texts))
-            for a in range(0, len(texts), 64):
-                score[a:a + 64] = shared.value.score(texts[a:a + 64])
-            return pa.table({"doc_id": t.column("doc_id"), "text_key": t.column("text_key"), "total": pa.array([False] * len(texts)), "train": t.column("train"),
-                             "n_tokens": pa.array(np.diff(ends) + 1), "n_known": pa.array(np.add.reduceat((here > 0).astype(np.int64), starts)),
-                             "logs": pa.array(np.add.reduceat(np.log10(here + 0.1), starts)), "score": pa.array(score)})
-        return run
+    def score(t: pa.Table, answers: pa.Table) -> pa.Table:
+        if not t.num_rows:
+            sums = np.frombuffer(answers.column("n")[0].as_py(), np.int64)
+            return pa.table({"doc_id": pa.nulls(1, id_type), "text_key": pa.nulls(1, pa.int64()), "total": pa.array([True]),
+                             "train": pa.array([False]), "n_tokens": pa.array([int(sums[0])]), "n_known": pa.array([int(sums[1])]),
+                             "logs": pa.array([0.0]), "score": pa.array([0.0])})
+        texts = t.column("text").cast(pa.binary()).to_pylist()
+        ids, flat, ends = _counted_words(texts)
+        h = np.frombuffer(b"".join(answers.column("hashes").to_pylist()), np.uint64)
+        n = np.frombuffer(b"".join(answers.column("n").to_pylist()), np.int64)
+        order = np.argsort(h)
+        c = n[order][np.searchsorted(h[order], np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)]))]
+        at_end = np.arange(len(texts)) + ends[1:]     # every document's words, then its end
+        tokens = np.full(len(flat) + len(texts), len(c) - 1, np.int64)
+        is_word = np.ones(len(tokens), bool)
+        is_word[at_end] = False
+        tokens[is_word] = flat
+        starts = ends[:-1] + np.arange(len(texts))
+        here = c[tokens]
+        codes = pa.array(block_grams(texts, ranges)[0])   # in the order they were asked: by range, then value
+        of_range = dict(zip(answers.column("r").to_pylist(), answers.column("logs").to_pylist()))
+        price = np.frombuffer(b"".join(of_range[r] for r in sorted(of_range)), np.float32)
+        scores = np.zeros(len(texts))
+        for a, b in portions(texts):
+            p = price[pc.index_in(pa.array(grams_of(texts[a:b])), value_set=codes).to_numpy()]
+            size = np.asarray([len(x or b"") + 1 for x in texts[a:b]], np.int64)
+            scores[a:b] = np.add.reduceat(p, np.cumsum(size) - size, dtype=np.float64)
+        return pa.table({"doc_id": t.column("doc_id"), "text_key": t.column("text_key"), "total": pa.array([False] * len(texts)), "train": t.column("train"),
+                         "n_tokens": pa.array(np.diff(ends) + 1), "n_known": pa.array(np.add.reduceat((here > 0).astype(np.int64), starts)),
+                         "logs": pa.array(np.add.reduceat(np.log10(here + 0.1), starts)), "score": pa.array(scores)})
 
     counts = blocks.groupBy("block").applyInArrow(count, COUNTS)
-    totals = counts.groupBy("r").applyInArrow(total, "block int, hashes binary, n binary")
+    totals = counts.groupBy("r").cogroup(model.groupBy("r")).applyInArrow(total, ANSWERS)
     out = f"doc_id {kind}, text_key long, total boolean, train boolean, n_tokens long, n_known long, logs double, score double"
-    first = next(models)
-    done = blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(
-        scorer(spark.sparkContext.broadcast(first)), out)
-    done = written(spark, done, "ppm-scores")
+    done = written(spark, blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, out), "ppm-scores")
     n, v = done.where("total").agg(F.sum("n_tokens"), F.sum("n_known")).first()
     n, v = n or 0, v or 0
-    rows = done.where("NOT total")
-    for model in models:   # further parts of a model beyond one broadcast
-        rows = _add_part(spark, rows, docs, model)
     base = F.col("logs") - F.col("n_tokens") * F.lit(float(np.log10(n + 0.1 * (v + 1))))
-    return rows.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
-                       F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
-
-
-def _add_part(spark: SparkSession, rows: DataFrame, docs: DataFrame, model: Model) -> DataFrame:
-    """``rows`` with one more part's scores added."""
-    shared = spark.sparkContext.broadcast(model)
-    more = per_document(docs.select("doc_id", "text", "text_key").distinct(), lambda texts: {"more": pa.array(
-        np.concatenate([shared.value.score(texts[a:a + 64]) for a in range(0, len(texts), 64)]))}, "more double")
-    more = written(spark, more.select("row.doc_id", "row.text_key", "more"), "ppm-part-scores")
-    return (null_safe(rows, more, ["doc_id", "text_key"], "left")
-            .withColumn("score", F.col("score") + F.col("more")).drop("more"))
+    return done.where("NOT total").select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                                          F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def q_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
