@@ -85,6 +85,21 @@ def test_ann_hot_copies_tie_to_the_smaller_id(spark):
     assert [r["vec_id"] for r in got] == list(range(20))
 
 
+def test_ann_repeated_ids_do_not_crowd_out_others(spark):
+    rng = np.random.default_rng(5)
+    rows = vectors(400, 8, 2)
+    hot = [(7, (np.asarray(rows[40][1]) * 3 + rng.normal(size=8) * 0.01).astype(np.float32).tolist()) for _ in range(200)]
+    rows = rows + hot + rows   # one id with a third of the rows, all others twice
+    df = frame(spark, rows)
+    got = ann.search(spark, df, df.where("vec_id % 20 = 0"), probe_share=1.0).collect()
+    want = brute(rows)
+    by = {}
+    for r in got:
+        by.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert {q: len(set(v)) for q, v in by.items()} == dict.fromkeys(want, 20) and len(got) == 20 * len(want)
+    assert sum(len(set(by[q]) & {i for _, i in b}) for q, b in want.items()) >= 0.97 * len(got)
+
+
 def test_scan_abandons_candidates_but_keeps_the_near():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 64))

@@ -14,8 +14,8 @@ distance rejects, at ``EPSILON``, the hypothesis that it is within that radius.
 of the original vectors in double precision; a query's results are merged over lists.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do
-rows without id.  Rows that repeat an id are separate candidates, a pair of ids appears once with its best score;
-as queries they are searched together.  Ties go to the smaller vec_id.  A query without candidates has no rows.
+rows without id.  Rows that repeat id and vector count once; rows that repeat only the id are separate candidates, but
+all bounds count distinct ids and a pair of ids appears once with its best score; as queries they are searched together.  Ties go to the smaller vec_id.  A query without candidates has no rows.
 """
 
 from __future__ import annotations
@@ -70,13 +70,25 @@ class Space:
 
 
 def best_of(query: np.ndarray, score: np.ndarray, ids: np.ndarray, top: int) -> np.ndarray:
-    """Positions of each query's ``top`` entries by score, ties to the smaller id."""
-    order = np.lexsort((ids, -score, query))
+    """Positions of each query's ``top`` distinct ids by best score, ties to the smaller id."""
+    order = np.lexsort((-score, ids, query))
+    q, i = query[order], ids[order]
+    order = order[np.concatenate([[True], (q[1:] != q[:-1]) | (i[1:] != i[:-1])])[:len(q)]]   # the best row of each id
+    order = order[np.lexsort((ids[order], -score[order], query[order]))]
     q = query[order]
     first = np.searchsorted(q, q, side="left")
     return order[np.arange(len(q)) - first < top]
 
 
+def kth_distinct(away: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Per row, the ``k``-th smallest distance when each id counts once, with its nearest; infinite if there are fewer."""
+    ids = np.broadcast_to(ids, away.shape)
+    order = np.lexsort((away, ids), axis=1)
+    d, i = np.take_along_axis(away, order, axis=1), np.take_along_axis(ids, order, axis=1)
+    d[:, 1:][i[:, 1:] == i[:, :-1]] = np.inf
+    return np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] >= k else np.full(len(d), np.inf)
+
+
 def scan(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
          radius: np.ndarray, top: int, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query position, vector position, score) of what one shard of a list holds for a block of queries."""
@@ -94,7 +106,7 @@ def scan(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray
             near = np.argpartition(part, 2 * top, axis=1)[:, :2 * top]
             whole = ((points[near] - q[:, None, :]) ** 2).sum(axis=2)
             whole[np.take_along_axis(own, near, axis=1)] = np.inf
-            limit = np.minimum(limit, np.partition(whole, top - 1, axis=1)[:, top - 1])
+            limit = np.minimum(limit, kth_distinct(whole, ids[near], top))
         bound = lambda d: limit * (d / width) * (1 + epsilon / d ** 0.5) ** 2 if d < width else limit * (1 + 1e-9) + 1e-12
         d = min(COLUMNS, width)
         qi, vi = np.nonzero((part <= bound(d)[:, None]) & ~own)
@@ -109,7 +121,7 @@ def scan(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray
             qi, vi, so_far = qi[keep], vi[keep], so_far[keep]
         score = np.concatenate([np.einsum("ij,ij->i", vectors[vi[lo:lo + PAIRS]], queries[a + qi[lo:lo + PAIRS]])
                                 for lo in range(0, max(1, len(qi)), PAIRS)])
-        best = best_of(qi, score, ids[vi], top)
+        best = best_of(qi, score, ids[vi], top)   # of distinct ids
         found_q.append(a + qi[best])
         found_v.append(vi[best])
         found_s.append(score[best])
@@ -130,13 +142,13 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
            probe_share: float = PROBE_SHARE) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest of ``vectors`` found for each row of ``queries`` (both
     (vec_id, embedding)), other than rows with its own id."""
-    vectors, queries = usable(vectors), usable(queries)
+    vectors, queries = usable(vectors).distinct(), usable(queries)
     norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     n, norm = vectors.agg(F.count(F.lit(1)), F.sqrt(F.max(norm2))).first()
     result = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], result)
-    sample = vectors.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_VECTORS).toArrow()   # at most FIT_VECTORS rows
+    sample = vectors.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(FIT_VECTORS).toArrow()   # at most FIT_VECTORS rows
     dim = len(sample.column("embedding")[0])
     space = spark.sparkContext.broadcast(Space(rows_of(sample.column("embedding"), dim),
                                                sample.column("vec_id").to_numpy().astype(np.int64), norm, n))
@@ -163,7 +175,7 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
                 ranks = np.argsort(s.distances(q, s.centroids), axis=1)[:, :max(1, round(probe_share * len(s.centroids)))]
                 away = s.distances(q, s.seed_points)
                 away[s.seed_ids[None, :] == ids[:, None]] = np.inf
-                radius = np.partition(away, top - 1, axis=1)[:, top - 1] if away.shape[1] >= top else np.full(len(q), np.inf)
+                radius = kth_distinct(away, s.seed_ids[None, :], top)
                 scores = raw @ s.seeds.T
                 scores[s.seed_ids[None, :] == ids[:, None]] = -np.inf
                 qi, vi = np.nonzero(away <= radius[:, None] * (1 + 1e-9) + 1e-12)
@@ -186,7 +198,7 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
                                  "list int, shards int, blocks int")
     plan = F.broadcast(plan)   # at most MAX_LISTS rows
     key = ["list", "shard", "block"]
-    v = (listed.join(plan, "list").withColumn("shard", F.pmod(F.xxhash64("vec_id"), "shards").cast("int"))
+    v = (listed.join(plan, "list").withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), "shards").cast("int"))
          .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*key, "vec_id", "embedding"))
     q = (probes.select("query_id", "embedding", "radius", F.explode("lists").alias("list")).join(plan, "list")
          .withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
