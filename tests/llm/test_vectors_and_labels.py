@@ -100,6 +100,22 @@ def test_ann_repeated_ids_do_not_crowd_out_others(spark):
     assert sum(len(set(by[q]) & {i for _, i in b}) for q, b in want.items()) >= 0.97 * len(got)
 
 
+def test_ann_small_tables_return_every_candidate(spark):
+    for n in (15, 21):
+        df = frame(spark, vectors(n, 6, n))
+        got = ann.search(spark, df, df.where("vec_id % 20 = 0")).collect()
+        assert sorted((r["query_id"], r["vec_id"]) for r in got) == [(q, i) for q in range(0, n, 20) for i in range(n) if i != q]
+
+
+def test_ann_centroids_are_distinct_vectors():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(300, 8))
+    x[:100] = x[0]
+    space = ann.Space(x, np.arange(300), float(np.sqrt((x * x).sum(axis=1).max())), 300 * 300)
+    near = space.distances(space.place(x), space.centroids).argmin(axis=1)
+    assert len(space.centroids) == 201 == len(np.unique(near))
+
+
 def test_scan_abandons_candidates_but_keeps_the_near():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(3000, 64))

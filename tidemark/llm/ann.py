@@ -4,8 +4,9 @@
 the nearest by distance is the largest by inner product.  All are rotated by one random orthogonal matrix, so the
 first ``d`` of ``D`` components estimate the whole distance.
 
-*Lists.*  About ``sqrt(n)`` centroids are fitted on a bounded sample (``FIT_VECTORS``); every vector joins the list of
-its nearest centroid, and a query probes the nearest ``probe_share`` of the lists.  Big lists are cut into shards and
+*Lists.*  About ``sqrt(n)`` centroids are fitted on a bounded sample (``FIT_VECTORS``), from distinct vectors; every
+vector joins the list of its nearest centroid.  A query probes the nearest ``probe_share`` of the lists that are not
+empty, and more until they hold ``top`` other ids (all lists of a small table).  Big lists are cut into shards and
 the queries of a list into blocks, so a list that holds a third of all vectors, or copies of one vector, is spread.
 
 *Scan.*  A query starts from the ``k``-th distance among a bounded set of seed vectors (which are candidates too) and
@@ -49,8 +50,9 @@ class Space:
         self.norm, self.dim = norm, sample.shape[1]
         self.rotation = np.linalg.qr(rng.normal(size=(self.dim + 1, self.dim + 1)))[0]
         points = self.place(sample)
-        k = int(min(MAX_LISTS, max(1, round(n ** 0.5)), len(points)))
-        centroids = points[rng.choice(len(points), k, replace=False)].copy()
+        apart = np.sort(np.unique(sample, axis=0, return_index=True)[1])   # one of each vector
+        k = int(min(MAX_LISTS, max(1, round(n ** 0.5)), len(apart)))
+        centroids = points[rng.choice(apart, k, replace=False)].copy()
         for _ in range(FIT_ROUNDS):
             near = np.concatenate([self.distances(points[a:a + 2048], centroids).argmin(axis=1) for a in range(0, len(points), 2048)])
             sums, sizes = np.zeros_like(centroids), np.bincount(near, minlength=k)
@@ -162,8 +164,13 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.int32())], ["vec_id", "embedding", "list"])
 
     listed = written(spark, vectors.mapInArrow(join_list, f"vec_id long, embedding {VECTOR}, list int"), "ann-lists")
-    # one row per list, at most MAX_LISTS
+    # one row per list, at most MAX_LISTS; empty lists have none and are not probed
     sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    filled = np.asarray(sorted(sizes))
+    # ids that are in one list only count towards enough candidates; those in several might be counted twice
+    single = listed.groupBy("vec_id").agg(F.min("list").alias("list"), F.max("list").alias("last")).where("list = last")
+    single = {r["list"]: r["n"] for r in single.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
+    single = np.asarray([single.get(c, 0) for c in filled.tolist()])
 
     def probe(batches):  # noqa: ANN001, ANN202
         for b in batches:
@@ -172,7 +179,11 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
                 s, ids = space.value, part.column(0).to_numpy()
                 raw = rows_of(part.column(1), dim)
                 q = s.place(raw, query=True)
-                ranks = np.argsort(s.distances(q, s.centroids), axis=1)[:, :max(1, round(probe_share * len(s.centroids)))]
+                ranks = np.argsort(s.distances(q, s.centroids[filled]), axis=1)
+                # on to the list with which they hold top other candidates (one id may be the query's own)
+                need = (np.cumsum(single[ranks], axis=1) < top + 1).sum(axis=1) + 1
+                probed = np.maximum(need, max(1, round(probe_share * len(filled))))
+                ranks = [filled[x[:m]].astype(np.int32) for x, m in zip(ranks, probed.tolist())]
                 away = s.distances(q, s.seed_points)
                 away[s.seed_ids[None, :] == ids[:, None]] = np.inf
                 radius = kth_distinct(away, s.seed_ids[None, :], top)
@@ -187,7 +198,7 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
                 for x, v, sc in zip(qi[best].tolist(), s.seed_ids[vi[best]].tolist(), score[best].tolist()):
                     seeds[x].append({"vec_id": v, "score": sc})
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(radius), pa.array(ranks.astype(np.int32).tolist(), pa.list_(pa.int32())),
+                    [part.column(0), part.column(1), pa.array(radius), pa.array(ranks, pa.list_(pa.int32())),
                      pa.array(seeds, pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())])))],
                     ["query_id", "embedding", "radius", "lists", "seeds"])
 
