@@ -359,6 +359,16 @@ def test_huffman(spark, docs, as_tables):
     assert [g[1] for g in got] == np.cumsum([0, *[g[2] for g in got]])[:-1].tolist()
 
 
+def test_huffman_gives_added_tokens_their_ids(spark, as_tables):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(huffman.VOCABULARY))
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "x<|endoftext|><|endoftext|> y  z", "one two"]
+    want = [tokenizer.encode(t, add_special_tokens=False).ids + [0] for t in texts]
+    assert [x.count(50256) for x in want] == [1, 1, 2, 0]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(r) for r in huffman.q_huffman(spark, as_tables(documents=docs)).orderBy("doc_id").collect()]
+    assert [(g[0], g[2], g[3]) for g in got] == [(i, len(x), zlib.crc32(np.asarray(x, "<u4").tobytes())) for i, x in enumerate(want)]
+
+
 def test_code_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(0)
     for _ in range(20):

@@ -45,13 +45,14 @@ KNOWN_PIECES = 700_000   # pieces a worker remembers, twice
 
 class TextEncoder:
     """The library's ids of whole texts.  A text is cut before spaces where every match of the split pattern ends, so
-    the pieces' ids joined are the text's; pieces are encoded once per worker and remembered.  Ids are little-endian
+    the pieces' ids joined are the text's; pieces are encoded once per worker and remembered.  A text that holds the string
+    of an added token goes to the library whole, which gives that token's id.  Ids are little-endian
     integers, of 16 bits where the vocabulary allows, else of 32."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else TOKEN)
         self.bytes_of = np.fromiter((len(self.tokenizer.id_to_token(i)) for i in range(size)), np.int64, size)
@@ -77,7 +78,9 @@ class TextEncoder:
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         """The ids of each text."""
-        pieces = [space_pieces(t.decode(), self.split) if t else [] for t in texts]
+        decoded = [t.decode() if t else "" for t in texts]
+        whole = [any(a in t for a in self.added) for t in decoded]
+        pieces = [[] if w else space_pieces(t, self.split) for t, w in zip(decoded, whole)]
         if len(self.known) > KNOWN_PIECES:   # a piece that is met again moves over from the older half
             self.known, self.older = {}, self.known
         unknown = set().union(*pieces).difference(self.known)
@@ -86,6 +89,8 @@ class TextEncoder:
         missing = list(missing)
         self.learn(missing)
         out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
+        for i in np.flatnonzero(whole).tolist():
+            out[i] = self.ids([decoded[i]])[0].tobytes()
         for p in missing:
             if len(p) > CACHE_PIECE:
                 del self.known[p]
