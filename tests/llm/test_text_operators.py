@@ -230,6 +230,14 @@ def test_decontaminate_in_several_parts_and_without_items(spark, tricky):
     assert rows_of(got) == sorted(contaminated(rows, [], 13), key=str)
 
 
+def test_benchmark_parts_are_distinct_and_sized_by_bytes(spark):
+    lines = "\n".join(f"word{i}" for i in range(50))
+    items = [(i, f"{lines}\n{i}") for i in range(40)]
+    bench = spark.createDataFrame(items + [(7, items[7][1])] * 200, "item_id long, text string")
+    parts = [collected(p.withColumnRenamed("item_id", "doc_id")) for p in decontaminate._parts(bench, 500)]
+    assert len(parts) > 1 and sorted(sum(parts, [])) == sorted(items)
+
+
 # --- SimHash ----------------------------------------------------------------------------------------
 
 def simhash_rows(rows, shingle=3, bits=2):

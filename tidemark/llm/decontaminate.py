@@ -28,11 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import list_array, null_safe, per_document, slices, table, text_key, written
+from .common import list_array, null_safe, per_document, slices, table, text_bytes, text_key, written
 
 WINDOW, SHINGLE, SHARE = 13, 3, 20   # contaminated: at least 1 hit word in SHARE
 # Item words of one broadcast part: the windows of a part are at most a few tens of MB.
 PART_WORDS = 400_000
+WORD_BYTES = 6
 
 _SPLIT = bytes(c if c >= 0x80 or 0x30 <= c <= 0x39 or 0x61 <= c <= 0x7A else 0x20 for c in range(256))
 
@@ -129,9 +130,9 @@ class Windows:
 
 
 def _parts(benchmark: DataFrame, part_words: int) -> list[DataFrame]:
-    """The benchmark in parts of about ``part_words`` words by a hash of the row."""
-    words = benchmark.agg(F.sum(F.size(F.split("text", " ")))).first()[0] or 0
-    n = max(1, -(-int(words) // part_words))
+    """The distinct rows of the benchmark in parts of about ``part_words`` words of ``WORD_BYTES`` by a hash of the row."""
+    benchmark = benchmark.distinct()
+    n = max(1, -(-text_bytes(benchmark) // (part_words * WORD_BYTES)))
     part = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
     return [benchmark.where(part == i) for i in range(n)]
 
