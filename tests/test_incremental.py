@@ -7,7 +7,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import LOG_SCHEMA, literal_rows
+from change_log import LOG_SCHEMA, literal_rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import closed_intervals, fold_latest, latest_current, open_intervals, scd2_apply, scd2_from_log, scd2_step

@@ -6,7 +6,7 @@ import json
 import os
 
 import pytest
-from conftest import LOG_SCHEMA, SF
+from change_log import LOG_SCHEMA, SF
 from pyspark.sql import functions as F
 
 from tidemark.plans import STEPS, run_spec, run_stages

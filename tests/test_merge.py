@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from conftest import LOG_SCHEMA, literal_rows, ts
+from change_log import LOG_SCHEMA, literal_rows, ts
 
 from tidemark.operators import merge_close_and_insert, merge_current
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF
+from change_log import SF
 
 from __spark_entry__ import oracle_sql, queries
 from tools.check_oracle import digest, duck

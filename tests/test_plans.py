@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from conftest import SF
+from change_log import SF
 
 from tidemark import scenarios as S
 from tidemark.operators import latest_current, scd2_from_log

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import random
 
-from conftest import LOG_SCHEMA, literal_rows, ts
+from change_log import LOG_SCHEMA, literal_rows, ts
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

@@ -6,7 +6,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import LOG_SCHEMA
+from change_log import LOG_SCHEMA
 from pyspark.sql import functions as F
 
 from tidemark.operators import fold_latest, latest_current, merge_close_and_insert, merge_current, scd2_apply
