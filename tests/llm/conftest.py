@@ -1,13 +1,7 @@
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path[:0] = [HERE, os.path.dirname(os.path.dirname(HERE))]
-
 SF = "/root/testdata/sf0.001"
 #: Nulls, empty and blank texts, repeated rows, ties, one long text, odd white space, non-ASCII.
 TRICKY = [(None, None), (None, "same text here"), (1, None), (2, ""), (3, " \t\n "), (4, "a"), (5, "a b"), (5, "a b"), (5, "b a c d"),
