@@ -12,6 +12,7 @@ from .ppm import q_ppm
 from .simhash import q_simhash
 from .token_counts import q_token_counts
 from .toxicity import q_toxicity
+from .vector_codes import VECTOR_CODES_SQL, q_vector_codes
 
 QUERIES = {
     "op1_ann": q_ann,
@@ -24,9 +25,11 @@ QUERIES = {
     "op8_toxicity": q_toxicity,
     "op9_simhash": q_simhash,
     "op10_byte_bpe": q_byte_bpe,
+    "op13_vector_codes": q_vector_codes,
 }
 ORACLES = {
     "op3_line_dedup": LINE_DEDUP_SQL,
     "op4_phrase_dedup": PHRASE_DEDUP_SQL,
     "op5_decontaminate": DECONTAMINATE_SQL,
+    "op13_vector_codes": VECTOR_CODES_SQL,
 }
