@@ -10,6 +10,7 @@ from .line_dedup import LINE_DEDUP_SQL, q_line_dedup
 from .phrase_dedup import PHRASE_DEDUP_SQL, q_phrase_dedup
 from .ppm import q_ppm
 from .simhash import q_simhash
+from .token_alignment import q_token_alignment
 from .token_counts import q_token_counts
 from .toxicity import q_toxicity
 from .vector_codes import VECTOR_CODES_SQL, q_vector_codes
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": q_toxicity,
     "op9_simhash": q_simhash,
     "op10_byte_bpe": q_byte_bpe,
+    "op12_token_alignment": q_token_alignment,
     "op13_vector_codes": q_vector_codes,
 }
 ORACLES = {
