@@ -166,3 +166,47 @@ def rolling(h: np.ndarray, k: int) -> np.ndarray:
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
+
+
+# --- repeated rows ------------------------------------------------------------------------------------
+
+def distinct_rows(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(doc_id, row_key, text, copies, more): rows that repeat doc_id and text are combined before any shuffle, so a row
+    that fills a third of the table travels once per task.  Rows with ``more`` only add ``copies`` to the row of the same
+    doc_id and row_key (a 64-bit hash of both) and have no text."""
+    keyed = docs.select("doc_id", F.xxhash64(F.lit(11), F.col("doc_id"), F.col(text)).alias("row_key"), F.col(text).alias("text"))
+    kind = keyed.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        extra: dict[int, list] = {}
+        for b in batches:
+            keys = b.column(1).to_pylist()
+            first = []
+            for i, k in enumerate(keys):
+                if k in seen:
+                    extra.setdefault(k, [b.column(0)[i], 0])[1] += 1
+                else:
+                    seen.add(k)
+                    first.append(i)
+            b = b if len(first) == len(keys) else b.take(pa.array(first, pa.int64()))
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array([1] * n, pa.int64()), pa.array([False] * n)],
+                                             ["doc_id", "row_key", "text", "copies", "more"])
+            id_type, text_type = b.column(0).type, b.column(2).type
+        if extra:
+            n = len(extra)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0].as_py() for x in extra.values()], id_type), pa.array(list(extra), pa.int64()), pa.nulls(n, text_type),
+                 pa.array([x[1] for x in extra.values()], pa.int64()), pa.array([True] * n)],
+                ["doc_id", "row_key", "text", "copies", "more"])
+
+    return keyed.mapInArrow(run, f"doc_id {kind}, row_key long, text string, copies long, more boolean")
+
+
+def rows_in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """``distinct_rows`` dealt into blocks of about ``block_bytes`` of text by the hash of the row, and their number, which
+    grows with the text.  All rows of one doc_id and row_key are in one block: at most one with its text and one without
+    per task."""
+    n = max(1, -(-text_bytes(docs) // block_bytes))
+    return distinct_rows(docs).withColumn("block", F.pmod("row_key", F.lit(n)).cast("int")), n
