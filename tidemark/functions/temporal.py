@@ -46,7 +46,7 @@ def millis_to_ntz(ms: Column) -> Column:
 
 
 def day_window_filter(col: Column, as_of: dt.date, how: str = "eq") -> Column:
-    """``to_date(col) = as_of`` (``how='eq'``) or ``<= as_of`` (``how='le'``).
+    """``to_date(col) = as_of`` (``how='eq'``), ``<= as_of`` (``how='le'``) or ``> as_of`` (``how='gt'``).
 
     Catalyst turns both into range predicates on ``col`` that reach Parquet/JDBC scans and prune
     partitions when ``col`` is a partition column.
@@ -56,4 +56,6 @@ def day_window_filter(col: Column, as_of: dt.date, how: str = "eq") -> Column:
         return F.to_date(col) == day
     if how == "le":
         return F.to_date(col) <= day
+    if how == "gt":
+        return F.to_date(col) > day
     raise ValueError(f"unknown day filter {how!r}")

@@ -91,8 +91,7 @@ FROM log WHERE partition_date = DATE '2024-01-15' AND action IN ('INSERT', 'UPDA
     "append_history": f"""WITH {LOG}
 SELECT * FROM log WHERE partition_date IN (DATE '2024-01-15', DATE '2024-01-16')""",
     "snapshot_append": f"""WITH {LOG}
-SELECT id, name, email, action, updated_timestamp, partition_date FROM log
-WHERE partition_date IN (DATE '2024-01-15', DATE '2024-01-16', DATE '2024-01-17') AND action IN ('INSERT', 'UPDATE')""",
+SELECT id, name, email, action, updated_timestamp, partition_date FROM log WHERE action IN ('INSERT', 'UPDATE')""",
     "two_stage_snapshot": f"""WITH {LOG}, cur AS ({LATEST})
 SELECT id, name, email, action, updated_timestamp, DATE '2024-01-15' AS partition_date FROM cur""",
     "normalize_envelope": f"""WITH {LOG}
@@ -181,9 +180,10 @@ SELECT {SIDE_COLUMNS}, 'history' FROM tgt""",
     "scd4_multi_batch_day": f"""WITH {LOG} {TILL_15}, 'hist' AS sink FROM log WHERE partition_date <= DATE '2024-01-15'
 UNION ALL {TILL_15}, 'current' FROM ({LATEST}) c""",
     "catalog_kinds": f"""WITH {LOG}, kinds AS (SELECT unnest(['scd2', 'scd4_hist', 'scd4a_hist']) AS kind)
-SELECT log.*, kind FROM log, kinds WHERE partition_date IN (DATE '2024-01-14', DATE '2024-01-15')
+SELECT log.*, kind FROM log, kinds
 UNION ALL
-SELECT log.*, kind FROM log, (SELECT unnest(['scd4_current', 'scd4a_current']) AS kind) k WHERE partition_date = DATE '2024-01-15'""",
+SELECT log.*, kind FROM log, (SELECT unnest(['scd4_current', 'scd4a_current']) AS kind) k
+WHERE partition_date = (SELECT max(partition_date) FROM log)""",
     "csv_to_table": """SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey FROM nation""",
     "sql_partition_scan": f"""WITH {LOG}
 SELECT c_mktsegment, action, count(*) AS n_changes, count(DISTINCT id) AS n_customers

@@ -30,20 +30,22 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.temporal import resolve_as_of
+from tidemark.functions.temporal import day_window_filter, resolve_as_of
 from tidemark.operators.scd import current_of_state, latest_current
-from tidemark.session import path_exists, scratch_path
-from tidemark.sinks import TABLE_KINDS, fold_state, write_files, write_table
+from tidemark.session import scratch_path
+from tidemark.sinks import TABLE_KINDS, fold_state, state_note, write_files, write_table
 from tidemark.sources import READERS
 
 Frames = dict[str, DataFrame]
 
 
-_PARAMETER = re.compile(r"""'(?:[^'\\\\]|\\\\.)*'|"(?:[^"\\\\]|\\\\.)*"|`[^`]*`|(?<![\w:]):as_of\b""")
+# raw and plain literals, quoted names and comments are skipped
+_PARAMETER = re.compile(r"""\b[rR]'[^']*'|\b[rR]"[^"]*"|'(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*"|`[^`]*`|--[^\n]*|/\*.*?\*/|(?<![\w:]):as_of\b""", re.S)
 
 
 def _bind(text: str, as_of: dt.date) -> str:
-    """The run date for the parameter ``:as_of``; literals, quoted names and longer names stay as they are."""
+    """The run date for the parameter ``:as_of``; literals, quoted names, comments and longer names stay as
+    they are."""
     return _PARAMETER.sub(lambda m: f"DATE '{as_of.isoformat()}'" if m[0] == ":as_of" else m[0], text)
 
 
@@ -242,8 +244,10 @@ def _write_scd4(spark: SparkSession, df: DataFrame, as_of: dt.date, tbl_hist: st
     History is appended to; with ``load_id`` a load that is written again replaces its own rows (the load type
     never replaces a day, which may hold rows of other loads).  Current is recomputed from the history up to
     ``as_of`` or, with ``path_state`` (the last change per key, deletes included, in key buckets), folded forward from
-    it: O(touched buckets + batch).  Folding a load twice changes nothing; a state that was never written is built
-    from the whole history.
+    it: O(touched buckets + batch).  The state holds the changes up to the run date it was folded at; a later run adds
+    the load's and, from the history, those dated between the two run dates.  Folding a load twice changes nothing; a
+    state that was never written is built from the whole history, and a run for an earlier date than the state's
+    recomputes current from history.
     """
     keys, tie = _cols(keys), _cols(tie)
     common = {"partition_by": partition_by, "format": format}
@@ -253,8 +257,13 @@ def _write_scd4(spark: SparkSession, df: DataFrame, as_of: dt.date, tbl_hist: st
     if path_state is None:
         current = latest_current(hist, keys=keys, tie=tie, as_of=as_of)
     else:
-        state = fold_state(spark, path_state, df if path_exists(spark, path_state) else hist, keys, tie=tie, format=format)
-        current = current_of_state(state, tie=tie)
+        date, folded = F.col("partition_date"), state_note(spark, path_state)
+        upto, rows = as_of, hist
+        if folded:
+            before = dt.date.fromisoformat(folded["as_of"])
+            upto, rows = max(as_of, before), df.unionByName(hist.where(day_window_filter(date, before, "gt")))
+        state = fold_state(spark, path_state, rows.where(day_window_filter(date, upto, "le")), keys, tie=tie, note={"as_of": upto.isoformat()})
+        current = current_of_state(state, tie=tie) if upto == as_of else latest_current(hist, keys=keys, tie=tie, as_of=as_of)
     write_table(spark, current, tbl_current, path_current, mode="replace", **common)
 
 

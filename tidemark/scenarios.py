@@ -375,7 +375,7 @@ def q_write_dynamic_overwrite(spark, sf_dir):
 def q_append_history(spark, sf_dir):
     log = change_log(spark, sf_dir)
     hist = scratch_path(spark, "hist")
-    days = [r[0] for r in log.select("partition_date").distinct().orderBy("partition_date").collect()]
+    days = _days(log)
     for load, part in ((1, days[:10]), (2, days[10:20]), (3, days[20:]), (2, days[10:20])):  # the last is a rerun
         rows = stamp_partition(log.where(F.col("partition_date").isin(part)))
         write_table(spark, rows, path=hist, partition_by="partition_date", load_id=load)
@@ -412,17 +412,23 @@ def q_scd4_multi_batch_day_state(spark, sf_dir):
     return _scd4_multi_batch_day(spark, sf_dir, True)
 
 
+def _days(log):
+    """The days of the log, in order (one row per day)."""
+    return [r[0] for r in log.select("partition_date").distinct().orderBy("partition_date").collect()]
+
+
 def q_catalog_kinds(spark, sf_dir):
-    """All table kinds as catalog tables (create, append, replace), then read back by name."""
+    """All table kinds as catalog tables (create, append, replace) over all days, then read back by name."""
     name = "tide_" + scratch_path(spark, "x")[-12:]
     log = change_log(spark, sf_dir)
     base = f"{name}.customer"
-    first, second = _day(log, PREV_DAY), _day(log, AS_OF)
+    last = _days(log)[-1]
+    views = [(day, write_files(spark, _day(log, last, how) if how == "eq" else log.where(F.col("partition_date") < F.lit(last)), scratch_path(spark, "rows")))
+             for day, how in ((last - dt.timedelta(days=1), "lt"), (last, "eq"))]
     out = None
     try:
         for kind in ("scd2", "scd4_hist", "scd4a_hist", "scd4_current", "scd4a_current"):
-            for day, rows in ((PREV_DAY, first), (AS_OF, second)):
-                view = write_files(spark, rows, scratch_path(spark, "rows"))
+            for day, view in views:
                 run_spec(spark, {"extract_dfs": {"c": {"type": "read_file", "file_path": view}},
                                  "load": {"c": {"type": kind, "table_name": base, "partition_by": "partition_date"}}}, as_of=day)
             part = read_table(spark, f"{base}_{kind}").withColumn("kind", F.lit(kind))
@@ -434,10 +440,10 @@ def q_catalog_kinds(spark, sf_dir):
 
 
 def q_snapshot_append(spark, sf_dir):
+    """Every day's snapshot: current replaced, then appended to the history."""
     log = change_log(spark, sf_dir)
     current, hist = scratch_path(spark, "scd4a_current"), scratch_path(spark, "scd4a_hist")
-    for i in range(3):
-        day = AS_OF + dt.timedelta(days=i)
+    for day in _days(log):
         write_table(spark, snapshot_current(_day(log, day), as_of=day), path=current, mode="replace",
                     partition_by="partition_date")
         write_table(spark, read_as_of(spark, current, date_column="partition_date", as_of=day), path=hist,

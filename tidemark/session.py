@@ -8,6 +8,7 @@ executor sees.  Only when the session has no such setting (local tests) do we cr
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -127,9 +128,55 @@ def touch(spark: SparkSession, path: str) -> None:
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete one file."""
+    """Delete one file, or a folder that this package has written."""
     fs, hpath = _hadoop(spark, path)
     if fs is None:
-        os.unlink(_local(path))
+        if os.path.isdir(_local(path)):
+            shutil.rmtree(_local(path))
+        else:
+            os.unlink(_local(path))
         return
-    fs.delete(hpath, False)
+    fs.delete(hpath, True)
+
+
+def write_small(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file (configuration, not data) under a name of its own and rename it, so that it appears as a whole."""
+    aside = f"{path}.{uuid.uuid4().hex}"
+    fs, hpath = _hadoop(spark, aside)
+    if fs is None:
+        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+        with open(_local(aside), "w") as f:
+            f.write(text)
+        os.replace(_local(aside), _local(path))
+        return
+    out = fs.create(hpath, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    target = _hadoop(spark, path)[1]
+    if not fs.rename(hpath, target):   # a repeat meets the file of the run before
+        fs.delete(target, False)
+        fs.rename(hpath, target)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, hpath = _hadoop(spark, path)
+    if fs is None:
+        with open(_local(path)) as f:
+            return f.read()
+    stream = fs.open(hpath)
+    try:
+        return _context(spark)._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int | None:
+    """The size of the files under ``path`` (None if it does not exist)."""
+    fs, hpath = _hadoop(spark, path)
+    if fs is None:
+        p = _local(path)
+        if not os.path.isdir(p):
+            return None
+        return sum(os.path.getsize(os.path.join(d, f)) for d, _, files in os.walk(p) for f in files)
+    return int(fs.getContentSummary(hpath).getLength()) if fs.exists(hpath) else None

@@ -174,7 +174,8 @@ from tidemark.sinks.state import (  # noqa: E402
     read_scd2_state,
     read_scd2_table,
     read_state,
+    state_note,
 )
 
-__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "fold_state", "read_late", "read_scd2_state", "read_scd2_table", "read_state",
+__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "fold_state", "read_late", "read_scd2_state", "read_scd2_table", "read_state", "state_note",
            "write_files", "write_table"]

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope, parse_envelopes
-from tidemark.session import ensure_checkpoint_dir, scratch_path
+from tidemark.session import ensure_checkpoint_dir, remove, scratch_path
 from tidemark.sinks import commit_scd2_batch, read_scd2_table, write_table
 
 
@@ -68,10 +68,12 @@ def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
 
 
 def _one_parse(batch: DataFrame, write) -> None:  # noqa: ANN001
-    """Give ``write`` a copy of the parsed batch on the shared scratch folder: it is read more than once."""
+    """Give ``write`` a copy of the parsed batch on the shared scratch folder, as it is read more than once; the copy goes
+    when the batch is written (one that failed leaves its copy, and its replay makes another)."""
     path = scratch_path(batch.sparkSession, "micro-batch")
     batch.write.parquet(path)
     write(batch.sparkSession.read.schema(batch.schema).parquet(path))
+    remove(batch.sparkSession, path)
 
 
 def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkpoint_location: str,
