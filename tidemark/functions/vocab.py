@@ -2,7 +2,7 @@
 
 Fixed values (must equal the source system's vocabulary for results to match):
   actions written by the ingestion jobs:    INSERT, UPDATE, DELETE
-  change-envelope operation codes:          c (create), r (snapshot read), u (update), d (delete)
+  change-envelope operation codes:          c (create), r (snapshot read), u (update), d (delete), t (truncate of the table)
   legacy lower-case actions (gen-1 tables): insert, update, delete
   mapping used here: c -> INSERT, r -> INSERT, u -> UPDATE, d -> DELETE
 """
@@ -16,6 +16,7 @@ INSERT = "INSERT"
 UPDATE = "UPDATE"
 DELETE = "DELETE"
 LIVE_ACTIONS = (INSERT, UPDATE)
+TRUNCATE_OP = "t"
 
 OP_TO_ACTION = {"c": INSERT, "r": INSERT, "u": UPDATE, "d": DELETE}
 ACTION_TO_OP = {INSERT: "c", UPDATE: "u", DELETE: "d"}

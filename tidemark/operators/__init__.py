@@ -1,6 +1,7 @@
 """DataFrame-in / DataFrame-out operators: lazy plans, except for the batch key profile (one small job)
 and, with hot keys, one write of the sliced hot rows."""
 
+from tidemark.operators.asof import as_of_join, point_in_time  # noqa: F401
 from tidemark.operators.envelope import normalize_after_image, normalize_envelope  # noqa: F401
 from tidemark.operators.marts import top_users  # noqa: F401
 from tidemark.operators.merge import (  # noqa: F401
@@ -26,3 +27,4 @@ from tidemark.operators.scd import (  # noqa: F401
     stamp_partition,
 )
 from tidemark.operators.sequence import latest_per_key, next_in_key  # noqa: F401
+from tidemark.operators.truncates import close_at_truncates, truncate_events  # noqa: F401

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidemark.functions.temporal import millis_to_ntz
-from tidemark.functions.vocab import action_from_op
+from tidemark.functions.vocab import TRUNCATE_OP, action_from_op
 
 DEFAULT_FIELDS = StructType([
     StructField("id", StringType()),
@@ -66,7 +66,8 @@ def parse_envelopes(df: DataFrame, value_col: str, fields: StructType, seq_field
 
 def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructType = DEFAULT_FIELDS,
                        ntz: bool = True, keep_raw: bool = False, seq_field: str | None = None,
-                       keys: Sequence[str] | None = None, parsed: bool = False) -> tuple[DataFrame, DataFrame]:
+                       keys: Sequence[str] | None = None, parsed: bool = False,
+                       truncates: bool = False) -> tuple[DataFrame, DataFrame]:
     """Flatten envelopes into ``(operation, action, <fields>, updated_timestamp, partition_date)``.
 
     Returns ``(good, quarantine)``.  Quarantine holds the raw text and a ``reason`` for malformed
@@ -74,9 +75,12 @@ def normalize_envelope(df: DataFrame, value_col: str = "value", fields: StructTy
     without a key (one of ``keys``, by default the first field, is null or not of its type) -- rows the
     plain parse would have turned into all-null records.  ``partition_date`` is the event date, so a
     late change lands in its own (old) partition.  With ``seq_field`` (e.g. the log position ``lsn``)
-    that ``source`` field is emitted as ``seq``, the tie-break for changes in the same millisecond.
+    that ``source`` field is emitted as ``seq``, the tie-break for changes in the same millisecond.  With ``truncates`` the
+    truncate messages that have a time are in neither: the caller takes them with ``truncate_events``.
     """
     env = df if parsed else parse_envelopes(df, value_col, fields, seq_field)   # parsed: df comes from parse_envelopes
+    if truncates:
+        env = env.where(~(F.col("__op").eqNullSafe(TRUNCATE_OP) & F.col("__source.ts_ms").isNotNull()))
     op = F.col("__op")
     image = F.when(op == "d", F.col("__before")).otherwise(F.col("__after"))
     ms = F.col("__source.ts_ms")

@@ -200,3 +200,32 @@ UNION ALL SELECT concat('{"op":"d","source":{"ts_ms":1},"seq":', event_id, '}'),
     "append_history": f"WITH {LOG} SELECT * FROM log",
 }
 ORACLES["scd4_multi_batch_day_state"] = ORACLES["scd4_multi_batch_day"]
+
+ORACLES |= {
+    "stream_dedup": ORACLES["stream_to_bronze"],
+    "scd2_with_truncates": f"""WITH {LOG}, env AS (SELECT id, name, email, action, {ENVELOPE_TS} AS ts, seq FROM log),
+cuts AS (SELECT ts, seq FROM env WHERE seq % 997 = 5),
+steps AS (SELECT *, coalesce(lead(ts) OVER (PARTITION BY id ORDER BY ts, seq), {OPEN}) AS nxt FROM env),
+ended AS (SELECT *, least(nxt, coalesce((SELECT min(c.ts) FROM cuts c WHERE c.ts > steps.ts OR (c.ts = steps.ts AND c.seq > steps.seq)), nxt)) AS valid_to
+          FROM steps WHERE action <> 'DELETE')
+SELECT id, name, email, action, ts AS valid_from, valid_to, valid_to = {OPEN} AS is_current, built_from
+FROM ended, (SELECT unnest(['log', 'batches']) AS built_from)""",
+    "as_of_join": """WITH p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+c AS (SELECT user_id, ts, event_id FROM events WHERE event_type = 'click'),
+b AS (SELECT p.event_id, max({'t': c.ts, 'e': c.event_id}) AS x FROM p JOIN c ON c.user_id = p.user_id AND c.ts < p.ts GROUP BY 1),
+f AS (SELECT p.event_id, min({'t': c.ts, 'e': c.event_id}) AS x FROM p JOIN c ON c.user_id = p.user_id AND c.ts > p.ts GROUP BY 1)
+SELECT event_id, user_id, ts, b.x.t AS last_at, b.x.e AS last_click, f.x.t AS next_at, f.x.e AS next_click
+FROM p LEFT JOIN b USING (event_id) LEFT JOIN f USING (event_id)""",
+    "point_in_time": f"""WITH {LOG}, dim AS ({SCD2}),
+facts AS (SELECT seq, id, updated_timestamp - INTERVAL 1 HOUR AS at FROM log WHERE seq % 2 = 0)
+SELECT facts.seq, facts.id, facts.at, email AS dim_email, action AS dim_action, valid_from AS dim_valid_from, valid_to AS dim_valid_to
+FROM facts LEFT JOIN dim ON dim.id = facts.id AND valid_from <= facts.at AND facts.at < valid_to""",
+    "top_users_incremental": """WITH v AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 0 AND o_orderkey % 10 <> 0 THEN o_custkey + 1 ELSE o_custkey END AS custkey,
+         o_orderkey % 5 = 0 AND o_orderkey % 10 <> 0 AS moved
+  FROM orders WHERE o_orderkey % 7 <> 0),
+r AS (SELECT custkey, o_orderkey, sum(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS rev
+      FROM v JOIN lineitem ON l_orderkey = o_orderkey WHERE NOT moved OR l_linenumber <= 2 GROUP BY 1, 2)
+SELECT c_custkey, c_name, count(*) AS n_orders, CAST(round(sum(rev), 2) AS DOUBLE) AS revenue
+FROM r JOIN customer ON c_custkey = custkey GROUP BY 1, 2""",
+}

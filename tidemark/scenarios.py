@@ -20,7 +20,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 from tidemark.functions.temporal import open_end
 from tidemark.functions.vocab import op_from_action
 from tidemark.operators import (
+    as_of_join,
     as_of_view,
+    close_at_truncates,
     current_of_state,
     fold_latest,
     latest_current,
@@ -30,19 +32,23 @@ from tidemark.operators import (
     merge_current_with_history,
     normalize_after_image,
     normalize_envelope,
+    point_in_time,
     scd2_apply,
     scd2_from_log,
     scd2_init,
     snapshot_current,
     stamp_partition,
     top_users,
+    truncate_events,
 )
+from tidemark.operators.envelope import parse_envelopes
 from tidemark.operators.touched import MIN_SPLIT_STATE_ROWS
 from tidemark.plans import run_spec, run_spec_file, run_stages
 from tidemark.session import scratch_path
 from tidemark.sinks import commit_scd2_batch, fold_state, read_late, read_scd2_table, read_state, write_files, write_table
+from tidemark.sinks.mart import commit_orders, read_top_users
 from tidemark.sources import read_as_of, read_file, read_partition, read_table
-from tidemark.streaming import run_stream_spec, stream_scd2, stream_to_bronze
+from tidemark.streaming import read_truncated_table, run_stream_spec, stream_scd2, stream_to_bronze
 
 AS_OF = dt.date(2024, 1, 15)
 PREV_DAY = dt.date(2024, 1, 14)
@@ -528,6 +534,71 @@ def q_stream_scd2(spark, sf_dir):
     return read_scd2_table(spark, target)
 
 
+def q_stream_dedup(spark, sf_dir):
+    """Three arrivals, each drained by a restart from the checkpoint: the second and third also bring everything of the
+    arrival before again, and all bring some messages twice."""
+    inbox, bronze, ckpt = (scratch_path(spark, n) for n in ("inbox", "stream_bronze", "ckpt"))
+    log = change_log(spark, sf_dir)
+    days = _days(log)
+    before = None
+    for part in (days[:10], days[10:20], days[20:]):
+        new = log.where(F.col("partition_date").isin(part))
+        sent = envelopes(new).unionByName(envelopes(new.where(F.col("seq") % 3 == 0)))
+        (sent if before is None else sent.unionByName(envelopes(before))).write.mode("append").text(inbox)
+        for q in stream_to_bronze(spark, {"path": inbox}, bronze, ckpt, fields=ENVELOPE_FIELDS, dedup_within="1 day"):
+            q.awaitTermination()
+        before = new
+    return spark.read.parquet(bronze).drop("batch_id")
+
+
+TRUNCATE_EVERY, TRUNCATE_REST = 997, 5
+
+
+def truncate_messages(log: DataFrame) -> DataFrame:
+    """A truncate message at the position of every ``TRUNCATE_EVERY``-th change."""
+    ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("updated_timestamp"))
+    body = F.struct(F.lit("t").alias("op"), F.struct(ms.alias("ts_ms"), F.col("seq").alias("lsn")).alias("source"))
+    return log.where(F.col("seq") % TRUNCATE_EVERY == TRUNCATE_REST).select(F.to_json(body).alias("value"))
+
+
+def q_scd2_with_truncates(spark, sf_dir):
+    """Intervals of a log with truncates: built from the whole log, and by a stream in three arrivals whose truncates
+    come one arrival late."""
+    log = change_log(spark, sf_dir)
+    parsed = parse_envelopes(envelopes(log).unionByName(truncate_messages(log)), "value", ENVELOPE_FIELDS, "lsn")
+    good, _quarantine = normalize_envelope(parsed, "value", ENVELOPE_FIELDS, seq_field="lsn", parsed=True, truncates=True)
+    whole = scd2_from_log(good.drop("operation").withColumn("change_seq", F.col("seq")))
+    whole = close_at_truncates(whole, truncate_events(parsed, seq_field="lsn"), tie=("seq",), position=("change_seq",))
+    inbox, target, ckpt = (scratch_path(spark, n) for n in ("inbox", "stream_scd2", "ckpt"))
+    days, late = _days(log), None
+    for part in (days[:10], days[10:20], days[20:], []):
+        new = log.where(F.col("partition_date").isin(part)) if part else log.limit(0)
+        sent = envelopes(new) if late is None else envelopes(new).unionByName(truncate_messages(late))
+        sent.write.mode("append").text(inbox)
+        stream_scd2(spark, {"path": inbox}, target, ckpt, fields=ENVELOPE_FIELDS, seq_field="lsn", truncates=True).awaitTermination()
+        late = new
+    batches = read_truncated_table(spark, target, seq_field="lsn")
+    return (whole.withColumn("built_from", F.lit("log")).unionByName(batches.withColumn("built_from", F.lit("batches")))
+            .drop("change_seq"))
+
+
+def q_as_of_join(spark, sf_dir):
+    """The last click before every purchase, and the first after it."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type")
+    bought = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    clicks = events.where("event_type = 'click'").select("user_id", F.col("ts").alias("at"), F.col("event_id").alias("click"))
+    found = as_of_join(bought, clicks, ["user_id"], "ts", "at", ("click",), "last_", exact=False)
+    return as_of_join(found, clicks, ["user_id"], "ts", "at", ("click",), "next_", exact=False, direction="forward")
+
+
+def q_point_in_time(spark, sf_dir):
+    """Every purchase with the customer's row as it was at that time."""
+    log = change_log(spark, sf_dir)
+    facts = log.where("seq % 2 = 0").select("seq", "id", F.expr("updated_timestamp - INTERVAL '1' HOUR").alias("at"))
+    dim = scd2_from_log(log).select("id", "email", "action", "valid_from", "valid_to")
+    return point_in_time(facts, dim, ["id"], "at")
+
+
 # --- declarative specs ------------------------------------------------------------------------------
 
 def _events_source(sf_dir):
@@ -644,6 +715,30 @@ def q_top_users(spark, sf_dir):
                      table(spark, sf_dir, "lineitem"), n=10)
 
 
+
+def _order_loads(orders, lines):
+    """Three loads of changed orders with their lines: two thirds of the orders; the others, and every fifth replaced by
+    a version for another customer with fewer lines; every seventh deleted, and every tenth as it was."""
+    key = F.col("o_orderkey")
+    plain = orders.select("o_orderkey", "o_custkey", F.lit("INSERT").alias("action"))
+    moved = orders.where(key % 5 == 0).select("o_orderkey", (F.col("o_custkey") + 1).alias("o_custkey"), F.lit("UPDATE").alias("action"))
+    first, rest = plain.where(key % 3 != 0), plain.where(key % 3 == 0)
+    yield first, lines
+    yield (rest.where(key % 5 != 0).unionByName(moved),
+           lines.where("l_orderkey % 5 <> 0 OR l_linenumber <= 2"))
+    yield (plain.where((key % 7 == 0) | (key % 10 == 0)).withColumn("action", F.when(key % 7 == 0, "DELETE").otherwise("UPDATE"))), lines
+
+
+def q_top_users_incremental(spark, sf_dir):
+    """The whole mart after three loads, the second of which is committed twice."""
+    root = scratch_path(spark, "mart")
+    orders, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    for n, (changed, of_them) in enumerate(_order_loads(orders, lines), start=1):
+        for _ in range(2 if n == 2 else 1):
+            commit_orders(spark, root, changed, of_them, n)
+    return read_top_users(spark, root, table(spark, sf_dir, "customer"))
+
+
 QUERIES = {
     "latest_current": q_latest_current,
     "latest_current_incremental": q_latest_current_incremental,
@@ -693,4 +788,9 @@ QUERIES = {
     "spec_file": q_spec_file,
     "run_stream_spec": q_run_stream_spec,
     "stream_to_bronze_quarantine": q_stream_to_bronze_quarantine,
+    "stream_dedup": q_stream_dedup,
+    "scd2_with_truncates": q_scd2_with_truncates,
+    "as_of_join": q_as_of_join,
+    "point_in_time": q_point_in_time,
+    "top_users_incremental": q_top_users_incremental,
 }

@@ -169,6 +169,7 @@ WRITERS = {
 
 from tidemark.sinks.state import (  # noqa: E402
     commit_scd2_batch,
+    committed_batch,
     fold_state,
     read_late,
     read_scd2_state,
@@ -177,5 +178,6 @@ from tidemark.sinks.state import (  # noqa: E402
     state_note,
 )
 
-__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "fold_state", "read_late", "read_scd2_state", "read_scd2_table", "read_state", "state_note",
+__all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "committed_batch", "fold_state", "read_late", "read_scd2_state", "read_scd2_table",
+           "read_state", "state_note",
            "write_files", "write_table"]

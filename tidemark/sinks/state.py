@@ -142,6 +142,13 @@ def set_layout(spark: SparkSession, path: str, layout: dict) -> None:
                 remove(spark, f"{path}/bucket={b}/{name}")
 
 
+def scratch_copy(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written once to the shared scratch folder: for several readers, safe from lost executors."""
+    path = scratch_path(spark, name)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 # --- the last change per key --------------------------------------------------------------------------
 
 def read_state(spark: SparkSession, path: str) -> DataFrame | None:
@@ -229,6 +236,11 @@ def commit_scd2_batch(spark: SparkSession, root: str, batch: DataFrame, batch_id
     return read_late(spark, root, batch_id)
 
 
+def committed_batch(spark: SparkSession, root: str) -> int | None:
+    """The newest committed batch of an SCD2 table or a mart."""
+    return _mark(spark, root.rstrip("/"), "committed")
+
+
 def read_late(spark: SparkSession, root: str, batch_id: int | None = None) -> DataFrame | None:
     """The late rows of one batch, or of all."""
     path = f"{root.rstrip('/')}/late" + ("" if batch_id is None else f"/batch_id={batch_id}")

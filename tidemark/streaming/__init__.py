@@ -7,13 +7,16 @@
 ``stream_to_bronze``    envelopes -> normalised rows -> partitioned bronze files (+ quarantine sink).
 ``stream_scd2``         envelopes -> per micro-batch ``commit_scd2_batch`` (append-only history +
                         latest row per key, committed versions).
+``drop_redelivered``    a stream without messages that the broker delivers again (keyed state, evicted by arrival time).
 ``run_stream_spec``     the streaming job entry point for an {"extract", "load"} spec (stable
                         per-topic checkpoint under ``spark.checkpoint.dir``).
 """
 
+from tidemark.streaming.dedup import drop_redelivered  # noqa: F401
 from tidemark.streaming.jobs import (  # noqa: F401
     read_change_stream,
     read_scd2_table,
+    read_truncated_table,
     run_stream_spec,
     stream_scd2,
     stream_to_bronze,

@@ -5,12 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidemark.operators.envelope import DEFAULT_FIELDS, normalize_envelope, parse_envelopes
+from tidemark.operators.truncates import close_at_truncates, truncate_events
 from tidemark.session import ensure_checkpoint_dir, remove, scratch_path
-from tidemark.sinks import commit_scd2_batch, read_scd2_table, write_table
+from tidemark.sinks import commit_scd2_batch, committed_batch, read_scd2_table, write_table
+from tidemark.streaming.dedup import drop_redelivered
+
+CHANGE_SEQ = "change_seq"
 
 
 def read_change_stream(spark: SparkSession, kafka_bootstrap: str | None = None, topic: str | None = None,
@@ -67,6 +72,11 @@ def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
     return _trigger(w, trigger).start()
 
 
+def _messages(spark: SparkSession, source: dict, dedup_within: str | None) -> DataFrame:
+    raw = read_change_stream(spark, **source)
+    return drop_redelivered(raw, dedup_within) if dedup_within else raw
+
+
 def _one_parse(batch: DataFrame, write) -> None:  # noqa: ANN001
     """Give ``write`` a copy of the parsed batch on the shared scratch folder, as it is read more than once; the copy goes
     when the batch is written (one that failed leaves its copy, and its replay makes another)."""
@@ -80,15 +90,16 @@ def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkp
                      fields: StructType = DEFAULT_FIELDS, quarantine_path: str | None = None,
                      trigger: str | None = "availableNow",
                      partition_by: str | Sequence[str] = "partition_date",
-                     format: str = "parquet") -> list[StreamingQuery]:
+                     format: str = "parquet", dedup_within: str | None = None) -> list[StreamingQuery]:
     """Envelopes -> normalised change rows -> bronze files partitioned by micro-batch and event date.
 
     Late changes land in their own (old) ``partition_date``; nothing is dropped.  Rejected messages go to
     ``quarantine_path`` (default: ``bronze_path`` with ``_quarantine``).  Each message is parsed once for both.  A
     micro-batch writes its own ``batch_id`` folders, so a replayed one replaces them (exactly once), and its files are
-    rebalanced by date.  The layers have the extra column ``batch_id``.
+    rebalanced by date.  The layers have the extra column ``batch_id``.  With ``dedup_within`` (a time, e.g. ``"1 day"``)
+    messages that the broker delivers again within that time are left out (``drop_redelivered``).
     """
-    raw = read_change_stream(spark, **source)
+    raw = _messages(spark, source, dedup_within)
     rejected = quarantine_path or bronze_path.rstrip("/") + "_quarantine"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -114,11 +125,12 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
     session's shared ``spark.checkpoint.dir``, so a restart resumes where the last run stopped.  The
     default trigger runs micro-batches continuously; ``"availableNow"`` drains what is there and stops.
     With ``"type": "scd2"`` in ``load`` the stream keeps the SCD2 table at ``path`` instead
-    (``stream_scd2``; optional ``keys``, ``seq_field``, ``quarantine_path``).  Unknown arguments are errors.
+    (``stream_scd2``; optional ``keys``, ``seq_field``, ``quarantine_path``, ``truncates``).  ``dedup_within`` leaves out what
+    the broker delivers again within that time.  Unknown arguments are errors.
     """
     extract_args, load_args = dict(spec["extract"]), dict(spec["load"])
-    unknown = set(load_args) - {"topic", "type", "path", "checkpoint_location", "trigger", "quarantine_path",
-                                *(("keys", "seq_field") if load_args.get("type") == "scd2" else ("partition_by", "format"))}
+    unknown = set(load_args) - {"topic", "type", "path", "checkpoint_location", "trigger", "quarantine_path", "dedup_within",
+                                *(("keys", "seq_field", "truncates") if load_args.get("type") == "scd2" else ("partition_by", "format"))}
     if unknown:
         raise ValueError(f"unknown load arguments {sorted(unknown)}")
     name = load_args.get("topic") or extract_args.get("topic") or "stream"
@@ -127,13 +139,14 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
     if load_args.get("type") == "scd2":
         queries = [stream_scd2(spark, extract_args, load_args["path"], checkpoint, fields=fields,
                                keys=tuple(load_args.get("keys", ("id",))), trigger=trigger or load_args.get("trigger"),
-                               quarantine_path=load_args.get("quarantine_path"), seq_field=load_args.get("seq_field"))]
+                               quarantine_path=load_args.get("quarantine_path"), seq_field=load_args.get("seq_field"),
+                               dedup_within=load_args.get("dedup_within"), truncates=bool(load_args.get("truncates", False)))]
     else:
         queries = stream_to_bronze(spark, extract_args, load_args["path"], checkpoint, fields=fields,
                                    quarantine_path=load_args.get("quarantine_path"),
                                    trigger=trigger or load_args.get("trigger"),
                                    partition_by=load_args.get("partition_by", "partition_date"),
-                                   format=load_args.get("format", "parquet"))
+                                   format=load_args.get("format", "parquet"), dedup_within=load_args.get("dedup_within"))
     if await_termination:
         for q in queries:
             q.awaitTermination()
@@ -145,19 +158,27 @@ def run_stream_spec(spark: SparkSession, spec: dict, fields: StructType = DEFAUL
 def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_location: str,
                 fields: StructType = DEFAULT_FIELDS, keys: Sequence[str] = ("id",),
                 trigger: str | None = "availableNow", seq_field: str | None = None,
-                quarantine_path: str | None = None) -> StreamingQuery:
+                quarantine_path: str | None = None, dedup_within: str | None = None,
+                truncates: bool = False) -> StreamingQuery:
     """Each micro-batch: normalise, then ``commit_scd2_batch`` as batch ``batch_id`` of the SCD2 table at
     ``target_root`` (see ``sinks.state``).  Late rows stay in ``target_root``/late, rejected messages go to
     ``quarantine_path`` (default: ``target_root``/quarantine), both by batch, so a replay replaces them.
     Read the table with ``read_scd2_table``.
+
+    With ``truncates`` truncate messages are kept by batch beside the table, which then has the column ``change_seq`` where
+    there is a ``seq_field``; read it with ``read_truncated_table``.
     """
-    raw = read_change_stream(spark, **source)
+    raw = _messages(spark, source, dedup_within)
     tie = ("seq",) if seq_field else ()
     rejected = quarantine_path or f"{target_root.rstrip('/')}/quarantine"
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
         def both(messages: DataFrame) -> None:
-            good, bad = normalize_envelope(messages, "value", fields, seq_field=seq_field, keys=keys, parsed=True)
+            good, bad = normalize_envelope(messages, "value", fields, seq_field=seq_field, keys=keys, parsed=True, truncates=truncates)
+            if truncates:
+                good = good.withColumn(CHANGE_SEQ, F.col("seq")) if seq_field else good
+                write_table(batch.sparkSession, truncate_events(messages, seq_field=seq_field), path=_truncates_of(target_root),
+                            load_id=batch_id, load_column="batch_id")
             write_table(batch.sparkSession, bad, path=rejected, load_id=batch_id, load_column="batch_id")
             commit_scd2_batch(batch.sparkSession, target_root, good.drop("operation"), batch_id, keys=keys,
                               ts="updated_timestamp", tie=tie, drop=("partition_date",))
@@ -167,5 +188,20 @@ def stream_scd2(spark: SparkSession, source: dict, target_root: str, checkpoint_
     return _trigger(w, trigger).start()
 
 
-__all__ = ["read_change_stream", "read_scd2_table", "run_stream_spec", "stream_scd2", "stream_to_bronze",
+def _truncates_of(root: str) -> str:
+    return f"{root.rstrip('/')}/truncates"
+
+
+def read_truncated_table(spark: SparkSession, root: str, keys: Sequence[str] = ("id",), seq_field: str | None = None) -> DataFrame | None:
+    """The table that ``stream_scd2(..., truncates=True)`` keeps: its committed intervals, ended by the truncates of
+    committed batches."""
+    table = read_scd2_table(spark, root, keys, tie=("seq",) if seq_field else ())
+    if table is None:
+        return None
+    events = spark.read.parquet(_truncates_of(root)).where(F.col("batch_id").cast("long") <= committed_batch(spark, root))
+    tie, at = (("seq",), (CHANGE_SEQ,)) if seq_field else ((), ())
+    return close_at_truncates(table, events, tie=tie, position=at)
+
+
+__all__ = ["drop_redelivered", "read_change_stream", "read_truncated_table", "read_scd2_table", "run_stream_spec", "stream_scd2", "stream_to_bronze",
            "write_change_stream"]
