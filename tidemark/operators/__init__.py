@@ -10,6 +10,7 @@ from tidemark.operators.merge import (  # noqa: F401
     merge_close_and_insert,
     merge_close_and_insert_with_archive,
     merge_current,
+    merge_current_bucketed,
     merge_current_with_history,
 )
 from tidemark.operators.scd import (  # noqa: F401
@@ -27,4 +28,5 @@ from tidemark.operators.scd import (  # noqa: F401
     stamp_partition,
 )
 from tidemark.operators.sequence import latest_per_key, next_in_key  # noqa: F401
+from tidemark.operators.snapshots import snapshot_changes, snapshot_intervals  # noqa: F401
 from tidemark.operators.truncates import close_at_truncates, truncate_events  # noqa: F401

@@ -47,19 +47,20 @@ def envelope_schema(fields: StructType, seq_field: str | None = None) -> StructT
     return StructType([StructField("payload", StructType(inner))] + inner)
 
 
-def parse_envelopes(df: DataFrame, value_col: str, fields: StructType, seq_field: str | None = None) -> DataFrame:
-    """``__raw`` plus the unified ``__before, __after, __op, __source`` of each message.
+def parse_envelopes(df: DataFrame, value_col: str, fields: StructType, seq_field: str | None = None,
+                    keep: Sequence[str] = ()) -> DataFrame:
+    """``__raw`` plus the unified ``__before, __after, __op, __source`` of each message, and the columns ``keep`` beside it.
 
     The JSON is parsed exactly once per message: ``from_json`` runs inside a generator
     (``inline_outer``), and Catalyst neither pushes later filters below a generator nor inlines its
     output, so the quarantine split and the field projections cannot multiply the parse.
     """
     raw = F.col(value_col).cast("string")
-    parsed = df.select(raw.alias("__raw"),
+    parsed = df.select(raw.alias("__raw"), *keep,
                        F.inline_outer(F.array(F.from_json(raw, envelope_schema(fields, seq_field)))))
     wrapped = F.col("payload").isNotNull()
     return parsed.select(
-        "__raw",
+        "__raw", *keep,
         *[F.when(wrapped, F.col("payload")[n]).otherwise(F.col(n)).alias(f"__{n}")
           for n in ("before", "after", "op", "source")])
 

@@ -13,6 +13,7 @@ anti join and runs the full outer join only on the touched rows (see ``touched``
 join the whole table with the batch as one shuffle join.
 
 * ``merge_current``          SCD4 current table upkeep (update in place, close on delete).
+* ``merge_current_bucketed`` the same on a table bucketed by key, which is never exchanged.
 * ``merge_close_and_insert`` SCD4a upkeep (close the open version, insert the new one, stamp all
                              rows with the run date).
 
@@ -64,18 +65,21 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
     open_rows, closed_rows = _split_open(current.select(*out_cols), sentinel)
 
     src = last_change_per_key(changes, keys, ts, tie)
-    src = src.select(*[F.col(k) for k in keys],
-                     *[F.col(c).alias(f"__s_{c}") for c in payload],
-                     F.upper(F.col(action)).alias("__s_action"), F.col(action).alias("__s_action_raw"),
-                     F.col(ts).alias("__s_ts"), F.lit(True).alias("__s"))
+    src = _as_source(src, keys, payload, ts, action)
     # the table's row count (an unfiltered count, cheap on columnar files) sizes the state for the split choice
     profile = profile_keys(changes, keys, DEFAULT_SPLIT_ROWS, state=current)
     open_rows, untouched = split_touched(open_rows, keys, touched_keys(src, keys, profile, distinct=False, min_state_rows=min_state_rows))
     if untouched is not None:
         closed_rows = closed_rows.unionByName(untouched)
+    merged = _merged(open_rows, src, keys, payload, action, sentinel, same_keys(keys, "__s_"))
+    return closed_rows.unionByName(merged)
+
+
+def _merged(open_rows: DataFrame, src: DataFrame, keys: Keys, payload: Keys, action: str, sentinel: Column, on: Column) -> DataFrame:
+    """Open rows and the last changes per key (columns with ``__s_``) after the merge."""
     tgt = open_rows.withColumn("__t", F.lit(True))
     src = src.select(*[F.col(k).alias(f"__s_{k}") for k in keys], *[c for c in src.columns if c not in keys])
-    j = tgt.join(src, same_keys(keys, "__s_"), "full_outer")
+    j = tgt.join(src, on, "full_outer")
 
     t_missing = F.col("__t").isNull()
     matched = F.col("__t") & F.col("__s")
@@ -83,14 +87,45 @@ def merge_current(current: DataFrame, changes: DataFrame, keys: Keys = ("id",),
     is_delete = matched & (F.col("__s_action") == DELETE)
     take_src = t_missing | is_update
 
-    merged = j.select(
+    return j.select(
         *[F.when(t_missing, F.col(f"__s_{k}")).otherwise(F.col(k)).alias(k) for k in keys],
         *[F.when(take_src, F.col(f"__s_{c}")).otherwise(F.col(c)).alias(c) for c in payload],
         F.when(take_src | is_delete, F.col("__s_action_raw")).otherwise(F.col(action)).alias(action),
         F.when(take_src, F.col("__s_ts")).otherwise(F.col("valid_from")).alias("valid_from"),
         F.when(is_delete, F.col("__s_ts")).when(t_missing, sentinel).otherwise(F.col("valid_to")).alias("valid_to"),
     )
-    return closed_rows.unionByName(merged)
+
+
+def merge_current_bucketed(table: DataFrame, changes: DataFrame, buckets: int, keys: Keys = ("id",),
+                           ts: str = "updated_timestamp", tie: Keys = ("seq",), action: str = "action") -> DataFrame:
+    """``merge_current`` on a table that is bucketed by its keys (``sinks.write_bucketed``): the table is scanned bucket by
+    bucket and never exchanged; only the batch is, once, into as many partitions.  The result has the table's partitioning, so
+    writing it with the same buckets needs no exchange either.
+
+    Rows with a null in their keys are merged apart (null-safe): only plain equality keeps a bucketed scan in place."""
+    sentinel = open_end(changes.schema[ts].dataType)
+    payload = [c for c in table.columns if c not in set(keys) | {action, "valid_from", "valid_to"}]
+    out_cols = [*keys, *payload, action, "valid_from", "valid_to"]
+    null = F.lit(False)
+    for k in keys:
+        null = null | F.col(k).isNull()
+    open_rows, closed_rows = _split_open(table.select(*out_cols).where(~null), sentinel)
+    placed = changes.where(~null).repartition(buckets, *[F.col(k) for k in keys])   # the top-1 per key and the join keep it
+    src = _as_source(last_change_per_key(placed, keys, ts, tie), keys, payload, ts, action)
+    on = None
+    for k in keys:
+        one = F.col(k) == F.col(f"__s_{k}")
+        on = one if on is None else on & one
+    merged = _merged(open_rows, src, keys, payload, action, sentinel, on)
+    rest = merge_current(table.select(*out_cols).where(null), changes.where(null), keys, ts, tie, action)
+    return closed_rows.unionByName(merged).unionByName(rest)
+
+
+def _as_source(src: DataFrame, keys: Keys, payload: Keys, ts: str, action: str) -> DataFrame:
+    return src.select(*[F.col(k) for k in keys],
+                      *[F.col(c).alias(f"__s_{c}") for c in payload],
+                      F.upper(F.col(action)).alias("__s_action"), F.col(action).alias("__s_action_raw"),
+                      F.col(ts).alias("__s_ts"), F.lit(True).alias("__s"))
 
 
 def delete_history(changes: DataFrame, keys: Keys = ("id",), ts: str = "updated_timestamp", tie: Keys = ("seq",),

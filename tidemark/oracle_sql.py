@@ -229,3 +229,33 @@ r AS (SELECT custkey, o_orderkey, sum(CAST(l_extendedprice * (1 - l_discount) AS
 SELECT c_custkey, c_name, count(*) AS n_orders, CAST(round(sum(rev), 2) AS DOUBLE) AS revenue
 FROM r JOIN customer ON c_custkey = custkey GROUP BY 1, 2""",
 }
+
+# the live rows at the end of every day but the 20th, and the snapshot days in order
+SNAPSHOTS = """days AS (SELECT DISTINCT partition_date AS d FROM log),
+ends AS (SELECT d, log.*, row_number() OVER (PARTITION BY d, id ORDER BY updated_timestamp DESC, seq DESC) AS rn
+         FROM days JOIN log ON log.partition_date <= d),
+snap AS (SELECT id, name, email, d FROM ends WHERE rn = 1 AND action <> 'DELETE' AND day(d) <> 20),
+ordered AS (SELECT d, row_number() OVER (ORDER BY d) AS n FROM (SELECT DISTINCT d FROM snap)),
+numbered AS (SELECT snap.*, n FROM snap JOIN ordered USING (d))"""
+ORACLES |= {
+    "snapshot_changes": f"""WITH {LOG}, {SNAPSHOTS}
+SELECT a.id, a.name, a.email, CASE WHEN b.id IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS action, a.d AS partition_date
+FROM numbered a LEFT JOIN numbered b ON b.id = a.id AND b.n = a.n - 1
+WHERE b.id IS NULL OR b.name IS DISTINCT FROM a.name OR b.email IS DISTINCT FROM a.email
+UNION ALL
+SELECT a.id, a.name, a.email, 'DELETE', o.d FROM numbered a JOIN ordered o ON o.n = a.n + 1
+WHERE NOT EXISTS (SELECT 1 FROM numbered b WHERE b.id = a.id AND b.n = a.n + 1)""",
+    "snapshot_intervals": f"""WITH {LOG}, {SNAPSHOTS},
+runs AS (SELECT *, n - row_number() OVER (PARTITION BY id, name, email ORDER BY n) AS run FROM numbered),
+folded AS (SELECT id, name, email, min(d) AS a, max(n) AS z FROM runs GROUP BY id, name, email, run)
+SELECT id, name, email, CAST(a AS TIMESTAMP) AS valid_from, coalesce(CAST(o.d AS TIMESTAMP), {OPEN}) AS valid_to, o.d IS NULL AS is_current
+FROM folded LEFT JOIN ordered o ON o.n = z + 1""",
+    "merge_current_bucketed": ORACLES["merge_current"],
+    "stream_offset_ranges": f"""WITH {LOG}, sent AS (SELECT id % 4 AS p, seq * 2 + id % 4 AS o, seq % 97 = 0 AND partition_date <= (
+    SELECT max(partition_date) FROM (SELECT DISTINCT partition_date FROM log ORDER BY 1 LIMIT 20)) AS again FROM log WHERE seq % 211 <> 0),
+runs AS (SELECT *, o - row_number() OVER (PARTITION BY p ORDER BY o) AS run FROM sent),
+ranges AS (SELECT p, min(o) AS a, max(o) AS z, count(*) AS n, count(*) FILTER (again) AS r FROM runs GROUP BY p, run)
+SELECT 'range' AS kind, p AS "partition", a AS first_offset, z AS last_offset, n AS n_messages FROM ranges
+UNION ALL SELECT 'repeat', p, a, z, r FROM ranges WHERE r > 0
+UNION ALL SELECT 'gap', p, last + 1, a - 1, a - last - 1 FROM (SELECT p, a, lag(z) OVER (PARTITION BY p ORDER BY a) AS last FROM ranges) WHERE last IS NOT NULL""",
+}

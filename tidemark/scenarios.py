@@ -29,6 +29,7 @@ from tidemark.operators import (
     merge_close_and_insert,
     merge_close_and_insert_with_archive,
     merge_current,
+    merge_current_bucketed,
     merge_current_with_history,
     normalize_after_image,
     normalize_envelope,
@@ -36,7 +37,9 @@ from tidemark.operators import (
     scd2_apply,
     scd2_from_log,
     scd2_init,
+    snapshot_changes,
     snapshot_current,
+    snapshot_intervals,
     stamp_partition,
     top_users,
     truncate_events,
@@ -45,10 +48,19 @@ from tidemark.operators.envelope import parse_envelopes
 from tidemark.operators.touched import MIN_SPLIT_STATE_ROWS
 from tidemark.plans import run_spec, run_spec_file, run_stages
 from tidemark.session import scratch_path
-from tidemark.sinks import commit_scd2_batch, fold_state, read_late, read_scd2_table, read_state, write_files, write_table
+from tidemark.sinks import (
+    commit_scd2_batch,
+    fold_state,
+    read_late,
+    read_scd2_table,
+    read_state,
+    write_bucketed,
+    write_files,
+    write_table,
+)
 from tidemark.sinks.mart import commit_orders, read_top_users
 from tidemark.sources import read_as_of, read_file, read_partition, read_table
-from tidemark.streaming import read_truncated_table, run_stream_spec, stream_scd2, stream_to_bronze
+from tidemark.streaming import offset_report, read_truncated_table, run_stream_spec, stream_scd2, stream_to_bronze
 
 AS_OF = dt.date(2024, 1, 15)
 PREV_DAY = dt.date(2024, 1, 14)
@@ -254,6 +266,23 @@ def q_merge_current_hourly_split(spark, sf_dir):
     return merge_current(_open_current(log, PREV_DAY), _first_hour(log), min_state_rows=0)
 
 
+BUCKETS = 8
+
+
+def q_merge_current_bucketed(spark, sf_dir):
+    """The SCD4 MERGE with a table bucketed by its keys, written bucketed again."""
+    name = "tide_" + scratch_path(spark, "x")[-12:]
+    log = change_log(spark, sf_dir)
+    try:
+        write_bucketed(spark, _open_current(log, PREV_DAY).repartition(BUCKETS, "id"), f"{name}.current_1", ["id"], BUCKETS)
+        merged = merge_current_bucketed(read_table(spark, f"{name}.current_1"), _day(log, AS_OF), BUCKETS)
+        write_bucketed(spark, merged, f"{name}.current_2", ["id"], BUCKETS)
+        kept = write_files(spark, read_table(spark, f"{name}.current_2"), scratch_path(spark, "current"))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    return spark.read.parquet(kept)
+
+
 def _sides(spark, current, history, hist_path):
     """Both halves of an upkeep job: history appended first (one load, repeatable), then the current rows."""
     for _ in range(2):   # a rerun of the load replaces its own rows
@@ -285,6 +314,25 @@ def q_snapshot_current(spark, sf_dir):
     return snapshot_current(_day(change_log(spark, sf_dir), AS_OF), as_of=AS_OF)
 
 
+def daily_snapshots(log: DataFrame) -> DataFrame:
+    """The live rows at the end of every day; day 20 was not delivered, and day 7 holds its rows twice."""
+    end = _days(log)[-1]
+    ends = F.least(F.date_sub(F.to_date("valid_to"), 1), F.lit(end))
+    first = F.to_date("valid_from")
+    rows = scd2_from_log(log).where(first <= ends).select(
+        "id", "name", "email", F.explode(F.sequence(first, ends)).alias("partition_date"))
+    rows = rows.where(F.dayofmonth("partition_date") != 20)
+    return rows.unionByName(rows.where(F.dayofmonth("partition_date") == 7))
+
+
+def q_snapshot_changes(spark, sf_dir):
+    return snapshot_changes(daily_snapshots(change_log(spark, sf_dir)))
+
+
+def q_snapshot_intervals(spark, sf_dir):
+    return snapshot_intervals(daily_snapshots(change_log(spark, sf_dir)))
+
+
 # --- readers / writers ------------------------------------------------------------------------------
 
 def q_read_partition_day(spark, sf_dir):
@@ -551,6 +599,25 @@ def q_stream_dedup(spark, sf_dir):
     return spark.read.parquet(bronze).drop("batch_id")
 
 
+def q_stream_offset_ranges(spark, sf_dir):
+    """The ledger of a stream in three arrivals: some offsets are missing, some come again with the next arrival."""
+    inbox, bronze, ledger, ckpt = (scratch_path(spark, n) for n in ("inbox", "stream_bronze", "ledger", "ckpt"))
+    log = change_log(spark, sf_dir).withColumn("partition", (F.col("id") % 4).cast("int"))
+    log = log.withColumn("offset", F.col("seq") * 2 + F.col("partition")).where("seq % 211 <> 0")
+    days, again = _days(log), None
+    for part in (days[:10], days[10:20], days[20:]):
+        new = log.where(F.col("partition_date").isin(part))
+        sent = new if again is None else new.unionByName(again)
+        # an envelope beside its position
+        value = F.to_json(F.struct(F.lit("c").alias("op"), F.struct("id", "name", "email").alias("after"), F.struct(F.lit(1).alias("ts_ms")).alias("source")))
+        sent.select(value.alias("value"), "partition", "offset").write.mode("append").parquet(inbox)
+        source = {"path": inbox, "file_format": "parquet", "schema": "value string, partition int, offset long", "position": True}
+        for q in stream_to_bronze(spark, source, bronze, ckpt, fields=ENVELOPE_FIELDS, ledger_path=ledger):
+            q.awaitTermination()
+        again = new.where("seq % 97 = 0")
+    return offset_report(spark.read.parquet(ledger))
+
+
 TRUNCATE_EVERY, TRUNCATE_REST = 997, 5
 
 
@@ -793,4 +860,8 @@ QUERIES = {
     "as_of_join": q_as_of_join,
     "point_in_time": q_point_in_time,
     "top_users_incremental": q_top_users_incremental,
+    "snapshot_changes": q_snapshot_changes,
+    "snapshot_intervals": q_snapshot_intervals,
+    "merge_current_bucketed": q_merge_current_bucketed,
+    "stream_offset_ranges": q_stream_offset_ranges,
 }

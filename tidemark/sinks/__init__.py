@@ -150,6 +150,17 @@ def write_table(spark: SparkSession, df: DataFrame, table_name: str | None = Non
     return table_name
 
 
+def write_bucketed(spark: SparkSession, df: DataFrame, table_name: str, keys: Sequence[str], buckets: int) -> str:
+    """A new catalog table in ``buckets`` buckets by ``keys``, sorted within them.  Rows that are already dealt so (the result of
+    ``merge_current_bucketed``) are written where they are.  An existing table is refused: write the next version of a
+    table under its own name, then drop the old one."""
+    ns = _namespace_of(table_name)
+    if ns:
+        spark.sql(f"CREATE NAMESPACE IF NOT EXISTS {ns}")
+    df.write.format("parquet").mode("error").bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table_name)
+    return table_name
+
+
 # spec "load" types -> (default table write mode, table-name suffix).  History kinds append: several loads may hold rows
 # of one day, and late rows fall on old days.  Give a ``load_id`` to make a load repeatable: writing it again
 # replaces its own rows and no others.
@@ -180,4 +191,4 @@ from tidemark.sinks.state import (  # noqa: E402
 
 __all__ = ["TABLE_KINDS", "WRITERS", "commit_scd2_batch", "committed_batch", "fold_state", "read_late", "read_scd2_state", "read_scd2_table",
            "read_state", "state_note",
-           "write_files", "write_table"]
+           "write_bucketed", "write_files", "write_table"]

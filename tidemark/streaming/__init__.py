@@ -8,6 +8,7 @@
 ``stream_scd2``         envelopes -> per micro-batch ``commit_scd2_batch`` (append-only history +
                         latest row per key, committed versions).
 ``drop_redelivered``    a stream without messages that the broker delivers again (keyed state, evicted by arrival time).
+``offset_report``       the ledger of offsets that a stream keeps per micro-batch: ranges, gaps and repeats.
 ``run_stream_spec``     the streaming job entry point for an {"extract", "load"} spec (stable
                         per-topic checkpoint under ``spark.checkpoint.dir``).
 """
@@ -22,3 +23,4 @@ from tidemark.streaming.jobs import (  # noqa: F401
     stream_to_bronze,
     write_change_stream,
 )
+from tidemark.streaming.offsets import offset_ranges, offset_report  # noqa: F401

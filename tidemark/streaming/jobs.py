@@ -14,6 +14,7 @@ from tidemark.operators.truncates import close_at_truncates, truncate_events
 from tidemark.session import ensure_checkpoint_dir, remove, scratch_path
 from tidemark.sinks import commit_scd2_batch, committed_batch, read_scd2_table, write_table
 from tidemark.streaming.dedup import drop_redelivered
+from tidemark.streaming.offsets import offset_ranges
 
 CHANGE_SEQ = "change_seq"
 
@@ -21,8 +22,10 @@ CHANGE_SEQ = "change_seq"
 def read_change_stream(spark: SparkSession, kafka_bootstrap: str | None = None, topic: str | None = None,
                        mode: str = "earliest", path: str | None = None, file_format: str = "text",
                        max_files_per_trigger: int | None = None,
-                       max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """A streaming DataFrame with one string column ``value`` holding one envelope per row.
+                       max_offsets_per_trigger: int | None = None, schema: str | None = None,
+                       position: bool = False) -> DataFrame:
+    """A streaming DataFrame with one string column ``value`` holding one envelope per row; with ``position`` also the
+    message's ``partition`` and ``offset`` (files hold them as columns, and need a ``schema``).
 
     ``kafka_bootstrap`` + ``topic`` -> Kafka source (needs the Kafka connector on the classpath);
     ``mode`` is ``startingOffsets`` (earliest | latest).  Otherwise ``path`` is watched for new files.
@@ -34,14 +37,14 @@ def read_change_stream(spark: SparkSession, kafka_bootstrap: str | None = None,
              .option("startingOffsets", mode))
         if max_offsets_per_trigger:
             r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-        return r.load().selectExpr("CAST(value AS STRING) AS value")
+        return r.load().selectExpr("CAST(value AS STRING) AS value", *(("partition", "offset") if position else ()))
     if path is None:
         raise ValueError("read_change_stream needs kafka_bootstrap+topic or path")
     r = spark.readStream.format(file_format)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    df = r.load(path)
-    return df.selectExpr("CAST(value AS STRING) AS value") if "value" in df.columns else df
+    df = (r.schema(schema) if schema else r).load(path)
+    return df.selectExpr("CAST(value AS STRING) AS value", *(("partition", "offset") if position else ())) if "value" in df.columns else df
 
 
 def _trigger(writer, trigger: str | None):
@@ -74,7 +77,7 @@ def write_change_stream(df: DataFrame, path: str, checkpoint_location: str,
 
 def _messages(spark: SparkSession, source: dict, dedup_within: str | None) -> DataFrame:
     raw = read_change_stream(spark, **source)
-    return drop_redelivered(raw, dedup_within) if dedup_within else raw
+    return drop_redelivered(raw, dedup_within, ("value",)) if dedup_within else raw
 
 
 def _one_parse(batch: DataFrame, write) -> None:  # noqa: ANN001
@@ -90,16 +93,20 @@ def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkp
                      fields: StructType = DEFAULT_FIELDS, quarantine_path: str | None = None,
                      trigger: str | None = "availableNow",
                      partition_by: str | Sequence[str] = "partition_date",
-                     format: str = "parquet", dedup_within: str | None = None) -> list[StreamingQuery]:
+                     format: str = "parquet", dedup_within: str | None = None,
+                     ledger_path: str | None = None) -> list[StreamingQuery]:
     """Envelopes -> normalised change rows -> bronze files partitioned by micro-batch and event date.
 
     Late changes land in their own (old) ``partition_date``; nothing is dropped.  Rejected messages go to
     ``quarantine_path`` (default: ``bronze_path`` with ``_quarantine``).  Each message is parsed once for both.  A
     micro-batch writes its own ``batch_id`` folders, so a replayed one replaces them (exactly once), and its files are
     rebalanced by date.  The layers have the extra column ``batch_id``.  With ``dedup_within`` (a time, e.g. ``"1 day"``)
-    messages that the broker delivers again within that time are left out (``drop_redelivered``).
+    messages that the broker delivers again within that time are left out (``drop_redelivered``).  With ``ledger_path`` the
+    offsets that each micro-batch holds are kept there as ranges (``offset_ranges``; read them with ``offset_report``); the
+    source must give positions.
     """
     raw = _messages(spark, source, dedup_within)
+    position = ("partition", "offset") if ledger_path else ()
     rejected = quarantine_path or bronze_path.rstrip("/") + "_quarantine"
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -108,7 +115,9 @@ def stream_to_bronze(spark: SparkSession, source: dict, bronze_path: str, checkp
             write_table(batch.sparkSession, good, path=bronze_path, partition_by=partition_by, format=format, load_id=batch_id,
                         load_column="batch_id")
             write_table(batch.sparkSession, bad, path=rejected, load_id=batch_id, load_column="batch_id")
-        _one_parse(parse_envelopes(batch, "value", fields), both)
+            if ledger_path:
+                write_table(batch.sparkSession, offset_ranges(messages), path=ledger_path, load_id=batch_id, load_column="batch_id")
+        _one_parse(parse_envelopes(batch, "value", fields, keep=position), both)
 
     w = raw.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_location)
     return [_trigger(w, trigger).start()]
