@@ -183,3 +183,42 @@ def test_split_is_skipped_for_a_small_state(spark, scratch, monkeypatch):
     assert not touched_mod.worth_splitting(prof)
     big = touched_mod.KeyProfile(keys=10, hot=0, hot_rows=0, state_rows=5_000_000)
     assert touched_mod.worth_splitting(big)
+
+
+# --- key profile ------------------------------------------------------------------------------------
+
+def _counted(rows, split_rows):
+    from collections import Counter
+    n = Counter(r[1] for r in rows)
+    hot = {k: c for k, c in n.items() if c > split_rows}
+    return len(n), len(hot), sum(hot.values())
+
+
+@pytest.mark.parametrize("split_rows, most", [(5, None), (40, None), (400, None), (10**6, None), (5, 10)])
+def test_the_sketched_profile_finds_exactly_the_hot_keys(spark, monkeypatch, split_rows, most):
+    if most:
+        monkeypatch.setattr(touched_mod, "MAX_SKETCH", most)   # too many candidates for a sketch: all keys are counted
+    rnd = random.Random(split_rows)
+    rows = [(i, None if i % 50 == 0 else int(rnd.paretovariate(0.8))) for i in range(3000)]
+    df = spark.createDataFrame(rows, "seq long, id long")
+    keys, hot, hot_rows = _counted(rows, split_rows)
+    prof = touched_mod.profile_keys(df, ["id"], split_rows)
+    assert (prof.hot, prof.hot_rows) == (hot, hot_rows)
+    assert keys * 0.98 <= prof.keys <= keys * 1.25 + 1
+    assert prof.key_bytes >= sum(len(str(k)) for k in {r[1] for r in rows} if k is not None)
+
+
+def test_the_profile_exchanges_no_keys(spark, monkeypatch):
+    df = spark.range(10_000).select((F.col("id") % 5000).alias("id"))
+    plans = []
+    for name in ("collect", "first"):
+        real = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, *a, _r=real: (plans.append(self._jdf.queryExecution().executedPlan().toString()), _r(self, *a))[1])
+    prof = touched_mod.profile_keys(df, ["id"], 100)
+    assert prof.hot == 0 and len(plans) >= 2
+    assert all("hashpartitioning" not in p and "Exchange SinglePartition" in p for p in plans)
+
+
+def test_an_empty_batch_has_an_empty_profile(spark):
+    prof = touched_mod.profile_keys(spark.createDataFrame([], "id long"), ["id"], 10, state=spark.range(3))
+    assert (prof.keys, prof.hot, prof.hot_rows, prof.state_rows, prof.key_bytes) == (0, 0, 0, 3, 0)

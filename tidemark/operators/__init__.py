@@ -3,6 +3,7 @@ and, with hot keys, one write of the sliced hot rows."""
 
 from tidemark.operators.asof import as_of_join, point_in_time  # noqa: F401
 from tidemark.operators.envelope import normalize_after_image, normalize_envelope  # noqa: F401
+from tidemark.operators.evolving import merged_fields, normalize_envelope_evolving  # noqa: F401
 from tidemark.operators.marts import top_users  # noqa: F401
 from tidemark.operators.merge import (  # noqa: F401
     delete_history,

@@ -71,7 +71,7 @@ def _carry(rows: DataFrame, keys: Sequence[str], by: Sequence[str], backward: bo
     profile = profile_keys(rows, keys, split_rows)
     if not profile.hot:
         return rows.withColumn("__r", last.over(window(*keys)))
-    hot = hot_keys(rows, keys, split_rows)
+    hot = hot_keys(rows, keys, split_rows, profile)
     side = F.broadcast(hot.select(*keys)) if profile.hot <= MAX_BROADCAST_HOT_KEYS else hot.select(*keys)
     cold = split_touched(rows, keys, side)[1].withColumn("__r", last.over(window(*keys)))
     staged = scratch_path(rows.sparkSession, "as-of-slices")

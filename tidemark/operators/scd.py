@@ -170,7 +170,7 @@ def scd2_step(state: DataFrame | None, batch: DataFrame, keys: Keys = ("id",), t
     state = state.select(*batch.columns)
     cold_state, cold_batch, parts = state, batch, []
     if profile.hot:
-        hot = hot_keys(batch, keys, split_rows).select(*keys)
+        hot = hot_keys(batch, keys, split_rows, profile).select(*keys)
         hot = F.broadcast(hot) if profile.hot <= MAX_BROADCAST_HOT_KEYS else hot
         hot_state, cold_state = split_touched(state, keys, hot)
         hot_batch, cold_batch = split_touched(batch, keys, hot)
@@ -270,7 +270,7 @@ def scd2_apply(target: DataFrame | None, batch: DataFrame, keys: Keys = ("id",),
 
     parts, lates = [] if untouched is None else [untouched], []
     if profile.hot:   # rows of keys that are too many for one task
-        hot = hot_keys(changes, keys, split_rows).select(*keys)
+        hot = hot_keys(changes, keys, split_rows, profile).select(*keys)
         hot = F.broadcast(hot) if profile.hot <= MAX_BROADCAST_HOT_KEYS else hot
         hot_tgt, tgt_seen = split_touched(tgt_seen, keys, hot)
         hot_changes, changes = split_touched(changes, keys, hot)

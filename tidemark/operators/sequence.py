@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.touched import KeyProfile, profile_keys, same_keys, split_touched
+from tidemark.operators.touched import KeyProfile, profile_keys, same_keys, split_touched, suspected
 from tidemark.session import scratch_path
 
 # A (key, slice) group is kept below roughly this many rows.
@@ -46,9 +46,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int) -> DataFrame:
-    """Keys with more than ``split_rows`` rows and their row counts (a partial aggregate)."""
-    return (df.groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("__n"))
+def hot_keys(df: DataFrame, keys: Sequence[str], split_rows: int, profile: KeyProfile | None = None) -> DataFrame:
+    """Keys with more than ``split_rows`` rows and their row counts (a partial aggregate, over the rows of the keys that
+    ``profile`` suspects)."""
+    return (suspected(df, keys, profile).groupBy(*_cols(keys)).agg(F.count(F.lit(1)).alias("__n"))
             .filter(F.col("__n") > split_rows))
 
 
@@ -88,7 +89,7 @@ def next_in_key(df: DataFrame, keys: Sequence[str], ts: str, tie: Sequence[str],
     if n_hot == 0:
         return df.withColumn(out, F.lead(F.col(ts)).over(w))
 
-    hot = hot_keys(source, keys, split_rows)
+    hot = hot_keys(source, keys, split_rows, profile)
     hot_side = hot.select(*keys)
     if n_hot <= MAX_BROADCAST_HOT_KEYS:
         hot_side = F.broadcast(hot_side)

@@ -3,8 +3,8 @@
 A daily batch is usually small next to the state it is applied to (current table, SCD2 state, last
 change per key).  Joining the whole state with the batch shuffles the whole state every run.  Instead:
 
-    profile_keys      one small job: the batch's distinct key count and hot keys (keys with more rows
-                      than a slice should hold, see ``sequence.next_in_key``), and the state's row count;
+    profile_keys      one small job of mergeable sketches: the batch's distinct key count and hot keys (keys with
+                      more rows than a slice should hold, see ``sequence.next_in_key``), and the state's row count;
     touched_keys      the batch's distinct keys, marked for broadcast, when the split pays off (below),
                       else ``None``;
     split_touched     state LEFT SEMI keys / state LEFT ANTI keys.  With broadcast keys both are
@@ -20,6 +20,7 @@ state with the batch as one shuffle join, which is also the plan above the broad
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,31 +38,65 @@ MAX_TOUCHED_SHARE = 0.2
 MIN_SPLIT_STATE_ROWS = 1_000_000
 
 
+# Error bound of the distinct-key sketch (relative standard deviation), and how many of them are added to its estimate.
+KEYS_RSD, KEYS_SIGMAS = 0.02, 5
+# A heavy-hitter sketch of m entries misses no key with more than SKETCH_ERROR / m of the rows; larger sketches than this one
+# are not built, and hot keys are then found by counting all keys.
+SKETCH_ERROR, MAX_SKETCH = 4, 10_000
+
+
 @dataclass(frozen=True)
 class KeyProfile:
-    keys: int                      # distinct keys in the batch
-    hot: int                       # keys with more than split_rows rows
-    hot_rows: int                  # rows of those hot keys
+    keys: int                      # distinct keys in the batch (an upper estimate)
+    hot: int                       # keys with more than split_rows rows (exact)
+    hot_rows: int                  # rows of those hot keys (exact)
     state_rows: int | None = None  # rows of the state the batch is applied to, when counted
-    key_bytes: int = 0             # text bytes of the distinct keys
+    key_bytes: int = 0             # text bytes of the distinct keys (an upper estimate)
+    suspects: tuple[int, ...] | None = None   # hashes among which all hot keys are; None: any key
+
+
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def suspected(df: DataFrame, keys: Sequence[str], profile: KeyProfile | None) -> DataFrame:
+    """The rows that may be of hot keys."""
+    if profile is None or profile.suspects is None:
+        return df
+    return df.where(key_hash(keys).isin(list(profile.suspects)))
 
 
 def profile_keys(df: DataFrame, keys: Sequence[str], split_rows: int,
                  state: DataFrame | None = None) -> KeyProfile:
-    """Distinct keys and hot-key totals of ``df`` (a partial aggregate per key, then one row), and the
-    row count of ``state`` when given, in one job returning at most two rows."""
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    is_hot = F.col("__n") > split_rows
+    """Distinct keys and hot-key totals of ``df``, and the row count of ``state`` when given, without an exchange of the keys.
+
+    One job merges small sketches of the tasks: row count, distinct keys, widest key.  Only a batch of more than ``split_rows``
+    rows can have hot keys; then a heavy-hitter sketch names all keys that may be hot, and their rows alone are
+    counted exactly."""
     width = F.octet_length(F.concat_ws("", *[F.col(k).cast("string") for k in keys])).cast("long")
-    parts = per_key.agg(F.lit("batch").alias("part"), F.count(F.lit(1)).alias("k"), F.sum(width).alias("w"),
-                        F.count(F.when(is_hot, True)).alias("h"), F.sum(F.when(is_hot, F.col("__n"))).alias("r"))
+    parts = df.agg(F.lit("batch").alias("part"), F.count(F.lit(1)).alias("n"),
+                   F.approx_count_distinct(key_hash(keys), KEYS_RSD).alias("k"), F.max(width).alias("w"))
     if state is not None:
-        parts = parts.unionByName(state.agg(F.lit("state").alias("part"), F.count(F.lit(1)).alias("k"),
-                                            F.lit(0).cast("long").alias("w"), F.lit(0).cast("long").alias("h"), F.lit(None).cast("long").alias("r")))
+        none = F.lit(0).cast("long")
+        parts = parts.unionByName(state.agg(F.lit("state").alias("part"), F.count(F.lit(1)).alias("n"), none.alias("k"), none.alias("w")))
     got = {row["part"]: row for row in parts.collect()}
-    b = got["batch"]
-    state_rows = int(got["state"]["k"]) if "state" in got else None
-    return KeyProfile(int(b["k"] or 0), int(b["h"] or 0), int(b["r"] or 0), state_rows, int(b["w"] or 0))
+    n = int(got["batch"]["n"])
+    distinct = min(n, math.ceil((got["batch"]["k"] or 0) * (1 + KEYS_SIGMAS * KEYS_RSD)))
+    state_rows = int(got["state"]["n"]) if "state" in got else None
+    key_bytes = distinct * int(got["batch"]["w"] or 0)
+    if n <= split_rows:
+        return KeyProfile(distinct, 0, 0, state_rows, key_bytes, ())
+    size = SKETCH_ERROR * math.ceil(n / max(split_rows, 1)) + 16
+    suspects = None
+    if size <= MAX_SKETCH:
+        top = df.select(key_hash(keys).alias("h")).agg(F.expr(f"approx_top_k(h, {size}, {size})")).first()[0]
+        suspects = tuple(sorted(r["item"] for r in top if r["count"] > split_rows))   # counts are upper estimates
+        if not suspects:
+            return KeyProfile(distinct, 0, 0, state_rows, key_bytes, ())
+    found = KeyProfile(distinct, 0, 0, state_rows, key_bytes, suspects)
+    exact = suspected(df, keys, found).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > split_rows)
+    hot, rows = exact.agg(F.count(F.lit(1)), F.sum("__n")).first()
+    return KeyProfile(distinct, int(hot), int(rows or 0), state_rows, key_bytes, suspects)
 
 
 def fits_broadcast(profile: KeyProfile) -> bool:

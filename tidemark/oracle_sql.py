@@ -259,3 +259,25 @@ SELECT 'range' AS kind, p AS "partition", a AS first_offset, z AS last_offset, n
 UNION ALL SELECT 'repeat', p, a, z, r FROM ranges WHERE r > 0
 UNION ALL SELECT 'gap', p, last + 1, a - 1, a - last - 1 FROM (SELECT p, a, lag(z) OVER (PARTITION BY p ORDER BY a) AS last FROM ranges) WHERE last IS NOT NULL""",
 }
+
+ORACLES |= {
+    "normalize_envelope_evolving": f"""WITH {LOG}
+SELECT CASE action WHEN 'INSERT' THEN 'c' WHEN 'DELETE' THEN 'd' ELSE 'u' END AS operation, action,
+  CASE WHEN day(partition_date) > 20 THEN concat('u', id) ELSE CAST(id AS VARCHAR) END AS id, name, email,
+  CASE WHEN day(partition_date) > 20 THEN 'gold' WHEN day(partition_date) > 10 THEN CAST(seq % 5 AS VARCHAR) END AS tier,
+  {ENVELOPE_TS} AS updated_timestamp, CAST({ENVELOPE_TS} AS DATE) AS partition_date
+FROM log""",
+    "even_ranges": "SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 1 WHEN user_id % 11 = 0 THEN NULL ELSE user_id END AS k FROM events",
+    "raw_to_bronze_incremental": f"WITH {LOG} SELECT * FROM log",
+    "raw_to_bronze_snapshot": """SELECT customer.*, d AS partition_date FROM customer,
+  (SELECT unnest([DATE '2024-01-15', DATE '2024-01-16', DATE '2024-01-17']) AS d)""",
+    "bootstrap_bronze": f"WITH {LOG} SELECT * FROM log",
+    "run_spec_date_sub": f"WITH {LOG} SELECT * FROM log WHERE partition_date BETWEEN DATE '2024-01-11' AND DATE '2024-01-15'",
+    "run_spec_set_steps": """WITH o AS (SELECT o_orderkey, o_custkey AS k, o_orderstatus AS status, o_orderpriority AS priority FROM orders),
+both_ AS (SELECT k, status, priority FROM o WHERE o_orderkey % 2 = 0 INTERSECT ALL SELECT k, status, priority FROM o WHERE o_orderkey % 3 = 0),
+rest AS (SELECT k, status, priority FROM o EXCEPT ALL SELECT * FROM both_)
+SELECT priority, s AS status, nullif(count(*) FILTER (rest.status = c), 0) AS n
+FROM rest, (VALUES ('done', 'F'), ('open', 'O')) v(s, c) GROUP BY priority, s""",
+    "run_spec_scd4_upkeep": ORACLES["merge_current_with_history"],
+    "run_spec_scd4a_upkeep": ORACLES["merge_close_and_insert_with_archive"],
+}

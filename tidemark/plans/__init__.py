@@ -1,5 +1,6 @@
 """Declarative job specs (extract -> transform -> load) and multi-stage runs."""
 
+from tidemark.plans.bronze import raw_to_bronze  # noqa: F401
 from tidemark.plans.spec import (  # noqa: F401
     STEPS,
     apply_steps,

@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.temporal import day_window_filter, resolve_as_of
+from tidemark.operators.merge import merge_close_and_insert_with_archive, merge_current_with_history
 from tidemark.operators.scd import current_of_state, latest_current
 from tidemark.session import scratch_path
 from tidemark.sinks import TABLE_KINDS, fold_state, state_note, write_files, write_table
@@ -134,6 +135,27 @@ def _union_by_name(ctx, df, other, allowMissingColumns=False):
     return df.unionByName(ctx["frames"][other], allowMissingColumns=allowMissingColumns)
 
 
+def _except_all(ctx, df, other):
+    return df.exceptAll(ctx["frames"][other])
+
+
+def _intersect_all(ctx, df, other):
+    return df.intersectAll(ctx["frames"][other])
+
+
+def _unpivot(ctx, df, ids, values, variableColumnName, valueColumnName):
+    return df.unpivot(_cols(ids), _cols(values), variableColumnName, valueColumnName)
+
+
+def _pivot(ctx, df, by, on, values, aggs):
+    """The values are given, so that no job has to look for them and the columns are known."""
+    return df.groupBy(*_cols(by)).pivot(on, list(values)).agg(*[_expr(e, ctx["as_of"]).alias(a) for a, e in aggs.items()])
+
+
+def _replace(ctx, df, to_replace, value=None, subset=None):
+    return df.replace(to_replace, value, subset) if not isinstance(to_replace, dict) else df.replace(to_replace, subset=subset)
+
+
 def _group_by_agg(ctx, df, by, aggs):
     return df.groupBy(*_cols(by)).agg(*[_expr(e, ctx["as_of"]).alias(a) for a, e in aggs.items()])
 
@@ -158,6 +180,11 @@ STEPS: dict[str, Callable] = {
     "orderBy": _order_by,
     "join": _join,
     "unionByName": _union_by_name,
+    "exceptAll": _except_all,
+    "intersectAll": _intersect_all,
+    "unpivot": _unpivot,
+    "pivot": _pivot,
+    "replace": _replace,
     "groupBy_agg": _group_by_agg,
     "latest_current": _latest_current,
 }
@@ -230,6 +257,8 @@ def _write_one(spark: SparkSession, df: DataFrame, entry: Mapping, as_of: dt.dat
         write_table(spark, df, **args)
     elif kind == "scd4":
         _write_scd4(spark, df, as_of, **args)
+    elif kind in UPKEEP:
+        _write_upkeep(spark, df, as_of, kind, **args)
     else:
         raise ValueError(f"unknown load type {kind!r}")
 
@@ -267,6 +296,22 @@ def _write_scd4(spark: SparkSession, df: DataFrame, as_of: dt.date, tbl_hist: st
     write_table(spark, current, tbl_current, path_current, mode="replace", **common)
 
 
+UPKEEP = {"scd4_upkeep": merge_current_with_history, "scd4a_upkeep": merge_close_and_insert_with_archive}
+
+
+def _write_upkeep(spark: SparkSession, df: DataFrame, as_of: dt.date, kind: str, path_current: str, path_hist: str,
+                  keys: str | Sequence[str] = ("id",), tie: str | Sequence[str] = (), load_id: int | str | None = None,
+                  partition_by: str | Sequence[str] | None = None, format: str = "parquet") -> None:
+    """One change batch merged into the current table at ``path_current``, which must exist, and the other half of the upkeep
+    appended to history first: the batch's deletes (``scd4_upkeep``) or the table as it was (``scd4a_upkeep``).  The new
+    current rows are staged before they replace the table that they are read from."""
+    current = spark.read.format(format).load(path_current)
+    new, history = UPKEEP[kind](current, df, _cols(keys), tie=_cols(tie), as_of=as_of)
+    write_table(spark, history, path=path_hist, mode="append", load_id=load_id, partition_by=partition_by, format=format)
+    write_table(spark, new.select(*[c for c in current.columns if c in new.columns], *[c for c in new.columns if c not in current.columns]),
+                path=path_current, mode="replace", format=format)
+
+
 def load(spark: SparkSession, frames: Frames, spec_load: Mapping, as_of: dt.date) -> None:
     consumers: dict[str, int] = {}
     for name, entry in spec_load.items():

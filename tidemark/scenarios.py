@@ -33,6 +33,7 @@ from tidemark.operators import (
     merge_current_with_history,
     normalize_after_image,
     normalize_envelope,
+    normalize_envelope_evolving,
     point_in_time,
     scd2_apply,
     scd2_from_log,
@@ -46,7 +47,7 @@ from tidemark.operators import (
 )
 from tidemark.operators.envelope import parse_envelopes
 from tidemark.operators.touched import MIN_SPLIT_STATE_ROWS
-from tidemark.plans import run_spec, run_spec_file, run_stages
+from tidemark.plans import raw_to_bronze, run_spec, run_spec_file, run_stages
 from tidemark.session import scratch_path
 from tidemark.sinks import (
     commit_scd2_batch,
@@ -59,7 +60,7 @@ from tidemark.sinks import (
     write_table,
 )
 from tidemark.sinks.mart import commit_orders, read_top_users
-from tidemark.sources import read_as_of, read_file, read_partition, read_table
+from tidemark.sources import even_ranges, read_as_of, read_file, read_partition, read_ranges, read_table
 from tidemark.streaming import offset_report, read_truncated_table, run_stream_spec, stream_scd2, stream_to_bronze
 
 AS_OF = dt.date(2024, 1, 15)
@@ -343,6 +344,86 @@ def q_read_as_of(spark, sf_dir):
     return read_as_of(spark, write_bronze(spark, sf_dir), date_column="partition_date", as_of=AS_OF)
 
 
+def q_even_ranges(spark, sf_dir):
+    """The events read range by range over a skewed key: a third of the rows in one value, others null."""
+    events = table(spark, sf_dir, "events").select("event_id", F.expr(
+        "CASE WHEN user_id % 3 = 0 THEN 1 WHEN user_id % 11 = 0 THEN NULL ELSE user_id END").alias("k"))
+    return read_ranges(events, even_ranges(events, "k", 12, split_by="event_id")).drop("range")
+
+
+def q_raw_to_bronze_incremental(spark, sf_dir):
+    """Every day's increment into bronze, the first day twice."""
+    raw, path = change_log(spark, sf_dir).drop("partition_date"), scratch_path(spark, "bronze")
+    days = _days(change_log(spark, sf_dir))
+    for day in [*days, days[0]]:
+        raw_to_bronze(spark, raw, path, as_of=day)
+    return spark.read.parquet(path)
+
+
+def q_raw_to_bronze_snapshot(spark, sf_dir):
+    """Three days' snapshots of a table into bronze, the last day twice."""
+    raw, path = table(spark, sf_dir, "customer"), scratch_path(spark, "bronze")
+    for n in (0, 1, 2, 2):
+        raw_to_bronze(spark, raw, path, kind="snapshot", as_of=AS_OF, latency=n)
+    return spark.read.parquet(path)
+
+
+def q_bootstrap_bronze(spark, sf_dir):
+    """The bronze layer laid down from raw rows by a spec, as the first job of a deployment."""
+    path = scratch_path(spark, "bronze")
+    run_spec(spark, {"extract_dfs": {"customer": _events_source(sf_dir)},
+                     "transform_dfs": {"customer": [{"op": "selectExpr", "args": {"exprs": LOG_EXPRS}}]},
+                     "load": {"customer": {"type": "file", "path": path, "mode": "overwrite", "partition_by": "partition_date"}}}, as_of=AS_OF)
+    return spark.read.parquet(path)
+
+
+def q_run_spec_date_sub(spark, sf_dir):
+    """The days from four before the run date up to it."""
+    spec = {"extract_dfs": {"c": {"type": "read_file", "file_path": write_bronze(spark, sf_dir)}},
+            "transform_dfs": {"c": [{"op": "filter", "args": {"condition": "partition_date BETWEEN DATE_SUB(:as_of, 4) AND :as_of"}}]}}
+    return run_spec(spark, spec, as_of=AS_OF)["c"]
+
+
+def q_run_spec_set_steps(spark, sf_dir):
+    """The steps exceptAll, intersectAll, replace, pivot and unpivot."""
+    src = {"type": "read_file", "file_path": f"{sf_dir.rstrip('/')}/orders.parquet"}
+    cols = {"op": "select", "args": {"cols": ["o_custkey AS k", "o_orderstatus AS status", "o_orderpriority AS priority"]}}
+    spec = {
+        "extract_dfs": {"a": src, "b": src, "orders": src},
+        "transform_dfs": {
+            "a": [{"op": "filter", "args": {"condition": "o_orderkey % 3 = 0"}}, cols],
+            "b": [{"op": "filter", "args": {"condition": "o_orderkey % 2 = 0"}}, cols, {"op": "intersectAll", "args": {"other": "a"}}],
+            "orders": [cols, {"op": "exceptAll", "args": {"other": "b"}},
+                       {"op": "replace", "args": {"to_replace": {"F": "done", "O": "open"}, "subset": ["status"]}},
+                       {"op": "pivot", "args": {"by": "priority", "on": "status", "values": ["done", "open"], "aggs": {"n": "count(*)"}}},
+                       {"op": "unpivot", "args": {"ids": "priority", "values": ["done", "open"], "variableColumnName": "status", "valueColumnName": "n"}}],
+        },
+    }
+    return run_spec(spark, spec, as_of=AS_OF)["orders"]
+
+
+def _upkeep(spark, sf_dir, kind):
+    """Both tables of an upkeep load of day 15, run by a spec."""
+    log = change_log(spark, sf_dir)
+    cur, hist = scratch_path(spark, "current"), scratch_path(spark, "hist")
+    first = _open_current(log, PREV_DAY)
+    write_files(spark, first.withColumn("partition_date", F.lit(PREV_DAY)) if kind == "scd4a_upkeep" else first, cur)
+    bronze = write_files(spark, _day(log, AS_OF), scratch_path(spark, "bronze"))
+    run_spec(spark, {"extract_dfs": {"c": {"type": "read_file", "file_path": bronze}}, "load": {"c": {
+        "type": kind, "path_current": cur, "path_hist": hist, "tie": ["seq"], "load_id": AS_OF.isoformat(), "partition_by": "partition_date"}}}, as_of=AS_OF)
+    cols = ["id", "name", "email", "action", "valid_from", "valid_to"]
+    return (spark.read.parquet(hist).select(*cols).withColumn("side", F.lit("history"))
+            .unionByName(spark.read.parquet(cur).select(*cols).withColumn("side", F.lit("current"))))
+
+
+def q_run_spec_scd4_upkeep(spark, sf_dir):
+    return _upkeep(spark, sf_dir, "scd4_upkeep")
+
+
+def q_run_spec_scd4a_upkeep(spark, sf_dir):
+    return _upkeep(spark, sf_dir, "scd4a_upkeep")
+
+
 def q_read_csv_header(spark, sf_dir):
     path = scratch_path(spark, "csv")
     cust = table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)"))
@@ -542,6 +623,24 @@ def q_normalize_after_image(spark, sf_dir):
     return normalize_after_image(envelopes(change_log(spark, sf_dir), legacy=True), fields=LEGACY_FIELDS)
 
 
+def drifting_envelopes(log: DataFrame) -> DataFrame:
+    """Envelopes whose images change: from day 11 on with a number ``tier``, from day 21 on with text in ``id`` and ``tier``."""
+    ms = F.timestamp_diff("MILLISECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), F.col("updated_timestamp"))
+    d, op, out = F.dayofmonth("partition_date"), op_from_action(F.col("action")), None
+    old, mid = F.struct("id", "name", "email"), F.struct("id", "name", "email", (F.col("seq") % 5).alias("tier"))
+    new = F.struct(F.concat(F.lit("u"), F.col("id")).alias("id"), "name", "email", F.lit("gold").alias("tier"))
+    for image, days in ((old, d <= 10), (mid, (d > 10) & (d <= 20)), (new, d > 20)):
+        body = F.struct(F.when(op != "c", image).alias("before"), F.when(op != "d", image).alias("after"), op.alias("op"), F.struct(ms.alias("ts_ms")).alias("source"))
+        part = log.where(days).select(F.to_json(F.struct(body.alias("payload"))).alias("value"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def q_normalize_envelope_evolving(spark, sf_dir):
+    good, _quarantine, _fields = normalize_envelope_evolving(drifting_envelopes(change_log(spark, sf_dir)))
+    return good
+
+
 def _write_envelope_ranges(spark, sf_dir, inbox):
     """Yield after each arrival: the envelope files of days 1-10, 11-20 and 21-30 land in turn."""
     log = change_log(spark, sf_dir)
@@ -864,4 +963,13 @@ QUERIES = {
     "snapshot_intervals": q_snapshot_intervals,
     "merge_current_bucketed": q_merge_current_bucketed,
     "stream_offset_ranges": q_stream_offset_ranges,
+    "normalize_envelope_evolving": q_normalize_envelope_evolving,
+    "even_ranges": q_even_ranges,
+    "raw_to_bronze_incremental": q_raw_to_bronze_incremental,
+    "raw_to_bronze_snapshot": q_raw_to_bronze_snapshot,
+    "bootstrap_bronze": q_bootstrap_bronze,
+    "run_spec_date_sub": q_run_spec_date_sub,
+    "run_spec_set_steps": q_run_spec_set_steps,
+    "run_spec_scd4_upkeep": q_run_spec_scd4_upkeep,
+    "run_spec_scd4a_upkeep": q_run_spec_scd4a_upkeep,
 }

@@ -5,6 +5,7 @@ Old reader names found in specs are registered as aliases of the current ones.
 
 from tidemark.sources.files import read_as_of, read_file, read_partition, read_table
 from tidemark.sources.jdbc import read_jdbc_incremental, read_jdbc_snapshot
+from tidemark.sources.ranges import even_ranges, read_ranges
 
 READERS = {
     "read_partition": read_partition,
@@ -22,4 +23,4 @@ READERS = {
 }
 
 __all__ = ["READERS", "read_as_of", "read_file", "read_partition", "read_table",
-           "read_jdbc_incremental", "read_jdbc_snapshot"]
+           "read_jdbc_incremental", "read_jdbc_snapshot", "even_ranges", "read_ranges"]
