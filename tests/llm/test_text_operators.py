@@ -121,9 +121,9 @@ def test_automaton_on_random_vocabularies():
 def lines_kept(rows, min_docs, min_chars=1):
     key = lambda x: low(x.strip(" \t\n\x0b\x0c\r"))
     seen = defaultdict(set)
-    for i, t in rows:
+    for row, (_, t) in enumerate(rows):   # every row is a document
         for x in (t or "").split("\n"):
-            seen[key(x)].add((i, t))
+            seen[key(x)].add(row)
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
@@ -137,6 +137,22 @@ def test_line_dedup(spark, docs, as_tables):
     assert rows_of(line_dedup.q_line_dedup(spark, as_tables(documents=docs))) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("partitions", ["1", "5"])
+def test_line_dedup_counts_every_copy_of_a_row(spark, as_tables, monkeypatch, partitions):
+    monkeypatch.setattr("tidemark.llm.common.WINDOW_BYTES", 300)
+    rows = [(1, "hot line\nown line")] * 9 + [(2, "hot line\nhot line\nother")] + [(3, "nine\nnine")] * 9 + [(4, "twice")] * 4 + [(5, "twice")] * 6
+    rows = [*rows, *[(9, "alone\nshared")] * 40, *[(None, None)] * 12, *[(6, "")] * 3]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        got = rows_of(line_dedup.q_line_dedup(spark, as_tables(documents=df)))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert got == sorted([(i, n, d, sha(t)) for i, n, d, t in lines_kept(rows, 10)], key=str)
+    lines = line_dedup.line_hashes(df, 1)
+    assert lines.where("doc_id = 9").count() < 40 and lines.where("doc_id = 9 AND pos = 0").groupBy().sum("copies").first()[0] == 40
+
+
 @pytest.mark.parametrize("partitions", ["1", "7", "40"])
 def test_line_dedup_of_hot_lines_over_many_ranges(spark, partitions):
     rng = random.Random(5)

@@ -170,6 +170,45 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
 
 # --- repeated rows ------------------------------------------------------------------------------------
 
+# Text bytes among which a task combines repeated rows before it hands them on.
+WINDOW_BYTES = 32 << 20
+
+
+def combined(batches: Iterator[pa.RecordBatch], key: int, text: int, most: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """The rows of Arrow batches in windows of about ``most`` (WINDOW_BYTES) bytes of text, one of each that repeats the number in column
+    ``key``, and how often it occurs in the window."""
+    most = WINDOW_BYTES if most is None else most
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def window() -> tuple[pa.RecordBatch, np.ndarray]:
+        whole = pa.Table.from_batches(held).combine_chunks()
+        _, first, n = np.unique(whole.column(key).to_numpy(), return_index=True, return_counts=True)
+        order = np.argsort(first)
+        if len(first) < whole.num_rows:
+            whole = whole.take(pa.array(first[order])).combine_chunks()
+        return whole.to_batches()[0], n[order]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        sizes = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0), dtype=np.int64))
+        start = 0
+        while start < batch.num_rows:
+            before = int(sizes[start - 1]) if start else 0
+            take = max(1, int(np.searchsorted(sizes, before + most - size, side="right")) - start)
+            part = batch.slice(start, take)
+            held.append(part)
+            size += int(sizes[start + part.num_rows - 1]) - before
+            start += part.num_rows
+            if size >= most or start < batch.num_rows:
+                yield window()
+                held.clear()
+                size = 0
+    if held:
+        yield window()
+
+
 def distinct_rows(docs: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, row_key, text, copies, more): rows that repeat doc_id and text are combined before any shuffle, so a row
     that fills a third of the table travels once per task.  Rows with ``more`` only add ``copies`` to the row of the same

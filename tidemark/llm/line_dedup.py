@@ -8,11 +8,14 @@ sorted, so a key that fills a third of all rows is cut into several ranges, whil
 with one key stay together.  A stream over each range counts first occurrences per document.  A key with
 enough documents inside one range is decided there; the first and the last key of a range may go on in its
 neighbours, so their few undecided rows and their counts are settled by one small join afterwards.  The stream
-holds back at most ``min_docs - 1`` documents' rows of the key it is at.
+holds back at most ``min_docs - 1`` documents' rows of the key it is at.  Rows that repeat doc_id and text are
+combined in each task before they are shuffled and counted with their copies, so a row that fills a third of the
+table is a few entries per task.
 
 The result is one zlib-compressed bitmap of kept lines per document that loses any; texts are only needed
 again to apply it.  Null and empty texts have one empty line, and an empty key (0 code points) is never
-dropped.  Rows that repeat both doc_id and text count as one document; each gets its own result row.
+dropped.  Every row is a document, rows that repeat doc_id and text too; each gets its own result row.  Long texts are
+read whole, an empty table gives no rows, and extra columns of any name stay in ``row``.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import null_safe, slices, table, text_key, written
+from .common import combined, null_safe, slices, table, text_key, written
 
 MIN_CHARS, MIN_DOCS = 1, 10
 WHITE = b" \t\n\x0b\x0c\r"
@@ -38,49 +41,58 @@ def line_key(line: bytes) -> bytes:
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """(h1, h2, doc_id, text_key, pos) of every line whose key is long enough; h1, h2 are a 128-bit hash."""
+    """(h1, h2, doc_id, text_key, pos, copies) of every line whose key is long enough; h1, h2 are a 128-bit hash.  Rows that
+    repeat doc_id and text are combined before they are shuffled, ``copies`` says how many."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, lambda b: b.column(2)):
-            rows, pos, digests = [], [], []
-            for i, t in enumerate(texts):
-                for j, line in enumerate((t or b"").split(b"\n")):
-                    key = line_key(line)
-                    if len(key) >= min_chars and (min_chars <= 1 or len(key.decode()) >= min_chars):
-                        rows.append(i)
-                        pos.append(j)
-                        digests.append(xxhash.xxh3_128_digest(key))
-            h = np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2).astype(np.int64)
-            take = pa.array(rows, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(take), part.column(1).take(take),
-                 pa.array(pos, pa.int32())], ["h1", "h2", "doc_id", "text_key", "pos"])
-
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text")
+        for window, n in combined(batches, 3, 2):
+            at = 0
+            for part, texts in slices(iter([window]), lambda b: b.column(2)):
+                yield lines(part, texts, n[at:at + part.num_rows])
+                at += part.num_rows
+
+    def lines(part: pa.RecordBatch, texts: list[bytes | None], copies: np.ndarray) -> pa.RecordBatch:
+        rows, pos, digests = [], [], []
+        for i, t in enumerate(texts):
+            for j, line in enumerate((t or b"").split(b"\n")):
+                key = line_key(line)
+                if len(key) >= min_chars and (min_chars <= 1 or len(key.decode()) >= min_chars):
+                    rows.append(i)
+                    pos.append(j)
+                    digests.append(xxhash.xxh3_128_digest(key))
+        h = np.frombuffer(b"".join(digests), ">i8").reshape(-1, 2).astype(np.int64)
+        take = pa.array(rows, pa.int64())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h[:, 0]), pa.array(h[:, 1]), part.column(0).take(take), part.column(1).take(take),
+             pa.array(pos, pa.int32()), pa.array(copies[np.asarray(rows, np.int64)], pa.int64())],
+            ["h1", "h2", "doc_id", "text_key", "pos", "copies"])
+
+    keyed = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), "text",
+                        F.xxhash64(F.lit(11), F.col("doc_id"), F.col("text")).alias("row_key"))
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    return keyed.mapInArrow(run, f"h1 long, h2 long, doc_id {kind}, text_key long, pos int")
+    return keyed.mapInArrow(run, f"h1 long, h2 long, doc_id {kind}, text_key long, pos int, copies long")
 
 
 def stream_ranges(lines: DataFrame, min_docs: int) -> DataFrame:
-    """Stream the sorted ranges.  Rows out: lines to drop (``n_docs`` null); undecided lines of a range's first
-    and last key with the range's number of documents for it; counts of decided first and last keys (``pos`` null)."""
+    """Stream the sorted ranges.  Rows out: lines to drop (``n_docs`` null); of a range's first and last key its number of
+    documents in the range (``pos`` null) and, while undecided, its lines (``n_docs`` 0)."""
     kind = lines.schema["doc_id"].dataType.simpleString()
     names = ["h1", "h2", "doc_id", "text_key", "pos", "n_docs"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, doc, n_docs, held, first = None, None, 0, [], True
+        key, doc, first_pos, n_docs, held, first = None, None, None, 0, [], True
 
         def close(edge: bool) -> list[tuple]:
             """What is left to say about the key that ends here."""
-            if n_docs >= min_docs:
-                return [(*key, None, None, None, n_docs)] if edge else []
-            return [(*key, *line, n_docs) for line in held] if edge else []
+            if not edge:
+                return []
+            return [(*key, None, None, None, n_docs), *([] if n_docs >= min_docs else [(*key, *line, 0) for line in held])]
 
         for batch in batches:
             out: list[tuple] = []
             h1, h2 = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             ids, tk = batch.column(2), batch.column(3).to_numpy()
-            pos = batch.column(4).to_numpy()
+            pos, copies = batch.column(4).to_numpy(), batch.column(5).to_numpy()
             new = np.ones(len(h1), bool)
             new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
             starts = np.flatnonzero(new)
@@ -91,18 +103,22 @@ def stream_ranges(lines: DataFrame, min_docs: int) -> DataFrame:
                         out += close(first)
                         first = False
                     key, doc, n_docs, held = here, None, 0, []
-                if e - s == 1 and s and e < len(h1):   # a key of one line inside the batch
-                    held, n_docs, doc = [(ids[s].as_py(), int(tk[s]), int(pos[s]))] if first else [], 1, None
+                if e - s == 1 and s and e < len(h1) and copies[s] < min_docs:   # a key of one line inside the batch
+                    held, n_docs, doc = [(ids[s].as_py(), int(tk[s]), int(pos[s]))] if first else [], int(copies[s]), None
                     continue
-                for line in zip(ids.slice(s, e - s).to_pylist(), tk[s:e].tolist(), pos[s:e].tolist()):
+                for *line, n in zip(ids.slice(s, e - s).to_pylist(), tk[s:e].tolist(), pos[s:e].tolist(), copies[s:e].tolist()):
+                    line = tuple(line)
                     if doc != line[:2]:
-                        doc, n_docs = line[:2], n_docs + 1
-                        if n_docs == min_docs:   # decided: drop what was held back and all that follows
+                        doc, first_pos = line[:2], line[2]
+                    if line[2] == first_pos:   # a document counts with its first line of the key, once for each copy
+                        undecided = n_docs < min_docs
+                        n_docs += n
+                        if undecided and n_docs >= min_docs:   # decided: drop what was held back and all that follows
                             out += [(*key, *x, None) for x in held]
                             held = []
                     if n_docs >= min_docs:
                         out.append((*key, *line, None))
-                    else:
+                    elif not held or held[-1] != line:
                         held.append(line)
             if out:
                 yield _rows(out)
@@ -129,10 +145,7 @@ def dropped_lines(spark: SparkSession, docs: DataFrame, min_chars: int, min_docs
     decided = seen.where("n_docs IS NULL")
     # at most two keys per range: each range's count of documents once, then the total
     edges = seen.where("n_docs IS NOT NULL")
-    undecided = edges.where("pos IS NOT NULL")
-    counts = (undecided.select("h1", "h2", "doc_id", "text_key").distinct().groupBy("h1", "h2")
-              .agg(F.count(F.lit(1)).alias("n"))
-              .unionByName(edges.where("pos IS NULL").select("h1", "h2", F.col("n_docs").alias("n"))))
+    undecided, counts = edges.where("pos IS NOT NULL"), edges.where("pos IS NULL").select("h1", "h2", F.col("n_docs").alias("n"))
     heavy = counts.groupBy("h1", "h2").agg(F.sum("n").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
     late = undecided.join(heavy, ["h1", "h2"], "left_semi")
     cols = ["doc_id", "text_key", "pos"]
