@@ -202,6 +202,19 @@ def test_phrase_dedup_with_small_windows_and_many_blocks(spark, block_bytes):
     assert rows_of(got) == sorted(without_repeats(rows, 6), key=str)
 
 
+def test_phrase_dedup_holds_a_repeated_row_once(spark, monkeypatch):
+    from tidemark.llm import common
+    rng = random.Random(9)
+    text = lambda n: " ".join(rng.choice("abcdefghij") + rng.choice("klmnop") for _ in range(n))
+    hot, once = text(30), text(30)
+    rows = [(1, hot)] * 500 + [(None, None)] * 30 + [(2, once)] + [(3, hot[:40] + " x")] + [(i, text(12)) for i in range(10, 200)] + [(4, "a")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    dealt, _ = common.rows_in_blocks(docs, 2000)
+    assert dealt.groupBy("block").count().agg({"count": "max"}).first()[0] < 60 < 500
+    got = phrase_dedup.remove_repeats(spark, docs, 6, 3, 2000).select("doc_id", "n_words", "n_removed", "kept")
+    assert rows_of(got) == sorted(without_repeats(rows, 6), key=str)
+
+
 # --- benchmark --------------------------------------------------------------------------------------
 
 BENCH = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")

@@ -249,3 +249,19 @@ def rows_in_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[Dat
     per task."""
     n = max(1, -(-text_bytes(docs) // block_bytes))
     return distinct_rows(docs).withColumn("block", F.pmod("row_key", F.lit(n)).cast("int")), n
+
+
+def one_of_each(t: pa.Table) -> tuple[pa.Table, np.ndarray]:
+    """The rows of a block of ``rows_in_blocks``, one per doc_id and row_key, and how many rows of the input each stands for."""
+    if not t.num_rows:
+        return t, np.zeros(0, np.int64)
+    key = t.column("row_key").to_numpy()
+    ids = t.column("doc_id").dictionary_encode(null_encoding="encode").combine_chunks()
+    ids = (ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids).indices.to_numpy()
+    more = t.column("more").to_numpy(zero_copy_only=False)
+    order = np.lexsort((more, ids, key))
+    k, i = key[order], ids[order]
+    first = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (i[1:] != i[:-1])]))
+    copies = np.add.reduceat(t.column("copies").to_numpy()[order], first)
+    at = np.argsort(order[first])
+    return t.take(pa.array(order[first][at])), copies[at]

@@ -6,16 +6,18 @@ also starts anywhere else (same document included, windows may overlap) goes.  W
 1. *Candidates.*  A window's anchor is the smallest hash of its ``anchor``-word runs.  Equal windows have equal
    anchors, and few places are anchors, so counting anchors over all documents is cheap.
 2. *Recurring passages are confirmed* by counting the hashes (64 bit) of the windows with a recurring anchor.
-3. *Sharded automata.*  Documents are dealt into blocks of bounded text by the hash of their row.  Each block
-   compiles an Aho-Corasick automaton (pyahocorasick, over word ids) of the confirmed phrases that occur in it:
-   every run of consecutive confirmed windows is laid out with windows side by side.  All documents of the
-   block are streamed through it, which locates every occurrence.
+3. *Sharded automata.*  Documents are dealt into blocks of bounded text by the hash of their row.  A look-up of its
+   windows' hashes tells a block which confirmed phrases it holds; of those it compiles an Aho-Corasick automaton
+   (pyahocorasick, over word ids): every run of consecutive confirmed windows is laid out with windows side by
+   side.  All documents of the block are streamed through it, which marks the words of every occurrence.
 
 Texts are shuffled once, into blocks.  Hashes travel as packed arrays, each once per block, so a passage that a
 third of all documents share costs one entry per block.  Groups are bounded by the block size; the number of
 blocks and of hash ranges grows with the text.
 
-Null and empty texts have no words.  Rows that repeat a document are further places of its windows.
+Null and empty texts have no words.  Rows that repeat doc_id and text are further places of their windows; they are
+combined before the shuffle and judged once, with the number of their copies.  Long texts are whole in one block, an empty
+table gives no rows, and only doc_id and text are read, so names of other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import BLOCK_BYTES, WordIds, in_blocks, rolling, table, word_arrays
+from .common import BLOCK_BYTES, WordIds, one_of_each, rolling, rows_in_blocks, table, word_arrays
 
 WINDOW, ANCHOR = 35, 8
 BLOCKS_PER_RANGE = 8
@@ -47,7 +49,8 @@ def sliding(pick: np.ufunc, x: np.ndarray, width: int) -> np.ndarray:
 class Block:
     """Word ids, word hashes and window starts of a block's documents, one after another."""
 
-    def __init__(self, texts: list[bytes | None], window: int):
+    def __init__(self, texts: list[bytes | None], window: int, copies: np.ndarray | None = None):
+        self.copies = np.ones(len(texts), np.int64) if copies is None else copies
         self.ids = WordIds()
         self.flat, self.ends = word_arrays(texts, self.ids)
         hashes = self.ids.hashes()
@@ -62,24 +65,30 @@ class Block:
         runs = rolling(self.hashed, anchor) | np.uint64(1)
         return np.where(self.inside, sliding(np.minimum, runs, self.window - anchor + 1), np.uint64(0))
 
-    def anchor_places(self, anchor: int) -> np.ndarray:
-        """The hashes at all places that are some window's anchor."""
+    def times(self, places: np.ndarray) -> np.ndarray:
+        """How many rows have the document of each place."""
+        return self.copies[np.searchsorted(self.ends, places, side="right") - 1]
+
+    def anchor_places(self, anchor: int) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes at all places that are some window's anchor, and how many rows have each."""
         span = self.window - anchor + 1
         least = self.anchors(anchor)
         if not len(least):
-            return least
+            return least, np.zeros(0, np.int64)
         runs = rolling(self.hashed, anchor) | np.uint64(1)
         pad = np.zeros(span - 1, np.uint64)
         best = sliding(np.maximum, np.concatenate([pad, least, pad]), span)
-        return runs[best == runs]
+        places = np.flatnonzero(best == runs)
+        return runs[places], self.times(places)
 
     def windows(self) -> np.ndarray:
         return rolling(self.hashed, self.window)
 
 
-def packed(block: int, keys: np.ndarray, ranges: int) -> pa.Table:
+def packed(block: int, keys: np.ndarray, times: np.ndarray, ranges: int) -> pa.Table:
     """Distinct hashes by range, with a byte that says whether one occurs more than once here."""
-    u, n = np.unique(keys, return_counts=True)
+    u, inverse = np.unique(keys, return_inverse=True)
+    n = np.bincount(inverse, weights=times, minlength=len(u))
     r = (u % np.uint64(ranges)).astype(np.int32)
     order = np.argsort(r, kind="stable")
     u, n, r = u[order], n[order], r[order]
@@ -144,26 +153,28 @@ def covered_words(block: Block, confirmed: np.ndarray) -> np.ndarray:
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR,
                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_removed, spans (array of start and end word of what goes), kept (words joined by a space)."""
-    blocks, n_blocks = in_blocks(docs.select("doc_id", "text"), block_bytes)
+    blocks, n_blocks = rows_in_blocks(docs.select("doc_id", "text"), block_bytes)
     ranges = -(-n_blocks // BLOCKS_PER_RANGE)
     id_field = blocks.schema["doc_id"]
 
-    def texts_of(t: pa.Table) -> list[bytes | None]:
-        return t.column("text").cast(pa.binary()).to_pylist()
+    def distinct(t: pa.Table) -> tuple[pa.Table, list[bytes | None], Block]:
+        """One row per doc_id and row_key, their texts, and the block of them."""
+        t, copies = one_of_each(t)
+        texts = t.column("text").cast(pa.binary()).to_pylist()
+        return t, texts, Block(texts, window, copies)
 
     def places(t: pa.Table) -> pa.Table:
-        return packed(t.column("block")[0].as_py(), Block(texts_of(t), window).anchor_places(anchor), ranges)
+        return packed(t.column("block")[0].as_py(), *distinct(t)[2].anchor_places(anchor), ranges)
 
     def windows(t: pa.Table, candidates: pa.Table) -> pa.Table:
         if not t.num_rows or not candidates.num_rows:
-            return packed(0, np.zeros(0, np.uint64), ranges)
-        b = Block(texts_of(t), window)
-        chosen = is_in(b.anchors(anchor), unpacked(candidates.column("hashes"))) & b.inside
-        return packed(t.column("block")[0].as_py(), b.windows()[chosen], ranges)
+            return packed(0, np.zeros(0, np.uint64), np.zeros(0, np.int64), ranges)
+        b = distinct(t)[2]
+        chosen = np.flatnonzero(is_in(b.anchors(anchor), unpacked(candidates.column("hashes"))) & b.inside)
+        return packed(t.column("block")[0].as_py(), b.windows()[chosen], b.times(chosen), ranges)
 
     def remove(t: pa.Table, confirmed: pa.Table) -> pa.Table:
-        texts = texts_of(t)
-        b = Block(texts, window)
+        t, texts, b = distinct(t)
         gone = covered_words(b, unpacked(confirmed.column("hashes")) if confirmed.num_rows else np.zeros(0, np.uint64))
         n_words, n_removed, spans, kept = [], [], [], []
         for i, text in enumerate(texts):
@@ -174,16 +185,17 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, a
             n_removed.append(int(g.sum()))
             spans.append([{"start": int(x), "end": int(y)} for x, y in edges.reshape(-1, 2)])
             kept.append(b" ".join([w for w, x in zip(words, g.tolist()) if not x] if len(edges) else words).decode())
-        return pa.table({"doc_id": t.column("doc_id"), "n_words": pa.array(n_words, pa.int64()),
+        return pa.table({"doc_id": t.column("doc_id"), "copies": pa.array(b.copies, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
                          "n_removed": pa.array(n_removed, pa.int64()),
                          "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
                          "kept": pa.array(kept, pa.string())})
 
     candidates = recurring(blocks.groupBy("block").applyInArrow(places, PACKED))
     confirmed = recurring(blocks.groupBy("block").cogroup(candidates.groupBy("block")).applyInArrow(windows, PACKED))
-    return blocks.groupBy("block").cogroup(confirmed.groupBy("block")).applyInArrow(
-        remove, f"doc_id {id_field.dataType.simpleString()}, n_words long, n_removed long, "
+    done = blocks.groupBy("block").cogroup(confirmed.groupBy("block")).applyInArrow(
+        remove, f"doc_id {id_field.dataType.simpleString()}, copies long, n_words long, n_removed long, "
                 "spans array<struct<start:int,end:int>>, kept string")
+    return done.select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).drop("copies", "col")
 
 
 def q_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
