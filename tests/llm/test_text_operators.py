@@ -319,35 +319,38 @@ def test_simhash_links_of_crowded_blocks(spark, hot, bits):
 # --- language model ---------------------------------------------------------------------------------
 
 def ppm_scores(rows):
-    order = ppm.ORDER
+    order, local = ppm.ORDER, ppm.LOCAL
+    discount = lambda n: ppm.DISCOUNTS[min(n, 3)]
     held = lambda d: zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0
-    symbols = lambda t: [0] * order + [b + 1 for b in low(t).encode()] + [0]
-    seen, words = defaultdict(Counter), Counter()
+    symbols = lambda t: [255] * local + list(low(t).encode()) + [255]
+    grams, words = Counter(), Counter()
     for d, t in rows:
         if not held(d):
             q = symbols(t)
-            for i in range(order, len(q)):
-                for k in range(order + 1):
-                    seen[tuple(q[i - k:i])][q[i]] += 1
+            grams.update(tuple(q[i - order:i + 1]) for i in range(local, len(q)))
             words.update(WHITE.findall(low(t)))
             words[None] += 1
+    seen = [None] * (order + 1)
+    for k in range(order, -1, -1):
+        seen[k] = defaultdict(dict)
+        for g, c in grams.items():
+            seen[k][g[:-1]][g[-1]] = c
+        grams = Counter(g[1:] for g in grams)   # a symbol counts once for each longer context
     n, v, out = sum(words.values()), len(words), []
     for d, t in rows:
-        q, total = symbols(t), 0.0
-        for i in range(order, len(q)):
-            k, gone, p = order, set(), 1.0
-            while k >= 0:
-                here = {x: c for x, c in seen.get(tuple(q[i - k:i]), {}).items() if x not in gone}
-                size = sum(here.values()) + len(here)
-                if q[i] in here:
-                    p *= here[q[i]] / size
+        q, total, own = symbols(t), 0.0, defaultdict(Counter)
+        for i in range(local, len(q)):
+            p = 1 / 257
+            for k in range(order + 1):
+                here = seen[k].get(tuple(q[i - k:i]))
+                if here is None:
                     break
-                if here:
-                    p *= len(here) / size
-                    gone |= set(here)
-                k -= 1
-            else:
-                p /= 257 - len(gone)
+                n_x = here.get(q[i], 0)
+                p = (n_x - discount(n_x) + sum(map(discount, here.values())) * p) / sum(here.values())
+            here = own[tuple(q[i - local:i])]
+            if here:
+                p = (max(here[q[i]] - ppm.LOCAL_DISCOUNT, 0) + ppm.LOCAL_DISCOUNT * sum(c > 0 for c in here.values()) * p) / sum(here.values())
+            here[q[i]] += 1
             total += math.log10(p)
         w = [*WHITE.findall(low(t)), None]
         base = sum(math.log10((words[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
@@ -358,6 +361,7 @@ def ppm_scores(rows):
 @pytest.mark.parametrize("cells", [8_000_000, 3_000])
 def test_ppm(spark, tricky, sample, cells):
     rows = [(i, t if t is None else t[:3000]) for i, t in collected(tricky)] + [(i, t[:400]) for i, t in collected(sample)[:30]]
+    rows += [rows[-1]] * 7 + [(rows[-2][0], "another text of the id")]
     got = rows_of(ppm.score_documents(spark, spark.createDataFrame(rows, "doc_id long, text string"), cells, 4000))
     want = sorted(ppm_scores(rows), key=str)
     assert [g[:5] for g in got] == [w[:5] for w in want]

@@ -1,25 +1,38 @@
 """Language-model scores: prediction by partial matching over bytes, and a unigram word model as base.
 
-*Symbols* are the bytes of the text with A-Z lower-cased, then one end symbol; ``ORDER`` begin symbols stand before
-the text.  The trie holds, for every context of up to ``ORDER`` symbols, the counts of the symbols that followed it
-in the training documents.  A symbol seen in the longest known context ``c`` costs its share of ``total + distinct``;
-otherwise an escape of ``distinct / (total + distinct)`` (method C) is paid and the next shorter context is asked with
-the symbols of ``c`` excluded, down to a uniform choice among the symbols never seen.  The score is the sum of
-log10 probabilities of all symbols, the end included.
-
-A *gram* is a context of ``ORDER`` symbols and the symbol after it, as one exact 64-bit number.  All orders follow from
-the training counts of the distinct grams.  The symbols seen in a context are also seen in every suffix of it, so what
-remains after an exclusion depends on the context alone, and every distinct gram of the corpus has one price.  Grams
-are priced in parts of about ``part_grams``, dealt by the last ``HEAD`` symbols of the context: a part holds all longer
-contexts whole, and the orders below ``HEAD`` (at most 257^HEAD grams) are broadcast.  The prices stay dealt by
-gram hash; each block of documents asks for its distinct grams and gets their prices back, so the trie, which grows
-with the corpus, is never in one place.
+*Symbols* are the bytes of the text with A-Z lower-cased, then one end symbol; begin symbols stand before the text (both are
+0xFF, which UTF-8 does not use).  The trie holds, for every context of up to ``ORDER`` symbols, the symbols that followed it
+in the training documents.  Contexts of ``ORDER`` count occurrences, shorter ones are updated with exclusion: a
+symbol counts there once for each longer context it was seen in.
+
+*Escapes.*  A context ``c`` gives up ``discount(n)`` of each count ``n``; that share of its total is its escape
+``e(c) = sum of discount(n) / total``, so contexts that many rare symbols followed escape more often.  What ``c`` says of a
+symbol ``x`` is
+
+    p(x | c) = max(n(x) - discount(n(x)), 0) / total + e(c) * p(x | c without its first symbol),
+
+down to a uniform choice.  For symbols that ``c`` has not seen this is symbol exclusion: with ``S`` for what the shorter
+context gives to the symbols seen in ``c``, they get ``e(c) (1 - S)`` in all, dealt by the shorter context without the
+excluded symbols, ``p / (1 - S)``.  The part ``e(c) S`` goes back to the seen symbols, in the shorter context's shares.
+
+*Adaptive level.*  Above that stands the document's own history: a context of ``LOCAL`` symbols that occurred before in the
+document predicts what followed it there, by the same rule.  The score is the sum of log10 probabilities of all
+symbols, the end included.
+
+A *gram* is a context of ``ORDER`` symbols and the symbol after it, as one exact number.  All orders follow from the
+training counts of the distinct grams, and a gram's static price depends on it alone.  Grams are counted and priced in parts
+of about ``part_grams``, dealt by the last ``HEAD`` symbols of the context: a part holds all longer contexts whole, and
+the orders below ``HEAD`` (at most 256^HEAD grams) are broadcast.  Each block of documents asks the parts for the prices
+of its distinct grams, by ranges of the gram's hash, so the trie, which grows with the corpus, is never in one place.
 
 *Base.*  Words (and one end per document) are counted per block of documents, added up by ranges of their 64-bit hash,
 and each block gets the counts of its own words back; no vocabulary is ever in one place.
 
 Documents with crc32(doc_id as text) mod 10 = 0 are held out, the others are learnt from; a null id counts as
-empty text.  Null and empty texts have the end only.  Without training documents every symbol costs 1/257.
+empty text.  Null and empty texts have the end only.  Without training documents every symbol costs 1/257 before the
+adaptive level.  Rows that repeat doc_id and text are combined before the shuffle and learnt with their copies; each gets
+its own result row.  Long texts are whole in one block, an empty table gives no rows, and only doc_id and text are read, so
+names of other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -27,66 +40,59 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import MULT, WordIds, in_blocks, slices, table, text_key, word_arrays, written
+from .common import MULT, WordIds, combined, one_of_each, rows_in_blocks, slices, table, text_bytes, word_arrays, written
 from .toxicity import fold
 
-ORDER, SYMBOLS = 5, 257   # SYMBOLS^(ORDER + 1) fits 63 bits up to an order of 6
+ORDER, LOCAL = 6, 8
+SYMBOLS, EDGE = 257, b"\xff"   # bytes and the end; the begin and end symbol
+DISCOUNTS = np.asarray([0.0, 0.7, 1.2, 1.75])   # of counts 0, 1, 2 and more
+LOCAL_DISCOUNT = 0.7
 HEAD = 3
 PART_GRAMS = 200_000
-BLOCK_BYTES = 8 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
+GRAMS_PER_BYTE = 0.02   # distinct grams expected, which sets the number of parts
+BLOCK_BYTES = 16 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
 BLOCKS_PER_RANGE = 4
-GRAM_BYTES = 2 << 20   # text of which grams are counted or scored at a time
+GRAM_BYTES = 1 << 20   # text of which grams are counted or scored at a time
 HELD_GRAMS = 4_000_000   # distinct grams a counting task holds before it hands them on
 END_WORD = xxhash.xxh3_64_intdigest(b" ")   # no word holds a space
 
 
 # --- grams ------------------------------------------------------------------------------------------
 
-def symbols_of(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-    """Symbols of all texts, each as begin symbols, bytes + 1, end symbol (begin and end are 0); their lengths."""
-    pad, end = bytes(ORDER), b"\0"
-    parts = [t.lower() if t else b"" for t in texts]
-    lens = np.asarray([len(p) for p in parts], np.int64)
-    flat = np.frombuffer(b"".join(x for p in parts for x in (pad, p, end)), np.uint8).astype(np.int64) + 1
-    at = np.cumsum(lens + ORDER + 1) - (lens + ORDER + 1)
-    for j in range(ORDER):
-        flat[at + j] = 0
-    flat[at + ORDER + lens] = 0
-    return flat, lens
-
-
-def gram_places(lens: np.ndarray) -> np.ndarray:
-    """Whether a gram of ORDER + 1 symbols starts at a place without leaving its document."""
-    whole = lens + ORDER + 1
-    ok = np.ones(int(whole.sum()), bool)
-    ends = np.cumsum(whole)
-    for j in range(1, ORDER + 1):
-        ok[ends - j] = False
-    return ok
-
-
-def gram_codes(flat: np.ndarray) -> np.ndarray:
-    n = len(flat) - ORDER
-    code = flat[:n].copy()
-    for j in range(1, ORDER + 1):
-        code *= SYMBOLS
-        code += flat[j:j + n]
-    return code
-
-
-def grams_of(texts: list[bytes | None]) -> np.ndarray:
-    """The grams of all texts, in order."""
-    if not texts:
-        return np.zeros(0, np.int64)
-    flat, lens = symbols_of(texts)
-    return gram_codes(flat)[gram_places(lens)[:len(flat) - ORDER]]
+def low_bits(symbols: int) -> np.int64:
+    return np.int64((1 << 8 * symbols) - 1)
+
+
+class Symbols:
+    """Every symbol of some texts, in order: its gram, the ``LOCAL`` symbols before it, and its text."""
+
+    def __init__(self, texts: list[bytes | None]):
+        parts = [t.lower() if t else b"" for t in texts]   # bytes.lower() changes A-Z only
+        pad = EDGE * LOCAL
+        raw = b"".join(x for p in parts for x in (pad, p, EDGE)) + bytes(8)
+        self.sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        ends = np.cumsum(self.sizes + LOCAL)
+        real = np.ones(int(ends[-1]) if len(ends) else 0, bool)
+        for j in range(LOCAL):
+            real[ends - self.sizes - LOCAL + j] = False
+        self.words = np.ndarray(max(0, len(raw) - 7), ">u8", raw, strides=(1,))   # the 8 symbols from every place on
+        self.at = np.flatnonzero(real)
+
+    def grams(self) -> np.ndarray:
+        return self.words[self.at - 7].astype(np.int64) & low_bits(ORDER + 1)
+
+    def contexts(self) -> np.ndarray:
+        return self.words[self.at - LOCAL].astype(np.uint64)
+
+    def texts(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.sizes)), self.sizes)
 
 
 def portions(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
@@ -101,16 +107,17 @@ def portions(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
-def block_grams(texts: list[bytes | None], ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct grams of a block by range and value, with the ranges that occur and where each begins."""
-    u = [np.unique(grams_of(texts[a:b])) for a, b in portions(texts)]
-    return by_range(np.unique(np.concatenate(u or [np.zeros(0, np.int64)])), ranges)
+def distinct_grams(texts: list[bytes | None]) -> np.ndarray:
+    """Ascending distinct grams."""
+    found = [pd.unique(Symbols(texts[a:b]).grams()) for a, b in portions(texts)]
+    return np.sort(pd.unique(np.concatenate(found or [np.zeros(0, np.int64)])))
 
 
 def by_range(codes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    order = np.argsort(dealt(codes, ranges), kind="stable")
-    r = dealt(codes, ranges)[order]
-    which, begin = np.unique(r, return_index=True)
+    """The codes by range and, within one, as they were; the ranges that occur and where each begins."""
+    r = dealt(codes, ranges)
+    order = np.argsort(r, kind="stable")
+    which, begin = np.unique(r[order], return_index=True)
     return codes[order], which, begin
 
 
@@ -142,74 +149,86 @@ def add_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nda
     return k[first], np.add.reduceat(c[order], first)
 
 
-GRAMS = "r int, codes binary, n binary"
+GRAMS = "part int, codes binary, n binary"
+
+
+def part_of(codes: np.ndarray, parts: int) -> np.ndarray:
+    """Parts by the last HEAD symbols of the context."""
+    return dealt(codes >> 8 & low_bits(HEAD), parts)
 
 
-def gram_counts(docs: DataFrame, ranges: int) -> DataFrame:
+def gram_counts(docs: DataFrame, parts: int) -> DataFrame:
     """Distinct grams of all texts with their counts in training documents (0: in held-out texts only), one row per
-    range of the gram's hash; summed per task before they are shuffled."""
+    part; summed per task before they are shuffled."""
 
     def rows(k: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-        where = dealt(k, ranges)
-        for r in np.unique(where).tolist():
-            here = where == r
-            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([packed(k[here])], pa.binary()),
-                                              pa.array([n[here].tobytes()], pa.binary())], ["r", "codes", "n"])
+        where = part_of(k, parts)
+        order = np.argsort(where, kind="stable")
+        k, n = k[order], n[order]
+        which, begin = np.unique(where[order], return_index=True)
+        for r, a, b in zip(which.tolist(), begin.tolist(), [*begin[1:].tolist(), len(k)]):
+            yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([packed(k[a:b])], pa.binary()),
+                                              pa.array([n[a:b].tobytes()], pa.binary())], ["part", "codes", "n"])
 
     def run(batches):  # noqa: ANN001, ANN202
         keys, counts, held, most = [], [], 0, 1_000_000
-        for part, texts in slices(batches, lambda b: b.column(0), GRAM_BYTES):
-            train = part.column(1).to_pylist()
-            k, n = np.unique(grams_of([t for t, x in zip(texts, train) if x]), return_counts=True)
-            zero = np.unique(grams_of([t for t, x in zip(texts, train) if not x]))
-            keys += [k, zero]
-            counts += [n.astype(np.int64), np.zeros(len(zero), np.int64)]
-            held += len(k) + len(zero)
-            if held > most:
-                one = add_counts(keys, counts)
-                if len(one[0]) > HELD_GRAMS:
-                    yield from rows(*one)
-                    one = add_counts([], [])
-                keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 2 * len(one[0])
+        for window, copies in combined(batches, 2, 0):
+            at = 0
+            for part, texts in slices(iter([window]), lambda b: b.column(0), GRAM_BYTES):
+                weight = copies[at:at + part.num_rows] * part.column(1).to_numpy(zero_copy_only=False)
+                at += part.num_rows
+                for w in np.unique(weight).tolist():   # 0 for held-out texts, mostly 1 for the others
+                    k, n = np.unique(Symbols([t for t, x in zip(texts, weight.tolist()) if x == w]).grams(), return_counts=True)
+                    keys.append(k)
+                    counts.append(n.astype(np.int64) * w)
+                    held += len(k)
+                if held > most:
+                    one = add_counts(keys, counts)
+                    if len(one[0]) > HELD_GRAMS:
+                        yield from rows(*one)
+                        one = add_counts([], [])
+                    keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 2 * len(one[0])
         yield from rows(*add_counts(keys, counts))
 
     def total(t: pa.Table) -> pa.Table:
         k, n = add_counts([unpacked(x) for x in t.column("codes").to_pylist()],
                           [np.frombuffer(x, np.int64) for x in t.column("n").to_pylist()])
-        return pa.table({"r": pa.array([t.column("r")[0].as_py()], pa.int32()), "codes": pa.array([packed(k)], pa.binary()),
+        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "codes": pa.array([packed(k)], pa.binary()),
                          "n": pa.array([n.tobytes()], pa.binary())})
 
-    return docs.select("text", "train").mapInArrow(run, GRAMS).groupBy("r").applyInArrow(total, GRAMS)
+    keyed = docs.select("text", "train", F.xxhash64("doc_id", "text").alias("row_key"))
+    return keyed.mapInArrow(run, GRAMS).groupBy("part").applyInArrow(total, GRAMS)
 
 
 # --- prices of grams --------------------------------------------------------------------------------
 
 class Level:
-    """Contexts of one order: grams seen in training (ascending) with counts, and per context their total and number."""
+    """Contexts of one order: grams seen in training (ascending) with counts, and per context its total and what it gives up."""
 
-    def __init__(self, codes: np.ndarray, n: np.ndarray, up: Level | None):
+    def __init__(self, codes: np.ndarray, n: np.ndarray):
         self.codes, self.n = codes, n
-        context = codes // SYMBOLS
-        first = np.concatenate([[0], np.nonzero(np.diff(context))[0] + 1]) if len(codes) else np.zeros(0, np.int64)
+        context = codes >> 8
+        first = np.flatnonzero(np.diff(context, prepend=-1))
         self.contexts = context[first]
         self.total = np.add.reduceat(n, first) if len(codes) else n
-        self.distinct = np.diff(first, append=len(codes))
-        if up is not None and len(codes):
-            # counts and symbols of the next shorter context that remain once this context's are excluded
-            parent = np.searchsorted(up.contexts, self.contexts % up.modulus)
-            excluded = np.add.reduceat(up.n[np.searchsorted(up.codes, codes % (up.modulus * SYMBOLS))], first)
-            self.new = up.distinct[parent] - self.distinct
-            self.left = up.total[parent] - excluded + self.new
-        else:
-            self.new = self.left = np.zeros(len(self.contexts), np.int64)
-        self.modulus = 1 if up is None else up.modulus * SYMBOLS
-
-
-def levels_of(codes: np.ndarray, n: np.ndarray, below: list[Level], order: int) -> list[Level]:
-    """``below`` and the levels after it up to ``order``, whose grams are given."""
-    levels = list(below)
-    for k in range(len(below), order + 1):
-        levels.append(Level(*add_counts([codes % SYMBOLS ** (k + 1)], [n]), levels[-1] if levels else None))
+        self.given = np.add.reduceat(discount(n), first) if len(codes) else np.zeros(0)
+
+
+def discount(n: np.ndarray) -> np.ndarray:
+    return DISCOUNTS[np.minimum(n, len(DISCOUNTS) - 1)]
+
+
+def shorter(codes: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """The last ``symbols`` of distinct grams one symbol longer, each with the number of them that end so."""
+    return np.unique(codes & low_bits(symbols), return_counts=True)
+
+
+def levels_of(codes: np.ndarray, n: np.ndarray, order: int, lowest: int = 0) -> list[Level]:
+    """The levels from ``lowest`` to ``order``, whose grams are given with their counts."""
+    levels = [Level(codes, n)]
+    for k in range(order - 1, lowest - 1, -1):
+        codes, n = shorter(codes, k + 1)
+        levels.insert(0, Level(codes, n))
     return levels
 
 
@@ -223,72 +242,88 @@ def found_in(values: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def prices(levels: list[Level], grams: np.ndarray) -> np.ndarray:
     """log10 probability of each gram's last symbol after its context."""
-    out = np.zeros(len(grams))
-    todo, longer = np.arange(len(grams)), np.full(len(grams), -1)   # longer: the known context one symbol longer
-    for k in range(ORDER, -1, -1):
-        level, q = levels[k], grams[todo]
-        at, known = found_in(level.contexts, q // SYMBOLS % level.modulus)
-        g, seen = found_in(level.codes, q % (level.modulus * SYMBOLS))
-        here = np.nonzero(known)[0]
-        if len(here):
-            a, up, first = at[here], longer[here], longer[here] < 0
-            size, new = level.total[a] + level.distinct[a], level.distinct[a]
-            if not first.all():   # a longer context is known, so its symbols are excluded
-                size = np.where(first, size, levels[k + 1].left[up])
-                new = np.where(first, new, levels[k + 1].new[up])
-            share = np.where(seen[here], level.n[np.where(seen[here], g[here], 0)], new)
-            ok = size > 0         # otherwise nothing is left here and the next context is asked at no cost
-            out[todo[here[ok]]] += np.log10(share[ok]) - np.log10(size[ok])
-        todo, longer = todo[~seen], np.where(known, at, -1)[~seen]
-    never = SYMBOLS - (int(levels[0].distinct[0]) if len(levels[0].distinct) else 0)
-    out[todo] -= np.log10(max(never, 1))
-    return out
+    p, todo = np.full(len(grams), 1 / SYMBOLS), np.arange(len(grams))
+    for k, level in enumerate(levels):
+        q = grams[todo]
+        at, known = found_in(level.contexts, q >> 8 & low_bits(k))
+        todo, q, at = todo[known], q[known], at[known]   # a context that is not known has no longer one that is
+        g, seen = found_in(level.codes, q & low_bits(k + 1))
+        n = np.where(seen, level.n[g], 0) if len(level.n) else np.zeros(len(q), np.int64)
+        p[todo] = (n - discount(n) + level.given[at] * p[todo]) / level.total[at]
+    return np.log10(p)
 
 
-def train(spark: SparkSession, docs: DataFrame, ranges: int, part_grams: int = PART_GRAMS) -> DataFrame:
-    """(r, codes, logs): the price of every distinct gram of ``docs`` (text, train), by ranges of the gram's hash."""
-    grams = written(spark, gram_counts(docs, ranges), "ppm-grams")
-    n_grams = int(grams.agg(F.sum(F.octet_length("codes"))).first()[0] or 0) // 8
-    parts = max(1, -(-n_grams // part_grams))
+def train(spark: SparkSession, docs: DataFrame, ranges: int, parts: int) -> DataFrame:
+    """(r, codes, logs): the price of every distinct gram of ``docs`` (doc_id, text, train), by ranges of the gram's hash."""
+    grams = written(spark, gram_counts(docs, parts), "ppm-grams")
 
     def head(batches):  # noqa: ANN001, ANN202
         for b in batches:
             for codes, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
-                n = np.frombuffer(n, np.int64)
-                k, n = add_counts([unpacked(codes)[n > 0] % SYMBOLS ** HEAD], [n[n > 0]])
-                yield pa.RecordBatch.from_arrays([pa.array(k), pa.array(n)], ["gram", "n"])
+                k = unpacked(codes)[np.frombuffer(n, np.int64) > 0]
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(k & low_bits(HEAD + 1)))], ["gram"])
 
-    # at most SYMBOLS^HEAD rows
-    low = grams.mapInArrow(head, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toArrow()
-    below = spark.sparkContext.broadcast(levels_of(low.column(0).to_numpy(), low.column(1).to_numpy(), [], HEAD - 1))
+    # a gram of HEAD + 1 symbols is in one part: those that end in the same HEAD symbols are counted; at most 256^HEAD rows
+    ends = grams.mapInArrow(head, "gram long").groupBy((F.col("gram") % F.lit(1 << 8 * HEAD)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
+    low = ends.toArrow()
+    k, n = add_counts([low.column(0).to_numpy()], [low.column(1).to_numpy()])
+    below = spark.sparkContext.broadcast(levels_of(k, n, HEAD - 1))
 
-    def deal(batches):  # noqa: ANN001, ANN202
+    def price(batches):  # noqa: ANN001, ANN202
         for b in batches:
             for codes, n in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 codes, n = unpacked(codes), np.frombuffer(n, np.int64)
-                part = dealt(codes // SYMBOLS % SYMBOLS ** HEAD, parts)
-                for i in np.unique(part).tolist():
-                    here = part == i
-                    yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([packed(codes[here])], pa.binary()),
-                                                      pa.array([n[here].tobytes()], pa.binary())], ["part", "codes", "n"])
-
-    def price(t: pa.Table) -> pa.Table:
-        codes, n = add_counts([unpacked(x) for x in t.column("codes").to_pylist()],
-                              [np.frombuffer(x, np.int64) for x in t.column("n").to_pylist()])
-        logs = prices(levels_of(codes[n > 0], n[n > 0], below.value, ORDER), codes).astype(np.float32)
-        where = dealt(codes, ranges)
-        which = np.unique(where)
-        return pa.table({"r": pa.array(which, pa.int32()), "codes": pa.array([packed(codes[where == r]) for r in which], pa.binary()),
-                         "logs": pa.array([logs[where == r].tobytes() for r in which], pa.binary())})
-
-    out = grams.mapInArrow(deal, "part int, codes binary, n binary").groupBy("part").applyInArrow(price, "r int, codes binary, logs binary")
-    return written(spark, out, "ppm-prices")
+                logs = prices([*below.value, *levels_of(codes[n > 0], n[n > 0], ORDER, HEAD)], codes).astype(np.float32)
+                where = dealt(codes, ranges)
+                order = np.argsort(where, kind="stable")
+                which, begin = np.unique(where[order], return_index=True)
+                cut = list(zip(begin.tolist(), [*begin[1:].tolist(), len(codes)]))
+                codes, logs = codes[order], logs[order]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(which, pa.int32()), pa.array([packed(codes[x:y]) for x, y in cut], pa.binary()),
+                     pa.array([logs[x:y].tobytes() for x, y in cut], pa.binary())], ["r", "codes", "logs"])
+
+    return grams.mapInArrow(price, "r int, codes binary, logs binary")
+
+
+def adapt(symbols: Symbols, grams: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """``logs`` (static log10 prices of the symbols) after the adaptive level."""
+    n, bits = len(logs), int(len(logs)).bit_length()
+    mask = np.int64((1 << bits) - 1)
+    context, _ = pd.factorize(symbols.contexts())
+    key = np.sort(context.astype(np.int64) << bits | np.arange(n))
+    order, context, text = key & mask, key >> bits, symbols.texts()
+    text = text[order]
+    first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (text[1:] != text[:-1])])[:n])
+    size = np.diff(np.concatenate([first, [n]]))
+    often = np.flatnonzero(size > 1)   # contexts that come back in their document
+    if not len(often):
+        return logs
+    size, first = size[often], first[often]
+    run = np.repeat(np.arange(len(size)), size)
+    start = np.cumsum(size) - size
+    seen = np.arange(len(run)) - start[run]   # earlier places of the context
+    order = order[first[run] + seen]
+    key = np.sort((run << 8 | grams[order] & 255) << bits | np.arange(len(run)))
+    back, pair = key & mask, key >> bits
+    new = np.concatenate([[True], pair[1:] != pair[:-1]])
+    begin = np.flatnonzero(new)
+    same = np.empty(len(run), np.int64)       # earlier places of the context with the same symbol
+    same[back] = np.arange(len(run)) - np.repeat(begin, np.diff(np.concatenate([begin, [len(run)]])))
+    fresh = (same == 0).astype(np.int64)
+    kinds = np.cumsum(fresh) - fresh
+    kinds -= kinds[start][run]                # different symbols that followed it
+    ask = np.flatnonzero(seen)
+    at, seen, same, kinds = order[ask], seen[ask], same[ask], kinds[ask]
+    out = logs.copy()
+    out[at] = np.log10((np.maximum(same - LOCAL_DISCOUNT, 0) + LOCAL_DISCOUNT * kinds * 10.0 ** logs[at]) / seen)
+    return out
 
 
 # --- scores -----------------------------------------------------------------------------------------
 
 COUNTS = "r int, block int, hashes binary, n binary, grams binary"
-ANSWERS = "block int, r int, hashes binary, n binary, logs binary"
+ANSWERS = "block int, r int, n binary, logs binary"
 
 
 def _counted_words(texts: list[bytes | None]) -> tuple[WordIds, np.ndarray, np.ndarray]:
@@ -297,45 +332,54 @@ def _counted_words(texts: list[bytes | None]) -> tuple[WordIds, np.ndarray, np.n
     return ids, flat, ends
 
 
+def _dealt_words(ids: WordIds, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of the words and of the end, their order by range, the ranges that occur and where each begins."""
+    h = np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)])
+    r = (h % np.uint64(ranges)).astype(np.int64)
+    order = np.argsort(r, kind="stable")
+    which, begin = np.unique(r[order], return_index=True)
+    return h, order, which, begin
+
+
 def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART_GRAMS,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    docs = docs.select("doc_id", "text", text_key(F.col("text")).alias("text_key"), (fold(F.col("doc_id"), 10) != 0).alias("train"))
-    blocks, n_blocks = in_blocks(docs, block_bytes)
+    docs = docs.select("doc_id", "text")
+    in_training = fold(F.col("doc_id"), 10) != 0
+    blocks, n_blocks = rows_in_blocks(docs, block_bytes)
+    blocks = blocks.withColumn("train", in_training)
     ranges = -(-n_blocks // BLOCKS_PER_RANGE)
-    model = train(spark, docs, ranges, part_grams)
+    parts = max(1, round(text_bytes(docs) * GRAMS_PER_BYTE / part_grams))
+    model = train(spark, docs.withColumn("train", in_training), ranges, parts)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def count(t: pa.Table) -> pa.Table:
         """Each word of a block once, with its count in training documents, and each gram of it once, packed by
         hash range."""
+        block = t.column("block")[0].as_py()
+        t, copies = one_of_each(t)
         texts = t.column("text").cast(pa.binary()).to_pylist()
         ids, flat, ends = _counted_words(texts)
-        train_doc = t.column("train").to_numpy().astype(bool)
-        n = np.bincount(flat[np.repeat(train_doc, np.diff(ends))], minlength=len(ids.words))
-        h = np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)])
-        n = np.concatenate([n, [int(train_doc.sum())]])
-        r = (h % np.uint64(ranges)).astype(np.int64)
-        order = np.argsort(r, kind="stable")
-        h, n, r = h[order], n[order], r[order]
-        which, begin = np.unique(r, return_index=True)
-        end = [*begin[1:].tolist(), len(h)]
-        codes, gram_ranges, gram_begin = block_grams(texts, ranges)
+        weight = copies * t.column("train").to_numpy(zero_copy_only=False)
+        n = np.bincount(flat, weights=np.repeat(weight, np.diff(ends)), minlength=len(ids.words)).astype(np.int64)   # exact below 2^53
+        n = np.concatenate([n, [int(weight.sum())]])
+        h, order, which, begin = _dealt_words(ids, ranges)
+        words = {r: (x, y) for r, x, y in zip(which.tolist(), np.split(h[order], begin[1:]), np.split(n[order], begin[1:]))}
+        codes, gram_ranges, gram_begin = by_range(distinct_grams(texts), ranges)
         grams = dict(zip(gram_ranges.tolist(), np.split(codes, gram_begin[1:])))
-        words = {r: (h[a:b], n[a:b]) for r, a, b in zip(which.tolist(), begin.tolist(), end)}
         every = sorted({*words, *grams})
         none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        return pa.table({"r": pa.array(every, pa.int32()), "block": pa.array([t.column("block")[0].as_py()] * len(every), pa.int32()),
+        return pa.table({"r": pa.array(every, pa.int32()), "block": pa.array([block] * len(every), pa.int32()),
                          "hashes": pa.array([words.get(r, none)[0].tobytes() for r in every], pa.binary()),
-                         "n": pa.array([words.get(r, none)[1].astype(np.int64).tobytes() for r in every], pa.binary()),
+                         "n": pa.array([words.get(r, none)[1].tobytes() for r in every], pa.binary()),
                          "grams": pa.array([packed(grams.get(r, none[1])) for r in every], pa.binary())})
 
     def total(t: pa.Table, priced: pa.Table) -> pa.Table:
-        """Every block's words of a range with their counts over all blocks, and the prices of its grams; one row more
-        with the range's sum and number of training words, under a block number of its own below zero."""
+        """The counts over all blocks of every block's words of a range, and the prices of its grams, in the order they
+        were asked; one row more with the range's sum and number of training words, under a block number below zero."""
         if not t.num_rows:
-            return pa.table({"block": pa.array([], pa.int32()), "r": pa.array([], pa.int32()), "hashes": pa.array([], pa.binary()),
-                             "n": pa.array([], pa.binary()), "logs": pa.array([], pa.binary())})
+            return pa.table({"block": pa.array([], pa.int32()), "r": pa.array([], pa.int32()), "n": pa.array([], pa.binary()),
+                             "logs": pa.array([], pa.binary())})
         rows, r = t.column("hashes").to_pylist(), t.column("r")[0].as_py()
         h = np.frombuffer(b"".join(rows), np.uint64)
         n = np.frombuffer(b"".join(t.column("n").to_pylist()), np.int64)
@@ -349,7 +393,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         codes, logs = codes[order], logs[order]
         answers = [logs[np.searchsorted(codes, unpacked(x))].tobytes() for x in t.column("grams").to_pylist()]
         return pa.table({"block": pa.array([*t.column("block").to_pylist(), -1 - r], pa.int32()),
-                         "r": pa.array([r] * (t.num_rows + 1), pa.int32()), "hashes": pa.array([*rows, b""], pa.binary()),
+                         "r": pa.array([r] * (t.num_rows + 1), pa.int32()),
                          "n": pa.array([*[x.tobytes() for x in np.split(c[inverse], cut)], sums], pa.binary()),
                          "logs": pa.array([*answers, b""], pa.binary())})
 
@@ -358,15 +402,16 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
     def score(t: pa.Table, answers: pa.Table) -> pa.Table:
         if not t.num_rows:
             sums = np.frombuffer(answers.column("n")[0].as_py(), np.int64)
-            return pa.table({"doc_id": pa.nulls(1, id_type), "text_key": pa.nulls(1, pa.int64()), "total": pa.array([True]),
+            return pa.table({"doc_id": pa.nulls(1, id_type), "copies": pa.array([1]), "total": pa.array([True]),
                              "train": pa.array([False]), "n_tokens": pa.array([int(sums[0])]), "n_known": pa.array([int(sums[1])]),
                              "logs": pa.array([0.0]), "score": pa.array([0.0])})
+        t, copies = one_of_each(t)
         texts = t.column("text").cast(pa.binary()).to_pylist()
         ids, flat, ends = _counted_words(texts)
-        h = np.frombuffer(b"".join(answers.column("hashes").to_pylist()), np.uint64)
-        n = np.frombuffer(b"".join(answers.column("n").to_pylist()), np.int64)
-        order = np.argsort(h)
-        c = n[order][np.searchsorted(h[order], np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)]))]
+        of_range = {r: (n, x) for r, n, x in zip(*(answers.column(c).to_pylist() for c in ("r", "n", "logs")))}
+        given = [of_range[r] for r in sorted(of_range)]
+        c = np.zeros(len(ids.words) + 1, np.int64)
+        c[_dealt_words(ids, ranges)[1]] = np.frombuffer(b"".join(n for n, _ in given), np.int64)
         at_end = np.arange(len(texts)) + ends[1:]     # every document's words, then its end
         tokens = np.full(len(flat) + len(texts), len(c) - 1, np.int64)
         is_word = np.ones(len(tokens), bool)
@@ -374,27 +419,30 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         tokens[is_word] = flat
         starts = ends[:-1] + np.arange(len(texts))
         here = c[tokens]
-        codes = pa.array(block_grams(texts, ranges)[0])   # in the order they were asked: by range, then value
-        of_range = dict(zip(answers.column("r").to_pylist(), answers.column("logs").to_pylist()))
-        price = np.frombuffer(b"".join(of_range[r] for r in sorted(of_range)), np.float32)
+        # the grams of each portion by number, then the prices of all: in the order they were asked, by range and value
+        found = [pd.factorize(Symbols(texts[a:b]).grams()) for a, b in portions(texts)]
+        codes = np.sort(pd.unique(np.concatenate([u for _, u in found])))
+        price = np.empty(len(codes), np.float32)
+        price[np.argsort(dealt(codes, ranges), kind="stable")] = np.frombuffer(b"".join(x for _, x in given), np.float32)
         scores = np.zeros(len(texts))
-        for a, b in portions(texts):
-            p = price[pc.index_in(pa.array(grams_of(texts[a:b])), value_set=codes).to_numpy()]
-            size = np.asarray([len(x or b"") + 1 for x in texts[a:b]], np.int64)
-            scores[a:b] = np.add.reduceat(p, np.cumsum(size) - size, dtype=np.float64)
-        return pa.table({"doc_id": t.column("doc_id"), "text_key": t.column("text_key"), "total": pa.array([False] * len(texts)), "train": t.column("train"),
+        for (a, b), (f, u) in zip(portions(texts), found):
+            symbols = Symbols(texts[a:b])
+            p = adapt(symbols, u[f], price[np.searchsorted(codes, u)].astype(np.float64)[f])
+            scores[a:b] = np.add.reduceat(p, np.cumsum(symbols.sizes) - symbols.sizes)
+        return pa.table({"doc_id": t.column("doc_id"), "copies": pa.array(copies), "total": pa.array([False] * len(texts)), "train": t.column("train"),
                          "n_tokens": pa.array(np.diff(ends) + 1), "n_known": pa.array(np.add.reduceat((here > 0).astype(np.int64), starts)),
                          "logs": pa.array(np.add.reduceat(np.log10(here + 0.1), starts)), "score": pa.array(scores)})
 
     counts = blocks.groupBy("block").applyInArrow(count, COUNTS)
     totals = counts.groupBy("r").cogroup(model.groupBy("r")).applyInArrow(total, ANSWERS)
-    out = f"doc_id {kind}, text_key long, total boolean, train boolean, n_tokens long, n_known long, logs double, score double"
+    out = f"doc_id {kind}, copies long, total boolean, train boolean, n_tokens long, n_known long, logs double, score double"
     done = written(spark, blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(score, out), "ppm-scores")
     n, v = done.where("total").agg(F.sum("n_tokens"), F.sum("n_known")).first()
     n, v = n or 0, v or 0
     base = F.col("logs") - F.col("n_tokens") * F.lit(float(np.log10(n + 0.1 * (v + 1))))
-    return done.where("NOT total").select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
-                                          F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
+    each = done.where("NOT total").select("*", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+    return each.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
+                       F.lit(n).cast("long").alias("train_tokens"), base.alias("base_score"), "score")
 
 
 def q_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
