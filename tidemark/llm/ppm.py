@@ -57,7 +57,7 @@ LOCAL_DISCOUNT = 0.7
 HEAD = 3
 PART_GRAMS = 200_000
 GRAMS_PER_BYTE = 0.02   # distinct grams expected, which sets the number of parts
-BLOCK_BYTES = 16 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
+BLOCK_BYTES = 10 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
 BLOCKS_PER_RANGE = 4
 GRAM_BYTES = 1 << 20   # text of which grams are counted or scored at a time
 HELD_GRAMS = 4_000_000   # distinct grams a counting task holds before it hands them on
@@ -419,8 +419,14 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         tokens[is_word] = flat
         starts = ends[:-1] + np.arange(len(texts))
         here = c[tokens]
+        words = {"n_tokens": pa.array(np.diff(ends) + 1), "n_known": pa.array(np.add.reduceat((here > 0).astype(np.int64), starts)),
+                 "logs": pa.array(np.add.reduceat(np.log10(here + 0.1), starts))}
+        del ids, flat, tokens, here, is_word   # before the grams take the room
         # the grams of each portion by number, then the prices of all: in the order they were asked, by range and value
-        found = [pd.factorize(Symbols(texts[a:b]).grams()) for a, b in portions(texts)]
+        found = []
+        for a, b in portions(texts):
+            f, u = pd.factorize(Symbols(texts[a:b]).grams())
+            found.append((f.astype(np.int32), u))
         codes = np.sort(pd.unique(np.concatenate([u for _, u in found])))
         price = np.empty(len(codes), np.float32)
         price[np.argsort(dealt(codes, ranges), kind="stable")] = np.frombuffer(b"".join(x for _, x in given), np.float32)
@@ -430,8 +436,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
             p = adapt(symbols, u[f], price[np.searchsorted(codes, u)].astype(np.float64)[f])
             scores[a:b] = np.add.reduceat(p, np.cumsum(symbols.sizes) - symbols.sizes)
         return pa.table({"doc_id": t.column("doc_id"), "copies": pa.array(copies), "total": pa.array([False] * len(texts)), "train": t.column("train"),
-                         "n_tokens": pa.array(np.diff(ends) + 1), "n_known": pa.array(np.add.reduceat((here > 0).astype(np.int64), starts)),
-                         "logs": pa.array(np.add.reduceat(np.log10(here + 0.1), starts)), "score": pa.array(scores)})
+                         **words, "score": pa.array(scores)})
 
     counts = blocks.groupBy("block").applyInArrow(count, COUNTS)
     totals = counts.groupBy("r").cogroup(model.groupBy("r")).applyInArrow(total, ANSWERS)
