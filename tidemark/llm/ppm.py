@@ -40,7 +40,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -59,7 +58,7 @@ PART_GRAMS = 200_000
 GRAMS_PER_BYTE = 0.02   # distinct grams expected, which sets the number of parts
 BLOCK_BYTES = 10 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
 BLOCKS_PER_RANGE = 4
-GRAM_BYTES = 1 << 20   # text of which grams are counted or scored at a time
+GRAM_BYTES = 1 << 18   # text of which grams are counted or scored at a time: what fits a processor cache
 HELD_GRAMS = 4_000_000   # distinct grams a counting task holds before it hands them on
 END_WORD = xxhash.xxh3_64_intdigest(b" ")   # no word holds a space
 
@@ -107,10 +106,16 @@ def portions(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+def ascending(codes: np.ndarray) -> np.ndarray:
+    """The distinct codes in order (sorting is much faster than hashing here)."""
+    codes = np.sort(codes)
+    return codes[np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)]]
+
+
 def distinct_grams(texts: list[bytes | None]) -> np.ndarray:
     """Ascending distinct grams."""
-    found = [pd.unique(Symbols(texts[a:b]).grams()) for a, b in portions(texts)]
-    return np.sort(pd.unique(np.concatenate(found or [np.zeros(0, np.int64)])))
+    found = [ascending(Symbols(texts[a:b]).grams()) for a, b in portions(texts)]
+    return ascending(np.concatenate(found or [np.zeros(0, np.int64)]))
 
 
 def by_range(codes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -143,7 +148,7 @@ def add_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.nda
     k, c = np.concatenate(keys), np.concatenate(counts)
     if not len(k):
         return k, c
-    order = np.argsort(k, kind="stable")
+    order = np.argsort(k)
     k = k[order]
     first = np.concatenate([[0], np.nonzero(np.diff(k))[0] + 1])
     return k[first], np.add.reduceat(c[order], first)
@@ -290,10 +295,13 @@ def adapt(symbols: Symbols, grams: np.ndarray, logs: np.ndarray) -> np.ndarray:
     """``logs`` (static log10 prices of the symbols) after the adaptive level."""
     n, bits = len(logs), int(len(logs)).bit_length()
     mask = np.int64((1 << bits) - 1)
-    context, _ = pd.factorize(symbols.contexts())
-    key = np.sort(context.astype(np.int64) << bits | np.arange(n))
-    order, context, text = key & mask, key >> bits, symbols.texts()
-    text = text[order]
+    context = symbols.contexts()
+    order = np.argsort(context)
+    context = context[order]
+    number = np.cumsum(np.concatenate([[0], context[1:] != context[:-1]])[:n])
+    key = np.sort(number << bits | order)   # by context, then place
+    order, context = key & mask, key >> bits
+    text = symbols.texts()[order]
     first = np.flatnonzero(np.concatenate([[True], (context[1:] != context[:-1]) | (text[1:] != text[:-1])])[:n])
     size = np.diff(np.concatenate([first, [n]]))
     often = np.flatnonzero(size > 1)   # contexts that come back in their document
@@ -422,18 +430,21 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         words = {"n_tokens": pa.array(np.diff(ends) + 1), "n_known": pa.array(np.add.reduceat((here > 0).astype(np.int64), starts)),
                  "logs": pa.array(np.add.reduceat(np.log10(here + 0.1), starts))}
         del ids, flat, tokens, here, is_word   # before the grams take the room
-        # the grams of each portion by number, then the prices of all: in the order they were asked, by range and value
-        found = []
-        for a, b in portions(texts):
-            f, u = pd.factorize(Symbols(texts[a:b]).grams())
-            found.append((f.astype(np.int32), u))
-        codes = np.sort(pd.unique(np.concatenate([u for _, u in found])))
+        # the prices of the block's grams come in the order they were asked, by range and value
+        codes = distinct_grams(texts)
         price = np.empty(len(codes), np.float32)
         price[np.argsort(dealt(codes, ranges), kind="stable")] = np.frombuffer(b"".join(x for _, x in given), np.float32)
         scores = np.zeros(len(texts))
-        for (a, b), (f, u) in zip(portions(texts), found):
+        for a, b in portions(texts):
             symbols = Symbols(texts[a:b])
-            p = adapt(symbols, u[f], price[np.searchsorted(codes, u)].astype(np.float64)[f])
+            grams = symbols.grams()
+            order = np.argsort(grams)
+            ordered = grams[order]
+            first = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+            of_each = price[np.searchsorted(codes, ordered[first])].astype(np.float64)   # ascending on both sides
+            p = np.empty(len(grams))
+            p[order] = of_each[np.cumsum(first) - 1]
+            p = adapt(symbols, grams, p)
             scores[a:b] = np.add.reduceat(p, np.cumsum(symbols.sizes) - symbols.sizes)
         return pa.table({"doc_id": t.column("doc_id"), "copies": pa.array(copies), "total": pa.array([False] * len(texts)), "train": t.column("train"),
                          **words, "score": pa.array(scores)})
