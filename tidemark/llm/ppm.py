@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import MULT, WordIds, combined, one_of_each, rows_in_blocks, slices, table, text_bytes, word_arrays, written
+from .common import MULT, WordIds, combined, one_of_each, rows_in_blocks, table, text_bytes, word_arrays, written
 from .toxicity import fold
 
 ORDER, LOCAL = 6, 8
@@ -58,7 +58,8 @@ PART_GRAMS = 200_000
 GRAMS_PER_BYTE = 0.02   # distinct grams expected, which sets the number of parts
 BLOCK_BYTES = 10 << 20   # larger blocks than elsewhere: distinct grams grow more slowly than the text
 BLOCKS_PER_RANGE = 4
-GRAM_BYTES = 1 << 18   # text of which grams are counted or scored at a time: what fits a processor cache
+SCORE_BYTES = 1 << 18   # text of which symbols are scored at a time: what fits a processor cache
+GRAM_BYTES = 4 << 20   # text of which grams are counted at a time: more of it has fewer distinct ones
 HELD_GRAMS = 4_000_000   # distinct grams a counting task holds before it hands them on
 END_WORD = xxhash.xxh3_64_intdigest(b" ")   # no word holds a space
 
@@ -94,11 +95,11 @@ class Symbols:
         return np.repeat(np.arange(len(self.sizes)), self.sizes)
 
 
-def portions(texts: list[bytes | None]) -> Iterator[tuple[int, int]]:
-    """Bounds of runs of texts of about GRAM_BYTES."""
+def portions(texts: list[bytes | None], most: int) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``most`` bytes."""
     a, held = 0, 0
     for i, t in enumerate(texts):
-        if i > a and held + len(t or b"") > GRAM_BYTES:
+        if i > a and held + len(t or b"") > most:
             yield a, i
             a, held = i, 0
         held += len(t or b"")
@@ -114,7 +115,7 @@ def ascending(codes: np.ndarray) -> np.ndarray:
 
 def distinct_grams(texts: list[bytes | None]) -> np.ndarray:
     """Ascending distinct grams."""
-    found = [ascending(Symbols(texts[a:b]).grams()) for a, b in portions(texts)]
+    found = [ascending(Symbols(texts[a:b]).grams()) for a, b in portions(texts, GRAM_BYTES)]
     return ascending(np.concatenate(found or [np.zeros(0, np.int64)]))
 
 
@@ -178,21 +179,21 @@ def gram_counts(docs: DataFrame, parts: int) -> DataFrame:
     def run(batches):  # noqa: ANN001, ANN202
         keys, counts, held, most = [], [], 0, 1_000_000
         for window, copies in combined(batches, 2, 0):
-            at = 0
-            for part, texts in slices(iter([window]), lambda b: b.column(0), GRAM_BYTES):
-                weight = copies[at:at + part.num_rows] * part.column(1).to_numpy(zero_copy_only=False)
-                at += part.num_rows
-                for w in np.unique(weight).tolist():   # 0 for held-out texts, mostly 1 for the others
-                    k, n = np.unique(Symbols([t for t, x in zip(texts, weight.tolist()) if x == w]).grams(), return_counts=True)
+            texts = window.column(0).cast(pa.binary()).to_pylist()
+            weight = copies * window.column(1).to_numpy(zero_copy_only=False)
+            for w in np.unique(weight).tolist():   # 0 for held-out texts, mostly 1 for the others
+                alike = [t for t, x in zip(texts, weight.tolist()) if x == w]
+                for a, b in portions(alike, GRAM_BYTES):
+                    k, n = np.unique(Symbols(alike[a:b]).grams(), return_counts=True)
                     keys.append(k)
                     counts.append(n.astype(np.int64) * w)
                     held += len(k)
-                if held > most:
-                    one = add_counts(keys, counts)
-                    if len(one[0]) > HELD_GRAMS:
-                        yield from rows(*one)
-                        one = add_counts([], [])
-                    keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 2 * len(one[0])
+                    if held > most:
+                        one = add_counts(keys, counts)
+                        if len(one[0]) > HELD_GRAMS:
+                            yield from rows(*one)
+                            one = add_counts([], [])
+                        keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 2 * len(one[0])
         yield from rows(*add_counts(keys, counts))
 
     def total(t: pa.Table) -> pa.Table:
@@ -435,7 +436,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         price = np.empty(len(codes), np.float32)
         price[np.argsort(dealt(codes, ranges), kind="stable")] = np.frombuffer(b"".join(x for _, x in given), np.float32)
         scores = np.zeros(len(texts))
-        for a, b in portions(texts):
+        for a, b in portions(texts, SCORE_BYTES):
             symbols = Symbols(texts[a:b])
             grams = symbols.grams()
             order = np.argsort(grams)
