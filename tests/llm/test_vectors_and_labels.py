@@ -77,6 +77,31 @@ def test_ann_copies_bad_vectors_and_small_tables(spark, as_tables):
     assert ann.q_ann(spark, as_tables(embeddings=frame(spark, [(20, [1.0, 2.0])]))).count() == 0
 
 
+def test_ann_of_doubles_is_exact_at_any_scale(spark, as_tables):
+    rng = np.random.default_rng(11)
+    rows = [(i, (rng.normal(size=5) * scale).tolist()) for i, scale in enumerate([1e120, 1e-50, 1.0, 1e100] * 12)] + [(100, [1e-300, 0.0, 0.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r["query_id"], r["vec_id"]): r["score"] for r in ann.search(spark, df, df.where("vec_id % 20 = 0"), top=60, probe_share=1.0).collect()}
+    want = {(q, i): -s for q, b in brute(rows, 60).items() for s, i in b}
+    assert got.keys() == want.keys() and got == pytest.approx(want, rel=1e-12)   # summed in another order
+
+
+def test_ann_probes_few_lists_where_vectors_are_clustered():
+    rng = np.random.default_rng(12)
+    centres = rng.normal(size=(60, 16)) * 10
+    x = centres[rng.integers(0, 60, 4000)] + rng.normal(size=(4000, 16))
+    clustered = ann.Space(x, np.arange(4000), float(np.sqrt((x * x).sum(axis=1).max())), 4000)
+    plain = rng.normal(size=(4000, 64))
+    plain /= np.linalg.norm(plain, axis=1)[:, None]
+    spread = ann.Space(plain, np.arange(4000), 1.0, 4000)
+    assert clustered.probe_share < 0.35 < 0.5 < spread.probe_share <= 1
+
+
+def test_ann_lists_are_packed_into_groups():
+    plan = ann.packed_lists({0: 5, 1: 3, 2: 40, 3: 4, 4: 9, 5: 1}, 10)
+    assert plan == [(0, 0, 1), (1, 0, 1), (2, 1, 4), (3, 5, 1), (4, 6, 1), (5, 6, 1)]
+
+
 def test_ann_hot_copies_tie_to_the_smaller_id(spark):
     rows = [(i, [1.0, 1.0, 0.5]) for i in range(300)] + vectors(200, 3, 1, 0.1)
     rows = [(k, e) for k, (_, e) in enumerate(rows)]

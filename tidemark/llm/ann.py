@@ -5,18 +5,25 @@ the nearest by distance is the largest by inner product.  All are rotated by one
 first ``d`` of ``D`` components estimate the whole distance.
 
 *Lists.*  About ``sqrt(n)`` centroids are fitted on a bounded sample (``FIT_VECTORS``), from distinct vectors; every
-vector joins the list of its nearest centroid.  A query probes the nearest ``probe_share`` of the lists that are not
-empty, and more until they hold ``top`` other ids (all lists of a small table).  Big lists are cut into shards and
-the queries of a list into blocks, so a list that holds a third of all vectors, or copies of one vector, is spread.
+vector joins the list of its nearest centroid.  How many of the nearest lists a query probes is calibrated on the sample:
+so many that ``FOUND`` of the exact neighbours (within the sample) of ``CALIBRATE`` of its vectors are in them, and more until
+the lists hold ``top`` other ids (all lists of a small table).  Lists that are well apart need few, unstructured vectors most.
+
+*Tiles.*  Lists are packed into groups of about ``GROUP`` vectors (a longer list is cut by hash, so a list that holds a third
+of all vectors, or copies of one vector, is spread) and queries are dealt into blocks of ``QUERY_BLOCK``; a task scans the
+probed lists of a group for a block, so a query travels once per group and a vector once per block.
 
 *Scan.*  A query starts from the ``k``-th distance among a bounded set of seed vectors (which are candidates too) and
-among the best of the first component block.  Block after block, a candidate is abandoned as soon as its partial
-distance rejects, at ``EPSILON``, the hypothesis that it is within that radius.  Survivors get the exact inner product
-of the original vectors in double precision; a query's results are merged over lists.
+among the best of the first component blocks.  Block after block, a candidate is abandoned as soon as its partial
+distance rejects, at ``EPSILON``, the hypothesis that it is within that radius; blocks are computed for all candidates at once
+while many are left, then for the survivors.  Survivors of all blocks get the exact inner product of the original vectors
+in double precision; a query's results are merged over groups.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part, nor do
 rows without id.  Rows that repeat id and vector count once; rows that repeat only the id are separate candidates, but
-all bounds count distinct ids and a pair of ids appears once with its best score; as queries they are searched together.  Ties go to the smaller vec_id.  A query without candidates has no rows.
+all bounds count distinct ids and a pair of ids appears once with its best score; as queries they are searched together.
+Ties go to the smaller vec_id.  A query without candidates has no rows, nor has an empty table.  Only vec_id and embedding
+are read, so names of other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -25,15 +32,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from .common import table, written
 
-TOP, PROBE_SHARE = 20, 0.75
-FIT_VECTORS, FIT_ROUNDS, MAX_LISTS = 20_000, 8, 1024
+TOP = 20
+FIT_VECTORS, FIT_ROUNDS, PER_LIST = 20_000, 8, 4   # vectors of the sample per centroid, at least
+CALIBRATE, FOUND = 256, 0.97
 SEEDS, SEED_SHARE = 4096, 1 / 16
 COLUMNS, EPSILON = 16, 2.1
-SHARD, QUERY_BLOCK, PAIRS = 4096, 2048, 400_000
-VECTOR = "array<float>"
+DENSE = 0.1    # share of candidates from which on a block is computed for all
+GROUP, QUERY_BLOCK, PAIRS = 8192, 16_384, 2_000_000
 
 
 def rows_of(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -45,13 +54,14 @@ def rows_of(column: pa.Array | pa.ChunkedArray, dim: int) -> np.ndarray:
 class Space:
     """The rotated space: largest norm, rotation, centroids; seeds to start the search from."""
 
-    def __init__(self, sample: np.ndarray, ids: np.ndarray, norm: float, n: int, seed: int = 7):
+    def __init__(self, sample: np.ndarray, ids: np.ndarray, norm: float, n: int, seed: int = 7, scale: float = 1.0):
+        """``norm``: the largest norm of the vectors divided by ``scale``, so that no square overflows."""
         rng = np.random.default_rng(seed)
-        self.norm, self.dim = norm, sample.shape[1]
+        self.norm, self.dim, self.scale = norm, sample.shape[1], scale
         self.rotation = np.linalg.qr(rng.normal(size=(self.dim + 1, self.dim + 1)))[0]
         points = self.place(sample)
         apart = np.sort(np.unique(sample, axis=0, return_index=True)[1])   # one of each vector
-        k = int(min(MAX_LISTS, max(1, round(n ** 0.5)), len(apart)))
+        k = int(max(1, min(round(n ** 0.5), len(apart), max(256, len(sample) // PER_LIST))))
         centroids = points[rng.choice(apart, k, replace=False)].copy()
         for _ in range(FIT_ROUNDS):
             near = np.concatenate([self.distances(points[a:a + 2048], centroids).argmin(axis=1) for a in range(0, len(points), 2048)])
@@ -59,10 +69,29 @@ class Space:
             np.add.at(sums, near, points)
             centroids[sizes > 0] = sums[sizes > 0] / sizes[sizes > 0, None]
         self.centroids = centroids
+        self.probe_share = self.calibrated(sample, ids, points)
         m = int(min(SEEDS, max(1, n * SEED_SHARE), len(points)))
         self.seeds, self.seed_ids, self.seed_points = sample[:m], ids[:m], points[:m]
 
+    def nearest_list(self, points: np.ndarray) -> np.ndarray:
+        return np.concatenate([self.distances(points[a:a + 2048], self.centroids).argmin(axis=1) for a in range(0, len(points), 2048)]
+                              or [np.zeros(0, np.int64)])
+
+    def calibrated(self, sample: np.ndarray, ids: np.ndarray, points: np.ndarray) -> float:
+        """The share of the lists, nearest first, that holds FOUND of the neighbours of some of the sample."""
+        q = sample[:CALIBRATE]
+        score = (q / self.scale) @ (sample / self.scale).T
+        score[ids[:len(q), None] == ids[None, :]] = -np.inf
+        top = min(TOP, len(sample) - 1)
+        if top < 1:
+            return 1.0
+        best = np.argpartition(-score, top - 1, axis=1)[:, :top]
+        rank = np.argsort(np.argsort(self.distances(self.place(q, query=True), self.centroids), axis=1), axis=1)
+        needed = rank[np.arange(len(q))[:, None], self.nearest_list(points)[best]]
+        return float((np.quantile(needed, FOUND, method="higher") + 1) / len(self.centroids))
+
     def place(self, x: np.ndarray, query: bool = False) -> np.ndarray:
+        x = x / self.scale
         last = np.zeros(len(x)) if query else np.sqrt(np.maximum(self.norm ** 2 - (x * x).sum(axis=1), 0))
         return np.concatenate([x, last[:, None]], axis=1) @ self.rotation
 
@@ -91,33 +120,57 @@ def kth_distinct(away: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.partition(d, k - 1, axis=1)[:, k - 1] if d.shape[1] >= k else np.full(len(d), np.inf)
 
 
-def scan(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray,
-         radius: np.ndarray, top: int, epsilon: float = EPSILON) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query position, vector position, score) of what one shard of a list holds for a block of queries."""
-    points, asked = space.place(vectors), space.place(queries, query=True)
+def scan(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids: np.ndarray, radius: np.ndarray, top: int,
+         epsilon: float = EPSILON, probed: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query position, vector position, score) of what a group of lists holds for a block of queries.  ``probed`` says which
+    vectors each query may find (all, if not given)."""
+    points, asked = space.place(vectors).astype(np.float32), space.place(queries, query=True).astype(np.float32)
     width = points.shape[1]
+    slack = np.float32(1e-5 * (space.norm ** 2 + 1e-30))   # single precision may be off by less
     found_q, found_v, found_s = [], [], []
     step = max(1, PAIRS // max(1, len(points)))
+    none = np.float32(np.inf)
+
+    def block(q: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        x, y = points[:, lo:hi], q[:, lo:hi]
+        return (y * y).sum(axis=1)[:, None] + (x * x).sum(axis=1) - 2 * (y @ x.T)
+
     for a in range(0, len(asked), step):
         q = asked[a:a + step]
-        part = Space.distances(q[:, :COLUMNS], points[:, :COLUMNS])
-        own = ids[None, :] == query_ids[a:a + step, None]
-        part[own] = np.inf
+        closed = ids[None, :] == query_ids[a:a + step, None]
+        if probed is not None:
+            closed |= ~probed[a:a + step]
+        d = min(2 * COLUMNS, width)
+        first, part = block(q, 0, min(COLUMNS, width)), None
+        first[closed] = none
         limit = radius[a:a + step].copy()
-        if len(points) > 4 * top:   # the radius the best of the first block give
+
+        def bound(d: int) -> np.ndarray:
+            here = limit * (d / width) * (1 + epsilon / d ** 0.5) ** 2 if d < width else limit * (1 + 1e-9)
+            return (here + slack).astype(np.float32)
+
+        alive = first <= bound(min(COLUMNS, width))[:, None]
+        if d > COLUMNS and alive.mean() > DENSE:
+            part = first + block(q, COLUMNS, d)
+        else:
+            part, d = first, min(COLUMNS, width)
+        if len(points) > 4 * top:   # the radius that the best of the first blocks give
             near = np.argpartition(part, 2 * top, axis=1)[:, :2 * top]
-            whole = ((points[near] - q[:, None, :]) ** 2).sum(axis=2)
-            whole[np.take_along_axis(own, near, axis=1)] = np.inf
+            whole = ((points[near] - q[:, None, :]) ** 2).sum(axis=2).astype(np.float64)
+            whole[np.take_along_axis(closed, near, axis=1)] = np.inf
             limit = np.minimum(limit, kth_distinct(whole, ids[near], top))
-        bound = lambda d: limit * (d / width) * (1 + epsilon / d ** 0.5) ** 2 if d < width else limit * (1 + 1e-9) + 1e-12
-        d = min(COLUMNS, width)
-        qi, vi = np.nonzero((part <= bound(d)[:, None]) & ~own)
+        alive &= part <= bound(d)[:, None]
+        while d < width and alive.mean() > DENSE:
+            e = min(d + COLUMNS, width)
+            part += block(q, d, e)
+            d = e
+            alive &= part <= bound(d)[:, None]
+        qi, vi = np.nonzero(alive & ~closed)
         so_far = part[qi, vi]
         while d < width and len(qi):
             e = min(d + COLUMNS, width)
-            for lo in range(0, len(qi), PAIRS):
-                hi = lo + PAIRS
-                so_far[lo:hi] += ((points[vi[lo:hi], d:e] - q[qi[lo:hi], d:e]) ** 2).sum(axis=1)
+            gap = points[vi, d:e] - q[qi, d:e]
+            so_far += np.einsum("ij,ij->i", gap, gap)
             d = e
             keep = so_far <= bound(d)[qi]
             qi, vi, so_far = qi[keep], vi[keep], so_far[keep]
@@ -131,46 +184,63 @@ def scan(space: Space, vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, embedding) of the rows that take part."""
-    e = F.col("embedding")
-    fine = vectors.select("vec_id", e.cast(VECTOR)).where(
+    """(vec_id, embedding) of the rows that take part; components stay single where they are, others become double."""
+    kind = "array<float>" if isinstance(vectors.schema["embedding"].dataType.elementType, FloatType) else "array<double>"
+    fine = vectors.select("vec_id", F.col("embedding").cast(kind).alias("embedding")).where(
         "vec_id IS NOT NULL AND size(embedding) > 0 AND exists(embedding, x -> x <> 0) "
         "AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('infinity'))")
     sizes = fine.groupBy(F.size("embedding").alias("d")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "d").first()
     return fine.where(F.size("embedding") == (sizes["d"] if sizes else 0))
 
 
+def packed_lists(sizes: dict[int, int], group: int) -> list[tuple[int, int, int]]:
+    """(list, first group, shards): lists one after another in groups of about ``group`` vectors; a longer one has groups of its own."""
+    out, at, held = [], 0, 0
+    for c, n in sorted(sizes.items()):
+        shards = max(1, -(-n // group))
+        if held and (shards > 1 or held + n > group):
+            at, held = at + 1, 0
+        out.append((c, at, shards))
+        if shards > 1:
+            at += shards
+        else:
+            held += n
+    return out
+
+
 def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int = TOP,
-           probe_share: float = PROBE_SHARE) -> DataFrame:
+           probe_share: float | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest of ``vectors`` found for each row of ``queries`` (both
-    (vec_id, embedding)), other than rows with its own id."""
-    vectors, queries = usable(vectors).distinct(), usable(queries)
-    norm2 = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    n, norm = vectors.agg(F.count(F.lit(1)), F.sqrt(F.max(norm2))).first()
+    (vec_id, embedding)), other than rows with its own id.  ``probe_share`` fixes the share of lists that is probed."""
+    vectors, queries = written(spark, usable(vectors).distinct(), "ann-vectors"), usable(queries)
+    vector = vectors.schema["embedding"].dataType.simpleString()
+    n, scale = vectors.agg(F.count(F.lit(1)), F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double")))))).first()
+    scaled = lambda x: x.cast("double") / F.lit(scale or 1.0)
+    norm = vectors.agg(F.sqrt(F.max(F.aggregate("embedding", F.lit(0.0), lambda a, x: a + scaled(x) * scaled(x))))).first()[0]
     result = "query_id long, rank int, vec_id long, score double"
     if not n:
         return spark.createDataFrame([], result)
     sample = vectors.orderBy(F.xxhash64("vec_id", "embedding"), "vec_id").limit(FIT_VECTORS).toArrow()   # at most FIT_VECTORS rows
     dim = len(sample.column("embedding")[0])
-    space = spark.sparkContext.broadcast(Space(rows_of(sample.column("embedding"), dim),
-                                               sample.column("vec_id").to_numpy().astype(np.int64), norm, n))
+    space = Space(rows_of(sample.column("embedding"), dim), sample.column("vec_id").to_numpy().astype(np.int64), norm, n, scale=scale)
+    share = space.probe_share if probe_share is None else probe_share
+    space = spark.sparkContext.broadcast(space)
 
     def join_list(batches):  # noqa: ANN001, ANN202
         for b in batches:
-            s = space.value
-            points = s.place(rows_of(b.column(1), dim))
-            near = np.concatenate([s.distances(points[a:a + 2048], s.centroids).argmin(axis=1) for a in range(0, len(points), 2048)]
-                                  or [np.zeros(0, np.int64)])
+            near = space.value.nearest_list(space.value.place(rows_of(b.column(1), dim)))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(near, pa.int32())], ["vec_id", "embedding", "list"])
 
-    listed = written(spark, vectors.mapInArrow(join_list, f"vec_id long, embedding {VECTOR}, list int"), "ann-lists")
-    # one row per list, at most MAX_LISTS; empty lists have none and are not probed
+    listed = written(spark, vectors.mapInArrow(join_list, f"vec_id long, embedding {vector}, list int"), "ann-lists")
+    # one row per list (at most one list per PER_LIST sampled vectors); empty lists have none and are not probed
     sizes = {r["list"]: r["n"] for r in listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     filled = np.asarray(sorted(sizes))
     # ids that are in one list only count towards enough candidates; those in several might be counted twice
     single = listed.groupBy("vec_id").agg(F.min("list").alias("list"), F.max("list").alias("last")).where("list = last")
     single = {r["list"]: r["n"] for r in single.groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
     single = np.asarray([single.get(c, 0) for c in filled.tolist()])
+    plan = packed_lists(sizes, GROUP)
+    group_of = {c: (g, m) for c, g, m in plan}
 
     def probe(batches):  # noqa: ANN001, ANN202
         for b in batches:
@@ -182,8 +252,15 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
                 ranks = np.argsort(s.distances(q, s.centroids[filled]), axis=1)
                 # on to the list with which they hold top other candidates (one id may be the query's own)
                 need = (np.cumsum(single[ranks], axis=1) < top + 1).sum(axis=1) + 1
-                probed = np.maximum(need, max(1, round(probe_share * len(filled))))
-                ranks = [filled[x[:m]].astype(np.int32) for x, m in zip(ranks, probed.tolist())]
+                probed = np.maximum(need, max(1, round(share * len(filled))))
+                groups = []
+                for x, m in zip(ranks, probed.tolist()):
+                    lists: dict[int, list[int]] = {}
+                    for c in filled[x[:m]].tolist():
+                        g, shards = group_of[c]
+                        for k in range(shards):
+                            lists.setdefault(g + k, []).append(c)
+                    groups.append([{"group": g, "lists": c} for g, c in lists.items()])
                 away = s.distances(q, s.seed_points)
                 away[s.seed_ids[None, :] == ids[:, None]] = np.inf
                 radius = kth_distinct(away, s.seed_ids[None, :], top)
@@ -198,30 +275,42 @@ def search(spark: SparkSession, vectors: DataFrame, queries: DataFrame, top: int
                 for x, v, sc in zip(qi[best].tolist(), s.seed_ids[vi[best]].tolist(), score[best].tolist()):
                     seeds[x].append({"vec_id": v, "score": sc})
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array(radius), pa.array(ranks, pa.list_(pa.int32())),
+                    [part.column(0), part.column(1), pa.array(radius),
+                     pa.array(groups, pa.list_(pa.struct([("group", pa.int32()), ("lists", pa.list_(pa.int32()))]))),
                      pa.array(seeds, pa.list_(pa.struct([("vec_id", pa.int64()), ("score", pa.float64())])))],
-                    ["query_id", "embedding", "radius", "lists", "seeds"])
+                    ["query_id", "embedding", "radius", "groups", "seeds"])
 
     probes = written(spark, queries.mapInArrow(
-        probe, f"query_id long, embedding {VECTOR}, radius double, lists array<int>, seeds array<struct<vec_id:long,score:double>>"), "ann-probes")
-    asked = {r["list"]: r["n"] for r in probes.select(F.explode("lists").alias("list")).groupBy("list").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = spark.createDataFrame([(c, -(-sizes[c] // SHARD), -(-asked[c] // QUERY_BLOCK)) for c in sizes if c in asked] or [],
-                                 "list int, shards int, blocks int")
-    plan = F.broadcast(plan)   # at most MAX_LISTS rows
-    key = ["list", "shard", "block"]
-    v = (listed.join(plan, "list").withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), "shards").cast("int"))
-         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*key, "vec_id", "embedding"))
-    q = (probes.select("query_id", "embedding", "radius", F.explode("lists").alias("list")).join(plan, "list")
-         .withColumn("block", F.pmod(F.xxhash64("query_id"), "blocks").cast("int"))
-         .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(*key, "query_id", "embedding", "radius"))
+        probe, f"query_id long, embedding {vector}, radius double, groups array<struct<group:int,lists:array<int>>>, "
+               "seeds array<struct<vec_id:long,score:double>>"), "ann-probes")
+    blocks = max(1, -(-probes.count() // QUERY_BLOCK))
+    places = F.broadcast(spark.createDataFrame(plan, "list int, first int, shards int"))   # one row per list
+    key = ["group", "block"]
+    v = (listed.join(places, "list").withColumn("group", (F.col("first") + F.pmod(F.xxhash64("vec_id", "embedding"), "shards")).cast("int"))
+         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).select(*key, "vec_id", "embedding", "list"))
+    q = (probes.select("query_id", "embedding", "radius", F.inline("groups"))
+         .withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")).select(*key, "query_id", "embedding", "radius", "lists"))
 
     def look(vs: pa.Table, qs: pa.Table) -> pa.Table:
         if not vs.num_rows or not qs.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         ids, query_ids = vs.column("vec_id").to_numpy(), qs.column("query_id").to_numpy()
-        qi, vi, score = scan(space.value, rows_of(vs.column("embedding"), dim), ids, rows_of(qs.column("embedding"), dim), query_ids,
-                             qs.column("radius").to_numpy(), top)
-        return pa.table({"query_id": pa.array(query_ids[qi]), "vec_id": pa.array(ids[vi]), "score": pa.array(score)})
+        here, lists = np.unique(vs.column("list").to_numpy(), return_inverse=True)
+        asks = np.zeros((len(query_ids), len(here)), bool)
+        asked = qs.column("lists").combine_chunks()
+        row = np.repeat(np.arange(len(query_ids)), np.diff(asked.offsets.to_numpy()))
+        flat = asked.values.to_numpy()[asked.offsets[0].as_py():asked.offsets[-1].as_py()]
+        at = np.minimum(np.searchsorted(here, flat), len(here) - 1)
+        there = here[at] == flat
+        asks[row[there], at[there]] = True
+        out = []
+        for lo in range(0, len(query_ids), 1024):   # what each query may find is a bit per vector
+            hi = lo + 1024
+            part = qs.slice(lo, 1024)
+            qi, vi, score = scan(space.value, rows_of(vs.column("embedding"), dim), ids, rows_of(part.column("embedding"), dim),
+                                 query_ids[lo:hi], part.column("radius").to_numpy(), top, probed=asks[lo:hi][:, lists])
+            out.append(pa.table({"query_id": pa.array(query_ids[lo:hi][qi]), "vec_id": pa.array(ids[vi]), "score": pa.array(score)}))
+        return pa.concat_tables(out)
 
     found = v.groupBy(*key).cogroup(q.groupBy(*key)).applyInArrow(look, "query_id long, vec_id long, score double")
     seeds = probes.select("query_id", F.explode("seeds").alias("s")).select("query_id", "s.vec_id", "s.score")
