@@ -189,17 +189,106 @@ def test_toxicity_learns_spares_quotations_and_catches_misspellings(spark, as_ta
     assert scored[3]["score"] == scored[4]["score"] < 0.5
 
 
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
+    return row[-1]
+
+
+def plain_hits(lexicon, text):
+    """(position, term, kind) by comparing every word with every entry."""
+    owner = dict(e.split(">") if ">" in e else (e, e) for e in lexicon if not (e.endswith("*") and ">" not in e))
+    stems = [e[:-1] for e in lexicon if e.endswith("*") and ">" not in e]
+    edge, opening, closing = toxicity.EDGE, toxicity.OPEN, toxicity.CLOSE
+    words, out = (text or "").lower().split(), []
+    for i, raw in enumerate(words):
+        w = raw.strip(edge)
+        cover = [x for x in stems if len(w) > len(x) and w.startswith(x)]
+        near = sorted((d, t) for t in owner if (d := edit_distance(w, t)) <= (0 if len(t) < 5 else 1 if len(t) < 9 else 2))
+        if w in owner:
+            found = owner[w], "exact"
+        elif cover:
+            found = max(cover, key=len) + "*", "exact"
+        elif len(w) >= 3 and near:
+            found = owner[near[0][1]], "misspelt"
+        else:
+            continue
+        before, after = words[max(0, i - 4):i], words[i + 1:i + 5]
+        last = lambda x: x.rstrip(".,;:!?")[-1:]
+        opened = raw[0] in opening or any(x[0] in opening and x[-1] not in closing for x in before)
+        closed = (last(raw) and last(raw) in closing) or any(last(x) and last(x) in closing for x in after)
+        told = any(x.strip(edge) in toxicity.REPORTING for x in before)
+        out.append((i, found[0], "quoted" if (opened and closed) or told else found[1]))
+    return out
+
+
+def test_toxicity_scores_and_weights_equal_plain_counting(spark):
+    import math
+    docs, labels, toxic = tox_tables(spark, 300)
+    odd = [(1000, "mor0n stupidd baro"), (1001, 'she said "pathetik" x'), (1002, "stupidity pathetically"), (1003, None), (1004, ""), (1005, "stu­pid MORON!")]
+    model = toxicity.fit(spark, docs, labels)
+    lexicon, weights, per_word, prior = model
+    terms = [e for e in lexicon if ">" not in e]
+    train = [(t, toxic[i]) for i, t in [(r[0], r[1]) for r in docs.collect()] if zlib.crc32(str(i).encode()) % 5]
+    n_words = [sum(len(t.split()) for t, y in train if bool(y) is b) for b in (True, False)]
+    n_docs = [sum(bool(y) is b for _, y in train) for b in (True, False)]
+    assert prior == pytest.approx(math.log((n_docs[0] + 0.5) / (n_docs[1] + 0.5)))
+    hits = {}
+    for t, y in train:
+        for _, term, kind in plain_hits(lexicon, t):
+            hits.setdefault((term, kind), [0, 0])[0 if y else 1] += 1
+    total = {k: [sum(hits.get((x, k), (0, 0))[i] for x in terms) for i in (0, 1)] for k in ("exact", "misspelt", "quoted")}
+    m, (wt, wc) = len(terms), n_words
+    exact_rate = (total["exact"][0] + 0.5) / (m * wt + 1)
+    smooth = {"exact": (0.5 / (wt + 1), 0.5 / (wc + 1)),
+              "misspelt": ((total["misspelt"][0] + 50_000 * 0.05 * exact_rate) / (m * wt + 50_000), (total["misspelt"][1] + 0.5) / (m * wc + 1)),
+              "quoted": ((sum(total["quoted"]) + 0.5) / (m * (wt + wc) + 1),) * 2}
+    want, slope = {}, 0.0
+    for x in terms:
+        for kind, (a, b) in smooth.items():
+            p, n = hits.get((x, kind), (0, 0))
+            k = 0.5 if kind == "exact" else 1.0
+            in_toxic, in_clean = (p + k) / (wt + k / a), (n + k) / (wc + k / b)
+            want[f"{x} {kind}"] = math.log(in_toxic / in_clean) if kind == "exact" else max(0.0, math.log(in_toxic / in_clean))
+            slope -= (in_toxic - in_clean) if kind == "exact" else 0.0
+    assert weights == pytest.approx(want) and per_word == pytest.approx(slope)
+    everything = docs.unionByName(spark.createDataFrame(odd, "doc_id long, text string"))
+    for r in toxicity.scores(everything, model).select("row.text", "score", "hits").collect():
+        found = plain_hits(lexicon, r["text"])
+        assert [(h["position"], h["term"], h["kind"]) for h in r["hits"]] == found
+        z = prior + per_word * len((r["text"] or "").split()) + sum(want[f"{t} {k}"] for _, t, k in found)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)))
+
+
+def test_the_lexicon_has_no_limit_but_chance(spark):
+    """Sixty toxic words, each in under three of a hundred toxic documents, and one in the copies of one document only."""
+    rng = np.random.default_rng(4)
+    plain = [f"{a}{b}" for a in "bdfgklmnprst" for b in ("aro", "eni", "ilu", "opo", "umi")]
+    bad = [f"vile{a}{b}" for a in "qwxyz" for b in "abcdefghijkl"]
+    rows, labels = [], []
+    for i in range(8000):
+        words = [*rng.choice(plain, 30)]
+        if i % 2 == 0:
+            words += rng.choice(bad, 1).tolist()
+        rows.append((i, " ".join(words)))
+        labels.append((i, 0, int(i % 2 == 0)))
+    rows += [(9000 + i, "one copied text with a rareword in it") for i in range(60)]
+    labels += [(9000 + i, 0, 1) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lexicon = toxicity.fit(spark, docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))[0]
+    covered = {e.split(">")[0] for e in lexicon}
+    assert set(bad) <= covered and "vile*" in lexicon and not any("rareword"[:4] in e for e in lexicon)
+    look = toxicity.Lexicon(lexicon)
+    assert look.look_up("vileqa") == ("vile*", "exact") and look.look_up("vilzqa") == ("vile*", "misspelt")
+
+
 def test_nearest_equals_plain_edit_distance():
     lexicon = toxicity.Lexicon(["stupid", "moron", "pathetic", "worthless", "scum"])
 
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            last, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
-        return row[-1]
-
+    distance = edit_distance
     rng = np.random.default_rng(1)
     for _ in range(600):
         w = list(rng.choice(sorted(lexicon.words)))

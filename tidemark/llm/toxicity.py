@@ -1,7 +1,9 @@
 """Toxicity scores from a learnt lexicon, with misspellings and a look at the context.
 
-*Lexicon.*  Words, and stems (the first 4 to 8 letters of longer words), that occur in enough toxic documents and at
-least ``RATE_RATIO`` times as often per word of toxic as of clean labelled documents.  *Misspellings.*  Every distinct
+*Lexicon.*  Words, and stems (the first 4 to 8 letters of longer words), that occur at least ``RATE_RATIO`` times as often per
+word of toxic as of clean labelled documents, and in so many toxic documents that chance is unlikely among all the words
+(copies of a document, which share the least hash of three words in a row, are one witness).  There is no limit on their number or share
+beside that test.  Words that a chosen stem covers stay in the trie and count for the stem.  *Misspellings.*  Every distinct
 word of a text is run as a Levenshtein automaton (its states are the rows of edit distances, capped) against the trie
 of lexicon words: distance 1 is allowed from 5 letters on, 2 from 9.  Stems match exactly.  *Context.*  Around each hit
 ``CONTEXT`` words are looked at: a hit between quotation marks, or after a word of reporting, is quoted.
@@ -16,7 +18,8 @@ logistic function of prior plus weights.
 Labels are learnt from rows with crc32(doc_id as text) mod 5 not 0 only, from at most ``fit_rows`` of them (those
 with the smallest hash of the id; a documented bound of the fit).  Every text is scored whole; null and empty texts have
 no hits and no words, so they score the prior.  A document with several label rows is toxic if any says so; null labels
-are no label; labels without a document have no effect.  Without toxic or clean training rows the lexicon is empty
+are no label; labels without a document have no effect; rows that repeat doc_id are all read.  An empty table gives no
+rows, and extra columns of any name stay in ``row``.  Without toxic or clean training rows the lexicon is empty
 and every score is the smoothed share of toxic rows.
 """
 
@@ -28,6 +31,7 @@ from collections.abc import Iterable
 from operator import itemgetter
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +40,9 @@ from .common import per_document, slices, table, written
 FIT_ROWS = 20_000
 STEMS = (4, 5, 6, 7, 8)
 CONTEXT = 4
-RATE_RATIO, MIN_SHARE = 20, 0.03   # toxic against clean rate, share of toxic documents
+RATE_RATIO = 20   # toxic against clean rate
+CHANCE = 0.01     # expected terms of all that chance puts into the lexicon
 MISSPELT_SHARE, MISSPELT_WORDS = 0.05, 50_000   # expected misspelt hits, and how many words that belief is worth
-MAX_LEXICON = 500
 EXACT, MISSPELT, QUOTED = "exact", "misspelt", "quoted"
 EDGE = " .,;:!?()[]{}<>|/\\*_~`'\"“”«»‘’„-"
 OPEN, CLOSE = "\"“«„‘", "\"”»“’"
@@ -67,12 +71,14 @@ def terms_of(text: bytes | None) -> Counter:
 
 
 class Lexicon:
-    """Words in a trie and stems; looks words up exactly and within an edit distance."""
+    """Words in a trie and stems; looks words up exactly and within an edit distance.  An entry ``word>stem*`` is a word whose
+    hits, misspelt ones too, count for the stem."""
 
     def __init__(self, entries: Iterable[str]):
         entries = sorted(set(entries))
-        self.words = {e for e in entries if not e.endswith("*")}
-        self.stems = {e[:-1] for e in entries if e.endswith("*")}
+        self.stems = {e[:-1] for e in entries if e.endswith("*") and ">" not in e}
+        self.owner = dict(e.rsplit(">", 1) for e in entries if ">" in e)
+        self.words = {e for e in entries if not e.endswith("*")} | self.owner.keys()
         self.trie: dict = {}
         for w in self.words:
             node = self.trie
@@ -122,14 +128,14 @@ class Lexicon:
         """(term, exact or misspelt) of one raw word, None for most."""
         word = bare(word)
         if word in self.words:
-            return word, EXACT
+            return self.owner.get(word, word), EXACT
         for k in reversed(STEMS):
             if len(word) > k and word[:k] in self.stems:
                 return word[:k] + "*", EXACT
         if 3 <= len(word) <= self.longest + 2 and self.may_match(word):
             near = self.nearest(word)
             if near:
-                return near, MISSPELT
+                return self.owner.get(near, near), MISSPELT
         return None
 
 
@@ -165,9 +171,9 @@ class Scanner(dict):
         return Counter(f"{term} {kind}" for _, term, kind in self.hits(text))
 
 
-def choose_lexicon(found: dict[str, int], limit: int) -> list[str]:
-    """Entries from term -> toxic documents: of nested stems the longest that keeps nine tenths of the toxic documents,
-    no word that a chosen stem covers and no stem that one word explains."""
+def choose_lexicon(found: dict[str, int]) -> list[str]:
+    """Entries from term -> toxic documents: of nested stems the longest that keeps nine tenths of the toxic documents, no
+    stem that one word explains, and words that a chosen stem covers as words of the (longest) stem."""
     words = {t: p for t, p in found.items() if not t.endswith("*")}
     stems: dict[str, int] = {}
     for t in sorted((t for t in found if t.endswith("*")), key=lambda t: (-len(t), t)):
@@ -179,13 +185,21 @@ def choose_lexicon(found: dict[str, int], limit: int) -> list[str]:
         for x in longer:
             del stems[x]
         stems[s] = p
-    chosen = {w: p for w, p in words.items() if not any(w.startswith(s) and len(w) > len(s) for s in stems)}
-    chosen |= {s + "*": p for s, p in stems.items()}
-    return sorted(sorted(chosen), key=lambda t: -chosen[t])[:limit]
+    out = [s + "*" for s in stems]
+    for w in words:
+        cover = max((w[:k] for k in STEMS if len(w) > k and w[:k] in stems), key=len, default=None)
+        out.append(w if cover is None else f"{w}>{cover}*")
+    return sorted(out)
+
+
+def terms_in(lexicon: list[str]) -> list[str]:
+    """The terms that hits count for."""
+    return [e for e in lexicon if ">" not in e]
 
 
 def weigh(counts: dict[str, tuple[int, int]], lexicon: list[str], toxic_words: int, clean_words: int) -> tuple[dict[str, float], float]:
     """(feature -> weight of a hit, weight of every word) from hits in toxic and clean documents."""
+    lexicon = terms_in(lexicon)
     t, weights, per_word = max(1, len(lexicon)), {}, 0.0
     sums = {k: [sum(counts.get(f"{x} {k}", (0, 0))[i] for x in lexicon) for i in (0, 1)] for k in (EXACT, MISSPELT, QUOTED)}
     exact_rate = (sums[EXACT][0] + 0.5) / (t * toxic_words + 1)
@@ -246,10 +260,27 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
 
     # so many toxic documents that chance is unlikely among this many different terms
     share = n_toxic / (n_toxic + n_clean)
-    least = max(math.ceil(math.log(100 * (toxic_words + clean_words)) / -math.log(share)), math.ceil(MIN_SHARE * n_toxic))
+    least = math.ceil(math.log((toxic_words + clean_words) / CHANCE) / -math.log(share))
     rate = (F.col("p") * clean_words) >= RATE_RATIO * toxic_words * (F.col("n") + 0.5)
-    best = counted(terms_of).where((F.col("d") >= least) & rate).orderBy(F.desc("d"), "f").limit(8 * MAX_LEXICON).collect()
-    lexicon = choose_lexicon({r["f"]: r["d"] for r in best}, MAX_LEXICON)
+    # at most the terms that occur ``least`` times in fit_rows documents
+    likely = frozenset(r["f"] for r in counted(terms_of).where((F.col("d") >= least) & rate).select("f").collect())
+
+    def witnesses(batches):  # noqa: ANN001, ANN202
+        """The likely terms of toxic documents with the least hash of three words in a row, which copies share."""
+        for part, texts in slices(batches, lambda b: b.column(0)):
+            found = []
+            for t in texts:
+                here = likely.intersection(terms_of(t))
+                if here:
+                    words = t.lower().split()
+                    runs = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))]
+                    least_hash = min(map(xxhash.xxh3_64_intdigest, runs)) >> 1
+                    found += [(f, least_hash) for f in here]
+            yield pa.RecordBatch.from_arrays([pa.array([f for f, _ in found], pa.string()), pa.array([h for _, h in found], pa.int64())], ["f", "h"])
+
+    seen = (rows.where("toxic > 0").select("text").mapInArrow(witnesses, "f string, h long").groupBy("f").agg(F.count_distinct("h").alias("d"))
+            .where(F.col("d") >= least).collect())   # at most the likely terms
+    lexicon = choose_lexicon({r["f"]: r["d"] for r in seen})
     scanner = Scanner(Lexicon(lexicon))
     counts = {r["f"]: (r["p"], r["n"]) for r in counted(scanner.features).collect()}   # at most three features a term
     return lexicon, *weigh(counts, lexicon, toxic_words, clean_words), prior
