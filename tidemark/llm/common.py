@@ -171,7 +171,7 @@ def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa
 # --- repeated rows ------------------------------------------------------------------------------------
 
 # Text bytes among which a task combines repeated rows before it hands them on.
-WINDOW_BYTES = 32 << 20
+WINDOW_BYTES = 8 << 20
 
 
 def combined(batches: Iterator[pa.RecordBatch], key: int, text: int, most: int | None = None) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -207,6 +207,8 @@ def combined(batches: Iterator[pa.RecordBatch], key: int, text: int, most: int |
                 size = 0
     if held:
         yield window()
+    held.clear()
+    pa.default_memory_pool().release_unused()   # the worker goes on to other tasks
 
 
 def distinct_rows(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -4,7 +4,7 @@
 word of toxic as of clean labelled documents, and in so many toxic documents that chance is unlikely among all the words
 (copies of a document, which share the least hash of three words in a row, are one witness).  There is no limit on their number or share
 beside that test.  Words that a chosen stem covers stay in the trie and count for the stem.  *Misspellings.*  Every distinct
-word of a text is run as a Levenshtein automaton (its states are the rows of edit distances, capped) against the trie
+word of a text is run as a Levenshtein automaton (its states are the rows of edit distances) against the trie
 of lexicon words: distance 1 is allowed from 5 letters on, 2 from 9.  Stems match exactly.  *Context.*  Around each hit
 ``CONTEXT`` words are looked at: a hit between quotation marks, or after a word of reporting, is quoted.
 
@@ -25,11 +25,13 @@ and every score is the smoothed share of toxic rows.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 from operator import itemgetter
 
+import ahocorasick
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,7 +51,7 @@ OPEN, CLOSE = "\"“«„‘", "\"”»“’"
 QUOTES = frozenset(OPEN)
 REPORTING = frozenset("said says wrote writes quoted quote called saying dit citait sagte schrieb zitierte "
                       "dijo escribió citó".split())
-CACHE_SIZE = 400_000
+CACHE_SIZE = 250_000
 
 
 def bare(word: str) -> str:
@@ -84,6 +86,7 @@ class Lexicon:
             node = self.trie
             for c in w:
                 node = node.setdefault(c, {})
+                node[0] = max(node.get(0, 0), self.edits(len(w)))   # the most edits that a word below allows
             node[""] = w
         # a word within k edits of a term keeps one of the term's k + 1 pieces, moved by at most k places
         self.pieces: dict[str, set[int]] = defaultdict(set)
@@ -93,23 +96,32 @@ class Lexicon:
                 cuts = [round(len(w) * i / (k + 1)) for i in range(k + 2)]
                 for a, b in zip(cuts, cuts[1:]):
                     self.pieces[w[a:b]].update(range(max(0, a - k), a + k + 1))
-        self.piece_lengths = sorted({len(p) for p in self.pieces})
         self.longest = max(map(len, self.words), default=0)
 
     @staticmethod
     def edits(length: int) -> int:
         return 0 if length < 5 else 1 if length < 9 else 2
 
+    @functools.cached_property
+    def piece_finder(self) -> ahocorasick.Automaton:
+        found = ahocorasick.Automaton()
+        for p, places in self.pieces.items():
+            found.add_word(p, (len(p) - 1, frozenset(places)))
+        if self.pieces:
+            found.make_automaton()
+        return found
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "piece_finder"}   # every worker builds its own
+
     def may_match(self, word: str) -> bool:
-        return any(i in self.pieces.get(word[i:i + n], ()) for n in self.piece_lengths
-                   for i in range(len(word) - n + 1))
+        return bool(self.pieces) and any(end - back in places for end, (back, places) in self.piece_finder.iter(word))
 
     def nearest(self, word: str) -> str | None:
         """The lexicon word at the smallest allowed distance (ties: the first in order), by intersecting the
         word's Levenshtein automaton with the trie."""
         best: tuple[int, str] | None = None
-        cap = 3
-        todo = [(self.trie, tuple(min(i, cap) for i in range(len(word) + 1)))]
+        todo = [(self.trie, list(range(len(word) + 1)))]
         while todo:
             node, row = todo.pop()
             term = node.get("")
@@ -117,11 +129,18 @@ class Lexicon:
                 best = (row[-1], term)
             for c, child in node.items():
                 if c:
-                    step = [min(row[0] + 1, cap)]
-                    for j, x in enumerate(word):
-                        step.append(min(row[j] + (x != c), row[j + 1] + 1, step[j] + 1, cap))
-                    if min(step) < cap:
-                        todo.append((child, tuple(step)))
+                    last = row[0] + 1
+                    step = [last]
+                    for x, diagonal, above in zip(word, row, row[1:]):
+                        here = diagonal if x == c else diagonal + 1
+                        if above < here:
+                            here = above + 1
+                        if last < here:
+                            here = last + 1
+                        last = here
+                        step.append(here)
+                    if min(step) <= child[0]:
+                        todo.append((child, step))
         return best[1] if best else None
 
     def look_up(self, word: str) -> tuple[str, str] | None:
