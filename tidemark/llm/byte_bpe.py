@@ -29,7 +29,7 @@ from .common import list_array, per_document, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces up to this length are remembered per worker, at most twice this many.
-CACHE_PIECE, CACHE_SIZE = 48, 500_000
+CACHE_PIECE, CACHE_SIZE = 48, 380_000
 KEPT_PREFIX = 16
 
 

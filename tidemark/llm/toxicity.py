@@ -51,7 +51,7 @@ OPEN, CLOSE = "\"“«„‘", "\"”»“’"
 QUOTES = frozenset(OPEN)
 REPORTING = frozenset("said says wrote writes quoted quote called saying dit citait sagte schrieb zitierte "
                       "dijo escribió citó".split())
-CACHE_SIZE = 250_000
+CACHE_SIZE = 150_000
 
 
 def bare(word: str) -> str:
