@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -369,6 +370,24 @@ def test_ppm(spark, tricky, sample, cells):
         assert g[5:] == pytest.approx(w[5:], rel=1e-6)
 
 
+def test_ppm_does_not_depend_on_the_order_in_which_rows_arrive(spark, sample):
+    """Every evaluation of the input has its rows in another order, as fetched shuffle blocks have."""
+    rows = [(i, t[:600]) for i, t in collected(sample)[:60]] + [(None, "no id"), (None, None), (3, "a b c"), (3, "a b c")]
+
+    def stir(batches):
+        for b in batches:
+            yield b.take(pa.array(np.random.default_rng().permutation(b.num_rows)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).mapInArrow(stir, "doc_id long, text string")
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        got = rows_of(ppm.score_documents(spark, docs, block_bytes=4000))
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+    want = sorted(ppm_scores(rows), key=str)
+    assert [g[:5] for g in got] == [w[:5] for w in want]
+    assert [g[5] for g in got] == pytest.approx([w[5] for w in want], rel=1e-9)
+
+
 def test_ppm_without_training_rows(spark, empty):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     one = spark.createDataFrame([(held, "ab c")], "doc_id long, text string")

@@ -342,10 +342,11 @@ def _counted_words(texts: list[bytes | None]) -> tuple[WordIds, np.ndarray, np.n
 
 
 def _dealt_words(ids: WordIds, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The hashes of the words and of the end, their order by range, the ranges that occur and where each begins."""
+    """The hashes of the words and of the end, their order by range and hash (whatever the order of the texts, which differs
+    from one fetch of a block to the next), the ranges that occur and where each begins."""
     h = np.concatenate([ids.hashes(), np.asarray([END_WORD], np.uint64)])
     r = (h % np.uint64(ranges)).astype(np.int64)
-    order = np.argsort(r, kind="stable")
+    order = np.lexsort((h, r))
     which, begin = np.unique(r[order], return_index=True)
     return h, order, which, begin
 
