@@ -106,3 +106,25 @@ def test_truncates_cost_one_row_each_and_no_range_join(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
     assert found.where("__truncated IS NULL").count() == 10 and found.columns == ["seq", "t", "__truncated"]
     assert with_next_truncate(rows, events.limit(0), ["t", "seq"]).where("__truncated IS NULL").count() == 100
+
+
+def test_rows_and_truncates_are_read_once_to_find_the_next_truncate(spark):
+    t = lambda s: dt.datetime(2024, 1, 3) + dt.timedelta(seconds=s)
+    rnd = random.Random(8)
+    # a burst, some of one instant, and single ones days apart
+    cuts = [(t(rnd.choice([1, 2, 2.5, 3, 90_000, 400_000])), s) for s in range(1, 60, 2)] + [(t(-900_000), 61)]
+    rows = [(s, t(rnd.choice([-2_000_000, -900_000, 0, 1, 2, 2.5, 2.6, 3, 80_000, 90_000, 300_000, 400_000, 900_000]))) for s in range(0, 300, 2)] + [(5, None)]
+    counts = {k: spark.sparkContext.accumulator(0) for k in ("rows", "cuts")}
+
+    def counted(name, data, schema):
+        seen = counts[name]
+
+        def run(batches):
+            for b in batches:
+                seen.add(b.num_rows)
+                yield b
+        return spark.createDataFrame(data, schema).mapInArrow(run, schema)
+    found = with_next_truncate(counted("rows", rows, "seq long, t timestamp_ntz"), counted("cuts", cuts, "updated_timestamp timestamp_ntz, seq long"), ["t", "seq"])
+    want = [(s, at, at and min([x for x, q in cuts if (x, q) > (at, s)], default=None)) for s, at in rows]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(want, key=str)
+    assert counts["rows"].value == len(rows) and counts["cuts"].value == len(cuts)
