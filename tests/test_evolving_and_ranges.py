@@ -152,3 +152,12 @@ def test_upkeep_loads_replace_the_table_they_read(spark, scratch):
     cols = ["id", "name", "email", "action", "valid_from", "valid_to"]
     assert sorted(map(str, spark.read.parquet(f"{scratch}/cur").select(cols).collect())) == want
     assert [r["id"] for r in spark.read.parquet(f"{scratch}/hist").collect()] == [2]
+
+
+def test_each_part_of_an_envelope_is_taken_out_once(spark):
+    message = '{"payload": {"op": "u", "after": {"id": 1, "name": "n"}, "source": {"ts_ms": 5}}}'
+    good, bad, _ = normalize_envelope_evolving(spark.createDataFrame([(message,)], "value string"))
+    for df in (good, bad):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("$.op,") == 1 and plan.count("$.source.ts_ms,") <= 1 and plan.count("$.after,") <= 1
+        assert plan.count('$["id"],') <= 2   # as text and, where it has none, as JSON

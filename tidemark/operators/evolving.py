@@ -74,6 +74,11 @@ def _value(image: Column, field: StructField) -> Column:
     return F.when(~F.is_variant_null(value), text)
 
 
+def _once(df: DataFrame, keep: Sequence[str], *columns: Column) -> DataFrame:
+    """The columns ``keep`` and new ones, which come out of a generator: later filters and projections do not repeat their work."""
+    return df.select(*keep, F.inline(F.array(F.struct(*columns))))
+
+
 def normalize_envelope_evolving(df: DataFrame, value_col: str = "value", keys: Sequence[str] = ("id",), known: StructType | None = None,
                                 seq_field: str | None = None) -> tuple[DataFrame, DataFrame, StructType]:
     """``(good, quarantine, fields)``: like ``normalize_envelope``, with the fields that the images have.
@@ -81,24 +86,27 @@ def normalize_envelope_evolving(df: DataFrame, value_col: str = "value", keys: S
     Both wrappers are accepted.  Quarantine holds what ``normalize_envelope`` would reject: malformed, null and unsupported
     messages, missing times and images, and rows whose ``keys`` are null.  Images that are no objects count as missing."""
     raw = F.col(value_col).cast("string")
-    # inside a generator, so that each message is parsed once
-    parsed = df.select(raw.alias("__raw"), F.explode(F.array(F.try_parse_json(raw))).alias("__v"))
-    payload = F.try_variant_get("__v", "$.payload", "variant")
-    body = parsed.select("__raw", F.coalesce(F.when(~F.is_variant_null(payload), payload), F.col("__v")).alias("__v"))
-    op = F.try_variant_get("__v", "$.op", "string")
+    # inside generators, so that each message is parsed and each of its parts is taken out once
+    parsed = df.select(raw.alias("__raw"), F.explode(F.array(F.try_parse_json(raw))).alias("__m"))
+    payload = F.try_variant_get("__m", "$.payload", "variant")
+    body = _once(parsed, ["__raw"], F.coalesce(F.when(~F.is_variant_null(payload), payload), F.col("__m")).alias("__v"))
+    body = _once(body, ["__raw", "__v"], F.try_variant_get("__v", "$.op", "string").alias("operation"))
+    op = F.col("operation")
     image = F.when(op == "d", F.try_variant_get("__v", "$.before", "variant")).otherwise(F.try_variant_get("__v", "$.after", "variant"))
-    flat = body.select("__raw", op.alias("operation"), action_from_op(op).alias("action"),
-                       millis_to_ntz(F.try_variant_get("__v", "$.source.ts_ms", "bigint")).alias("updated_timestamp"),
-                       F.when(F.schema_of_variant(image).startswith("OBJECT<"), image).alias("__image"),
-                       *([F.try_variant_get("__v", f"$.source.{seq_field}", "bigint").alias("seq")] if seq_field else []))
+    body = _once(body, ["__raw", "operation"], image.alias("__i"), millis_to_ntz(F.try_variant_get("__v", "$.source.ts_ms", "bigint")).alias("updated_timestamp"),
+                 *([F.try_variant_get("__v", f"$.source.{seq_field}", "bigint").alias("seq")] if seq_field else []))
+    flat = _once(body, ["__raw", "operation", "updated_timestamp", *(["seq"] if seq_field else [])],
+                 action_from_op(op).alias("action"), F.when(F.schema_of_variant("__i").startswith("OBJECT<"), F.col("__i")).alias("__image"))
     fields = merged_fields(flat, "__image", known)
     missing = [k for k in keys if k not in fields.names]
     fields = StructType(fields.fields + [StructField(k, StringType()) for k in missing])
     clash = set(fields.names) & {"operation", "action", "updated_timestamp", "partition_date", *(["seq"] if seq_field else [])}
     if clash:
         raise ValueError(f"image fields {sorted(clash)} have the names of change columns")
-    rows = flat.select("__raw", "operation", "action", *[_value(F.col("__image"), f).alias(f.name) for f in fields.fields], "updated_timestamp",
-                       F.to_date("updated_timestamp").alias("partition_date"), F.col("__image").isNull().alias("__none"), *(["seq"] if seq_field else []))
+    values = [_value(F.col("__image"), f).alias(f"__f{i}") for i, f in enumerate(fields.fields)]
+    rows = _once(flat, ["__raw", "operation", "action", "updated_timestamp", *(["seq"] if seq_field else [])], F.col("__image").isNull().alias("__none"), *values)
+    rows = rows.select("__raw", "operation", "action", *[F.col(f"__f{i}").alias(f.name) for i, f in enumerate(fields.fields)], "updated_timestamp",
+                       F.to_date("updated_timestamp").alias("partition_date"), "__none", *(["seq"] if seq_field else []))
     reason = (F.when(F.col("__raw").isNull(), F.lit("null message"))
               .when(F.col("operation").isNull(), F.lit("malformed envelope"))
               .when(F.col("action").isNull(), F.lit("unsupported op"))
