@@ -5,12 +5,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from llm_helpers import rows_of
 from test_text_operators import collected, component_ids, contaminated, lines_kept, simhash_rows
 
 import corpus_pipeline
-from tidemark.llm import ann, toxicity
+from tidemark.llm import ann, byte_bpe, common, toxicity
 
 EMB = "vec_id long, embedding array<float>, rank int, list int, label string"
 
@@ -346,3 +347,13 @@ def test_every_stage_on_odd_tables(spark, request, as_tables, name):
         if stage == "line_dedup":
             assert out.count() == len(rows)
     assert corpus_pipeline.STAGES[-1][1](spark, docs, folder).count() == len(rows)
+
+
+def test_a_worker_keeps_the_tables_of_one_operator():
+    path = public_tokenizers.path(byte_bpe.VOCABULARY)
+    first = byte_bpe._encoder(path, public_tokenizers.PATTERN)
+    assert byte_bpe._encoder(path, public_tokenizers.PATTERN) is first
+    common.kept("another", dict)
+    assert list(common._kept) == ["another"]
+    common.let_go()
+    assert not common._kept and byte_bpe._encoder(path, public_tokenizers.PATTERN) is not first

@@ -13,7 +13,6 @@ empty texts encode to no ids and decode to empty bytes.  One output row per inpu
 from __future__ import annotations
 
 import base64
-import functools
 import re
 from array import array
 from collections.abc import Callable
@@ -25,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import list_array, per_document, table
+from .common import kept, list_array, per_document, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # Pieces up to this length are remembered per worker, at most twice this many.
@@ -202,9 +201,12 @@ class PieceCache(dict):
         return out
 
 
-@functools.lru_cache(maxsize=2)
 def _encoder(path: str, pattern: str) -> tuple[PrefixBpe, regex.Pattern, PieceCache]:
     """One per Python worker."""
+    return kept(("byte_bpe", path, pattern), lambda: _new_encoder(path, pattern))
+
+
+def _new_encoder(path: str, pattern: str) -> tuple[PrefixBpe, regex.Pattern, PieceCache]:
     bpe, split = PrefixBpe(load_ranks(path)), regex.compile(pattern)
 
     def encode(piece: str) -> bytes:

@@ -6,7 +6,7 @@ the same document; rows that repeat only the id stay apart.  All joins on it are
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Hashable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +54,25 @@ def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"__r_{k}" for k in keys])
 
 
+# --- what a Python worker keeps ----------------------------------------------------------------------
+
+_kept: dict[Hashable, object] = {}
+
+
+def kept(key: Hashable, make: Callable[[], object]) -> object:
+    """What a Python worker keeps for the operator ``key`` from task to task.  A worker goes on to other operators: it keeps
+    the tables of one at a time."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def let_go() -> None:
+    """For operators that keep nothing: drop what others have kept."""
+    _kept.clear()
+
+
 # --- Python functions over documents ---------------------------------------------------------------
 
 def slices(batches: Iterator[pa.RecordBatch], text_of: Callable[[pa.RecordBatch], pa.Array],

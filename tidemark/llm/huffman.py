@@ -33,7 +33,7 @@ from tokenizers import Tokenizer
 from tidemark.session import scratch_path
 
 from .byte_bpe import CACHE_PIECE, space_pieces
-from .common import slices, table, written
+from .common import kept, slices, table, written
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 MAX_BITS, BLOCK_IDS, STEP = 18, 1 << 15, 256
@@ -97,10 +97,9 @@ class TextEncoder:
         return out
 
 
-@functools.lru_cache(maxsize=1)
 def _text_encoder(path: str) -> TextEncoder:
     """One per Python worker."""
-    return TextEncoder(path)
+    return kept(("huffman", path), lambda: TextEncoder(path))
 
 
 def encode_texts(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:

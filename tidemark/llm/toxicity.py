@@ -4,8 +4,8 @@
 word of toxic as of clean labelled documents, and in so many toxic documents that chance is unlikely among all the words
 (copies of a document, which share the least hash of three words in a row, are one witness).  There is no limit on their number or share
 beside that test.  Words that a chosen stem covers stay in the trie and count for the stem.  *Misspellings.*  Every distinct
-word of a text is run as a Levenshtein automaton (its states are the rows of edit distances) against the trie
-of lexicon words: distance 1 is allowed from 5 letters on, 2 from 9.  Stems match exactly.  *Context.*  Around each hit
+word of a text is run as a Levenshtein automaton (its states are the sets of places within 0, 1 and 2 edits, as bits) against
+the trie of lexicon words: distance 1 is allowed from 5 letters on, 2 from 9.  Stems match exactly.  *Context.*  Around each hit
 ``CONTEXT`` words are looked at: a hit between quotation marks, or after a word of reporting, is quoted.
 
 Hits of each (term, kind), kind being exact, misspelt or quoted, are taken as Poisson with a rate per word in toxic and
@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import per_document, slices, table, written
+from .common import let_go, per_document, slices, table, written
 
 FIT_ROWS = 20_000
 STEMS = (4, 5, 6, 7, 8)
@@ -121,26 +121,30 @@ class Lexicon:
         """The lexicon word at the smallest allowed distance (ties: the first in order), by intersecting the
         word's Levenshtein automaton with the trie."""
         best: tuple[int, str] | None = None
-        todo = [(self.trie, list(range(len(word) + 1)))]
+        places: dict[str, int] = {}   # letter -> bit set of its places in the word
+        for i, x in enumerate(word):
+            places[x] = places.get(x, 0) | 1 << i
+        end = 1 << len(word)
+        inside = 2 * end - 1
+        # bit i of a state's sets: the word's first i letters are within 0, 1 or 2 edits of the path
+        todo = [(self.trie, 1, 3 & inside, 7 & inside)]
         while todo:
-            node, row = todo.pop()
-            term = node.get("")
-            if term is not None and row[-1] <= self.edits(len(term)) and (best is None or (row[-1], term) < best):
-                best = (row[-1], term)
+            node, s0, s1, s2 = todo.pop()
+            if s2 & end:
+                term = node.get("")
+                if term is not None:
+                    found = (0 if s0 & end else 1 if s1 & end else 2, term)
+                    if found[0] <= self.edits(len(term)) and (best is None or found < best):
+                        best = found
             for c, child in node.items():
                 if c:
-                    last = row[0] + 1
-                    step = [last]
-                    for x, diagonal, above in zip(word, row, row[1:]):
-                        here = diagonal if x == c else diagonal + 1
-                        if above < here:
-                            here = above + 1
-                        if last < here:
-                            here = last + 1
-                        last = here
-                        step.append(here)
-                    if min(step) <= child[0]:
-                        todo.append((child, step))
+                    here = places.get(c, 0)
+                    t0 = (s0 & here) << 1
+                    t1 = ((s1 & here | s0 | t0) << 1 | s0) & inside
+                    t2 = ((s2 & here | s1 | t1) << 1 | s1) & inside
+                    edits = child[0]
+                    if (t2 if edits == 2 else t1 if edits else t0):
+                        todo.append((child, t0, t1, t2))
         return best[1] if best else None
 
     def look_up(self, word: str) -> tuple[str, str] | None:
@@ -264,6 +268,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
     def counted(features_of) -> DataFrame:  # noqa: ANN001
         """Per feature: toxic documents, hits in toxic and in clean documents."""
         def run(batches):  # noqa: ANN001, ANN202
+            let_go()
             for part, texts in slices(batches, lambda b: b.column(0)):
                 docs_with, pos, neg = Counter(), Counter(), Counter()
                 for t, toxic in zip(texts, part.column(1).to_pylist()):
@@ -286,6 +291,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, fit_rows: int =
 
     def witnesses(batches):  # noqa: ANN001, ANN202
         """The likely terms of toxic documents with the least hash of three words in a row, which copies share."""
+        let_go()
         for part, texts in slices(batches, lambda b: b.column(0)):
             found = []
             for t in texts:
@@ -311,6 +317,7 @@ def scores(docs: DataFrame, model: Model) -> DataFrame:
     shared = Scanner(Lexicon(lexicon))   # pickled with the function, a few hundred entries
 
     def run(texts: list[bytes | None]) -> dict[str, pa.Array]:
+        let_go()
         out, hits = [], []
         for t in texts:
             found, n_words = shared.hits(t), len(t.split()) if t else 0
