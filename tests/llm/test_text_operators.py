@@ -429,6 +429,30 @@ def test_huffman_gives_added_tokens_their_ids(spark, as_tables):
     assert [(g[0], g[2], g[3]) for g in got] == [(i, len(x), zlib.crc32(np.asarray(x, "<u4").tobytes())) for i, x in enumerate(want)]
 
 
+def test_huffman_encoder_learns_words_not_lines():
+    encoder = huffman.TextEncoder(public_tokenizers.path(huffman.VOCABULARY))
+    words = [f"{a}{b}" for a in ("stone", "river", "tide", "mark", "leaf") for b in ("ab", "el", "ing", "ou", "u\u00e9")]
+    texts = [f"{a}.\n{b}, {a}" for a in words for b in words]   # 625 pairs over a line end
+    got = encoder.encode([t.encode() for t in texts])
+    want = [e.ids for e in encoder.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
+    assert len(encoder.known) <= 2 * len(words) + 10
+
+
+def test_huffman_encoder_gives_the_librarys_ids():
+    rng = np.random.default_rng(8)
+    atoms = [" ", " ", "  ", "\n", "\n\n", "\t", "\r\n", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", "\u1680", "\u2003", "\u2028", "\u202f", "\u205f",
+             "\u3000", "\u200b", "a", "Word", "\xe9", "\xc8,", "\xd7", "\xf7.", "\u017f!", "e\u0301", "'", "'s", "'re", "'really", "don't", "12", "\xbd",
+             "\u0663", "\u2026", "\u2014", "-", '."', "<|endoftext|>", "<|", "\u6f22\u5b57", "\U0001f600", "\x00", "_", "x" * 60]
+    texts = [None, "", *["".join(rng.choice(atoms, rng.integers(1, 14))) for _ in range(4000)]]
+    encoder = huffman.TextEncoder(public_tokenizers.path(huffman.VOCABULARY))
+    want = [e.ids for e in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    for step in (1000, 7):   # the second time most pieces are known
+        raw = [t.encode() if t is not None else None for t in texts]
+        got = [x for at in range(0, len(raw), step) for x in encoder.encode(raw[at:at + step])]
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in got] == want
+
+
 def test_code_lengths_are_optimal_and_limited():
     rng = np.random.default_rng(0)
     for _ in range(20):

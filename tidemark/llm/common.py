@@ -76,13 +76,13 @@ def let_go() -> None:
 # --- Python functions over documents ---------------------------------------------------------------
 
 def slices(batches: Iterator[pa.RecordBatch], text_of: Callable[[pa.RecordBatch], pa.Array],
-           most: int = SLICE_BYTES) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
-    """Cut Arrow batches into slices of at most SLICE_ROWS rows and ``most`` bytes of text (one text may be longer)."""
+           most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[pa.RecordBatch, list[bytes | None]]]:
+    """Cut Arrow batches into slices of at most ``rows`` rows and ``most`` bytes of text (one text may be longer)."""
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(text_of(batch)), 0), dtype=np.int64)
         start, n = 0, batch.num_rows
         while start < n:
-            ends = np.cumsum(sizes[start:start + SLICE_ROWS])
+            ends = np.cumsum(sizes[start:start + rows])
             take = max(1, int(np.searchsorted(ends, most, side="right")))
             part = batch.slice(start, take)
             yield part, text_of(part).cast(pa.binary()).to_pylist()

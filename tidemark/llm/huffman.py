@@ -24,7 +24,6 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -32,70 +31,145 @@ from tokenizers import Tokenizer
 
 from tidemark.session import scratch_path
 
-from .byte_bpe import CACHE_PIECE, space_pieces
+from .byte_bpe import CACHE_PIECE
 from .common import kept, slices, table, written
 
 VOCABULARY, END_ID = "byte_bpe_50k.json", 0
 MAX_BITS, BLOCK_IDS, STEP = 18, 1 << 15, 256
 TOKEN = "<u4"
 KNOWN_PIECES = 700_000   # pieces a worker remembers, twice
+JOINED = 4000            # pieces that go to the library as one text
+SLICE_ROWS = 1 << 14     # texts whose pieces are numbered together, as far as ``slices`` takes their bytes
 
 
 # --- encoding texts with the library ----------------------------------------------------------------
 
+def _members(of: list[int], size: int = 256) -> np.ndarray:
+    out = np.zeros(size, bool)
+    out[of] = True
+    return out
+
+
+WHITE = _members([0x20, *range(0x09, 0x0E)])
+ALPHA = _members([*range(0x41, 0x5B), *range(0x61, 0x7B)])
+SIGN = _members([*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)])
+# U+00C0 to U+017F but the signs of multiplication and division: letters of two bytes
+ACCENTED = _members([b for b in (*range(0xC380, 0xC3C0), *range(0xC480, 0xC4C0), *range(0xC580, 0xC5C0)) if b not in (0xC397, 0xC3B7)], 1 << 16)
+OTHER_WHITE = [int.from_bytes(chr(c).encode(), "big") for c in
+               (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+
+
+def piece_starts(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Places in the UTF-8 bytes of texts, not empty, that begin at ``texts`` where a match of the split pattern begins and the bytes up
+    to the next such place are split as if they stood alone.
+
+    Of a run of white space before a word, all but the last character is a match; that is one too, or begins the word's
+    match if it is a space.  A run at the end of a text is one match.  Letters end where a sign follows."""
+    white, sign = WHITE[data], SIGN[data]
+    cut, last = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    last[:-1] = white[:-1] & ~white[1:]
+    last[texts[1:] - 1] = False
+    cut[1:] = white[1:] & ~white[:-1] | last[:-1] & (data[:-1] != 0x20) | sign[1:] & ALPHA[data[:-1]]
+    accent = np.flatnonzero(sign[2:] & (data[1:-1] >= 0x80))
+    cut[accent[ACCENTED[data[accent].astype(np.int64) << 8 | data[accent + 1]]] + 2] = True
+    cut |= last
+    cut[texts] = True
+    return np.flatnonzero(cut)
+
+
+def beside_other_white(data: np.ndarray) -> np.ndarray:
+    """Places where white space of ASCII and other white space meet: ``piece_starts`` does not hold there."""
+    wide = np.concatenate([np.zeros(2, np.uint8), data, np.zeros(3, np.uint8)])
+    white, high = WHITE[wide], wide >= 0x80
+    ends = np.flatnonzero(high[:-1] & white[1:])
+    begins = np.flatnonzero(white[:-1] & high[1:]) + 1
+    found = []
+    for first, size in ((ends - 1, 2), (ends - 2, 3), (begins, 2), (begins, 3)):
+        code = np.zeros(len(first), np.int64)
+        for i in range(size):
+            code = code << 8 | wide[first + i]
+        found.append(first[np.isin(code, OTHER_WHITE)] - 2)
+    return np.concatenate(found)
+
+
 class TextEncoder:
-    """The library's ids of whole texts.  A text is cut before spaces where every match of the split pattern ends, so
-    the pieces' ids joined are the text's; pieces are encoded once per worker and remembered.  A text that holds the string
-    of an added token goes to the library whole, which gives that token's id.  Ids are little-endian
-    integers, of 16 bits where the vocabulary allows, else of 32."""
+    """The library's ids of whole texts.  Texts are cut where every match of the split pattern ends (``piece_starts``), so
+    the pieces' ids joined are the text's; the pieces of many texts are numbered together, and each is encoded once per worker
+    and remembered.  A text that holds the string of an added token, or white space of ASCII beside other white
+    space, goes to the library whole.  Ids are little-endian integers, of 16 bits where the vocabulary allows, else of 32."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         size = self.tokenizer.get_vocab_size()
         self.kind = np.dtype("<u2" if size <= 1 << 16 else TOKEN)
         self.bytes_of = np.fromiter((len(self.tokenizer.id_to_token(i)) for i in range(size)), np.int64, size)
-        self.split = regex.compile(public_tokenizers.PATTERN)
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.asarray(e.ids, self.kind) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def learn(self, pieces: list[str]) -> None:
-        """Pieces that start with one space and hold no other white space at their ends go as one text."""
-        joined = [p for p in pieces if " " + p.strip() == p and len(p) > 1]
-        if joined:
-            ids = self.ids(["".join(joined)])[0]
-            lens = np.fromiter(map(len, map(str.encode, joined)), np.int64, len(joined))
-            cuts = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lens)) + 1
-            ends, raw = (cuts * self.kind.itemsize).tolist(), ids.tobytes()
-            self.known.update(zip(joined, [raw[a:b] for a, b in zip([0, *ends], ends)]))
-        if len(joined) < len(pieces):
-            rest = list(set(pieces).difference(joined))
-            self.known.update(zip(rest, [x.tobytes() for x in self.ids(rest)]))
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        """The ids of each text."""
-        decoded = [t.decode() if t else "" for t in texts]
-        whole = [any(a in t for a in self.added) for t in decoded]
-        pieces = [[] if w else space_pieces(t, self.split) for t, w in zip(decoded, whole)]
+    def learn(self, pieces: list[bytes]) -> None:
+        """Pieces that end without white space and start without, or with one space, go as one text, after a line end each where
+        they start without."""
+        joined, rest = [], []
+        for p in pieces:
+            s = p.decode()
+            (rest if s[-1].isspace() or s[0].isspace() and s[0] != " " else joined).append(p)
+        width = self.kind.itemsize
+        for at in range(0, len(joined), JOINED):
+            part = joined[at:at + JOINED]
+            alone = [p[0] != 0x20 for p in part]
+            ids = self.ids([b"".join([b"\n" + p if a else p for p, a in zip(part, alone)]).decode()])[0]
+            lens = np.fromiter(map(len, part), np.int64, len(part)) + alone
+            ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum(lens)) + 1
+            begins = np.concatenate([[0], ends[:-1]]) + alone
+            raw = ids.tobytes()
+            self.known.update(zip(part, [raw[a:b] for a, b in zip((begins * width).tolist(), (ends * width).tolist())]))
+        self.known.update(zip(rest, [x.tobytes() for x in self.ids([p.decode() for p in rest])]))
+
+    def ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of different pieces."""
         if len(self.known) > KNOWN_PIECES:   # a piece that is met again moves over from the older half
             self.known, self.older = {}, self.known
-        unknown = set().union(*pieces).difference(self.known)
-        missing = unknown.difference(self.older)
-        self.known.update((p, self.older[p]) for p in unknown.difference(missing))
-        missing = list(missing)
+        unknown = [p for p in pieces if p not in self.known]
+        again = [p for p in unknown if p in self.older]
+        self.known.update(zip(again, map(self.older.__getitem__, again)))
+        missing = [p for p in unknown if p not in self.older]
         self.learn(missing)
-        out = [b"".join(map(self.known.__getitem__, p)) for p in pieces]
-        for i in np.flatnonzero(whole).tolist():
-            out[i] = self.ids([decoded[i]])[0].tobytes()
+        out = list(map(self.known.__getitem__, pieces))
         for p in missing:
             if len(p) > CACHE_PIECE:
                 del self.known[p]
         return out
 
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text."""
+        out = [b""] * len(texts)
+        there = [i for i, t in enumerate(texts) if t]
+        if not there:
+            return out
+        raw = b"".join([texts[i] for i in there])
+        data = np.frombuffer(raw, np.uint8)
+        starts = np.cumsum([0, *[len(texts[i]) for i in there]])
+        whole = set((np.searchsorted(starts, beside_other_white(data), side="right") - 1).tolist())
+        for a in self.added:
+            if a in raw:
+                whole.update(i for i, k in enumerate(there) if a in texts[k])
+        cuts = piece_starts(data, starts[:-1])
+        offsets = np.append(cuts, len(data)).astype(np.int32)
+        pieces = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(offsets), pa.py_buffer(raw)]).dictionary_encode()
+        ids = pa.array(self.ids_of(pieces.dictionary.to_pylist()), pa.binary()).take(pieces.indices)
+        places = np.frombuffer(ids.buffers()[1], np.int32)[np.append(np.searchsorted(cuts, starts[:-1]), len(cuts))].tolist()
+        found = ids.buffers()[2].to_pybytes()
+        for i, a, b in zip(there, places, places[1:]):
+            out[i] = found[a:b]
+        for i in whole:
+            out[there[i]] = self.ids([texts[there[i]].decode()])[0].tobytes()
+        return out
+
 
 def _text_encoder(path: str) -> TextEncoder:
     """One per Python worker."""
@@ -109,7 +183,7 @@ def encode_texts(docs: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _text_encoder(path)
         end, narrow = np.asarray([end_id], encoder.kind).tobytes(), encoder.kind.itemsize == 2
-        for part, texts in slices(batches, lambda b: b.column(1)):
+        for part, texts in slices(batches, lambda b: b.column(1), rows=SLICE_ROWS):
             ids = [x + end for x in encoder.encode(texts)]
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary()), pa.array([narrow] * len(ids))],
                                              ["doc_id", "ids", "narrow"])
