@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -388,6 +389,34 @@ def test_ppm_does_not_depend_on_the_order_in_which_rows_arrive(spark, sample):
     assert [g[5] for g in got] == pytest.approx([w[5] for w in want], rel=1e-9)
 
 
+def peak_bytes(run):
+    tracemalloc.start()
+    try:
+        out = run()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_ppm_finds_grams_in_few_bytes_a_symbol():
+    data = bytes(np.random.default_rng(1).integers(97, 101, 1 << 20, dtype=np.uint8))
+    got, peak = peak_bytes(lambda: ppm.distinct_grams([data, None, b"", b"Abc"]))
+    symbols = [b"\xff" * ppm.ORDER + low(t).encode() + b"\xff" for t in (data.decode(), None, "", "Abc")]
+    assert got.tolist() == sorted({int.from_bytes(t[i:i + ppm.ORDER + 1], "big") for t in symbols for i in range(len(t) - ppm.ORDER)})
+    assert peak < 20 * len(data)
+
+
+def test_ppm_merges_counts_in_little_more_than_they_take():
+    rng = np.random.default_rng(2)
+    keys = [np.unique(rng.integers(-2**40, 2**40, n)) for n in (400_000, 0, 300_000, 5, 300_000)] + [np.arange(0, 900_000, 3)] * 2
+    counts = [rng.integers(0, 9, len(k)) for k in keys]
+    (k, n), peak = peak_bytes(lambda: ppm.add_counts(keys, counts))
+    want, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    assert np.array_equal(k, want) and np.array_equal(n, np.bincount(inverse, np.concatenate(counts)).astype(np.int64))
+    assert peak < 32 * sum(map(len, keys))   # 16 of them the result's
+    assert [len(x) for x in ppm.add_counts([], [])] == [len(x) for x in ppm.add_counts([keys[1]], [counts[1]])] == [0, 0]
+
+
 def test_ppm_without_training_rows(spark, empty):
     held = next(i for i in range(100) if zlib.crc32(str(i).encode()) % 10 == 0)
     one = spark.createDataFrame([(held, "ab c")], "doc_id long, text string")

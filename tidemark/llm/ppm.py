@@ -61,6 +61,7 @@ BLOCKS_PER_RANGE = 4
 SCORE_BYTES = 1 << 18   # text of which symbols are scored at a time: what fits a processor cache
 GRAM_BYTES = 4 << 20   # text of which grams are counted at a time: more of it has fewer distinct ones
 HELD_GRAMS = 4_000_000   # distinct grams a counting task holds before it hands them on
+MERGED = 1 << 18   # counts merged at a time: what fits a processor cache
 END_WORD = xxhash.xxh3_64_intdigest(b" ")   # no word holds a space
 
 
@@ -79,17 +80,23 @@ class Symbols:
         raw = b"".join(x for p in parts for x in (pad, p, EDGE)) + bytes(8)
         self.sizes = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
         ends = np.cumsum(self.sizes + LOCAL)
-        real = np.ones(int(ends[-1]) if len(ends) else 0, bool)
+        self.real = np.ones(int(ends[-1]) if len(ends) else 0, bool)
         for j in range(LOCAL):
-            real[ends - self.sizes - LOCAL + j] = False
+            self.real[ends - self.sizes - LOCAL + j] = False
         self.words = np.ndarray(max(0, len(raw) - 7), ">u8", raw, strides=(1,))   # the 8 symbols from every place on
-        self.at = np.flatnonzero(real)
+
+    def from_back(self, symbols: int) -> np.ndarray:
+        """The 8 symbols from ``symbols`` before each symbol on (a mask and no positions: 8 bytes a symbol in all)."""
+        real = self.real[symbols:]
+        return self.words[:len(real)][real].byteswap(inplace=True).view("<u8")
 
     def grams(self) -> np.ndarray:
-        return self.words[self.at - 7].astype(np.int64) & low_bits(ORDER + 1)
+        codes = self.from_back(7).view(np.int64)
+        codes &= low_bits(ORDER + 1)
+        return codes
 
     def contexts(self) -> np.ndarray:
-        return self.words[self.at - LOCAL].astype(np.uint64)
+        return self.from_back(LOCAL)
 
     def texts(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.sizes)), self.sizes)
@@ -107,10 +114,24 @@ def portions(texts: list[bytes | None], most: int) -> Iterator[tuple[int, int]]:
         yield a, len(texts)
 
 
+def firsts(codes: np.ndarray) -> np.ndarray:
+    """Where among ascending codes each distinct one begins."""
+    new = np.ones(len(codes), bool)
+    np.not_equal(codes[1:], codes[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def ascending(codes: np.ndarray) -> np.ndarray:
-    """The distinct codes in order (sorting is much faster than hashing here)."""
-    codes = np.sort(codes)
-    return codes[np.concatenate([[True], codes[1:] != codes[:-1]])[:len(codes)]]
+    """The distinct codes in order (sorting is much faster than hashing here); ``codes`` are sorted in place."""
+    codes.sort()
+    return codes[firsts(codes)]
+
+
+def ascending_counts(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct codes in order and how often each occurs; ``codes`` are sorted in place."""
+    codes.sort()
+    first = firsts(codes)
+    return codes[first], np.diff(first, append=len(codes))
 
 
 def distinct_grams(texts: list[bytes | None]) -> np.ndarray:
@@ -138,21 +159,33 @@ def packed(codes: np.ndarray) -> bytes:
     return np.diff(codes, prepend=0).astype(np.int64).tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(data: bytes | pa.Buffer) -> np.ndarray:
     return np.cumsum(np.frombuffer(data, np.int64))
 
 
 def add_counts(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Ascending distinct keys and their summed counts."""
-    if not keys:
+    """Ascending distinct keys and their summed counts, of arrays of ascending keys.  A range of keys is merged at a time,
+    so there is little in memory but the arrays and the result."""
+    size = sum(map(len, keys))
+    if not size:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    k, c = np.concatenate(keys), np.concatenate(counts)
-    if not len(k):
-        return k, c
-    order = np.argsort(k)
-    k = k[order]
-    first = np.concatenate([[0], np.nonzero(np.diff(k))[0] + 1])
-    return k[first], np.add.reduceat(c[order], first)
+    steps = -(-size // MERGED)
+    some = np.sort(np.concatenate([k[::1024] for k in keys]))
+    bounds = some[np.arange(1, steps) * len(some) // steps]
+    cuts = [np.concatenate([[0], np.searchsorted(k, bounds), [len(k)]]).tolist() for k in keys]
+    out_k, out_n, held = np.empty(size, np.int64), np.empty(size, np.int64), 0
+    for i in range(steps):
+        k = np.concatenate([x[c[i]:c[i + 1]] for x, c in zip(keys, cuts)])
+        n = np.concatenate([x[c[i]:c[i + 1]] for x, c in zip(counts, cuts)])
+        if not len(k):
+            continue
+        order = np.argsort(k)
+        k = k[order]
+        first = firsts(k)
+        out_k[held:held + len(first)] = k[first]
+        out_n[held:held + len(first)] = np.add.reduceat(n[order], first)
+        held += len(first)
+    return out_k[:held], out_n[:held]
 
 
 GRAMS = "part int, codes binary, n binary"
@@ -184,16 +217,16 @@ def gram_counts(docs: DataFrame, parts: int) -> DataFrame:
             for w in np.unique(weight).tolist():   # 0 for held-out texts, mostly 1 for the others
                 alike = [t for t, x in zip(texts, weight.tolist()) if x == w]
                 for a, b in portions(alike, GRAM_BYTES):
-                    k, n = np.unique(Symbols(alike[a:b]).grams(), return_counts=True)
+                    k, n = ascending_counts(Symbols(alike[a:b]).grams())
                     keys.append(k)
-                    counts.append(n.astype(np.int64) * w)
+                    counts.append(n * w)
                     held += len(k)
                     if held > most:
                         one = add_counts(keys, counts)
                         if len(one[0]) > HELD_GRAMS:
                             yield from rows(*one)
                             one = add_counts([], [])
-                        keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 2 * len(one[0])
+                        keys, counts, held, most = [one[0]], [one[1]], len(one[0]), 1_000_000 + 3 * len(one[0]) // 2
         yield from rows(*add_counts(keys, counts))
 
     def total(t: pa.Table) -> pa.Table:
@@ -272,7 +305,9 @@ def train(spark: SparkSession, docs: DataFrame, ranges: int, parts: int) -> Data
     # a gram of HEAD + 1 symbols is in one part: those that end in the same HEAD symbols are counted; at most 256^HEAD rows
     ends = grams.mapInArrow(head, "gram long").groupBy((F.col("gram") % F.lit(1 << 8 * HEAD)).alias("gram")).agg(F.count(F.lit(1)).alias("n"))
     low = ends.toArrow()
-    k, n = add_counts([low.column(0).to_numpy()], [low.column(1).to_numpy()])
+    k, n = low.column(0).to_numpy(), low.column(1).to_numpy()
+    order = np.argsort(k)
+    k, n = k[order], n[order]
     below = spark.sparkContext.broadcast(levels_of(k, n, HEAD - 1))
 
     def price(batches):  # noqa: ANN001, ANN202
@@ -374,11 +409,13 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         n = np.bincount(flat, weights=np.repeat(weight, np.diff(ends)), minlength=len(ids.words)).astype(np.int64)   # exact below 2^53
         n = np.concatenate([n, [int(weight.sum())]])
         h, order, which, begin = _dealt_words(ids, ranges)
+        del t, ids, flat, ends   # before the grams take the room
         words = {r: (x, y) for r, x, y in zip(which.tolist(), np.split(h[order], begin[1:]), np.split(n[order], begin[1:]))}
         codes, gram_ranges, gram_begin = by_range(distinct_grams(texts), ranges)
         grams = dict(zip(gram_ranges.tolist(), np.split(codes, gram_begin[1:])))
         every = sorted({*words, *grams})
         none = (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        pa.default_memory_pool().release_unused()   # the worker goes on to other tasks
         return pa.table({"r": pa.array(every, pa.int32()), "block": pa.array([block] * len(every), pa.int32()),
                          "hashes": pa.array([words.get(r, none)[0].tobytes() for r in every], pa.binary()),
                          "n": pa.array([words.get(r, none)[1].tobytes() for r in every], pa.binary()),
@@ -397,15 +434,18 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
         c = np.bincount(inverse, weights=n, minlength=len(u)).astype(np.int64)
         cut = np.cumsum([len(x) // 8 for x in rows])[:-1]
         sums = np.asarray([c.sum(), (c > 0).sum()], np.int64).tobytes()
+        n = pa.array([*[x.tobytes() for x in np.split(c[inverse], cut)], sums], pa.binary())
+        del rows, h, u, inverse, c   # before the grams take the room
         codes = np.concatenate([unpacked(x) for x in priced.column("codes").to_pylist()] or [np.zeros(0, np.int64)])
         logs = np.frombuffer(b"".join(priced.column("logs").to_pylist()), np.float32)
         order = np.argsort(codes)
         codes, logs = codes[order], logs[order]
-        answers = [logs[np.searchsorted(codes, unpacked(x))].tobytes() for x in t.column("grams").to_pylist()]
+        del order
+        answers = [logs[np.searchsorted(codes, unpacked(x.as_buffer()))].tobytes() for x in t.column("grams")]
+        pa.default_memory_pool().release_unused()   # the worker goes on to other tasks
         return pa.table({"block": pa.array([*t.column("block").to_pylist(), -1 - r], pa.int32()),
                          "r": pa.array([r] * (t.num_rows + 1), pa.int32()),
-                         "n": pa.array([*[x.tobytes() for x in np.split(c[inverse], cut)], sums], pa.binary()),
-                         "logs": pa.array([*answers, b""], pa.binary())})
+                         "n": n, "logs": pa.array([*answers, b""], pa.binary())})
 
     id_type = to_arrow_type(docs.schema["doc_id"].dataType)
 
@@ -417,6 +457,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
                              "logs": pa.array([0.0]), "score": pa.array([0.0])})
         t, copies = one_of_each(t)
         texts = t.column("text").cast(pa.binary()).to_pylist()
+        t = t.select(["doc_id", "train"])
         ids, flat, ends = _counted_words(texts)
         of_range = {r: (n, x) for r, n, x in zip(*(answers.column(c).to_pylist() for c in ("r", "n", "logs")))}
         given = [of_range[r] for r in sorted(of_range)]
@@ -448,6 +489,7 @@ def score_documents(spark: SparkSession, docs: DataFrame, part_grams: int = PART
             p[order] = of_each[np.cumsum(first) - 1]
             p = adapt(symbols, grams, p)
             scores[a:b] = np.add.reduceat(p, np.cumsum(symbols.sizes) - symbols.sizes)
+        pa.default_memory_pool().release_unused()   # the worker goes on to other tasks
         return pa.table({"doc_id": t.column("doc_id"), "copies": pa.array(copies), "total": pa.array([False] * len(texts)), "train": t.column("train"),
                          **words, "score": pa.array(scores)})
 
